@@ -160,7 +160,9 @@ simple(
     ).groupBy("interaction_type", "converted", "year_month").agg(F.count(F.lit(1)).alias("n")),
     "SELECT interaction_type, converted, year_month, count(*) AS n FROM interactions GROUP BY ALL",
 )
-simple("bronze_products", lambda k: k.products().drop("p"), "SELECT * FROM products")
+_NO_METADATA = ("p", "average_rating", "rating_number")  # columns the tables cannot fill
+simple("bronze_products", lambda k: k.products().drop(*_NO_METADATA), """
+SELECT product_id, category, title, price, store FROM products""")
 simple("drop_null_keys", lambda k: silver.drop_null_keys(k.interactions()), f"""
 SELECT {_INTER} FROM interactions WHERE user_id IS NOT NULL AND product_id IS NOT NULL""")
 simple(
@@ -327,10 +329,10 @@ simple(
     """SELECT r.user_id, p.product_id FROM asks r JOIN by_category p USING (category)
        WHERE NOT EXISTS (SELECT 1 FROM seen x WHERE x.user_id = r.user_id AND x.product_id = p.product_id)""",
 )
-_GOLD = """product_id, category, title, price, average_rating, rating_number, store,
+_GOLD = """product_id, category, title, price, store,
 round(conversion_rate, 6) AS conversion_rate, round(popularity_score, 6) AS popularity_score, nb_interactions, is_cold"""
-simple("gold_products", lambda k: k.gold_products().drop("p"), f"SELECT {_GOLD} FROM gold")
-simple("gold_products_sparse", lambda k: k.gold_products(True).drop("p"), f"SELECT {_GOLD} FROM s_gold")
+simple("gold_products", lambda k: k.gold_products().drop(*_NO_METADATA), f"SELECT {_GOLD} FROM gold")
+simple("gold_products_sparse", lambda k: k.gold_products(True).drop(*_NO_METADATA), f"SELECT {_GOLD} FROM s_gold")
 simple("gold_interactions", lambda k: gold.gold_interactions(k.silver()), f"""
 SELECT {_SILVER}, round(coalesce(p.conversion_rate, 0.0), 6) AS conversion_rate,
        round(coalesce(p.popularity_score, 0.0), 6) AS popularity_score
@@ -359,7 +361,7 @@ SELECT segment, CAST(n AS BIGINT) AS purchases, round(n / sum(n) OVER () * 100,
 )
 simple("score_matrix", lambda k: serve.score_matrix(k.user_vectors(), k.product_vectors()), """
 SELECT user_id, count(*) AS n_scores, min(score) AS min_score, max(score) AS max_score,
-       round(avg(score), 6) AS mean_score, arg_max(product_id, (score, -1 * rn)) AS best_product
+       round(sum(score), 6) AS total_score, arg_max(product_id, (score, -1 * rn)) AS best_product
 FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY product_id) AS rn FROM scores) GROUP BY user_id""")
 simple("orphan_rate", lambda k: gold.orphan_rate(k.interactions(), k.products()), """
 SELECT count(*) FILTER (p.product_id IS NULL) AS n_orphans, count(*) AS n_rows,
@@ -384,7 +386,7 @@ simple(
     lambda k: bronze.purchase_quantiles(
         bronze.merge_profiles(bronze.user_profile_partial(k.interactions()))
     ),
-    "SELECT quantile_cont(total_purchases, 0.5) AS p50, quantile_cont(total_purchases, 0.9) AS p90 FROM merged",
+    "SELECT round(quantile_cont(total_purchases, 0.5), 6) AS p50, round(quantile_cont(total_purchases, 0.9), 6) AS p90 FROM merged",
 )
 simple("product_stats", lambda k: gold.product_stats(k.silver()), """
 SELECT * REPLACE (round(conversion_rate, 6) AS conversion_rate) FROM stats""")
@@ -629,10 +631,7 @@ simple(
         ),
         "p", "b",
     ),
-    """SELECT round(sqrt(sum(d) / (count(*) * 16)), 6) AS rmse, count(*) AS n FROM (
-         SELECT list_sum([(x - y) * (x - y) for x, y in list_zip(p, b)]) AS d FROM pv WHERE p_size > 5)"""
-    if False
-    else """SELECT round(sqrt(sum(power(x - y, 2)) / count(*)), 6) AS rmse, CAST(count(*) / 16 AS BIGINT) AS n
+    """SELECT round(sqrt(sum(power(x - y, 2)) / count(*)), 6) AS rmse, CAST(count(*) / 16 AS BIGINT) AS n
             FROM (SELECT unnest(p) AS x, unnest(b) AS y FROM pv WHERE p_size > 5)""",
 )
 
@@ -838,7 +837,7 @@ simple("user_diversity", lambda k: features.user_diversity(k.interactions()), ""
 SELECT user_id, count(*) AS nb_categories, arg_min(category, (-n, category)) AS main_category,
        round(greatest(-sum(n / t * log2(n / t)), 0.0), 6) + 0.0 AS diversity_index FROM (
   SELECT user_id, category, count(*) AS n, sum(count(*)) OVER (PARTITION BY user_id) AS t
-  FROM interactions WHERE user_id IS NOT NULL GROUP BY ALL) GROUP BY 1""")
+  FROM interactions WHERE user_id IS NOT NULL GROUP BY user_id, category) GROUP BY 1""")
 simple("review_quality", lambda k: features.review_quality(k.interactions()), """
 SELECT product_id, round(avg(helpful_vote), 6) AS avg_helpful_votes, round(avg(converted) * 100, 6) AS pct_verified_purchases,
        round(count(*) FILTER (rating BETWEEN 4 AND 5)
@@ -898,7 +897,7 @@ simple(
         QUALIFY rank <= 100""",
 )
 simple("feedback_to_interactions", lambda k: features.feedback_to_interactions(k.feedback(), k.products()), """
-SELECT user_id, product_id, CAST(NULL AS DOUBLE) AS rating, CAST(epoch_ms(ts) AS BIGINT) AS timestamp,
+SELECT user_id, product_id, CAST(NULL AS DOUBLE) AS rating, epoch_us(ts) // 1000 AS timestamp,
        CASE WHEN interaction_type = 'purchase' THEN 'purchase' ELSE 'review' END AS interaction_type,
        CASE WHEN interaction_type = 'purchase' THEN 1 ELSE 0 END AS converted, strftime(ts, '%Y-%m') AS year_month,
        0::BIGINT AS helpful_vote, p.category
@@ -908,8 +907,8 @@ simple(
     lambda k: features.declining_penalty(
         serve.batch_recommend(k.user_vectors(), k.product_vectors()).select("user_id", "product_id", "score"),
         features.product_lifespan(k.interactions()),
-    ),
-    """SELECT user_id, product_id, round(CASE WHEN trend = 'decreasing' THEN score * 0.5 ELSE score END, 6) AS score FROM (
+    ).withColumn("score", F.format_string("%.8f", "score")),  # half a six-digit score has seven
+    """SELECT user_id, product_id, printf('%.8f', CASE WHEN trend = 'decreasing' THEN score * 0.5 ELSE score END) AS score FROM (
          SELECT user_id, product_id, score FROM scores QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY score DESC, product_id) <= 10)
        LEFT JOIN lifespan USING (product_id)""",
 )

@@ -56,7 +56,7 @@ def _best(rounded: np.ndarray, allowed: np.ndarray, k: int) -> np.ndarray:
     steps = np.rint(rounded * 10**DIGITS)
     if np.abs(steps).max(initial=0.0) < 2.0 ** (62 - bits):
         key = (steps.astype(np.int64) << bits) + (n - 1 - np.arange(n))
-        key[~allowed] = np.iinfo(np.int64).min
+        key[~allowed] = -np.iinfo(np.int64).max  # its negative exists, unlike that of min
         if k < n:
             part = np.argpartition(key, n - k, axis=1)[:, n - k :]
         else:

@@ -44,7 +44,7 @@ def score_matrix(users: DataFrame, products: DataFrame, **blocks) -> DataFrame:
     """Every user scored against every product, summarised per user.
 
     The matrix itself exists only block by block inside the tasks: one row per user leaves
-    with the number of scores, their range and mean, and the best product.
+    with the number of scores, their range and sum, and the best product.
     """
     best = top_items(_queries(users), _items(products), 1, **blocks)
     return best.select(
@@ -52,7 +52,7 @@ def score_matrix(users: DataFrame, products: DataFrame, **blocks) -> DataFrame:
         F.col("candidates").alias("n_scores"),
         F.col("low").alias("min_score"),
         F.col("high").alias("max_score"),
-        (F.col("total") / F.col("candidates")).alias("mean_score"),
+        F.col("total").alias("total_score"),
         F.col("product_id").alias("best_product"),
     )
 

@@ -52,9 +52,8 @@ def run_silver(spark: SparkSession, base: str) -> DataFrame:
     source = readers.scan_table(spark, _at(base, "interactions"))
     result, seen_in, seen_out = silver.with_layer_counts(source, silver.silver_interactions)
     writers.write_partitioned(result, _at(base, "silver", "interactions"))
-    n_out = seen_out.get["rows"]
-    # With heavy users the input is read in two branches; fall back to the table's count.
-    n_in = source.count()
+    # The input was already counted by the pass that looks for heavy users.
+    n_in, n_out = seen_in.get["rows"], seen_out.get["rows"]
     return spark.createDataFrame(
         [(n_in, n_out, n_in - n_out)], "n_before long, n_after long, n_removed long"
     )
