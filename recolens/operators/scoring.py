@@ -20,6 +20,8 @@ QUERY_BLOCK = 50_000
 MASK_BLOCK = 2_000_000
 CELLS = 4_000_000  # scores held at once inside a task
 DIGITS = 6
+NOWHERE = -2  # code of a category no item of the block has; -1 is an item without one
+GROUP = 64  # columns per group when bounding the k-th best score
 
 _OUT = T.StructType(
     [
@@ -46,28 +48,30 @@ def _positions(values: pa.Array, among: pa.Array) -> np.ndarray:
     return pc.fill_null(pc.index_in(values, value_set=among), -1).to_numpy(zero_copy_only=False)
 
 
-def _best(rounded: np.ndarray, allowed: np.ndarray, k: int) -> np.ndarray:
-    """Column positions of the k best allowed cells per row; ties go to the lower position.
+def _best(steps: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, column, place) of the best cells per row, ties to the lower column.
 
-    Score steps and position share one integer, so a partition by it is exact under ties.
+    ``steps`` holds -inf where a cell is left out. The k-th largest of the maxima of column
+    groups bounds the k-th largest cell from below, so one comparison leaves few cells to
+    sort, all ties among them.
     """
-    n = rounded.shape[1]
-    bits = max(n - 1, 1).bit_length()
-    steps = np.rint(rounded * 10**DIGITS)
-    if np.abs(steps).max(initial=0.0) < 2.0 ** (62 - bits):
-        key = (steps.astype(np.int64) << bits) + (n - 1 - np.arange(n))
-        key[~allowed] = -np.iinfo(np.int64).max  # its negative exists, unlike that of min
-        if k < n:
-            part = np.argpartition(key, n - k, axis=1)[:, n - k :]
-        else:
-            part = np.broadcast_to(np.arange(n), key.shape)
-        order = np.argsort(-np.take_along_axis(key, part, axis=1), axis=1, kind="stable")
-        return np.take_along_axis(part, order, axis=1)
-    masked = np.where(allowed, -rounded, np.inf)
-    return np.argsort(masked, axis=1, kind="stable")[:, :k]
-
-
-def _scorer(exclude_self: bool):
+    n, k = steps.shape[1], int(limit.max())
+    groups = n // GROUP
+    if groups > k:
+        tops = steps[:, : groups * GROUP].reshape(len(steps), groups, GROUP).max(axis=2)
+        bound = np.partition(tops, groups - k, axis=1)[:, groups - k]
+        bound = np.maximum(bound, np.finfo(np.float64).min)
+    else:
+        bound = np.full(len(steps), np.finfo(np.float64).min)
+    row, col = np.nonzero(steps >= bound[:, None])
+    order = np.lexsort((col, -steps[row, col], row))
+    row, col = row[order], col[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    keep = place < limit[row]
+    return row[keep], col[keep], place[keep]
+
+
+def _scorer(exclude_self: bool, with_range: bool):
     def score(key, left: pa.Table, right: pa.Table) -> pa.Table:
         rows: list[pa.Table] = []
         schema = pa.schema(
@@ -95,7 +99,8 @@ def _scorer(exclude_self: bool):
         codes = pc.fill_null(categories.indices, -1).to_numpy(zero_copy_only=False)
         wanted = queries["category"].combine_chunks()
         asked = pc.is_valid(wanted).to_numpy(zero_copy_only=False)
-        wanted_codes = np.where(asked, _positions(wanted, categories.dictionary), -1)
+        wanted_codes = _positions(wanted, categories.dictionary)
+        wanted_codes = np.where(wanted_codes < 0, NOWHERE, wanted_codes)
 
         masks = left.filter(pc.is_null(left["vec"]))
         mask_q = _positions(masks["query_id"].combine_chunks(), query_ids)
@@ -110,39 +115,37 @@ def _scorer(exclude_self: bool):
         mask_q, mask_i = mask_q[by_query], mask_i[by_query]
 
         step = max(1, CELLS // len(item_ids))
+        scale = 10.0**DIGITS
         for start in range(0, len(query_ids), step):
             stop = min(start + step, len(query_ids))
-            rounded = np.round(u[start:stop] @ p.T, DIGITS)
-            allowed = np.ones(rounded.shape, dtype=bool)
-            filtered = asked[start:stop]
-            if filtered.any():
-                allowed[filtered] = codes[None, :] == wanted_codes[start:stop][filtered, None]
-                unknown = filtered & (wanted_codes[start:stop] < 0)
-                allowed[unknown] = False
+            steps = u[start:stop] @ p.T
+            steps *= scale
+            np.rint(steps, out=steps)
+            for q in np.nonzero(asked[start:stop])[0]:
+                steps[q, codes != wanted_codes[start + q]] = -np.inf
             lo, hi = np.searchsorted(mask_q, [start, stop])
-            allowed[mask_q[lo:hi] - start, mask_i[lo:hi]] = False
-
-            found = allowed.sum(axis=1)
-            k = min(int(limit[start:stop].max()), len(item_ids))
-            best = _best(rounded, allowed, k)
-            keep = np.arange(k)[None, :] < np.minimum(found, limit[start:stop])[:, None]
-            r, c = np.nonzero(keep)
-            chosen = best[r, c]
-            rows.append(
-                pa.table(
-                    [
-                        query_ids.take(pa.array(r + start)),
-                        item_ids.take(pa.array(chosen)),
-                        pa.array(rounded[r, chosen] + 0.0),
-                        pa.array((c + 1).astype(np.int32)),
-                        pa.array(np.where(allowed, rounded, np.inf).min(axis=1)[r] + 0.0),
-                        pa.array(np.where(allowed, rounded, -np.inf).max(axis=1)[r] + 0.0),
-                        pa.array(np.where(allowed, rounded, 0.0).sum(axis=1)[r]),
-                        pa.array(found[r].astype(np.int64)),
-                    ],
-                    schema=schema,
-                )
-            )
+            steps[mask_q[lo:hi] - start, mask_i[lo:hi]] = -np.inf
+
+            r, c, place = _best(steps, limit[start:stop])
+            columns = [
+                query_ids.take(pa.array(r + start)),
+                item_ids.take(pa.array(c)),
+                pa.array(steps[r, c] / scale + 0.0),
+                pa.array((place + 1).astype(np.int32)),
+            ]
+            if with_range:
+                kept = steps > -np.inf
+                low = np.min(steps, axis=1, where=kept, initial=np.inf)
+                total = np.sum(steps, axis=1, where=kept)
+                columns += [
+                    pa.array(low[r] / scale + 0.0),
+                    pa.array(steps.max(axis=1)[r] / scale + 0.0),
+                    pa.array(total[r] / scale + 0.0),
+                    pa.array(kept.sum(axis=1)[r].astype(np.int64)),
+                ]
+            else:
+                columns += [pa.nulls(len(r), f.type) for f in list(schema)[4:]]
+            rows.append(pa.table(columns, schema=schema))
         return pa.concat_tables(rows) if rows else schema.empty_table()
 
     return score
@@ -154,6 +157,7 @@ def top_items(
     k: int | None = None,
     masked: DataFrame | None = None,
     exclude_self: bool = False,
+    with_range: bool = False,
     query_block: int = QUERY_BLOCK,
     item_block: int = ITEM_BLOCK,
 ) -> DataFrame:
@@ -163,9 +167,10 @@ def top_items(
     category (NULL: all). ``items``: product_id (unique), vec; optional category.
     ``masked``: (query_id, product_id) pairs to leave out, in any number.
 
-    Returns query_id, product_id, score, rank, and over all candidates of the query low,
-    high, total (sum of scores) and candidates. Scores are rounded to six digits before ranking; ties
-    go to the smaller id. Queries without candidates give no rows.
+    Returns query_id, product_id, score, rank and, filled when ``with_range``, the low, high,
+    total (sum of scores) and number of all candidates of the query. Scores are rounded to
+    six digits before ranking; ties go to the smaller id. Queries without candidates give
+    no rows.
     """
     spark = queries.sparkSession
     n_queries, n_items = queries.count(), items.count()
@@ -221,7 +226,7 @@ def top_items(
     scored = (
         left.groupBy("qb", "ib")
         .cogroup(right.groupBy("qb", "ib"))
-        .applyInArrow(_scorer(exclude_self), _OUT)
+        .applyInArrow(_scorer(exclude_self, with_range), _OUT)
     )
     if ib == 1:
         return scored

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from recolens.functions import scalars as S
 from recolens.functions.vectors import blend, l2_normalize
 from recolens.operators.scoring import top_items
+from recolens.operators.skew import cut
 
 RECOMMEND_LIMITS = (1, 100)
 SIMILAR_LIMITS = (1, 50)
@@ -46,7 +47,7 @@ def score_matrix(users: DataFrame, products: DataFrame, **blocks) -> DataFrame:
     The matrix itself exists only block by block inside the tasks: one row per user leaves
     with the number of scores, their range and sum, and the best product.
     """
-    best = top_items(_queries(users), _items(products), 1, **blocks)
+    best = top_items(_queries(users), _items(products), 1, with_range=True, **blocks)
     return best.select(
         F.col("query_id").alias("user_id"),
         F.col("candidates").alias("n_scores"),
@@ -80,15 +81,19 @@ def recommend(
     vectors = users.select("user_id", "u")
     known = asked.join(vectors, "user_id")
     unknown = asked.join(vectors.select("user_id"), "user_id", "left_anti")
-    hidden = (
+    # Written once: it is counted, dealt into blocks, and taken out of the fallback.
+    hidden = cut(
         asked.filter("exclude_seen")
         .select("request_id", "user_id")
         .join(seen.select("user_id", "product_id"), "user_id")
+        .select("request_id", "product_id")
+        .distinct()
     )
     scored = top_items(
         known.select(F.col("request_id").alias("query_id"), "n", "category", F.col("u").alias("vec")),
         _items(products),
         masked=hidden.select(F.col("request_id").alias("query_id"), "product_id"),
+        with_range=True,
         **blocks,
     )
     about = products.select("product_id", F.coalesce("category", F.lit("")).alias("category"), "is_cold")

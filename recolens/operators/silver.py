@@ -23,20 +23,24 @@ def clamp_ratings(interactions: DataFrame) -> DataFrame:
     return interactions.withColumn("rating", S.clamp_rating(F.col("rating")))
 
 
-def dedup_interactions(interactions: DataFrame) -> DataFrame:
-    """One row per (user, product, timestamp), the same one on every run.
-
-    As the filter keeps one row per key, Spark applies it before the shuffle too: any
-    number of copies of one key leaves at most one row per map task.
-    """
-    winner = [
+def _winner():
+    """Which of several rows with one dedup key is kept; equal rows cannot be told apart."""
+    return [
         F.col("rating").desc_nulls_last(),
         F.col("converted").desc_nulls_last(),
         F.col("helpful_vote").desc_nulls_last(),
         F.col("category").asc_nulls_last(),
         F.col("interaction_type").asc_nulls_last(),
     ]
-    w = Window.partitionBy(*DEDUP_KEY).orderBy(*winner)
+
+
+def dedup_interactions(interactions: DataFrame) -> DataFrame:
+    """One row per (user, product, timestamp), the same one on every run.
+
+    As the filter keeps one row per key, Spark applies it before the shuffle too: any
+    number of copies of one key leaves at most one row per map task.
+    """
+    w = Window.partitionBy(*DEDUP_KEY).orderBy(*_winner())
     return (
         interactions.withColumn("__rn", F.row_number().over(w))
         .filter("__rn = 1")
@@ -44,6 +48,19 @@ def dedup_interactions(interactions: DataFrame) -> DataFrame:
     )
 
 
+def _dedup_in_order(interactions: DataFrame) -> DataFrame:
+    """The same rows as :func:`dedup_interactions`, by comparing neighbours.
+
+    Sorted by recency with the winner first, copies of a key follow each other. The ranks
+    computed next need this very order, so one exchange and one sort serve everything.
+    """
+    w = Window.partitionBy("user_id").orderBy(*recency_order(), *_winner())
+    copy = F.lag("product_id").over(w).eqNullSafe(F.col("product_id")) & F.lag(
+        "timestamp"
+    ).over(w).eqNullSafe(F.col("timestamp"))
+    return interactions.withColumn("__copy", copy).filter(~F.col("__copy")).drop("__copy")
+
+
 def _score(ranked: DataFrame) -> DataFrame:
     return ranked.withColumn(
         "rf_score",
@@ -54,19 +71,18 @@ def _score(ranked: DataFrame) -> DataFrame:
 def silver_interactions(interactions: DataFrame) -> DataFrame:
     """Null keys out, ratings clamped, duplicates removed, recency and frequency added.
 
-    Ordinary users: one exchange on user_id serves the dedup and both windows. Users with
-    more rows than a task should take are deduplicated on the fine key and ranked by
-    range pieces instead.
+    Ordinary users: one exchange on user_id and one sort serve the dedup and both windows.
+    Users with more rows than a task should take are deduplicated on the fine key and
+    ranked by range pieces instead.
     """
     clean = clamp_ratings(drop_null_keys(interactions))
     hot = hot_keys(clean, ["user_id"])
     names = ("recency_rank", "user_interaction_count")
     if hot is None:
-        by_user = dedup_interactions(clean.repartition("user_id"))
-        return _score(numbered(by_user, ["user_id"], recency_order(), *names))
-    usual = clean.join(F.broadcast(hot), "user_id", "left_anti").repartition("user_id")
+        return _score(numbered(_dedup_in_order(clean), ["user_id"], recency_order(), *names))
+    usual = clean.join(F.broadcast(hot), "user_id", "left_anti")
     large = clean.join(F.broadcast(hot), "user_id", "left_semi")
-    ranked = numbered(dedup_interactions(usual), ["user_id"], recency_order(), *names)
+    ranked = numbered(_dedup_in_order(usual), ["user_id"], recency_order(), *names)
     spread = numbered(
         dedup_interactions(large), ["user_id"], recency_order(), *names, hot=hot
     )

@@ -66,8 +66,10 @@ def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
     """
     limit = _setting(df.sparkSession, "hotKeyRows", HOT_KEY_ROWS)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    hot = cut(counts.filter(F.col("__n") > limit).select(*keys))
-    return None if hot.isEmpty() else hot
+    hot = counts.filter(F.col("__n") > limit).select(*keys)
+    if hot.count() == 0:
+        return None
+    return cut(hot)
 
 
 def _pieces(df: DataFrame, order: Sequence[Column]) -> DataFrame:

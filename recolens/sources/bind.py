@@ -62,7 +62,7 @@ class Lake:
                 (F.floor(F.col("l_quantity") / 7) - 1).cast("double").alias("rating"),
                 F.unix_millis(F.col("l_shipdate").cast("timestamp")).alias("timestamp"),
                 (F.col("l_returnflag") != "R").alias("verified_purchase"),
-                F.round(F.col("l_discount") * 100).cast("long").alias("helpful_vote"),
+                F.floor(F.col("l_discount") * 100 + 0.5).alias("helpful_vote"),
                 "category",
                 F.explode(copies).alias("copy"),
             )

@@ -88,7 +88,8 @@ def test_silver_uses_one_exchange_for_dedup_and_ranks(lake):
     path = lake.scratch("interactions")
     writers.write_table(lake.interactions(), path)
     plan = plan_of(silver.silver_interactions(readers.scan_table(lake.spark, path)))
-    assert plan.split("\n\n")[0].count("Exchange") == 1, plan
+    tree = plan.split("\n\n")[0]
+    assert tree.count("Exchange") == 1 and tree.count("Sort (") == 1, tree
 
 
 def test_dedup_limits_rows_before_the_shuffle(lake):

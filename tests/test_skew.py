@@ -124,17 +124,17 @@ def test_top_items_equals_brute_force_over_any_blocking(spark):
     def vec():
         return [float(rnd.randrange(-2, 3)) for _ in range(4)]  # many ties
 
-    items = [(f"p{i:03d}", vec()) for i in range(60)]
+    items = [(f"p{i:04d}", vec()) for i in range(1100)]  # enough for column groups
     queries = [(f"q{i:02d}", vec()) for i in range(25)]
-    masked = {(f"q{rnd.randrange(25):02d}", f"p{rnd.randrange(60):03d}") for _ in range(300)}
-    masked |= {("q00", p) for p, _ in items[:57]}  # fewer candidates than k
+    masked = {(f"q{rnd.randrange(25):02d}", f"p{rnd.randrange(1100):04d}") for _ in range(4000)}
+    masked |= {("q00", p) for p, _ in items[:1097]}  # fewer candidates than k
     masked |= {("q01", p) for p, _ in items}  # none
     q = spark.createDataFrame(queries, "query_id string, vec array<float>")
     i = spark.createDataFrame(items, "product_id string, vec array<float>")
     m = spark.createDataFrame(list(masked) * 2, "query_id string, product_id string")
     expected = _brute(queries, items, 7, masked)
-    for blocks in ({}, {"query_block": 4}, {"item_block": 9}, {"query_block": 6, "item_block": 20}):
-        got = scoring.top_items(q, i, 7, masked=m, **blocks).collect()
+    for blocks in ({}, {"query_block": 4}, {"item_block": 90}, {"query_block": 6, "item_block": 600}):
+        got = scoring.top_items(q, i, 7, masked=m, with_range=True, **blocks).collect()
         assert {(r.query_id, r.product_id, r.rank) for r in got} == expected, blocks
         one = {r.query_id: (r.low, r.high, r.candidates) for r in got}
         free = sum(("q00", p) not in masked for p, _ in items)
