@@ -14,6 +14,7 @@ from recolens.operators import (
 )
 from recolens.sources import readers, writers
 from recolens.sources.bind import Lake
+from recolens.streaming import logs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -912,3 +913,102 @@ simple(
          SELECT user_id, product_id, score FROM scores QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY score DESC, product_id) <= 10)
        LEFT JOIN lifespan USING (product_id)""",
 )
+
+# --- L: streams, run to the end of the tables ------------------------------------------------
+
+
+def _finished(lake: Lake, running) -> None:
+    running.awaitTermination()
+    if running.exception() is not None:
+        raise running.exception()
+
+
+def _files(lake: Lake, result: DataFrame, name: str) -> DataFrame:
+    path = lake.scratch(name)
+    _finished(lake, logs.start_files(result, path, lake.scratch("stream")))
+    return lake.spark.read.parquet(path)
+
+
+def _state(lake: Lake, result: DataFrame, mode: str) -> DataFrame:
+    """The final rows of a small running aggregate."""
+    name = "t_" + lake.scratch("x").split("recolens-")[1].split("/")[0]
+    _finished(lake, logs.start_table(result, name, lake.scratch("stream"), mode))
+    return lake.spark.table(name)
+
+
+@query("stream_feedback", f"""
+SELECT 'accepted' AS outcome, {_FB}, NULL AS reason FROM feedback
+UNION ALL SELECT 'rejected', {_FB}, 'invalid interaction_type' FROM raw_feedback
+WHERE interaction_type NOT IN ('click', 'purchase', 'skip')""")
+def _(lake: Lake) -> DataFrame:
+    ok, bad = lake.scratch("accepted"), lake.scratch("rejected")
+    _finished(lake, logs.stream_feedback(lake.raw_feedback(True), ok, bad, lake.scratch("stream")))
+    good = lake.spark.read.parquet(ok).withColumn("reason", F.lit(None).cast("string"))
+    both = good.withColumn("outcome", F.lit("accepted")).unionByName(
+        lake.spark.read.parquet(bad).withColumn("outcome", F.lit("rejected"))
+    )
+    return both.drop("batch_id")
+
+
+simple("stream_impressions", lambda k: _files(k, logs.impressions_of(k.requests(True)), "impressions"), """
+SELECT user_id, ab_variant, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM impressions""")
+
+
+@query("stream_ab_counts", "SELECT ab_variant, n_users, n_clicks FROM ab")
+def _(lake: Lake) -> DataFrame:
+    shown = logs.ab_users(logs.impressions_of(lake.requests(True)))
+    accepted = lake.raw_feedback(True).filter(abtest.rejection_reason().isNull())
+    users = _state(lake, shown, "complete")
+    return users.join(_state(lake, logs.ab_clicks(accepted), "complete"), "ab_variant")
+
+
+simple(
+    "stream_service_metrics",
+    lambda k: _state(k, logs.service_latency(logs.with_event_time(k.requests(True))), "update")
+    .select("window_start", "n_requests", "hits"),
+    f"""SELECT {_5M}, count(*) AS n_requests, count(*) FILTER (cache_hit) AS hits FROM requests GROUP BY 1""",
+)
+
+
+@query("stream_ctr_rate", """
+SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start,
+       count(*) FILTER (event_type = 'view') AS n_requests, count(*) FILTER (event_type <> 'view') AS n_feedback,
+       round(count(*) FILTER (event_type <> 'view') / nullif(count(*) FILTER (event_type = 'view'), 0), 6) AS ctr
+FROM ev WHERE event_type <> 'signup' GROUP BY 1""")
+def _(lake: Lake) -> DataFrame:
+    events = lake.events(True).filter("event_type <> 'signup'")
+    posts = events.select("ts", (F.col("event_type") == "view").alias("is_request"))
+    return _state(lake, logs.service_ctr(logs.with_event_time(posts)), "update")
+
+
+def _timed_interactions(lake: Lake) -> DataFrame:
+    rows = bronze.bronze_interactions(lake.reviews(stream=True))
+    return logs.with_event_time(
+        silver.drop_null_keys(rows).withColumn("ts", S.event_time(F.col("timestamp")))
+    )
+
+
+simple(
+    "stream_dedup",
+    lambda k: _files(k, logs.dedup_stream(_timed_interactions(k)), "dedup").select(
+        "user_id", "product_id", "timestamp"
+    ),
+    "SELECT user_id, product_id, timestamp FROM dedup",
+)
+simple(
+    "stream_popularity",
+    lambda k: _state(k, logs.popularity_stream(_timed_interactions(k), "30 days"), "update"),
+    """SELECT strftime(time_bucket(INTERVAL '30 days', make_timestamp(timestamp * 1000), TIMESTAMP '1970-01-01'), '%Y-%m-%d %H:%M:%S') AS window_start,
+              category, product_id, count(*) AS nb_interactions FROM interactions
+       WHERE user_id IS NOT NULL AND product_id IS NOT NULL GROUP BY ALL""",
+)
+
+
+@query("experiment_log", """
+SELECT 'ndcg-' || CAST(n_users AS VARCHAR) AS run_id, 'metric' AS kind, 'ndcg_at_10' AS key,
+       round(ndcg, 6) AS value FROM (SELECT avg(ndcg) AS ndcg, count(*) AS n_users FROM ndcg)""")
+def _(lake: Lake) -> DataFrame:
+    path = lake.scratch("runs")
+    score = evaluate.evaluate_popularity(lake.interactions()).first()
+    writers.append_run(lake.spark, path, f"ndcg-{score.n_users}", {}, {"ndcg_at_10": score.ndcg})
+    return writers.read_runs(lake.spark, path).withColumn("value", F.col("value").cast("double"))

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, functions as F
 
+from recolens.functions.vectors import dot
 from recolens.operators.skew import dense_index, ensure_checkpoint_dir
 
 RANK, ITERATIONS, REGULARISATION, ALPHA = 16, 15, 0.1, 1.0
 CHECKPOINT_EVERY = 5
+BLOCK_PAIRS, MAX_BLOCKS = 5_000_000, 2_000
 MAX_INT_ID = 2**31 - 1
 
 
@@ -27,6 +30,8 @@ def index_ids(pairs: DataFrame) -> IndexedPairs:
     """Map string ids to dense ints by id order; the maps are tables, not driver state."""
     users = dense_index(pairs, "user_id", "user_id_int")
     products = dense_index(pairs, "product_id", "product_id_int")
+    if max(users.count(), products.count()) > MAX_INT_ID:
+        raise ValueError("the factorisation takes at most 2^31 - 1 ids per side")
     indexed = (
         pairs.join(users, "user_id")
         .join(products, "product_id")
@@ -51,7 +56,10 @@ def als_fit(
     spark = indexed.sparkSession
     ensure_checkpoint_dir(spark)
     if blocks is None:
-        blocks = min(max(10, spark.sparkContext.defaultParallelism), 400)
+        # More blocks mean more copies of the factors in every shuffle, so no more than the
+        # pairs need.
+        needed = math.ceil(indexed.count() / BLOCK_PAIRS)
+        blocks = min(max(spark.sparkContext.defaultParallelism // 2, needed, 1), MAX_BLOCKS)
     return ALS(
         rank=rank,
         maxIter=iterations,
@@ -97,8 +105,6 @@ def implicit_loss(
     items = model.itemFactors.select(
         F.col("id").alias("product_id_int"), F.col("features").alias("p")
     )
-    from recolens.functions.vectors import dot
-
     error = F.lit(1.0) - dot(F.col("u"), F.col("p"))
     return (
         ids.pairs.join(users, "user_id_int")

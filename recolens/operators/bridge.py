@@ -142,7 +142,7 @@ def _fold(mean: np.ndarray, sd: np.ndarray, w: np.ndarray, b: np.ndarray):
 
 def ridge_fit(train: DataFrame, penalty: float = 1.0) -> Bridge:
     """Closed-form multi-output ridge on standardised content, from one pass of moments."""
-    data = train.withColumn("held_out", F.lit(False)).coalesce(TRAIN_PARTITIONS)
+    data = cut(train.select("x", "y", F.lit(False).alias("held_out"))).coalesce(TRAIN_PARTITIONS)
     g, dx = _moments(data)
     n = g[0, 0]
     mean, sd = _scaling(g, dx)
@@ -167,7 +167,7 @@ def mlp_fit(
     Squared error, ReLU, Adam steps on the driver's fixed-size weights, early stopping on
     the held-out tenth. The training table is cut once; each epoch is one pass over it.
     """
-    data = cut(_with_held_out(train, seed).coalesce(TRAIN_PARTITIONS))
+    data = cut(_with_held_out(train, seed)).coalesce(TRAIN_PARTITIONS)
     g, dx = _moments(data)
     mean, sd = _scaling(g, dx)
     sizes = [dx, *hidden, g.shape[0] - 1 - dx]

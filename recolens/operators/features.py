@@ -69,40 +69,37 @@ def category_month_stats(interactions: DataFrame) -> DataFrame:
 
 
 def product_lifespan(interactions: DataFrame) -> DataFrame:
-    """First and last row, days between, and trend per product.
+    """First and last day, days between, and trend per product.
 
-    Rows are first counted per (product, timestamp). The trend compares the rows after the
-    middle of the product's life with those before it; within 10 % it is stable.
+    Rows are first counted per (product, day), which leaves at most one row per calendar day
+    of a product, however many interactions it has. The trend compares the days after the
+    middle of the product's life with those up to it; within 10 % it is stable.
     """
-    dated = interactions.filter(
-        F.col("product_id").isNotNull() & F.col("timestamp").isNotNull()
-    )
-    per_time = dated.groupBy("product_id", "timestamp").agg(_rows().alias("n"))
-    span = per_time.groupBy("product_id").agg(
-        F.min("timestamp").alias("first_ts"), F.max("timestamp").alias("last_ts")
+    daily = (
+        interactions.withColumn("day", F.to_date(S.event_time(F.col("timestamp"))))
+        .filter(F.col("product_id").isNotNull() & F.col("day").isNotNull())
+        .groupBy("product_id", "day")
+        .agg(_rows().alias("n"))
     )
+    life = Window.partitionBy("product_id")
+    number = F.unix_date("day")
+    late_day = number * 2 > F.min(number).over(life) + F.max(number).over(life)
     halves = (
-        per_time.join(span, "product_id")
-        .groupBy("product_id", "first_ts", "last_ts")
+        daily.withColumn("late", late_day)
+        .groupBy("product_id")
         .agg(
-            F.sum(
-                F.when(F.col("timestamp") * 2 <= F.col("first_ts") + F.col("last_ts"), F.col("n"))
-                .otherwise(0)
-            ).alias("n_first_half"),
-            F.sum(
-                F.when(F.col("timestamp") * 2 > F.col("first_ts") + F.col("last_ts"), F.col("n"))
-                .otherwise(0)
-            ).alias("n_second_half"),
+            F.min("day").alias("first_day"),
+            F.max("day").alias("last_day"),
+            F.sum(F.when(F.col("late"), 0).otherwise(F.col("n"))).alias("n_first_half"),
+            F.sum(F.when(F.col("late"), F.col("n")).otherwise(0)).alias("n_second_half"),
         )
     )
     early, late = F.col("n_first_half"), F.col("n_second_half")
     return halves.select(
         "product_id",
-        F.date_format(S.event_time(F.col("first_ts")), "yyyy-MM-dd").alias("first_date"),
-        F.date_format(S.event_time(F.col("last_ts")), "yyyy-MM-dd").alias("last_date"),
-        F.datediff(S.event_time(F.col("last_ts")), S.event_time(F.col("first_ts")))
-        .cast("long")
-        .alias("lifespan_days"),
+        F.col("first_day").cast("string").alias("first_date"),
+        F.col("last_day").cast("string").alias("last_date"),
+        F.datediff("last_day", "first_day").cast("long").alias("lifespan_days"),
         "n_first_half",
         "n_second_half",
         F.when(late > early * (1 + TREND_MARGIN), "increasing")

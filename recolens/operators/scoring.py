@@ -16,7 +16,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 ITEM_BLOCK = 400_000
-QUERY_BLOCK = 50_000
+QUERY_BLOCK = 400_000
+OUT_ROWS = 2_000_000  # rows one group may return
+MAX_K = 100
 MASK_BLOCK = 2_000_000
 CELLS = 4_000_000  # scores held at once inside a task
 DIGITS = 6
@@ -154,7 +156,7 @@ def _scorer(exclude_self: bool, with_range: bool):
 def top_items(
     queries: DataFrame,
     items: DataFrame,
-    k: int | None = None,
+    k: int = MAX_K,
     masked: DataFrame | None = None,
     exclude_self: bool = False,
     with_range: bool = False,
@@ -163,8 +165,8 @@ def top_items(
 ) -> DataFrame:
     """Best items per query by inner product.
 
-    ``queries``: query_id (unique), vec; optional n (limit per query, else ``k``) and
-    category (NULL: all). ``items``: product_id (unique), vec; optional category.
+    ``queries``: query_id (unique), vec; optional n (limit per query, at most ``k``, which
+    holds otherwise) and category (NULL: all). ``items``: product_id (unique), vec; optional category.
     ``masked``: (query_id, product_id) pairs to leave out, in any number.
 
     Returns query_id, product_id, score, rank and, filled when ``with_range``, the low, high,
@@ -176,7 +178,7 @@ def top_items(
     n_queries, n_items = queries.count(), items.count()
     ib = max(1, math.ceil(n_items / item_block))
     qb = max(
-        math.ceil(n_queries / query_block),
+        math.ceil(n_queries / min(query_block, max(1, OUT_ROWS // k))),
         math.ceil(min(spark.sparkContext.defaultParallelism, max(n_queries, 1)) / ib),
         1,
     )
@@ -198,7 +200,7 @@ def top_items(
         "query_id",
         none.cast("string").alias("product_id"),
         (F.col("category") if "category" in wants else none).cast("string").alias("category"),
-        (F.col("n") if "n" in wants else F.lit(k)).cast("int").alias("n"),
+        (F.least("n", F.lit(k)) if "n" in wants else F.lit(k)).cast("int").alias("n"),
         F.col("vec").cast("array<float>").alias("vec"),
     )
     if masked is not None:
@@ -233,7 +235,7 @@ def top_items(
     return _merge(scored, queries if "n" in wants else None, k)
 
 
-def _merge(scored: DataFrame, limits: DataFrame | None, k: int | None) -> DataFrame:
+def _merge(scored: DataFrame, limits: DataFrame | None, k: int) -> DataFrame:
     """Combine the winners of several item blocks: at most k rows per query and block."""
     per_block = scored.filter("rank = 1").groupBy("query_id").agg(
         F.min("low").alias("low"),
@@ -245,9 +247,8 @@ def _merge(scored: DataFrame, limits: DataFrame | None, k: int | None) -> DataFr
     ranked = scored.select("query_id", "product_id", "score").withColumn(
         "rank", F.row_number().over(w)
     )
-    if limits is None:
-        ranked = ranked.filter(F.col("rank") <= k)
-    else:
+    ranked = ranked.filter(F.col("rank") <= k)
+    if limits is not None:
         ranked = (
             ranked.join(limits.select("query_id", F.col("n").alias("__n")), "query_id")
             .filter(F.col("rank") <= F.col("__n"))

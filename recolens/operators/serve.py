@@ -92,6 +92,7 @@ def recommend(
     scored = top_items(
         known.select(F.col("request_id").alias("query_id"), "n", "category", F.col("u").alias("vec")),
         _items(products),
+        RECOMMEND_LIMITS[1],
         masked=hidden.select(F.col("request_id").alias("query_id"), "product_id"),
         with_range=True,
         **blocks,

@@ -30,6 +30,11 @@ class Lake:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def stream(self, name: str) -> DataFrame:
+        """The same table as a stream over its file."""
+        schema = self.table(name).schema
+        return self.spark.readStream.schema(schema).parquet(f"{self.folder}/{name}*.parquet")
+
     def scratch(self, name: str) -> str:
         """A new folder for a written table, in the folder all executors share."""
         ensure_checkpoint_dir(self.spark)
@@ -39,12 +44,12 @@ class Lake:
 
     # --- reviews and catalogue -----------------------------------------------------------
 
-    def reviews(self, sparse: bool = False) -> DataFrame:
+    def reviews(self, sparse: bool = False, stream: bool = False) -> DataFrame:
         """Order lines as reviews; every fiftieth order is delivered twice.
 
         ``sparse`` keeps first lines only, which leaves cold users and products.
         """
-        lines = self.table("lineitem")
+        lines = self.stream("lineitem") if stream else self.table("lineitem")
         if sparse:
             lines = lines.filter("l_linenumber = 1")
         part = self.table("part").select("p_partkey", F.col("p_type").alias("category"))
@@ -148,8 +153,9 @@ class Lake:
 
     # --- event logs ----------------------------------------------------------------------
 
-    def events(self) -> DataFrame:
-        return self.table("events").withColumn("k", F.get_json_object("props", "$.k").cast("long"))
+    def events(self, stream: bool = False) -> DataFrame:
+        rows = self.stream("events") if stream else self.table("events")
+        return rows.withColumn("k", F.get_json_object("props", "$.k").cast("long"))
 
     def impressions(self) -> DataFrame:
         views = self.events().filter("event_type = 'view'")
@@ -160,13 +166,13 @@ class Lake:
             F.col("ts").cast("timestamp").alias("ts"),
         )
 
-    def raw_feedback(self) -> DataFrame:
+    def raw_feedback(self, stream: bool = False) -> DataFrame:
         """All non-view events as sent, the not allowed ones included."""
         user = _id("U", "user_id")
         assigned = S.ab_variant(user)
         flipped = F.when(assigned == S.CONTROL, S.TREATMENT).otherwise(S.CONTROL)
         return (
-            self.events()
+            self.events(stream)
             .filter("event_type <> 'view'")
             .select(
                 "event_id",
@@ -185,10 +191,10 @@ class Lake:
 
         return validate_feedback(self.raw_feedback())[0]
 
-    def requests(self) -> DataFrame:
+    def requests(self, stream: bool = False) -> DataFrame:
         """Views as recommendation requests: latency from value, a hit when k is even."""
         return (
-            self.events()
+            self.events(stream)
             .filter("event_type = 'view'")
             .select(
                 _id("U", "user_id").alias("user_id"),
