@@ -784,13 +784,14 @@ simple(
     f"""SELECT table_name, count(*) FILTER (success) AS passed, count(*) AS total
         FROM (({_DQ_INTER}) UNION ALL ({_DQ_GOLD})) GROUP BY 1""",
 )
-simple("drift_ks", lambda k: drift.drift_ks(k.interactions()), """
+simple("drift_ks_exact", lambda k: drift.drift_ks(k.interactions()))
+simple("drift_ks", lambda k: drift.drift_ks(k.interactions(), method="asymptotic"), """
 SELECT month_a, month_b, n_a, n_b, round(conv_rate_a, 6) AS conv_rate_a, round(conv_rate_b, 6) AS conv_rate_b,
        round(ks_statistic, 6) AS ks_statistic, round(p_value, 6) AS p_value, p_value < 0.05 AS drift_detected FROM drift""")
-simple("drift_ks_numeric", lambda k: drift.drift_ks_numeric(k.interactions(), "rating"), """
+simple("drift_ks_numeric", lambda k: drift.drift_ks_numeric(k.interactions(), "rating", method="asymptotic"), """
 SELECT month_a, month_b, n_a, n_b, round(ks_statistic, 6) AS ks_statistic, round(p_value, 6) AS p_value,
        p_value < 0.05 AS drift_detected FROM drift_rating""")
-simple("drift_summary", lambda k: drift.drift_summary(drift.drift_ks(k.interactions())), """
+simple("drift_summary", lambda k: drift.drift_summary(drift.drift_ks(k.interactions(), method="asymptotic")), """
 SELECT count(*) AS n_pairs, count(*) FILTER (p_value < 0.05) AS n_drift FROM drift""")
 simple("ab_variant", lambda k: abtest.ab_variant(k.customers()), """
 SELECT 'U' || c_custkey AS user_id, CASE WHEN right(md5('U' || c_custkey), 1) IN ('0','2','4','6','8','a','c','e')
@@ -929,11 +930,11 @@ def _files(lake: Lake, result: DataFrame, name: str) -> DataFrame:
     return lake.spark.read.parquet(path)
 
 
-def _state(lake: Lake, result: DataFrame, mode: str) -> DataFrame:
-    """The final rows of a small running aggregate."""
-    name = "t_" + lake.scratch("x").split("recolens-")[1].split("/")[0]
-    _finished(lake, logs.start_table(result, name, lake.scratch("stream"), mode))
-    return lake.spark.table(name)
+def _state(lake: Lake, result: DataFrame, *keys: str) -> DataFrame:
+    """The final rows of a running aggregate."""
+    path = lake.scratch("updates")
+    _finished(lake, logs.start_updates(result, path, lake.scratch("stream")))
+    return logs.latest(lake.spark.read.parquet(path), *keys)
 
 
 @query("stream_feedback", f"""
@@ -958,13 +959,13 @@ SELECT user_id, ab_variant, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM impress
 def _(lake: Lake) -> DataFrame:
     shown = logs.ab_users(logs.impressions_of(lake.requests(True)))
     accepted = lake.raw_feedback(True).filter(abtest.rejection_reason().isNull())
-    users = _state(lake, shown, "complete")
-    return users.join(_state(lake, logs.ab_clicks(accepted), "complete"), "ab_variant")
+    users = _state(lake, shown, "ab_variant")
+    return users.join(_state(lake, logs.ab_clicks(accepted), "ab_variant"), "ab_variant")
 
 
 simple(
     "stream_service_metrics",
-    lambda k: _state(k, logs.service_latency(logs.with_event_time(k.requests(True))), "update")
+    lambda k: _state(k, logs.service_latency(logs.with_event_time(k.requests(True))), "window_start")
     .select("window_start", "n_requests", "hits"),
     f"""SELECT {_5M}, count(*) AS n_requests, count(*) FILTER (cache_hit) AS hits FROM requests GROUP BY 1""",
 )
@@ -978,7 +979,7 @@ FROM ev WHERE event_type <> 'signup' GROUP BY 1""")
 def _(lake: Lake) -> DataFrame:
     events = lake.events(True).filter("event_type <> 'signup'")
     posts = events.select("ts", (F.col("event_type") == "view").alias("is_request"))
-    return _state(lake, logs.service_ctr(logs.with_event_time(posts)), "update")
+    return _state(lake, logs.service_ctr(logs.with_event_time(posts)), "window_start")
 
 
 def _timed_interactions(lake: Lake) -> DataFrame:
@@ -997,7 +998,8 @@ simple(
 )
 simple(
     "stream_popularity",
-    lambda k: _state(k, logs.popularity_stream(_timed_interactions(k), "30 days"), "update"),
+    lambda k: _state(k, logs.popularity_stream(_timed_interactions(k), "30 days"),
+                     "window_start", "category", "product_id"),
     """SELECT strftime(time_bucket(INTERVAL '30 days', make_timestamp(timestamp * 1000), TIMESTAMP '1970-01-01'), '%Y-%m-%d %H:%M:%S') AS window_start,
               category, product_id, count(*) AS nb_interactions FROM interactions
        WHERE user_id IS NOT NULL AND product_id IS NOT NULL GROUP BY ALL""",

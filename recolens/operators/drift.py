@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from recolens.functions.scalars import valid_month
-from recolens.functions.stats import ks_p_value
+from recolens.functions.stats import ks_p_value, ks_p_value_auto
 from recolens.operators.skew import running_sums
 
 ALPHA, MIN_ROWS = 0.05, 10
@@ -20,9 +20,16 @@ def consecutive_months(months: DataFrame) -> DataFrame:
     )
 
 
-def drift_ks(interactions: DataFrame, alpha: float = ALPHA, min_rows: int = MIN_ROWS) -> DataFrame:
+P_VALUES = {"auto": ks_p_value_auto, "asymptotic": ks_p_value}
+
+
+def drift_ks(
+    interactions: DataFrame, alpha: float = ALPHA, min_rows: int = MIN_ROWS, method: str = "auto"
+) -> DataFrame:
     """KS test on ``converted``. With values 0 and 1 the statistic is |rate_a - rate_b|, so
-    month sums are all that is needed; the pairing window runs over one row per month."""
+    month sums are all that is needed; the pairing window runs over one row per month.
+
+    ``method``: "auto" is exact for months of up to 10 000 rows, "asymptotic" never is."""
     monthly = (
         interactions.filter(valid_month(F.col("year_month")) & F.col("converted").isNotNull())
         .groupBy("year_month")
@@ -40,18 +47,18 @@ def drift_ks(interactions: DataFrame, alpha: float = ALPHA, min_rows: int = MIN_
     return _judge(
         pairs.withColumn("ks_statistic", F.abs(F.col("conv_rate_a") - F.col("conv_rate_b"))),
         alpha,
+        method,
     )
 
 
-def _judge(pairs: DataFrame, alpha: float) -> DataFrame:
-    return pairs.withColumn(
-        "p_value", ks_p_value(F.col("ks_statistic"), F.col("n_a"), F.col("n_b"))
-    ).withColumn("drift_detected", F.col("p_value") < alpha)
+def _judge(pairs: DataFrame, alpha: float, method: str) -> DataFrame:
+    p_value = P_VALUES[method](F.col("ks_statistic"), F.col("n_a"), F.col("n_b"))
+    return pairs.withColumn("p_value", p_value).withColumn("drift_detected", F.col("p_value") < alpha)
 
 
 def drift_ks_numeric(
     df: DataFrame, value: str, month: str = "year_month", alpha: float = ALPHA,
-    min_rows: int = MIN_ROWS,
+    min_rows: int = MIN_ROWS, method: str = "auto",
 ) -> DataFrame:
     """KS test of any numeric column between consecutive available months.
 
@@ -99,7 +106,7 @@ def drift_ks_numeric(
             )
         )
     )
-    return _judge(pairs.join(gaps, "month_a"), alpha)
+    return _judge(pairs.join(gaps, "month_a"), alpha, method)
 
 
 def drift_summary(report: DataFrame) -> DataFrame:

@@ -161,6 +161,28 @@ def start_files(result: DataFrame, path: str, checkpoint: str) -> StreamingQuery
     )
 
 
+def start_updates(result: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Write every change of a running aggregate; a replayed batch replaces itself."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return (
+        result.writeStream.outputMode("update")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def latest(updates: DataFrame, *keys: str) -> DataFrame:
+    """The last written state of each key of :func:`start_updates`."""
+    values = [c for c in updates.columns if c not in (*keys, "batch_id")]
+    newest = updates.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("__v"))
+    return newest.select(*keys, *[F.col(f"__v.{c}").alias(c) for c in values])
+
+
 def late_rows(query: StreamingQuery) -> int:
     """Rows the stateful operators dropped because they were older than the watermark."""
     return sum(

@@ -165,7 +165,9 @@ def test_cadence_counts_same_day_purchases_as_zero_gaps(spark):
     assert got["v"].avg_days_between is None and got["v"].regularity_score is None
 
 
-def test_layer_counts_come_from_the_run_itself(lake, tmp_path):
+@pytest.mark.parametrize("hot_rows", [2_000_000, 60])
+def test_layer_counts_come_from_the_run_itself(lake, tmp_path, conf, hot_rows):
+    conf("spark.recolens.hotKeyRows", hot_rows)
     rows = lake.interactions()
     result, seen_in, seen_out = silver.with_layer_counts(rows, silver.silver_interactions)
     writers.write_table(result, f"{tmp_path}/silver")

@@ -2,13 +2,14 @@
 
 import datetime as dt
 import hashlib
+import itertools
 import math
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from recolens.functions.stats import ks_p_value, two_sided_normal_p
+from recolens.functions.stats import ks_exact_p, ks_p_value, two_sided_normal_p
 from recolens.operators import abtest, drift, quality, service
 
 
@@ -84,6 +85,32 @@ def test_known_probabilities(spark):
     assert one.select(ks_p_value(F.lit(d), F.lit(5000), F.lit(5000))).first()[0] == pytest.approx(0.0495, abs=2e-4)
 
 
+@pytest.mark.parametrize("n_a, n_b", [(3, 4), (5, 5), (2, 7), (6, 4)])
+def test_exact_law_equals_enumeration(n_a, n_b):
+    orders = list(itertools.combinations(range(n_a + n_b), n_a))
+    gaps = []
+    for chosen in orders:
+        x = y = worst = 0
+        for i in range(n_a + n_b):
+            x, y = (x + 1, y) if i in chosen else (x, y + 1)
+            worst = max(worst, abs(x / n_a - y / n_b))
+        gaps.append(worst)
+    for d in set(gaps):
+        expected = sum(g >= d - 1e-12 for g in gaps) / len(orders)
+        assert ks_exact_p(d, n_a, n_b) == pytest.approx(expected)
+
+
+def test_exact_law_approaches_the_series(spark):
+    assert ks_exact_p(0.0, 50, 60) == 1.0
+    lam = 0.03 * math.sqrt(5000 / 2)
+    series = 2 * sum((-1) ** (k - 1) * math.exp(-2 * k * k * lam * lam) for k in range(1, 50))
+    assert ks_exact_p(0.03, 5000, 5000) == pytest.approx(series, abs=2e-3)
+    rows = months(spark, [0.2, 0.23], 300)
+    auto, series = drift.drift_ks(rows).first(), drift.drift_ks(rows, method="asymptotic").first()
+    assert auto.p_value == pytest.approx(ks_exact_p(auto.ks_statistic, 300, 300))
+    assert auto.p_value != series.p_value == pytest.approx(auto.p_value, abs=0.1)
+
+
 def test_variant_matches_the_integer_hash_and_is_balanced(spark):
     ids = [f"user_{i}" for i in range(1000)]
     got = {

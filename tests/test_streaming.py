@@ -97,12 +97,11 @@ def test_popularity_per_window_and_late_rows(spark, tmp_path):
     stream = stamps(
         spark, tmp_path, [("a", 0), ("a", 5), ("b", 6)], [("a", 200)], [("c", 202)], [("a", 1), ("a", 201)]
     )
-    query = finish(logs.start_table(logs.popularity_stream(stream), "pop_out", f"{tmp_path}/c", "update"))
-    best = {}
-    for r in spark.table("pop_out").collect():
-        key = (r.window_start.hour, r.product_id)
-        best[key] = max(best.get(key, 0), r.nb_interactions)
-    assert best == {(0, "a"): 2, (0, "b"): 1, (3, "a"): 2, (3, "c"): 1}
+    query = finish(logs.start_updates(logs.popularity_stream(stream), f"{tmp_path}/out", f"{tmp_path}/c"))
+    updates = spark.read.parquet(f"{tmp_path}/out")
+    assert updates.select("batch_id").distinct().count() > 1
+    final = logs.latest(updates, "window_start", "category", "product_id").collect()
+    assert {(r.window_start.hour, r.product_id): r.nb_interactions for r in final} == {(0, "a"): 2, (0, "b"): 1, (3, "a"): 2, (3, "c"): 1}
     assert logs.late_rows(query) == 1
 
 
