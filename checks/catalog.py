@@ -62,6 +62,13 @@ _INTER = "user_id, product_id, rating, timestamp, interaction_type, converted, y
 _SILVER = _INTER + ", recency_rank, user_interaction_count, round(rf_score, 6) AS rf_score"
 _TALL = "unnest(range(0, 16)) AS pos, round(unnest({0}), 6) + 0.0 AS value"
 
+def _scaled_popularity(products: DataFrame) -> DataFrame:
+    score = F.col("popularity_score")
+    ends = products.agg(F.struct(F.min(score).alias("low"), F.max(score).alias("high"))).scalar()
+    scaled = S.minmax(score, ends.getField("low"), ends.getField("high"))
+    return products.select("product_id", scaled.alias("scaled"))
+
+
 # --- A: sources and sinks ----------------------------------------------------------------
 
 
@@ -231,14 +238,7 @@ simple(
 )
 simple(
     "minmax",
-    lambda k: k.gold_products(True).select(
-        "product_id",
-        S.minmax(
-            F.col("popularity_score"),
-            k.gold_products(True).agg(F.min("popularity_score")).scalar(),
-            k.gold_products(True).agg(F.max("popularity_score")).scalar(),
-        ).alias("scaled"),
-    ),
+    lambda k: _scaled_popularity(k.gold_products(True)),
     """SELECT product_id, round((popularity_score - (SELECT min(popularity_score) FROM s_gold))
        / ((SELECT max(popularity_score) - min(popularity_score) FROM s_gold) + 1e-8), 6) AS scaled FROM s_gold""",
 )
@@ -334,7 +334,16 @@ _GOLD = """product_id, category, title, price, store,
 round(conversion_rate, 6) AS conversion_rate, round(popularity_score, 6) AS popularity_score, nb_interactions, is_cold"""
 simple("gold_products", lambda k: k.gold_products().drop(*_NO_METADATA), f"SELECT {_GOLD} FROM gold")
 simple("gold_products_sparse", lambda k: k.gold_products(True).drop(*_NO_METADATA), f"SELECT {_GOLD} FROM s_gold")
-simple("gold_interactions", lambda k: gold.gold_interactions(k.silver()), f"""
+def _gold_interactions(lake: Lake) -> DataFrame:
+    """As in the pipeline: from the written silver table and the written statistics."""
+    path = lake.scratch("silver")
+    writers.write_partitioned(lake.silver(), path)
+    rows = readers.scan_table(lake.spark, path)
+    stats = skew.cut(gold.popularity_score(gold.product_stats(rows)))
+    return gold.gold_interactions(rows, stats)
+
+
+simple("gold_interactions", _gold_interactions, f"""
 SELECT {_SILVER}, round(coalesce(p.conversion_rate, 0.0), 6) AS conversion_rate,
        round(coalesce(p.popularity_score, 0.0), 6) AS popularity_score
 FROM silver LEFT JOIN popularity p USING (product_id)""")

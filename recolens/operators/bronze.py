@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from recolens.functions import scalars as S
 from recolens.functions.vectors import zeros
+from recolens.operators.skew import cut
 from recolens.schema import INTERACTIONS, PRODUCTS, conform
 
 
@@ -87,8 +88,12 @@ def with_segment(users: DataFrame) -> DataFrame:
 
 
 def user_profile(interactions: DataFrame) -> DataFrame:
-    """Users with totals, ratings and segment; value and vector columns are placeholders."""
-    merged = merge_profiles(user_profile_partial(interactions))
+    """Users with totals, ratings and segment; value and vector columns are placeholders.
+
+    The profiles are written once: the quantile cuts and the labels both read them, and the
+    interactions are passed over a single time.
+    """
+    merged = cut(merge_profiles(user_profile_partial(interactions)))
     return (
         with_segment(merged)
         .withColumn("avg_order_value", F.lit(0.0))

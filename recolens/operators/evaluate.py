@@ -139,10 +139,12 @@ def sampled_split(
     interactions: DataFrame, sample_users: int = SAMPLE_USERS, seed: int = 42,
     ratio: float = TEST_RATIO,
 ) -> DataFrame:
+    """The split rows of the sampled users, written once: train and test rows, baselines and
+    fits all read them without going back to the interactions."""
     users = eval_sample(interactions, sample_users, seed=seed)
     if sample_users <= BROADCAST_ROWS:
         users = F.broadcast(users)
-    return split_train_test(interactions.join(users, "user_id", "left_semi"), ratio)
+    return cut(split_train_test(interactions.join(users, "user_id", "left_semi"), ratio))
 
 
 def evaluate_popularity(
@@ -176,7 +178,7 @@ def evaluate_als(
     iterations: int = 15, reg: float = 0.1, seed: int = 42,
 ) -> DataFrame:
     """Mean NDCG of factors fitted on the train rows of the sampled users."""
-    split = cut(sampled_split(interactions, sample_users, seed))
+    split = sampled_split(interactions, sample_users, seed)
     recs = als_recommendations(train_rows(split), k, rank, iterations, reg, seed)
     return mean_ndcg(ndcg_at_k(recs, relevant_sets(test_rows(split)), k))
 
@@ -208,7 +210,7 @@ def grid_search(
     Only one score per fit comes back to the driver.
     """
     spark = interactions.sparkSession
-    split = cut(sampled_split(interactions, sample_users, seed))
+    split = sampled_split(interactions, sample_users, seed)
     train, relevant = train_rows(split), relevant_sets(test_rows(split))
     baseline = mean_ndcg(popularity_ndcg(split, k)).first().ndcg
 

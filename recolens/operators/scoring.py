@@ -31,6 +31,8 @@ _OUT = T.StructType(
         T.StructField("product_id", T.StringType()),
         T.StructField("score", T.DoubleType()),
         T.StructField("rank", T.IntegerType()),
+        T.StructField("category", T.StringType()),
+        T.StructField("is_cold", T.BooleanType()),
         T.StructField("low", T.DoubleType()),
         T.StructField("high", T.DoubleType()),
         T.StructField("total", T.DoubleType()),
@@ -82,6 +84,8 @@ def _scorer(exclude_self: bool, with_range: bool):
                 ("product_id", pa.string()),
                 ("score", pa.float64()),
                 ("rank", pa.int32()),
+                ("category", pa.string()),
+                ("is_cold", pa.bool_()),
                 ("low", pa.float64()),
                 ("high", pa.float64()),
                 ("total", pa.float64()),
@@ -97,7 +101,9 @@ def _scorer(exclude_self: bool, with_range: bool):
         p, u = _matrix(items["vec"]), _matrix(queries["vec"])
         limit = queries["n"].to_numpy()
 
-        categories = items["category"].combine_chunks().dictionary_encode()
+        item_category = items["category"].combine_chunks()
+        item_cold = items["is_cold"].combine_chunks()
+        categories = item_category.dictionary_encode()
         codes = pc.fill_null(categories.indices, -1).to_numpy(zero_copy_only=False)
         wanted = queries["category"].combine_chunks()
         asked = pc.is_valid(wanted).to_numpy(zero_copy_only=False)
@@ -134,6 +140,8 @@ def _scorer(exclude_self: bool, with_range: bool):
                 item_ids.take(pa.array(c)),
                 pa.array(steps[r, c] / scale + 0.0),
                 pa.array((place + 1).astype(np.int32)),
+                item_category.take(pa.array(c)),
+                item_cold.take(pa.array(c)),
             ]
             if with_range:
                 kept = steps > -np.inf
@@ -146,7 +154,7 @@ def _scorer(exclude_self: bool, with_range: bool):
                     pa.array(kept.sum(axis=1)[r].astype(np.int64)),
                 ]
             else:
-                columns += [pa.nulls(len(r), f.type) for f in list(schema)[4:]]
+                columns += [pa.nulls(len(r), f.type) for f in list(schema)[6:]]
             rows.append(pa.table(columns, schema=schema))
         return pa.concat_tables(rows) if rows else schema.empty_table()
 
@@ -166,10 +174,11 @@ def top_items(
     """Best items per query by inner product.
 
     ``queries``: query_id (unique), vec; optional n (limit per query, at most ``k``, which
-    holds otherwise) and category (NULL: all). ``items``: product_id (unique), vec; optional category.
+    holds otherwise) and category (NULL: all). ``items``: product_id (unique), vec; optional
+    category and is_cold, which come along in the result.
     ``masked``: (query_id, product_id) pairs to leave out, in any number.
 
-    Returns query_id, product_id, score, rank and, filled when ``with_range``, the low, high,
+    Returns query_id, product_id, score, rank, category, is_cold and, filled when ``with_range``, the low, high,
     total (sum of scores) and number of all candidates of the query. Scores are rounded to
     six digits before ranking; ties go to the smaller id. Queries without candidates give
     no rows.
@@ -216,13 +225,13 @@ def top_items(
                 none.cast("array<float>").alias("vec"),
             )
         )
+    has = items.columns
     right = items.select(
         every(qb).alias("qb"),
         block("product_id", ib).alias("ib"),
         "product_id",
-        (F.col("category") if "category" in items.columns else none)
-        .cast("string")
-        .alias("category"),
+        (F.col("category") if "category" in has else none).cast("string").alias("category"),
+        (F.col("is_cold") if "is_cold" in has else none).cast("boolean").alias("is_cold"),
         F.col("vec").cast("array<float>").alias("vec"),
     )
     scored = (
@@ -244,7 +253,7 @@ def _merge(scored: DataFrame, limits: DataFrame | None, k: int) -> DataFrame:
         F.sum("candidates").alias("candidates"),
     )
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "product_id")
-    ranked = scored.select("query_id", "product_id", "score").withColumn(
+    ranked = scored.select("query_id", "product_id", "score", "category", "is_cold").withColumn(
         "rank", F.row_number().over(w)
     )
     ranked = ranked.filter(F.col("rank") <= k)

@@ -19,7 +19,7 @@ def _queries(users: DataFrame) -> DataFrame:
 
 def _items(products: DataFrame) -> DataFrame:
     return products.select(
-        "product_id", *[c for c in ("category",) if c in products.columns],
+        "product_id", *[c for c in ("category", "is_cold") if c in products.columns],
         F.col("p").alias("vec"),
     )
 
@@ -97,20 +97,15 @@ def recommend(
         with_range=True,
         **blocks,
     )
-    about = products.select("product_id", F.coalesce("category", F.lit("")).alias("category"), "is_cold")
-    personal = (
-        scored.select(
-            F.col("query_id").alias("request_id"),
-            "product_id",
-            F.round(S.minmax(F.col("score"), F.col("low"), F.col("high")), 6).alias("score"),
-            "rank",
-        )
-        .join(known.select("request_id", "user_id"), "request_id")
-        .join(about, "product_id")
-        .withColumn("source", S.source_label(F.col("is_cold")))
-        .drop("is_cold")
-        .withColumn("is_cold_user", F.lit(False))
-    )
+    personal = scored.select(
+        F.col("query_id").alias("request_id"),
+        "product_id",
+        F.coalesce("category", F.lit("")).alias("category"),
+        F.round(S.minmax(F.col("score"), F.col("low"), F.col("high")), 6).alias("score"),
+        "rank",
+        S.source_label(F.col("is_cold")).alias("source"),
+        F.lit(False).alias("is_cold_user"),
+    ).join(known.select("request_id", "user_id"), "request_id")
     return personal.unionByName(_fallback(unknown, popular, hidden).select(personal.columns))
 
 
@@ -184,18 +179,18 @@ def similar_items(
     asked = unit if wanted is None else unit.join(wanted.select("product_id"), "product_id", "left_semi")
     best = top_items(
         asked.select(F.col("product_id").alias("query_id"), F.col("p").alias("vec")),
-        _items(unit.drop("category")),
+        _items(unit),
         n,
         exclude_self=True,
         **blocks,
     )
-    about = products.select(F.col("product_id").alias("similar_id"), "category")
     return best.select(
         F.col("query_id").alias("product_id"),
         F.col("product_id").alias("similar_id"),
         S.clip01(F.col("score")).alias("score"),
         "rank",
-    ).join(about, "similar_id")
+        "category",
+    )
 
 
 def hybrid_products(als_items: DataFrame, bridged: DataFrame, alpha: float = 0.5) -> DataFrame:
