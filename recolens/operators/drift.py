@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from recolens.functions.scalars import valid_month
 from recolens.functions.stats import ks_p_value, ks_p_value_auto
-from recolens.operators.skew import running_sums
+from recolens.operators.skew import cut, running_sums
 
 ALPHA, MIN_ROWS = 0.05, 10
 
@@ -66,7 +66,7 @@ def drift_ks_numeric(
     successor as running counts over the distinct values; a month with very many distinct
     values is cut into range pieces, so none has to fit one task.
     """
-    counts = (
+    counts = cut(
         df.filter(valid_month(F.col(month)) & F.col(value).isNotNull())
         .groupBy(F.col(month).alias("year_month"), F.col(value).alias("x"))
         .agg(F.count(F.lit(1)).alias("n"))
@@ -88,7 +88,7 @@ def drift_ks_numeric(
             )
         ).alias("r")
     ).select("r.*")
-    points = (
+    points = cut(
         counts.join(F.broadcast(roles), "year_month")
         .groupBy("month_a", "x")
         .agg(

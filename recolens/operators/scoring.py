@@ -33,6 +33,7 @@ _OUT = T.StructType(
         T.StructField("rank", T.IntegerType()),
         T.StructField("category", T.StringType()),
         T.StructField("is_cold", T.BooleanType()),
+        T.StructField("n", T.IntegerType()),
         T.StructField("low", T.DoubleType()),
         T.StructField("high", T.DoubleType()),
         T.StructField("total", T.DoubleType()),
@@ -86,6 +87,7 @@ def _scorer(exclude_self: bool, with_range: bool):
                 ("rank", pa.int32()),
                 ("category", pa.string()),
                 ("is_cold", pa.bool_()),
+                ("n", pa.int32()),
                 ("low", pa.float64()),
                 ("high", pa.float64()),
                 ("total", pa.float64()),
@@ -142,6 +144,7 @@ def _scorer(exclude_self: bool, with_range: bool):
                 pa.array((place + 1).astype(np.int32)),
                 item_category.take(pa.array(c)),
                 item_cold.take(pa.array(c)),
+                pa.array(limit[r + start].astype(np.int32)),
             ]
             if with_range:
                 kept = steps > -np.inf
@@ -154,7 +157,7 @@ def _scorer(exclude_self: bool, with_range: bool):
                     pa.array(kept.sum(axis=1)[r].astype(np.int64)),
                 ]
             else:
-                columns += [pa.nulls(len(r), f.type) for f in list(schema)[6:]]
+                columns += [pa.nulls(len(r), f.type) for f in list(schema)[7:]]
             rows.append(pa.table(columns, schema=schema))
         return pa.concat_tables(rows) if rows else schema.empty_table()
 
@@ -239,28 +242,21 @@ def top_items(
         .cogroup(right.groupBy("qb", "ib"))
         .applyInArrow(_scorer(exclude_self, with_range), _OUT)
     )
-    if ib == 1:
-        return scored
-    return _merge(scored, queries if "n" in wants else None, k)
+    return (scored if ib == 1 else _merge(scored, with_range)).drop("n")
 
 
-def _merge(scored: DataFrame, limits: DataFrame | None, k: int) -> DataFrame:
-    """Combine the winners of several item blocks: at most k rows per query and block."""
-    per_block = scored.filter("rank = 1").groupBy("query_id").agg(
-        F.min("low").alias("low"),
-        F.max("high").alias("high"),
-        F.sum("total").alias("total"),
-        F.sum("candidates").alias("candidates"),
-    )
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "product_id")
-    ranked = scored.select("query_id", "product_id", "score", "category", "is_cold").withColumn(
-        "rank", F.row_number().over(w)
-    )
-    ranked = ranked.filter(F.col("rank") <= k)
-    if limits is not None:
-        ranked = (
-            ranked.join(limits.select("query_id", F.col("n").alias("__n")), "query_id")
-            .filter(F.col("rank") <= F.col("__n"))
-            .drop("__n")
+def _merge(scored: DataFrame, with_range: bool) -> DataFrame:
+    """Combine the winners of several item blocks: at most n rows per query and block."""
+    query = Window.partitionBy("query_id")
+    if with_range:
+        first = F.col("rank") == 1  # one row per block carries the block's sums
+        scored = scored.withColumns(
+            {
+                "low": F.min("low").over(query),
+                "high": F.max("high").over(query),
+                "total": F.sum(F.when(first, F.col("total"))).over(query),
+                "candidates": F.sum(F.when(first, F.col("candidates"))).over(query),
+            }
         )
-    return ranked.join(per_block, "query_id").select(*_OUT.names)
+    best = query.orderBy(F.col("score").desc(), "product_id")
+    return scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= F.col("n"))

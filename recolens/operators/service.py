@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from recolens.operators.skew import running_sums
+from recolens.operators.skew import cut, running_sums
 
 FIVE_MINUTES, ONE_HOUR = "5 minutes", "1 hour"
 QUANTILE = 0.95
@@ -20,7 +20,7 @@ def latency_p95(requests: DataFrame, window: str = FIVE_MINUTES, q: float = QUAN
     Rows are counted per (window, latency); the quantile is read off the running counts,
     and a window with very many distinct latencies is cut into range pieces.
     """
-    counts = (
+    counts = cut(
         requests.filter(F.col("latency_ms").isNotNull())
         .groupBy(_bucket(window), F.col("latency_ms").alias("x"))
         .agg(F.count(F.lit(1)).alias("n"))

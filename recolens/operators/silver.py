@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, Window, functions as F
 
 from recolens.functions import scalars as S
-from recolens.operators.skew import hot_keys, numbered
+from recolens.operators.skew import hot_key_rows, hot_keys, numbered
 
 DEDUP_KEY = ("user_id", "product_id", "timestamp")
 
@@ -68,15 +68,23 @@ def _score(ranked: DataFrame) -> DataFrame:
     )
 
 
-def silver_interactions(interactions: DataFrame) -> DataFrame:
+def heavy_users(users: DataFrame) -> DataFrame | None:
+    """Users with more interactions than one task should take, from the users table."""
+    limit = hot_key_rows(users.sparkSession)
+    heavy = users.filter(F.col("total_interactions") > limit).select("user_id")
+    return None if heavy.isEmpty() else heavy
+
+
+def silver_interactions(interactions: DataFrame, users: DataFrame | None = None) -> DataFrame:
     """Null keys out, ratings clamped, duplicates removed, recency and frequency added.
 
     Ordinary users: one exchange on user_id and one sort serve the dedup and both windows.
     Users with more rows than a task should take are deduplicated on the fine key and
-    ranked by range pieces instead.
+    ranked by range pieces instead. They are looked up in the ``users`` table of the same
+    interactions when it is given, and counted otherwise.
     """
     clean = clamp_ratings(drop_null_keys(interactions))
-    hot = hot_keys(clean, ["user_id"])
+    hot = hot_keys(clean, ["user_id"]) if users is None else heavy_users(users)
     names = ("recency_rank", "user_interaction_count")
     if hot is None:
         return _score(numbered(_dedup_in_order(clean), ["user_id"], recency_order(), *names))

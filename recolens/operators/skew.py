@@ -32,6 +32,10 @@ def _setting(spark: SparkSession, name: str, default: int) -> int:
     return int(spark.conf.get(f"spark.recolens.{name}", str(default)))
 
 
+def hot_key_rows(spark: SparkSession) -> int:
+    return _setting(spark, "hotKeyRows", HOT_KEY_ROWS)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder the cluster names; fall back only for a local session."""
     if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
@@ -64,7 +68,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
     The counts combine on the map side. There are at most ``rows / hotKeyRows`` hot keys,
     so the returned table has a bound that does not depend on the number of keys.
     """
-    limit = _setting(df.sparkSession, "hotKeyRows", HOT_KEY_ROWS)
+    limit = hot_key_rows(df.sparkSession)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     hot = counts.filter(F.col("__n") > limit).select(*keys)
     if hot.count() == 0:
@@ -140,6 +144,7 @@ def running_sums(
     """Running totals within ``keys`` by ``order``: ``sums`` maps new column to input column.
 
     ``order`` must be unique within a key. Keys with many distinct order values are spread.
+    ``df`` is read for the size check and again for the sums: pass a written table.
     """
 
     def windowed(part: DataFrame) -> DataFrame:
@@ -150,7 +155,6 @@ def running_sums(
         )
         return part.select("*", *[F.sum(c).over(w).alias(out) for out, c in sums.items()])
 
-    df = cut(df)  # aggregated input, used for the size check and the sums
     hot = hot_keys(df, keys)
     if hot is None:
         return windowed(df)

@@ -50,9 +50,11 @@ def run_bronze(
 def run_silver(spark: SparkSession, base: str) -> DataFrame:
     """Silver table in one pass; returns the one-row layer counts."""
     source = readers.scan_table(spark, _at(base, "interactions"))
-    result, seen_in, seen_out = silver.with_layer_counts(source, silver.silver_interactions)
+    users = readers.scan_columns(spark, _at(base, "users"), ["user_id", "total_interactions"])
+    result, seen_in, seen_out = silver.with_layer_counts(
+        source, lambda rows: silver.silver_interactions(rows, users)
+    )
     writers.write_partitioned(result, _at(base, "silver", "interactions"))
-    # The input was already counted by the pass that looks for heavy users.
     n_in, n_out = seen_in.get["rows"], seen_out.get["rows"]
     return spark.createDataFrame(
         [(n_in, n_out, n_in - n_out)], "n_before long, n_after long, n_removed long"

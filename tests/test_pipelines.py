@@ -32,6 +32,16 @@ def test_bronze_rerun_skips_what_is_there(spark, lake, base):
     assert rows_of(spark.read.parquet(f"{base}/users")) == rows_of(lake.users(True))
 
 
+@pytest.mark.parametrize("hot_rows", [2_000_000, 8])
+def test_silver_finds_heavy_users_in_the_users_table(spark, lake, base, conf, hot_rows):
+    expected = rows_of(lake.silver(True))
+    conf("spark.recolens.hotKeyRows", hot_rows)
+    counts = pl.run_silver(spark, base).first()
+    assert rows_of(spark.read.parquet(f"{base}/silver/interactions")) == expected
+    assert counts.n_before == lake.interactions(True).count()
+    assert counts.n_after == len(expected)
+
+
 def test_silver_gold_quality_drift(spark, lake, base):
     counts = pl.run_silver(spark, base).first()
     assert counts.n_before - counts.n_after == counts.n_removed > 0
