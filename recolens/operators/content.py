@@ -37,7 +37,7 @@ def content_embed(
         return _encode(corpus, encoder)
     model = Pipeline(
         stages=[
-            RegexTokenizer(inputCol="text", outputCol="terms", pattern=r"\W+"),
+            RegexTokenizer(inputCol="text", outputCol="terms", pattern=r"[^\p{L}\p{N}]+"),
             HashingTF(inputCol="terms", outputCol="tf", numFeatures=dim),
             IDF(inputCol="tf", outputCol="tfidf"),
             Normalizer(inputCol="tfidf", outputCol="unit"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, Window, functions as F
 
 from recolens.functions import scalars as S
-from recolens.operators.skew import hot_key_rows, hot_keys, numbered
+from recolens.operators.skew import hot_key_rows, hot_keys, numbered, numbered_by_pieces
 
 DEDUP_KEY = ("user_id", "product_id", "timestamp")
 
@@ -91,8 +91,8 @@ def silver_interactions(interactions: DataFrame, users: DataFrame | None = None)
     usual = clean.join(F.broadcast(hot), "user_id", "left_anti")
     large = clean.join(F.broadcast(hot), "user_id", "left_semi")
     ranked = numbered(_dedup_in_order(usual), ["user_id"], recency_order(), *names)
-    spread = numbered(
-        dedup_interactions(large), ["user_id"], recency_order(), *names, hot=hot
+    spread = numbered_by_pieces(
+        dedup_interactions(large), ["user_id"], recency_order(), *names
     )
     return _score(ranked.unionByName(spread))
 

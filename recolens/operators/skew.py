@@ -38,11 +38,15 @@ def hot_key_rows(spark: SparkSession) -> int:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder the cluster names; fall back only for a local session."""
-    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
+    context = spark.sparkContext
+    if context.getCheckpointDir():
         return
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="recolens-checkpoint-"))
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        shared = tempfile.mkdtemp(prefix="recolens-checkpoint-")
+    context.setCheckpointDir(shared)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -87,9 +91,10 @@ def _pieces(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     return cut(ordered.withColumn(_PIECE, F.shiftright(_ROW, _PIECE_BITS)))
 
 
-def _spread_row_number(
+def numbered_by_pieces(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], rank: str, total: str
 ) -> DataFrame:
+    """What :func:`numbered` adds, for rows of keys that are all too large for one task."""
     placed = _pieces(df, [F.col(k) for k in keys] + list(order))
     by_piece = Window.partitionBy(*keys).orderBy(_PIECE)
     per_piece = placed.groupBy(*keys, _PIECE).agg(
@@ -135,7 +140,7 @@ def numbered(
         return windowed(df)
     usual = df.join(F.broadcast(hot), list(keys), "left_anti")
     large = df.join(F.broadcast(hot), list(keys), "left_semi")
-    return windowed(usual).unionByName(_spread_row_number(large, keys, order, rank, total))
+    return windowed(usual).unionByName(numbered_by_pieces(large, keys, order, rank, total))
 
 
 def running_sums(

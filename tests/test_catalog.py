@@ -4,7 +4,7 @@ import pytest
 
 from checks.catalog import ORACLES, QUERIES
 from checks.compare import difference, oracle
-from conftest import SF
+from conftest import SF, plan_of
 
 SELECTED = (
     "bronze_products", "user_profile", "silver_interactions", "gold_products_sparse",
@@ -28,6 +28,15 @@ def test_query_equals_oracle(spark, con, name):
     assert difference(actual, con.execute(ORACLES[name]).df()) is None
 
 
+@pytest.mark.parametrize(
+    "name", ["recommend", "recommend_cold", "score_matrix", "similar_items", "popularity_score",
+             "user_profile", "eda_recap", "ndcg_at_k", "drift_ks_numeric", "exclude_seen"],
+)
+def test_plans_have_no_cross_product(spark, name):
+    plan = plan_of(QUERIES[name](spark, SF))
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
 def test_every_oracle_belongs_to_a_query_and_parses(con):
     assert set(ORACLES) <= set(QUERIES)
     for sql in ORACLES.values():

@@ -127,6 +127,16 @@ def test_content_vectors(spark):
     assert norms["d"] == 0 and all(abs(norms[k] - 1) < 1e-5 for k in "abc")
 
 
+def test_content_terms_are_words_of_any_script(spark):
+    texts = spark.createDataFrame(
+        [("a", "größe"), ("b", "gr e"), ("c", "größe, GRÖSSE"), ("d", "красный")],
+        "product_id string, text string",
+    )
+    got = {r.product_id: r.embedding for r in content.content_embed(texts).collect()}
+    assert sum(x > 0 for x in got["a"]) == 1 and sum(x > 0 for x in got["d"]) == 1
+    assert got["a"] != got["b"] and sum(x > 0 for x in got["c"]) == 2
+
+
 def test_pluggable_encoder_is_normalised(spark):
     texts = spark.createDataFrame([(f"p{i}", "x" * i) for i in range(300)], "product_id string, text string")
 
@@ -169,7 +179,10 @@ def test_bridge_round_trip(spark, projection, tmp_path):
 
 
 def test_fused_vectors_by_source(spark):
-    vec = lambda x: [float(x)] * 16
+
+    def vec(x):
+        return [float(x)] * 16
+
     products = spark.createDataFrame([("p1", "A"), ("p2", "A"), ("p3", "A")], "product_id string, category string")
     als_items = spark.createDataFrame([("p1", vec(1))], "product_id string, p array<float>")
     bridged = spark.createDataFrame([("p1", vec(9)), ("p2", vec(2))], "product_id string, p array<float>")
