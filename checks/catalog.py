@@ -819,6 +819,22 @@ SELECT 'hybrid_vs_als_only' AS experiment_id, '{START}' AS start_date, 31::BIGIN
        round(CASE WHEN rc > 0 THEN (rt - rc) / rc * 100 ELSE 0.0 END, 2) AS lift_pct, round(p, 4) AS p_value,
        p < 0.05 AS significant, CAST(nc AS BIGINT) AS n_users_control, CAST(nt AS BIGINT) AS n_users_treatment,
        round(cc / ic, 4) AS control_ctr_per_impression, round(ct / it, 4) AS treatment_ctr_per_impression FROM ab_tested""")
+simple(
+    "ab_results_by_segment",
+    lambda k: abtest.ab_results(
+        abtest.ab_counts_by_segment(k.impressions(), k.feedback(), k.users()), START, TODAY, keys=("segment",)
+    ).select("segment", "control_ctr", "treatment_ctr", "n_users_control", "n_users_treatment"),
+    """SELECT segment, round(coalesce(cc / nullif(nc, 0), 0.0), 4) AS control_ctr,
+              round(coalesce(ct / nullif(nt, 0), 0.0), 4) AS treatment_ctr, nc AS n_users_control, nt AS n_users_treatment FROM (
+         SELECT segment, count(DISTINCT user_id) FILTER (shown AND ab_variant = 'control') AS nc,
+                count(DISTINCT user_id) FILTER (shown AND ab_variant = 'treatment') AS nt,
+                count(*) FILTER (NOT shown AND ab_variant = 'control') AS cc,
+                count(*) FILTER (NOT shown AND ab_variant = 'treatment') AS ct FROM (
+           SELECT coalesce(u.segment, 'casual_user') AS segment, e.* FROM (
+             SELECT user_id, ab_variant, true AS shown FROM impressions
+             UNION ALL SELECT user_id, ab_variant, false FROM feedback WHERE interaction_type IN ('click', 'purchase')) e
+           LEFT JOIN users u USING (user_id)) GROUP BY 1)""",
+)
 _5M = "strftime(time_bucket(INTERVAL '5 minutes', ts), '%Y-%m-%d %H:%M:%S') AS window_start"
 simple("latency_p95", lambda k: service.latency_p95(k.requests()), f"""
 SELECT {_5M}, count(*) AS n_requests, round(quantile_cont(latency_ms, 0.95), 6) AS latency_p95 FROM requests GROUP BY 1""")

@@ -8,8 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from recolens.operators import (
-    als, bridge as br, bronze, cold_start, content, drift, eda, evaluate, fuse, gold, quality,
-    serve, silver,
+    als, bridge as br, bronze, cold_start, content, drift, eda, evaluate, features, fuse, gold,
+    quality, serve, silver,
 )
 from recolens.sources import readers, writers
 
@@ -93,14 +93,21 @@ def run_drift(spark: SparkSession, base: str) -> DataFrame:
 def run_train(
     spark: SparkSession, base: str, categories: Sequence[str] | None = None,
     rank: int = als.RANK, iterations: int = als.ITERATIONS, reg: float = als.REGULARISATION,
-    run_id: str = "als_default",
+    run_id: str = "als_default", weighted: bool = False,
 ) -> None:
-    """Support filter, id maps, implicit fit, factors, and the run's record."""
+    """Support filter, id maps, implicit fit, factors, and the run's record.
+
+    The signal is the number of rows per pair, or with ``weighted`` their sum weighted by
+    helpful votes and purchases.
+    """
     rows = readers.category_filter(readers.scan_table(spark, _at(base, "interactions")), categories)
     pairs_path = _at(base, "als_pairs")
-    writers.write_table(
-        cold_start.pair_counts(cold_start.min_support_filter(rows)), pairs_path
-    )
+    kept = cold_start.min_support_filter(rows)
+    if weighted:
+        pairs = features.weighted_pair_counts(kept).withColumnRenamed("weight", "count")
+    else:
+        pairs = cold_start.pair_counts(kept)
+    writers.write_table(pairs, pairs_path)
     ids = als.index_ids(spark.read.parquet(pairs_path))
     maps = _at(base, "id_mappings")
     writers.write_id_maps(ids.users, ids.products, maps)
@@ -112,7 +119,7 @@ def run_train(
         _at(base, "runs", "als_training"),
         run_id,
         {"rank": rank, "iterations": iterations, "regularization": reg,
-         "min_interactions": cold_start.S.MIN_INTERACTIONS},
+         "min_interactions": cold_start.S.MIN_INTERACTIONS, "weighted": weighted},
         {"n_users": ids.users.count(), "n_items": ids.products.count(),
          "nnz": spark.read.parquet(pairs_path).count()},
         {"model_stage": "Production"},

@@ -55,8 +55,11 @@ def test_silver_gold_quality_drift(spark, lake, base):
 
 
 def test_train_bridge_recommend(spark, base):
+    pl.run_train(spark, base, iterations=1, run_id="weighted", weighted=True)
+    weights = spark.read.parquet(f"{base}/als_pairs")
+    assert dict(weights.dtypes)["count"] == "double" and weights.filter("count < 1").isEmpty()
     pl.run_train(spark, base, iterations=3)
-    log = {(r.kind, r.key): r.value for r in writers.read_runs(spark, f"{base}/runs/als_training").collect()}
+    log = {(r.kind, r.key): r.value for r in writers.read_runs(spark, f"{base}/runs/als_training").filter("run_id = 'als_default'").collect()}
     assert log[("param", "rank")] == "16" and int(log[("metric", "nnz")]) > 0
     pl.run_embeddings(spark, base)
     first = rows_of(pl.run_bridge(spark, base, fit=br.ridge_fit))
