@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from recolens.llm.linededup import line_dedup
 from recolens.llm.minhash import near_duplicates
+from recolens.llm.quality import quality_report
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,19 +29,53 @@ def op1_minhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 WORDS = r"""list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '')"""
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')"""
 
 ORACLES["op1_minhash"] = f"""
 WITH RECURSIVE w AS (SELECT doc_id, {WORDS} AS ws FROM documents),
 s AS (SELECT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
         ELSE list_distinct(list_transform(range(1, len(ws) - 2),
-             i -> ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] || ' ' || ws[i + 3])) END) AS sh FROM w),
+             lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] || ' ' || ws[i + 3])) END) AS sh FROM w),
 z AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id
       GROUP BY 1, 2),
 e AS (SELECT a, b FROM p JOIN z x ON x.doc_id = a JOIN z y ON y.doc_id = b
-      WHERE 100 * both >= 80 * (x.n + y.n - both)),
+      WHERE 100 * common >= 80 * (x.n + y.n - common)),
 r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
 c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
 SELECT doc_id, coalesce(z.n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM c LEFT JOIN z USING (doc_id)"""
+
+
+@query
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_report(table(spark, folder, "documents"))
+
+
+ORACLES["op7_quality"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT doc_id, text, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+        list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls FROM d),
+g AS (SELECT doc_id, unnest(range(1, len(ws) - 1)) AS i,
+        unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || chr(9) || ws[i + 1] || chr(9) || ws[i + 2])) AS s FROM w),
+h AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, s) > 1),
+k AS (SELECT doc_id, least(3, lead(i, 1, i + 3) OVER (PARTITION BY doc_id ORDER BY i) - i) AS n FROM h),
+r AS (SELECT doc_id, sum(n)::BIGINT AS n_repeat_words FROM k GROUP BY doc_id),
+m AS (SELECT doc_id, text, ws, ls, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+        len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+        (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+      FROM w LEFT JOIN r USING (doc_id)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR 10 * n_symbols > n_words OR 10 * n_dup_lines > 4 * len(ls) OR word_chars < 2 * n_words
+    OR word_chars > 15 * n_words OR 5 * len(regexp_extract_all(text, '\p{Lu}')) > 2 * word_chars
+    OR 5 * len(list_filter(ws, lambda x: NOT regexp_matches(x, '\p{L}'))) > n_words
+    OR 10 * len(list_filter(ls, lambda l: regexp_matches(l, '^\s*[-*•]'))) > 9 * len(ls)
+    OR 10 * len(list_filter(ls, lambda l: regexp_matches(l, '(\.\.\.|…)\s*$'))) > 3 * len(ls)) AS kept
+FROM b"""
+
+
+@query
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    out = line_dedup(table(spark, folder, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", "text")
