@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from recolens.llm.chat import digests, format_chats
 from recolens.llm.linededup import line_dedup
 from recolens.llm.minhash import near_duplicates
 from recolens.llm.quality import quality_report
@@ -79,3 +80,31 @@ FROM b"""
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     out = line_dedup(table(spark, folder, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", "text")
+
+
+@query
+def op4_chat(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select(
+        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text"
+    )
+    said = "</s>[INST] ok [/INST]"
+    own = spark.sql(
+        f"select -7L as conv_id, t as turn, r as role, '{said}' as text from values (0L, 'user'), (1L, 'assistant') as v(t, r)"
+    )
+    return digests(format_chats(rows.unionAll(own)))
+
+
+ORACLES["op4_chat"] = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+f AS (SELECT *, contains(text, '</s>') OR contains(role, '</s>') OR contains(role, chr(10)) AS esc FROM c),
+g AS (SELECT *, CASE WHEN esc
+    THEN length(replace(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '|', '&#124;'), chr(10), '&#10;'))
+       + length(replace(replace(text, '&', '&amp;'), '<', '&lt;'))
+    ELSE length(role) + length(text) END + 10 AS n FROM f)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(n)::BIGINT AS formatted_chars, true AS round_trip
+FROM g GROUP BY conv_id"""
