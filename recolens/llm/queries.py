@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from recolens.llm.chat import digests, format_chats
+from recolens.llm.decontaminate import find_leaks
+from recolens.llm.licenses import scan_licenses
 from recolens.llm.linededup import line_dedup
 from recolens.llm.minhash import near_duplicates
 from recolens.llm.quality import quality_report
@@ -108,3 +110,13 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   sum(n)::BIGINT AS formatted_chars, true AS round_trip
 FROM g GROUP BY conv_id"""
+
+
+@query
+def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op6_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licenses(table(spark, folder, "documents"))

@@ -15,6 +15,8 @@ BASE = 0x9E3779B97F4A7C15 | 1
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Every ASCII byte but letters and digits.
+MARKS = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -58,10 +60,10 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """hash, start and end (bytes in `raw`) of every word; words of row i are first[i]:first[i+1]."""
 
-    def __init__(self, texts: pa.Array, lower: bool = True):
+    def __init__(self, texts: pa.Array, lower: bool = True, between: np.ndarray = SPACE):
         raw, offsets = buffers(texts)
         self.raw, self.offsets = raw, offsets
-        inside = ~SPACE[raw]
+        inside = ~between[raw]
         begins = inside.copy()
         begins[1:] &= ~inside[:-1]
         cuts = offsets[:-1][(offsets[:-1] < offsets[1:]) & (offsets[:-1] > 0)]
@@ -106,6 +108,32 @@ def shingle_set(hashes: np.ndarray, size: int) -> np.ndarray:
     return np.unique(grams(hashes, size))
 
 
+def plain_words(texts: pa.Array) -> Words:
+    """Words for matching across editions: lower case, ASCII punctuation separates."""
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    return Words(pa.compute.utf8_lower(texts), lower=False, between=MARKS)
+
+
+class Members:
+    """Which of many 64-bit values belong to a fixed set: a bit filter first, then a sorted search."""
+
+    BITS = 22
+
+    def __init__(self, values: np.ndarray):
+        self.values = np.unique(values)
+        self.bits = np.zeros(1 << self.BITS, bool)
+        self.bits[self.values & np.uint64((1 << self.BITS) - 1)] = True
+
+    def where(self, x: np.ndarray) -> np.ndarray:
+        """Positions of members in x."""
+        if not len(self.values):
+            return np.zeros(0, np.int64)
+        hit = np.flatnonzero(self.bits[x & np.uint64((1 << self.BITS) - 1)])
+        at = np.minimum(np.searchsorted(self.values, x[hit]), len(self.values) - 1)
+        return hit[self.values[at] == x[hit]]
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     """Unsigned 64-bit values as the longs that Spark holds."""
     return x.view(np.int64)
