@@ -139,7 +139,7 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def pieces(batch: pa.RecordBatch, column: int | str, size: int = 1 << 21):
+def pieces(batch: pa.RecordBatch, column: int | str, size: int = 1 << 19):
     """Slices of a batch with about `size` bytes of text each (a longer text alone), in order."""
     lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(lengths)
