@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from recolens.llm.chat import digests, format_chats
+from recolens.llm.dac import read_documents, write_tokens
 from recolens.llm.decontaminate import find_leaks
+from recolens.llm.kneser_ney import held_out, score, train
 from recolens.llm.licenses import scan_licenses
 from recolens.llm.linededup import line_dedup
 from recolens.llm.minhash import near_duplicates
@@ -120,3 +122,21 @@ def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return scan_licenses(table(spark, folder, "documents"))
+
+
+@query
+def op2_token_codes(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return read_documents(write_tokens(table(spark, folder, "documents"), path, end_id=1))
+
+
+@query
+def op8_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = train(docs.where(~held_out()))
+    return score(docs, model).select(
+        "doc_id", held_out().alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score", "score", "perplexity",
+    )

@@ -75,3 +75,49 @@ def line_dedup(rows, least):
         d: (len(gone[d]), "\n".join(x for i, x in enumerate((t or "").split("\n")) if i not in gone[d]))
         for d, t in rows
     }
+
+
+def kneser_ney(rows, trained):
+    """{doc_id: (n_tokens, n_known, base_score, score)} of (doc_id, text) rows, and N."""
+    import math
+    from collections import Counter, defaultdict
+
+    seqs = {d: words(t) + ["</s>!"] for d, t in rows}
+    uni, bi = Counter(), Counter()
+    for d in trained:
+        uni.update(seqs[d])
+        bi.update(zip(["<s>!"] + seqs[d][:-1], seqs[d]))
+    n, v = sum(uni.values()), len(uni)
+    after, before, free = defaultdict(int), Counter(), defaultdict(float)
+
+    def discount(counts):
+        k = [sum(c == i for c in counts) for i in (1, 2, 3, 4)]
+        out = [0.0]
+        for i in (1, 2, 3):
+            if k[0] and k[1] and k[i - 1]:
+                y = k[0] / (k[0] + 2 * k[1])
+                out.append(min(max(i - (i + 1) * y * k[i] / k[i - 1], 0), i))
+            else:
+                out.append(i / 2)
+        return out
+
+    big = discount(bi.values())
+    for (a, b), c in bi.items():
+        after[a] += c
+        free[a] += big[min(c, 3)]
+        before[b] += 1
+    low = discount(before.values())
+    total = sum(before.values())
+    g0 = sum(low[min(c, 3)] for c in before.values()) / total if total else 1
+    out = {}
+    for d, seq in seqs.items():
+        base = s = 0.0
+        for a, b in zip(["<s>!"] + seq[:-1], seq):
+            base += math.log10((uni[b] + 0.1) / (n + 0.1 * (v + 1)))
+            p = (max(before[b] - low[min(before[b], 3)], 0) / total if total else 0) + g0 / (v + 1)
+            if after[a]:
+                c = bi[a, b]
+                p = max(c - big[min(c, 3)], 0) / after[a] + free[a] / after[a] * p
+            s += math.log10(p)
+        out[d] = (len(seq), sum(uni[w] > 0 for w in seq), base, s)
+    return out, n
