@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from recolens.llm import segment
 from recolens.llm.chat import digests, format_chats
 from recolens.llm.dac import read_documents, write_tokens
 from recolens.llm.decontaminate import find_leaks
@@ -140,3 +141,14 @@ def op8_lm_score(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", held_out().alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
         "base_score", "score", "perplexity",
     )
+
+
+def piece_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query
+def op9_segmentations(spark: SparkSession, folder: str) -> DataFrame:
+    return segment.encode_samples(table(spark, folder, "documents"), piece_model(), with_ids=False).drop("ids")
