@@ -14,6 +14,7 @@ from recolens.llm.kneser_ney import held_out, score, train
 from recolens.llm.licenses import scan_licenses
 from recolens.llm.linededup import line_dedup
 from recolens.llm.minhash import near_duplicates
+from recolens.llm.pages import extract_pages
 from recolens.llm.quality import quality_report
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,3 +153,8 @@ def piece_model() -> str:
 @query
 def op9_segmentations(spark: SparkSession, folder: str) -> DataFrame:
     return segment.encode_samples(table(spark, folder, "documents"), piece_model(), with_ids=False).drop("ids")
+
+
+@query
+def op3_pages(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_pages(table(spark, folder, "pages"))

@@ -323,7 +323,7 @@ class Sampler:
 
 
 SAMPLED = (
-    "doc_id long, sample int, ids array<int>, ids_crc32 long, n_pieces long, log_prob double, perturbed double, inclusion double, "
+    "doc_id long, sample int, ids array<int>, ids_crc32 long, n_pieces long, log_prob double, perturbed double, log_inclusion double, "
     "decoded boolean"
 )
 
@@ -340,17 +340,17 @@ def encode_samples(
     doc: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """(doc_id, sample, ids, ids_crc32, n_pieces, log_prob, perturbed, inclusion, decoded), up to
-    `samples` rows per row; ids is null without `with_ids`, ids_crc32 is that of its little-endian uint32.
+    """(doc_id, sample, ids, ids_crc32, n_pieces, log_prob, perturbed, inclusion, decoded), up
+    to `samples` rows per row; log_inclusion is the natural logarithm of the inclusion score; ids is null without `with_ids`, ids_crc32 is that of its little-endian uint32.
 
     Samples are numbered from 1 by falling perturbed value and are distinct; a text with fewer
-    segmentations gives fewer, each then with the inclusion score 1. Null and empty texts have the one
+    segmentations gives fewer, each then with the log_inclusion 0. Null and empty texts have the one
     empty segmentation. `decoded` tells whether the ids spell the text again. Rows are seeded by
     doc_id (null counts as -1): repeated rows give equal samples. An empty table gives an empty
     result; other columns are ignored.
     """
 
-    names = ["doc_id", "sample", "ids", "ids_crc32", "n_pieces", "log_prob", "perturbed", "inclusion", "decoded"]
+    names = ["doc_id", "sample", "ids", "ids_crc32", "n_pieces", "log_prob", "perturbed", "log_inclusion", "decoded"]
 
     def run(batches):
         known = Pieces(model_file)
@@ -378,8 +378,8 @@ def encode_samples(
                             ],
                             bool,
                         )
-                    with np.errstate(over="ignore"):
-                        inclusion = -np.expm1(-np.exp(log_p[docs_] - threshold[docs_]))
+                    over = np.minimum(log_p[docs_] - threshold[docs_], 700.0)
+                    inclusion = np.where(over < -30, over, np.log(-np.expm1(-np.exp(over))))
                     n = (ends[1:] - ends[:-1])[docs_]
                     offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
                     lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
@@ -402,7 +402,7 @@ def encode_samples(
                             pa.array([doc_ids[d] for d in bare], pa.int64()), pa.array(np.ones(k, np.int32)),
                             pa.array([[] if with_ids else None] * k, pa.list_(pa.int32())),
                             pa.array(np.zeros(k, np.int64)), pa.array(np.zeros(k, np.int64)),
-                            pa.array(np.zeros(k)), pa.array(np.zeros(k)), pa.array(np.ones(k)), pa.array([True] * k),
+                            pa.array(np.zeros(k)), pa.array(np.zeros(k)), pa.array(np.zeros(k)), pa.array([True] * k),
                         ],
                         names,
                     )
