@@ -13,13 +13,12 @@ _made: list[tuple[SparkSession, str]] = []
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder name under `spark.checkpoint.dir`, deleted when the driver's Python ends.
 
-    Where the setting is missing it is set to a folder in the warehouse, which driver and executors
-    share in any deployment.
+    Where the setting is missing it is a folder in the warehouse, which driver and executors share in
+    any deployment.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
-        spark.conf.set("spark.checkpoint.dir", root)
     path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     if not _made:
         atexit.register(drop_folders)

@@ -121,3 +121,51 @@ def kneser_ney(rows, trained):
             s += math.log10(p)
         out[d] = (len(seq), sum(uni[w] > 0 for w in seq), base, s)
     return out, n
+
+
+def plain(text):
+    return re.findall(r"[0-9a-z\u0080-\U0010ffff]+", (text or "").lower())
+
+
+def bag(words_, size):
+    from collections import Counter
+
+    return Counter(tuple(words_[i : i + size]) for i in range(len(words_) - size + 1))
+
+
+def leaks(docs, items, percent):
+    """{(doc_id, item_id, start, similarity)} of the best window for each pair that has one."""
+    out = set()
+    for d, t in docs:
+        w = plain(t)
+        for i, q in set(items):
+            own = plain(q)
+            n, best = len(own), None
+            size = min(5, n)
+            for s in range(len(w) - n + 1) if n else ():
+                a, b = bag(w[s : s + n], size), bag(own, size)
+                common = sum((a & b).values())
+                sim = common / sum((a | b).values())
+                if 100 * sim >= percent - 1e-9 and (best is None or sim > best[0]):
+                    best = (sim, s)
+            if best:
+                out.add((d, i, best[1], round(best[0], 9)))
+    return out
+
+
+def best_dice(rows, templates, percent):
+    """{doc_id: highest Dice of any stretch of lines with any template}, where it reaches the threshold."""
+    out = {}
+    for d, t in rows:
+        lines = [plain(x) for x in (t or "").split("\n")]
+        best = 0.0
+        for i in range(len(lines)):
+            for j in range(i, len(lines)):
+                a = bag(sum(lines[i : j + 1], []), 2)
+                for q in templates.values():
+                    b = bag(plain(q), 2)
+                    if a:
+                        best = max(best, 2 * sum((a & b).values()) / (sum(a.values()) + sum(b.values())))
+        if 100 * best >= percent:
+            out[d] = round(best, 9)
+    return out
