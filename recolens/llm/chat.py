@@ -53,7 +53,7 @@ def parse(rendered: str) -> str:
     A piece that is no turn gives a null role, so that it equals no source turn.
     """
     piece = (
-        r"let_line -> if(startswith(p, '<s>') and let_line >= 7 and substr(p, let_line - 2, 1) = '|' "
+        r"let_line -> if(startswith(p, '<s>') and let_line >= 6 and substr(p, let_line - 2, 1) = '|' "
         r"and substr(p, let_line - 1, 1) in ('0', '1'), "
         "if(substr(p, let_line - 1, 1) = '1', "
         f"struct({unescape('substr(p, 4, let_line - 6)')} as role, {unescape_text('substr(p, let_line + 1)')} as text, "

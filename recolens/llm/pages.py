@@ -12,8 +12,8 @@ republished within a host, and an advert may be shown once. For pages that mark
 * tasks sort the slice of a host they hold and return one row per distinct prefix with its smallest
   and largest page, and the rows of all slices meet in a combining aggregation, so a host of any size
   is never in one task.
-* in pages without marked main text the covered tokens are removed and the unique runs stay, but for
-  blocks that are mostly links.
+* in pages without marked main text, covered blocks and covered stretches of RUN tokens are removed and
+  the unique runs stay, but for blocks that are mostly links.
 
 Pages with equal streams count as one page, or a mirrored page would remove itself.
 """
@@ -279,7 +279,15 @@ def main_text(blocks: list[tuple[int, str, int]], covered: list[int] | None) ->
         if kind == MAIN:
             continue
         words = text.split()
-        kept = [w for i, w in enumerate(words) if at + i not in gone]
+        kept, i = [], 0
+        while i < len(words):
+            j = i
+            while j < len(words) and (at + j in gone) == (at + i in gone):
+                j += 1
+            # A run's edge may touch a block by chance: only whole blocks and whole runs are cut.
+            if at + i not in gone or (j - i < RUN and j - i < len(words)):
+                kept += words[i:j]
+            i = j
         at += len(words)
         if kind == OPEN and kept and 2 * linked <= len(text):
             out.append(" ".join(kept))
