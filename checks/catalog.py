@@ -13,7 +13,7 @@ from recolens.operators import (
     fuse, gold, quality, serve, service, silver, skew,
 )
 from recolens.sources import readers, writers
-from recolens.sources.bind import Lake
+from recolens.sources.bind import SUPPORT, Lake
 from recolens.streaming import logs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -202,12 +202,12 @@ simple(
     "fill_defaults",
     lambda k: gold.fill_defaults(
         k.products().select("product_id").join(
-            gold.popularity_score(gold.product_stats(k.silver(True))).drop("nb_conversions"),
+            gold.popularity_score(gold.product_stats(k.silver())).drop("nb_conversions"),
             "product_id", "left",
         )
     ),
     """SELECT product_id, nb_interactions, round(conversion_rate, 6) AS conversion_rate,
-              round(popularity_score, 6) AS popularity_score FROM s_gold""",
+              round(popularity_score, 6) AS popularity_score FROM gold_high""",
 )
 simple(
     "zero_fill",
@@ -219,8 +219,8 @@ simple(
     f"""SELECT product_id, {_TALL.format("coalesce(b.p, [0.0 for x in range(16)])")}
         FROM products LEFT JOIN bridged_items b USING (product_id)""",
 )
-simple("is_cold", lambda k: k.gold_products(True).select("product_id", "nb_interactions", "is_cold"), """
-SELECT product_id, nb_interactions, is_cold FROM s_gold""")
+simple("is_cold", lambda k: k.gold_products(SUPPORT).select("product_id", "nb_interactions", "is_cold"), """
+SELECT product_id, nb_interactions, is_cold FROM gold_high""")
 simple("build_corpus", lambda k: content.build_corpus(k.metadata()), """
 SELECT product_id, trim(title || ' ' || store) AS text FROM products""")
 simple(
@@ -238,9 +238,9 @@ simple(
 )
 simple(
     "minmax",
-    lambda k: _scaled_popularity(k.gold_products(True)),
-    """SELECT product_id, round((popularity_score - (SELECT min(popularity_score) FROM s_gold))
-       / ((SELECT max(popularity_score) - min(popularity_score) FROM s_gold) + 1e-8), 6) AS scaled FROM s_gold""",
+    lambda k: _scaled_popularity(k.gold_products(SUPPORT)),
+    """SELECT product_id, round((popularity_score - (SELECT min(popularity_score) FROM gold_high))
+       / ((SELECT max(popularity_score) - min(popularity_score) FROM gold_high) + 1e-8), 6) AS scaled FROM gold_high""",
 )
 simple(
     "clip01",
@@ -249,8 +249,8 @@ simple(
 )
 simple(
     "source_label",
-    lambda k: k.gold_products(True).select("product_id", S.source_label(F.col("is_cold")).alias("source")),
-    "SELECT product_id, CASE WHEN is_cold THEN 'bridge' ELSE 'als' END AS source FROM s_gold",
+    lambda k: k.gold_products(SUPPORT).select("product_id", S.source_label(F.col("is_cold")).alias("source")),
+    "SELECT product_id, CASE WHEN is_cold THEN 'bridge' ELSE 'als' END AS source FROM gold_high",
 )
 _FB = "event_id, user_id, product_id, interaction_type, ab_variant, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts"
 simple("validate_feedback", lambda k: abtest.validate_feedback(k.raw_feedback())[0], f"SELECT {_FB} FROM feedback")
@@ -304,20 +304,20 @@ simple(
     """SELECT user_id, count(p) AS n_vectors, round(avg(p[1]), 6) AS mean_first
        FROM interactions LEFT JOIN pv USING (product_id) GROUP BY user_id""",
 )
-simple("min_support_filter", lambda k: k.supported, f"SELECT {_INTER} FROM s_supported")
+simple("min_support_filter", lambda k: k.supported, f"SELECT {_INTER} FROM supported")
 simple(
     "semi_by_ids",
     lambda k: cold_start.semi_by_ids(
-        k.interactions(True), cold_start.warm_ids(k.interactions(True), "product_id"), "product_id"
+        k.interactions(), cold_start.warm_ids(k.interactions(), "product_id", SUPPORT), "product_id"
     ),
-    f"SELECT {_INTER} FROM s_interactions WHERE product_id IN (FROM s_warm_products)",
+    f"SELECT {_INTER} FROM interactions WHERE product_id IN (FROM warm_products)",
 )
 simple(
     "cold_ids",
     lambda k: cold_start.cold_ids(
-        k.products(), cold_start.warm_ids(k.interactions(True), "product_id"), "product_id"
+        k.products(), cold_start.warm_ids(k.interactions(), "product_id", SUPPORT), "product_id"
     ),
-    "SELECT product_id FROM products EXCEPT FROM s_warm_products",
+    "SELECT product_id FROM products EXCEPT FROM warm_products",
 )
 simple(
     "exclude_seen",
@@ -333,7 +333,7 @@ simple(
 _GOLD = """product_id, category, title, price, store,
 round(conversion_rate, 6) AS conversion_rate, round(popularity_score, 6) AS popularity_score, nb_interactions, is_cold"""
 simple("gold_products", lambda k: k.gold_products().drop(*_NO_METADATA), f"SELECT {_GOLD} FROM gold")
-simple("gold_products_sparse", lambda k: k.gold_products(True).drop(*_NO_METADATA), f"SELECT {_GOLD} FROM s_gold")
+simple("gold_products_sparse", lambda k: k.gold_products(SUPPORT).drop(*_NO_METADATA), f"SELECT {_GOLD} FROM gold_high")
 def _gold_interactions(lake: Lake) -> DataFrame:
     """As in the pipeline: from the written silver table and the written statistics."""
     path = lake.scratch("silver")
@@ -360,8 +360,8 @@ simple("join_sortmerge", lambda k: gold.join_sortmerge(*_join_sides(k)), _JOINED
 simple("join_broadcast", lambda k: gold.join_broadcast(*_join_sides(k)), _JOINED)
 simple(
     "active_users",
-    lambda k: eda.active_users(k.customers(), k.interactions(True)),
-    "SELECT 'U' || c_custkey AS user_id FROM customer WHERE 'U' || c_custkey IN (SELECT user_id FROM s_interactions)",
+    lambda k: eda.active_users(k.customers(), k.interactions()),
+    "SELECT 'U' || c_custkey AS user_id FROM customer WHERE 'U' || c_custkey IN (SELECT user_id FROM interactions)",
 )
 simple(
     "purchases_by_segment", lambda k: eda.purchases_by_segment(k.interactions(), k.users()), """
@@ -389,8 +389,8 @@ simple("user_profile_partial", lambda k: bronze.user_profile_partial(k.interacti
 SELECT * REPLACE (round(avg_rating, 6) AS avg_rating) FROM partials""")
 simple("user_profile", lambda k: k.users().drop("avg_order_value", "u"), """
 SELECT * REPLACE (round(avg_rating, 6) AS avg_rating, round(avg_rating_weighted, 6) AS avg_rating_weighted) FROM users""")
-simple("user_profile_sparse", lambda k: k.users(True).drop("avg_order_value", "u"), """
-SELECT * REPLACE (round(avg_rating, 6) AS avg_rating, round(avg_rating_weighted, 6) AS avg_rating_weighted) FROM s_users""")
+simple("user_profile_sparse", lambda k: k.users().drop("avg_order_value", "u"), """
+SELECT * REPLACE (round(avg_rating, 6) AS avg_rating, round(avg_rating_weighted, 6) AS avg_rating_weighted) FROM users""")
 simple(
     "purchase_quantiles",
     lambda k: bronze.purchase_quantiles(
@@ -406,15 +406,15 @@ FROM popularity""")
 simple("pair_counts", lambda k: cold_start.pair_counts(k.interactions()), """
 SELECT user_id, product_id, count(*) AS count FROM interactions
 WHERE user_id IS NOT NULL AND product_id IS NOT NULL GROUP BY ALL""")
-simple("classify_warm_cold", lambda k: cold_start.classify_warm_cold(k.interactions(True), "user_id"), """
-SELECT user_id, count(*) AS nb_interactions, count(*) < 5 AS is_cold
-FROM s_interactions WHERE user_id IS NOT NULL GROUP BY 1""")
-simple("cold_start_report", lambda k: cold_start.cold_start_report(k.interactions(True)), """
+simple("classify_warm_cold", lambda k: cold_start.classify_warm_cold(k.interactions(), "user_id", SUPPORT), """
+SELECT user_id, count(*) AS nb_interactions, count(*) < 32 AS is_cold
+FROM interactions WHERE user_id IS NOT NULL GROUP BY 1""")
+simple("cold_start_report", lambda k: cold_start.cold_start_report(k.interactions(), SUPPORT), """
 SELECT entity, n_warm, n_cold, round(n_warm * 100.0 / (n_warm + n_cold), 6) AS pct_warm,
        round(n_cold * 100.0 / (n_warm + n_cold), 6) AS pct_cold FROM (
-  SELECT entity, count(*) FILTER (n >= 5) AS n_warm, count(*) FILTER (n < 5) AS n_cold FROM (
-    SELECT 'products' AS entity, product_id AS id, count(*) AS n FROM s_interactions WHERE product_id IS NOT NULL GROUP BY ALL
-    UNION ALL SELECT 'users', user_id, count(*) FROM s_interactions WHERE user_id IS NOT NULL GROUP BY ALL)
+  SELECT entity, count(*) FILTER (n >= 32) AS n_warm, count(*) FILTER (n < 32) AS n_cold FROM (
+    SELECT 'products' AS entity, product_id AS id, count(*) AS n FROM interactions WHERE product_id IS NOT NULL GROUP BY ALL
+    UNION ALL SELECT 'users', user_id, count(*) FROM interactions WHERE user_id IS NOT NULL GROUP BY ALL)
   GROUP BY 1)""")
 simple("popular_global", lambda k: cold_start.popular_global(k.interactions(), k.products()), """
 SELECT product_id, nb_interactions, category, CAST(rank AS INTEGER) AS rank FROM popular""")
@@ -423,8 +423,8 @@ simple(
     "cold_user_vectors",
     lambda k: _tall(
         fuse.cold_user_vectors(
-            k.interactions(True),
-            fuse.fuse_products(k.products(), k.factor_items(), k.bridged_items(), k.interactions(True)),
+            k.interactions(),
+            fuse.fuse_products(k.products(), k.factor_items(), k.bridged_items(), k.interactions(), SUPPORT),
             k.factor_users(),
         ),
         "user_id", "u",
@@ -457,11 +457,11 @@ for _name, _id in (("long_tail_products", "product_id"), ("long_tail_users", "us
     simple(
         _name,
         lambda k, c=_id: eda.long_tail(
-            k.interactions(True), c, k.products() if c == "product_id" else k.customers()
+            k.interactions(), c, k.products() if c == "product_id" else k.customers()
         ),
         f"""SELECT CAST(s AS INTEGER) AS threshold, count(*) FILTER (n <= s) AS n_rare,
                    round(count(*) FILTER (n <= s) * 100.0 / (SELECT count(*) FROM {'part' if _id == 'product_id' else 'customer'}), 4) AS pct
-            FROM (SELECT {_id}, count(*) AS n FROM s_interactions WHERE {_id} IS NOT NULL GROUP BY 1),
+            FROM (SELECT {_id}, count(*) AS n FROM interactions WHERE {_id} IS NOT NULL GROUP BY 1),
                  (SELECT unnest([1, 5, 10, 20, 50]) AS s) GROUP BY s""",
     )
 simple("segment_stats", lambda k: eda.segment_stats(k.users()), """
@@ -473,15 +473,15 @@ SELECT year_month, count(*) AS nb FROM interactions GROUP BY 1""")
 simple("embedding_means", lambda k: eda.embedding_means(k.product_vectors()), """
 SELECT category, round(avg(p[1]), 4) AS P1, round(avg(p[2]), 4) AS P2, round(avg(p[3]), 4) AS P3,
        round(avg(p[4]), 4) AS P4 FROM pv GROUP BY 1""")
-simple("eda_recap", lambda k: eda.eda_recap(k.interactions(True), k.users(True), k.products()), """
+simple("eda_recap", lambda k: eda.eda_recap(k.interactions(), k.users(), k.products(), SUPPORT), """
 SELECT round((1 - n / (CAST(u AS DOUBLE) * p)) * 100, 4) AS sparsity_pct, round(reviews * 100.0 / n, 1) AS review_pct,
        round(five * 100.0 / rated, 1) AS five_star_pct, round(rare * 100.0 / p, 4) AS rare_product_pct,
        round(power * 100.0 / u, 1) AS power_user_pct
 FROM (SELECT count(*) AS n, count(*) FILTER (interaction_type = 'review') AS reviews,
-             count(*) FILTER (rating = 5) AS five, count(*) FILTER (rating > 0) AS rated FROM s_interactions),
-     (SELECT count(*) AS u, count(*) FILTER (segment = 'power_user') AS power FROM s_users),
+             count(*) FILTER (rating = 5) AS five, count(*) FILTER (rating > 0) AS rated FROM interactions),
+     (SELECT count(*) AS u, count(*) FILTER (segment = 'power_user') AS power FROM users),
      (SELECT count(*) AS p FROM products),
-     (SELECT count(*) AS rare FROM (SELECT product_id FROM s_interactions WHERE product_id IS NOT NULL GROUP BY 1 HAVING count(*) < 5))""")
+     (SELECT count(*) AS rare FROM (SELECT product_id FROM interactions WHERE product_id IS NOT NULL GROUP BY 1 HAVING count(*) < 32))""")
 simple("relevant_sets", lambda k: evaluate.relevant_sets(evaluate.test_rows(evaluate.sampled_split(k.interactions()))), """
 SELECT user_id, product_id FROM relevant""")
 simple("recs_summary", lambda k: serve.recs_summary(serve.batch_recommend(k.user_vectors(), k.product_vectors())), """
@@ -500,7 +500,7 @@ simple(
 # --- E, F, G: windows, sorts, sets ---------------------------------------------------------
 
 simple("silver_interactions", lambda k: k.silver(), f"SELECT {_SILVER} FROM silver")
-simple("silver_interactions_sparse", lambda k: k.silver(True), f"SELECT {_SILVER} FROM s_silver")
+simple("silver_interactions_sparse", lambda k: k.silver(), f"SELECT {_SILVER} FROM silver")
 simple("recency_rank", lambda k: k.silver().select("user_id", "product_id", "timestamp", "recency_rank"), """
 SELECT user_id, product_id, timestamp, recency_rank FROM silver""")
 simple(
@@ -542,8 +542,8 @@ simple("intersect_categories", lambda k: readers.common_categories(k.reviews(),
 SELECT category FROM reviews INTERSECT SELECT category FROM products""")
 simple(
     "except_ids",
-    lambda k: cold_start.cold_ids(k.customers(), cold_start.warm_ids(k.interactions(True), "user_id"), "user_id"),
-    "SELECT 'U' || c_custkey AS user_id FROM customer EXCEPT FROM s_warm_users",
+    lambda k: cold_start.cold_ids(k.customers(), cold_start.warm_ids(k.interactions(), "user_id", SUPPORT), "user_id"),
+    "SELECT 'U' || c_custkey AS user_id FROM customer EXCEPT FROM warm_users",
 )
 simple("dedup_products", lambda k: bronze.dedup_products(k.metadata().unionByName(k.metadata())).drop("description"), """
 SELECT product_id, category, title, price, store FROM products""")
@@ -573,8 +573,8 @@ def _(lake: Lake) -> DataFrame:
     return content.content_embed(texts).select("product_id", V.norm(F.col("embedding")).alias("length"))
 
 
-def _trained(lake: Lake, sparse: bool = True):
-    pairs = skew.cut(cold_start.pair_counts(lake.supported if sparse else lake.interactions()))
+def _trained(lake: Lake, supported: bool = True):
+    pairs = skew.cut(cold_start.pair_counts(lake.supported if supported else lake.interactions()))
     ids = als.index_ids(pairs)
     model = als.als_fit(ids.pairs)
     return ids, model, *als.als_factors(model, ids)
@@ -582,7 +582,7 @@ def _trained(lake: Lake, sparse: bool = True):
 
 @query("als_fit")
 def _(lake: Lake) -> DataFrame:
-    _, _, users, items = _trained(lake, sparse=False)
+    _, _, users, items = _trained(lake, supported=False)
     u = users.select(F.lit("user").alias("kind"), F.col("user_id").alias("id"), F.size("u").alias("rank"))
     return u.unionByName(
         items.select(F.lit("product").alias("kind"), F.col("product_id").alias("id"), F.size("p").alias("rank"))
@@ -596,7 +596,7 @@ def _bridge_parts(lake: Lake):
     _, _, users, items = _trained(lake)
     items, users = skew.cut(items), skew.cut(users)
     embeddings = skew.cut(content.content_embed(content.build_corpus(lake.metadata())))
-    warm = cold_start.warm_ids(lake.interactions(True), "product_id")
+    warm = cold_start.warm_ids(lake.interactions(), "product_id", SUPPORT)
     train = br.bridge_training_set(items, embeddings, warm)
     return users, items, embeddings, skew.cut(train)
 
@@ -613,7 +613,7 @@ def _(lake: Lake) -> DataFrame:
 @query("bridge_fit_mlp")
 def _(lake: Lake) -> DataFrame:
     train = _bridge_parts(lake)[3]
-    return br.bridge_rmse(train, br.mlp_fit(train, epochs=30))
+    return br.bridge_rmse(train, br.mlp_fit(train))
 
 
 @query("bridge_predict")
@@ -627,9 +627,9 @@ def _(lake: Lake) -> DataFrame:
 def _(lake: Lake) -> DataFrame:
     users, items, embeddings, train = _bridge_parts(lake)
     predicted = br.bridge_predict(embeddings, br.ridge_fit(train))
-    rows = lake.interactions(True)
-    products = skew.cut(fuse.fuse_products(lake.products(), items, predicted, rows))
-    fused = fuse.fuse_users(lake.users(True), users, rows, products)
+    rows = lake.interactions()
+    products = skew.cut(fuse.fuse_products(lake.products(), items, predicted, rows, SUPPORT))
+    fused = fuse.fuse_users(lake.users(), users, rows, products, SUPPORT)
     return fuse.fusion_summary(products, fused)
 
 
@@ -647,9 +647,9 @@ simple(
 
 
 def _fused(lake: Lake) -> tuple[DataFrame, DataFrame]:
-    rows = lake.interactions(True)
-    products = fuse.fuse_products(lake.products(), lake.factor_items(), lake.bridged_items(), rows)
-    return products, fuse.fuse_users(lake.users(True), lake.factor_users(), rows, products)
+    rows = lake.interactions()
+    products = fuse.fuse_products(lake.products(), lake.factor_items(), lake.bridged_items(), rows, SUPPORT)
+    return products, fuse.fuse_users(lake.users(), lake.factor_users(), rows, products, SUPPORT)
 
 
 simple("fuse_products", lambda k: _tall(_fused(k)[0], "product_id", "p", "vector_source", "is_cold"), f"""
@@ -720,7 +720,7 @@ simple("similar_items", lambda k: serve.similar_items(k.content_vectors(), 5),
        _similar(_UNIT.format("CAST(vec_id AS VARCHAR)", "CAST(label AS VARCHAR)", "embedding", "embeddings"), 5))
 simple("similar_products", lambda k: serve.similar_items(k.product_vectors().drop("size"), 10),
        _similar(_UNIT.format("product_id", "category", "p", "pv"), 10))
-simple("eval_sample", lambda k: evaluate.eval_sample(k.interactions()), "SELECT user_id FROM eval_users")
+simple("eval_sample", lambda k: evaluate.eval_sample(k.interactions()), "SELECT user_id FROM eval_drawn")
 
 
 def _popularity_ndcg(lake: Lake) -> DataFrame:
@@ -753,7 +753,7 @@ def _(lake: Lake) -> DataFrame:
     return lifted.withColumn("lift_pct", F.round("lift_pct", 4))
 
 
-simple("grid_search", lambda k: evaluate.grid_search(k.interactions(), ranks=(8, 16), regs=(0.1,), iterations=(10,)))
+simple("grid_search", lambda k: evaluate.grid_search(k.interactions()))
 
 
 @query("best_run", """

@@ -24,65 +24,64 @@ FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
                 JOIN part p ON l.l_partkey = p.p_partkey""")
 cte("reviews", "SELECT * FROM base UNION ALL SELECT * FROM base WHERE ok % 50 = 0")
 
-for _p, _where in (("", ""), ("s_", " WHERE ln = 1")):
-    cte(f"{_p}interactions", f"""
+cte("interactions", """
 SELECT user_id, product_id, rating, timestamp,
        CASE WHEN verified_purchase THEN 'purchase' WHEN NOT verified_purchase THEN 'review' END AS interaction_type,
        CASE WHEN verified_purchase THEN 1 ELSE 0 END AS converted,
        strftime(make_timestamp(timestamp * 1000), '%Y-%m') AS year_month,
        helpful_vote, category
-FROM reviews{_where}""")
-    cte(f"{_p}clean", f"""
+FROM reviews""")
+cte("clean", """
 SELECT * REPLACE (CASE WHEN rating < 0 THEN 0.0 WHEN rating > 5 THEN 5.0 ELSE rating END AS rating)
-FROM {_p}interactions WHERE user_id IS NOT NULL AND product_id IS NOT NULL""")
-    cte(f"{_p}dedup", f"""
-SELECT * FROM {_p}clean
+FROM interactions WHERE user_id IS NOT NULL AND product_id IS NOT NULL""")
+cte("dedup", """
+SELECT * FROM clean
 QUALIFY row_number() OVER (PARTITION BY user_id, product_id, timestamp
   ORDER BY rating DESC NULLS LAST, converted DESC, helpful_vote DESC, category) = 1""")
-    cte(f"{_p}silver", f"""
+cte("silver", """
 SELECT *, user_interaction_count / CAST(recency_rank AS DOUBLE) AS rf_score FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY timestamp DESC, product_id) AS recency_rank,
          count(*) OVER (PARTITION BY user_id) AS user_interaction_count
-  FROM {_p}dedup)""")
-    cte(f"{_p}stats", f"""
+  FROM dedup)""")
+cte("stats", """
 SELECT product_id, count(*) AS nb_interactions, CAST(sum(converted) AS BIGINT) AS nb_conversions,
        sum(converted) / CAST(count(*) AS DOUBLE) AS conversion_rate
-FROM {_p}silver GROUP BY product_id""")
-    cte(f"{_p}popularity", f"""
-SELECT *, ln(1 + nb_interactions) / (SELECT max(ln(1 + nb_interactions)) FROM {_p}stats) AS popularity_score
-FROM {_p}stats""")
-    cte(f"{_p}partials", f"""
+FROM silver GROUP BY product_id""")
+cte("popularity", """
+SELECT *, ln(1 + nb_interactions) / (SELECT max(ln(1 + nb_interactions)) FROM stats) AS popularity_score
+FROM stats""")
+cte("partials", """
 SELECT category, user_id, count(product_id) AS total_interactions,
        CAST(sum(converted) AS BIGINT) AS total_purchases, avg(rating) AS avg_rating,
        sum(rating) AS rating_sum, count(rating) AS rating_n
-FROM {_p}interactions WHERE user_id IS NOT NULL GROUP BY ALL""")
-    cte(f"{_p}merged", f"""
+FROM interactions WHERE user_id IS NOT NULL GROUP BY ALL""")
+cte("merged", """
 SELECT user_id, CAST(sum(total_interactions) AS BIGINT) AS total_interactions,
        CAST(sum(total_purchases) AS BIGINT) AS total_purchases, avg(avg_rating) AS avg_rating,
        sum(rating_sum) / sum(rating_n) AS avg_rating_weighted
-FROM {_p}partials GROUP BY user_id""")
-    cte(f"{_p}users", f"""
-SELECT *, CASE WHEN total_purchases >= (SELECT quantile_cont(total_purchases, 0.9) FROM {_p}merged) THEN 'power_user'
-               WHEN total_purchases >= (SELECT quantile_cont(total_purchases, 0.5) FROM {_p}merged) THEN 'regular_user'
+FROM partials GROUP BY user_id""")
+cte("users", """
+SELECT *, CASE WHEN total_purchases >= (SELECT quantile_cont(total_purchases, 0.9) FROM merged) THEN 'power_user'
+               WHEN total_purchases >= (SELECT quantile_cont(total_purchases, 0.5) FROM merged) THEN 'regular_user'
                ELSE 'casual_user' END AS segment
-FROM {_p}merged""")
-    cte(f"{_p}warm_products", f"""
-SELECT product_id FROM {_p}interactions WHERE product_id IS NOT NULL GROUP BY 1 HAVING count(*) >= 5""")
-    cte(f"{_p}warm_users", f"""
-SELECT user_id FROM {_p}interactions WHERE user_id IS NOT NULL GROUP BY 1 HAVING count(*) >= 5""")
-    cte(f"{_p}supported", f"""
-SELECT * FROM {_p}interactions WHERE user_id IN (FROM {_p}warm_users) AND product_id IN (FROM {_p}warm_products)""")
-    cte(f"{_p}popular", f"""
+FROM merged""")
+cte("warm_products", """
+SELECT product_id FROM interactions WHERE product_id IS NOT NULL GROUP BY 1 HAVING count(*) >= 32""")
+cte("warm_users", """
+SELECT user_id FROM interactions WHERE user_id IS NOT NULL GROUP BY 1 HAVING count(*) >= 32""")
+cte("supported", """
+SELECT * FROM interactions WHERE user_id IN (FROM warm_users) AND product_id IN (FROM warm_products)""")
+cte("popular", """
 SELECT product_id, category, nb_interactions,
        row_number() OVER (ORDER BY nb_interactions DESC, product_id) AS rank
 FROM (SELECT i.product_id, p.category, i.nb_interactions
-      FROM (SELECT product_id, count(*) AS nb_interactions FROM {_p}interactions
+      FROM (SELECT product_id, count(*) AS nb_interactions FROM interactions
             WHERE product_id IS NOT NULL GROUP BY 1) i JOIN products p USING (product_id)
       ORDER BY nb_interactions DESC, product_id LIMIT 500)""")
-    cte(f"{_p}by_category", f"""
+cte("by_category", """
 SELECT category, product_id, nb_interactions,
        row_number() OVER (PARTITION BY category ORDER BY nb_interactions DESC, product_id) AS rank
-FROM (SELECT category, product_id, count(*) AS nb_interactions FROM {_p}interactions
+FROM (SELECT category, product_id, count(*) AS nb_interactions FROM interactions
       WHERE product_id IS NOT NULL GROUP BY ALL)
 QUALIFY rank <= 10""")
 
@@ -91,46 +90,46 @@ SELECT 'P' || CAST(p_partkey AS VARCHAR) AS product_id, p_type AS category, p_na
        p_retailprice AS price, CAST(NULL AS DOUBLE) AS average_rating,
        CAST(NULL AS BIGINT) AS rating_number, p_brand AS store
 FROM part""")
-for _p in ("", "s_"):
-    cte(f"{_p}gold", f"""
+for _name, _least in (("gold", 5), ("gold_high", 32)):
+    cte(_name, f"""
 SELECT p.*, coalesce(s.conversion_rate, 0.0) AS conversion_rate,
        coalesce(s.popularity_score, 0.0) AS popularity_score,
        coalesce(s.nb_interactions, 0) AS nb_interactions,
-       coalesce(s.nb_interactions, 0) < 5 AS is_cold
-FROM products p LEFT JOIN {_p}popularity s USING (product_id)""")
+       coalesce(s.nb_interactions, 0) < {_least} AS is_cold
+FROM products p LEFT JOIN popularity s USING (product_id)""")
 
 cte("pv", """
 SELECT 'P' || CAST(p_partkey AS VARCHAR) AS product_id, p_type AS category, p_size,
        CAST(embedding[1:16] AS DOUBLE[]) AS p, CAST(embedding[17:32] AS DOUBLE[]) AS b
-FROM part JOIN embeddings ON vec_id = p_partkey % 500""")
+FROM part JOIN embeddings ON vec_id = p_partkey % (SELECT count(*) FROM embeddings)""")
 cte("uv", """
 SELECT 'U' || CAST(c_custkey AS VARCHAR) AS user_id, CAST(embedding[1:16] AS DOUBLE[]) AS u
-FROM customer JOIN embeddings ON vec_id = (c_custkey * 7 + 3) % 500""")
+FROM customer JOIN embeddings ON vec_id = (c_custkey * 7 + 3) % (SELECT count(*) FROM embeddings)""")
 cte("scores", """
 SELECT user_id, product_id, category, round(list_dot_product(u, p), 6) + 0.0 AS score FROM uv, pv""")
 cte("factor_items", """
-SELECT product_id, p FROM pv WHERE product_id IN (SELECT product_id FROM s_supported)""")
+SELECT product_id, p FROM pv WHERE product_id IN (SELECT product_id FROM supported)""")
 cte("factor_users", """
-SELECT user_id, u FROM uv WHERE user_id IN (SELECT user_id FROM s_supported)""")
+SELECT user_id, u FROM uv WHERE user_id IN (SELECT user_id FROM supported)""")
 cte("bridged_items", "SELECT product_id, b AS p FROM pv WHERE p_size > 5")
 cte("fused_products", """
 SELECT p.*, coalesce(f.p, b.p, [0.0 for x in range(16)]) AS p,
        CASE WHEN f.p IS NOT NULL THEN 'als' WHEN b.p IS NOT NULL THEN 'bridge' ELSE 'zero' END AS vector_source,
-       p.product_id NOT IN (FROM s_warm_products) AS is_cold
+       p.product_id NOT IN (FROM warm_products) AS is_cold
 FROM products p LEFT JOIN factor_items f USING (product_id) LEFT JOIN bridged_items b USING (product_id)""")
 cte("seen_means", """
 SELECT user_id, list(m ORDER BY pos) AS u FROM (
   SELECT user_id, pos, CAST(CAST(avg(v) AS FLOAT) AS DOUBLE) AS m FROM (
     SELECT i.user_id, unnest(f.p) AS v, unnest(range(1, 17)) AS pos
-    FROM s_interactions i JOIN fused_products f USING (product_id)
+    FROM interactions i JOIN fused_products f USING (product_id)
     WHERE i.user_id IS NOT NULL AND i.user_id NOT IN (SELECT user_id FROM factor_users))
   GROUP BY ALL)
 GROUP BY user_id""")
 cte("fused_users", """
 SELECT s.user_id, s.segment, coalesce(f.u, m.u, [0.0 for x in range(16)]) AS u,
        CASE WHEN f.u IS NOT NULL THEN 'als' WHEN m.u IS NOT NULL THEN 'mean' ELSE 'zero' END AS vector_source,
-       s.user_id NOT IN (FROM s_warm_users) AS is_cold
-FROM s_users s LEFT JOIN factor_users f USING (user_id) LEFT JOIN seen_means m USING (user_id)""")
+       s.user_id NOT IN (FROM warm_users) AS is_cold
+FROM users s LEFT JOIN factor_users f USING (user_id) LEFT JOIN seen_means m USING (user_id)""")
 
 _VARIANT = "CASE WHEN right(md5({0}), 1) IN ('0','2','4','6','8','a','c','e') THEN 'control' ELSE 'treatment' END"
 cte("ev", f"""
@@ -184,7 +183,8 @@ for _name, _from in (
     if _name == "split_sample":
         cte("eval_users", """
 SELECT user_id FROM (SELECT user_id, count(*) AS c FROM interactions WHERE user_id IS NOT NULL GROUP BY 1)
-WHERE c >= 10 ORDER BY md5('42:' || user_id), user_id LIMIT 1000""")
+WHERE c >= 10""")
+        cte("eval_drawn", "SELECT user_id FROM eval_users ORDER BY md5('42:' || user_id), user_id LIMIT 1000")
     cte(_name, f"""
 SELECT *, CASE WHEN rn <= floor(n * (1 - CAST(0.2 AS DOUBLE))) THEN 'train' ELSE 'test' END AS split FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY {_ORDER}) AS rn,

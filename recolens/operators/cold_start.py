@@ -58,12 +58,14 @@ def min_support_filter(
     )
 
 
-def cold_start_report(interactions: DataFrame) -> DataFrame:
+def cold_start_report(
+    interactions: DataFrame, min_interactions: int = S.MIN_INTERACTIONS
+) -> DataFrame:
     """Warm and cold counts and shares for products and users."""
 
     def side(entity: str, id_col: str) -> DataFrame:
         return (
-            classify_warm_cold(interactions, id_col)
+            classify_warm_cold(interactions, id_col, min_interactions)
             .agg(
                 F.count_if(~F.col("is_cold")).alias("n_warm"),
                 F.count_if("is_cold").alias("n_cold"),

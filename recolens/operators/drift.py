@@ -24,12 +24,13 @@ P_VALUES = {"auto": ks_p_value_auto, "asymptotic": ks_p_value}
 
 
 def drift_ks(
-    interactions: DataFrame, alpha: float = ALPHA, min_rows: int = MIN_ROWS, method: str = "auto"
+    interactions: DataFrame, alpha: float = ALPHA, min_rows: int = MIN_ROWS, method: str = "asymptotic"
 ) -> DataFrame:
     """KS test on ``converted``. With values 0 and 1 the statistic is |rate_a - rate_b|, so
     month sums are all that is needed; the pairing window runs over one row per month.
 
-    ``method``: "auto" is exact for months of up to 10 000 rows, "asymptotic" never is."""
+    ``method``: "asymptotic", one law at every size, or "auto", on request only, which is exact for
+    months of up to 10 000 rows."""
     monthly = (
         interactions.filter(valid_month(F.col("year_month")) & F.col("converted").isNotNull())
         .groupBy("year_month")
@@ -58,7 +59,7 @@ def _judge(pairs: DataFrame, alpha: float, method: str) -> DataFrame:
 
 def drift_ks_numeric(
     df: DataFrame, value: str, month: str = "year_month", alpha: float = ALPHA,
-    min_rows: int = MIN_ROWS, method: str = "auto",
+    min_rows: int = MIN_ROWS, method: str = "asymptotic",
 ) -> DataFrame:
     """KS test of any numeric column between consecutive available months.
 

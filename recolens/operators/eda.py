@@ -189,7 +189,12 @@ def embedding_means(products: DataFrame, vector: str = "p", dims: int = 4) -> Da
     )
 
 
-def eda_recap(interactions: DataFrame, users: DataFrame, products: DataFrame) -> DataFrame:
+def eda_recap(
+    interactions: DataFrame,
+    users: DataFrame,
+    products: DataFrame,
+    min_interactions: int = S.MIN_INTERACTIONS,
+) -> DataFrame:
     """The five headline numbers in one row."""
     n_products = products.agg(_rows()).scalar()
     n_users = users.agg(_rows()).scalar()
@@ -197,7 +202,7 @@ def eda_recap(interactions: DataFrame, users: DataFrame, products: DataFrame) ->
         interactions.filter(F.col("product_id").isNotNull())
         .groupBy("product_id")
         .agg(_rows().alias("n"))
-        .agg(F.count_if(F.col("n") < S.MIN_INTERACTIONS))
+        .agg(F.count_if(F.col("n") < min_interactions))
         .scalar()
     )
     power = users.agg(F.count_if(F.col("segment") == S.POWER)).scalar()

@@ -19,14 +19,18 @@ SAMPLE_USERS, MIN_EVAL_INTERACTIONS, TEST_RATIO, K = 1000, 10, 0.2, 10
 GRID_RANKS, GRID_REGS, GRID_ITERATIONS = (8, 16, 32), (0.01, 0.1, 0.5), (10, 20)
 
 
+def eligible_users(interactions: DataFrame, minimum: int = MIN_EVAL_INTERACTIONS) -> DataFrame:
+    """Users with enough rows to be split."""
+    counts = interaction_counts(interactions, "user_id")
+    return counts.filter(F.col("nb_interactions") >= minimum).select("user_id")
+
+
 def eval_sample(
     interactions: DataFrame, n: int = SAMPLE_USERS, minimum: int = MIN_EVAL_INTERACTIONS,
     seed: int = 42,
 ) -> DataFrame:
     """``n`` users with enough rows, drawn in the order of a seeded hash (repeatable)."""
-    eligible = interaction_counts(interactions, "user_id").filter(
-        F.col("nb_interactions") >= minimum
-    )
+    eligible = eligible_users(interactions, minimum)
     key = F.md5(F.concat(F.lit(f"{seed}:"), "user_id"))
     return eligible.orderBy(key, "user_id").limit(n).select("user_id")
 
@@ -136,19 +140,22 @@ def mean_ndcg(ndcg: DataFrame) -> DataFrame:
 
 
 def sampled_split(
-    interactions: DataFrame, sample_users: int = SAMPLE_USERS, seed: int = 42,
+    interactions: DataFrame, sample_users: int | None = None, seed: int = 42,
     ratio: float = TEST_RATIO,
 ) -> DataFrame:
-    """The split rows of the sampled users, written once: train and test rows, baselines and
-    fits all read them without going back to the interactions."""
-    users = eval_sample(interactions, sample_users, seed=seed)
-    if sample_users <= BROADCAST_ROWS:
-        users = F.broadcast(users)
+    """The split rows of all users with enough rows, or of a sample of them, written once: train and
+    test rows, baselines and fits all read them without going back to the interactions."""
+    if sample_users is None:
+        users = eligible_users(interactions)
+    else:
+        users = eval_sample(interactions, sample_users, seed=seed)
+        if sample_users <= BROADCAST_ROWS:
+            users = F.broadcast(users)
     return cut(split_train_test(interactions.join(users, "user_id", "left_semi"), ratio))
 
 
 def evaluate_popularity(
-    interactions: DataFrame, sample_users: int = SAMPLE_USERS, k: int = K, seed: int = 42,
+    interactions: DataFrame, sample_users: int | None = None, k: int = K, seed: int = 42,
     exclude_seen_in_baseline: bool = False,
 ) -> DataFrame:
     split = sampled_split(interactions, sample_users, seed)
@@ -174,10 +181,10 @@ def als_recommendations(
 
 
 def evaluate_als(
-    interactions: DataFrame, sample_users: int = SAMPLE_USERS, k: int = K, rank: int = 16,
+    interactions: DataFrame, sample_users: int | None = None, k: int = K, rank: int = 16,
     iterations: int = 15, reg: float = 0.1, seed: int = 42,
 ) -> DataFrame:
-    """Mean NDCG of factors fitted on the train rows of the sampled users."""
+    """Mean NDCG of factors fitted on the train rows of the evaluated users."""
     split = sampled_split(interactions, sample_users, seed)
     recs = als_recommendations(train_rows(split), k, rank, iterations, reg, seed)
     return mean_ndcg(ndcg_at_k(recs, relevant_sets(test_rows(split)), k))
@@ -200,7 +207,7 @@ def grid_search(
     ranks: Sequence[int] = GRID_RANKS,
     regs: Sequence[float] = GRID_REGS,
     iterations: Sequence[int] = GRID_ITERATIONS,
-    sample_users: int = SAMPLE_USERS,
+    sample_users: int | None = None,
     k: int = K,
     seed: int = 42,
     parallelism: int = 2,
@@ -228,8 +235,8 @@ def grid_search(
             (run_id, "param", "rank", str(rank)),
             (run_id, "param", "regularization", str(reg)),
             (run_id, "param", "iterations", str(iters)),
-            (run_id, "param", "sample_users", str(sample_users)),
-            (run_id, "metric", "ndcg_at_10", repr(score)),
+            (run_id, "param", "sample_users", "all" if sample_users is None else str(sample_users)),
+            (run_id, "metric", f"ndcg_at_{k}", repr(score)),
             (run_id, "metric", "ndcg_popularity_baseline", repr(baseline)),
             (run_id, "metric", "lift_vs_popularity", repr(gain)),
         ]

@@ -45,7 +45,9 @@ def fill_defaults(df: DataFrame) -> DataFrame:
     return df.fillna({c: 0 for c in present})
 
 
-def gold_products(silver: DataFrame, products: DataFrame) -> DataFrame:
+def gold_products(
+    silver: DataFrame, products: DataFrame, min_interactions: int = S.MIN_INTERACTIONS
+) -> DataFrame:
     """Catalogue with statistics; products without rows get zeros and count as cold.
 
     The statistics are the side a left join can broadcast. Their size is that of the active
@@ -55,7 +57,7 @@ def gold_products(silver: DataFrame, products: DataFrame) -> DataFrame:
         "product_id", *FEATURES, "nb_interactions"
     )
     joined = fill_defaults(products.join(stats, "product_id", "left"))
-    return joined.withColumn("is_cold", S.is_cold(F.col("nb_interactions")))
+    return joined.withColumn("is_cold", S.is_cold(F.col("nb_interactions"), min_interactions))
 
 
 def gold_interactions(silver: DataFrame, stats: DataFrame | None = None) -> DataFrame:

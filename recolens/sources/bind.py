@@ -14,7 +14,9 @@ from recolens.functions import scalars as S
 from recolens.operators import bronze, gold, silver
 from recolens.operators.skew import ensure_checkpoint_dir
 
-VECTORS = 500  # vec_id runs 0..499 in every size of the tables that shares vectors
+#: Rows that make a product or user of the tables warm, where cold ones are wanted: about the median
+#: count, so that both kinds occur on the whole tables.
+SUPPORT = 32
 
 
 def _id(prefix: str, col: str) -> Column:
@@ -44,14 +46,9 @@ class Lake:
 
     # --- reviews and catalogue -----------------------------------------------------------
 
-    def reviews(self, sparse: bool = False, stream: bool = False) -> DataFrame:
-        """Order lines as reviews; every fiftieth order is delivered twice.
-
-        ``sparse`` keeps first lines only, which leaves cold users and products.
-        """
+    def reviews(self, stream: bool = False) -> DataFrame:
+        """Order lines as reviews; every fiftieth order is delivered twice."""
         lines = self.stream("lineitem") if stream else self.table("lineitem")
-        if sparse:
-            lines = lines.filter("l_linenumber = 1")
         part = self.table("part").select("p_partkey", F.col("p_type").alias("category"))
         orders = self.table("orders").select("o_orderkey", "o_custkey")
         order = F.col("l_orderkey")
@@ -84,20 +81,20 @@ class Lake:
             F.col("p_brand").alias("store"),
         )
 
-    def interactions(self, sparse: bool = False) -> DataFrame:
-        return bronze.bronze_interactions(self.reviews(sparse))
+    def interactions(self) -> DataFrame:
+        return bronze.bronze_interactions(self.reviews())
 
     def products(self) -> DataFrame:
         return bronze.bronze_products(self.metadata())
 
-    def users(self, sparse: bool = False) -> DataFrame:
-        return bronze.user_profile(self.interactions(sparse))
+    def users(self) -> DataFrame:
+        return bronze.user_profile(self.interactions())
 
-    def silver(self, sparse: bool = False) -> DataFrame:
-        return silver.silver_interactions(self.interactions(sparse))
+    def silver(self) -> DataFrame:
+        return silver.silver_interactions(self.interactions())
 
-    def gold_products(self, sparse: bool = False) -> DataFrame:
-        return gold.gold_products(self.silver(sparse), self.products())
+    def gold_products(self, min_interactions: int = S.MIN_INTERACTIONS) -> DataFrame:
+        return gold.gold_products(self.silver(), self.products(), min_interactions)
 
     def customers(self) -> DataFrame:
         return self.table("customer").select(_id("U", "c_custkey").alias("user_id"))
@@ -108,11 +105,13 @@ class Lake:
         vectors = self.table("embeddings").select(
             "vec_id", F.slice("embedding", start, 16).cast("array<float>").alias("vec")
         )
-        rows = self.table(table).withColumn("vec_id", key)
+        # Every vector is used; where there are more rows than vectors they repeat.
+        known = self.table("embeddings").agg(F.count(F.lit(1))).scalar()
+        rows = self.table(table).withColumn("vec_id", key % known)
         return rows.join(vectors, "vec_id").drop("vec_id")
 
     def product_vectors(self, start: int = 1) -> DataFrame:
-        return self._vectors("part", F.col("p_partkey") % VECTORS, start).select(
+        return self._vectors("part", F.col("p_partkey"), start).select(
             _id("P", "p_partkey").alias("product_id"),
             F.col("p_type").alias("category"),
             F.col("p_size").alias("size"),
@@ -120,7 +119,7 @@ class Lake:
         )
 
     def user_vectors(self) -> DataFrame:
-        return self._vectors("customer", (F.col("c_custkey") * 7 + 3) % VECTORS, 1).select(
+        return self._vectors("customer", F.col("c_custkey") * 7 + 3, 1).select(
             _id("U", "c_custkey").alias("user_id"), F.col("vec").alias("u")
         )
 
@@ -136,7 +135,7 @@ class Lake:
     def supported(self) -> DataFrame:
         from recolens.operators.cold_start import min_support_filter
 
-        return min_support_filter(self.interactions(sparse=True))
+        return min_support_filter(self.interactions(), SUPPORT)
 
     def factor_items(self) -> DataFrame:
         """Vectors standing in for factors: only products the support filter keeps."""

@@ -12,7 +12,7 @@ from recolens.sources import writers
 @pytest.fixture(scope="module")
 def base(spark, lake, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("lake"))
-    writers.write_partitioned(lake.reviews(True), f"{root}/raw/reviews")
+    writers.write_partitioned(lake.reviews(), f"{root}/raw/reviews")
     writers.write_partitioned(
         lake.metadata().withColumnRenamed("product_id", "parent_asin"), f"{root}/raw/meta"
     )
@@ -28,17 +28,17 @@ def test_bronze_rerun_skips_what_is_there(spark, lake, base):
     pl.run_bronze(spark, f"{raw}/reviews", f"{raw}/meta", base, limit=5)
     assert rows_of(spark.read.parquet(f"{base}/interactions")) == before
     pl.run_bronze(spark, f"{raw}/reviews", f"{raw}/meta", base)
-    assert rows_of(spark.read.parquet(f"{base}/interactions")) == rows_of(lake.interactions(True))
-    assert rows_of(spark.read.parquet(f"{base}/users")) == rows_of(lake.users(True))
+    assert rows_of(spark.read.parquet(f"{base}/interactions")) == rows_of(lake.interactions())
+    assert rows_of(spark.read.parquet(f"{base}/users")) == rows_of(lake.users())
 
 
 @pytest.mark.parametrize("hot_rows", [2_000_000, 8])
 def test_silver_finds_heavy_users_in_the_users_table(spark, lake, base, conf, hot_rows):
-    expected = rows_of(lake.silver(True))
+    expected = rows_of(lake.silver())
     conf("spark.recolens.hotKeyRows", hot_rows)
     counts = pl.run_silver(spark, base).first()
     assert rows_of(spark.read.parquet(f"{base}/silver/interactions")) == expected
-    assert counts.n_before == lake.interactions(True).count()
+    assert counts.n_before == lake.interactions().count()
     assert counts.n_after == len(expected)
 
 
@@ -47,7 +47,7 @@ def test_silver_gold_quality_drift(spark, lake, base):
     assert counts.n_before - counts.n_after == counts.n_removed > 0
     pl.run_gold(spark, base)
     gold = spark.read.parquet(f"{base}/gold/products")
-    assert rows_of(gold) == rows_of(lake.gold_products(True))
+    assert rows_of(gold) == rows_of(lake.gold_products())
     assert spark.read.parquet(f"{base}/gold/interactions").count() == counts.n_after
     summary = {r.table_name: (r.passed, r.total) for r in pl.run_quality(spark, base).collect()}
     assert summary["gold_products"] == (3, 3)
