@@ -69,6 +69,11 @@ def _scaled_popularity(products: DataFrame) -> DataFrame:
     return products.select("product_id", scaled.alias("scaled"))
 
 
+def _listed(popular: DataFrame) -> DataFrame:
+    size = popular.agg(F.count(F.lit(1))).scalar()
+    return popular.select("product_id", "rank", serve.popular_rank_score(F.col("rank"), size).alias("score"))
+
+
 # --- A: sources and sinks ----------------------------------------------------------------
 
 
@@ -526,10 +531,9 @@ simple("consecutive_months", lambda k: drift.consecutive_months(eda.distinct_mon
 SELECT month_a, month_b FROM month_pairs WHERE month_b IS NOT NULL""")
 simple(
     "popular_rank_score",
-    lambda k: cold_start.popular_global(k.interactions(), k.products()).select(
-        "product_id", "rank", serve.popular_rank_score(F.col("rank"), F.lit(500)).alias("score")
-    ),
-    "SELECT product_id, CAST(rank AS INTEGER) AS rank, round(1.0 - (rank - 1) / 500.0::DOUBLE, 4) AS score FROM popular",
+    lambda k: _listed(cold_start.popular_global(k.interactions(), k.products())),
+    """SELECT product_id, CAST(rank AS INTEGER) AS rank,
+              round(1.0 - (rank - 1) / CAST((SELECT count(*) FROM popular) AS DOUBLE), 4) AS score FROM popular""",
 )
 simple("top_products", lambda k: evaluate.top_products(evaluate.train_rows(evaluate.sampled_split(k.interactions()))), """
 SELECT product_id, nb_interactions, CAST(rank AS INTEGER) AS rank FROM top10""")
@@ -674,6 +678,20 @@ def _recommended(lake: Lake) -> DataFrame:
 
 simple("recommend", _recommended, """
 SELECT request_id, user_id, product_id, category, score, CAST(rank AS INTEGER) AS rank, source, is_cold_user FROM recommended""")
+simple(
+    "rejected_requests",
+    lambda k: serve.rejected_requests(k.recommend_requests().withColumn("n", F.col("n") * 5), serve.RECOMMEND_LIMITS)
+    .select("request_id", "n", "reason"),
+    "SELECT request_id, n * 5 AS n, 'n outside 1..100' AS reason FROM asks WHERE n * 5 > 100",
+)
+simple(
+    "unknown_products",
+    lambda k: serve.unknown_products(
+        k.feedback().select("product_id"), k.products().filter("category <> 'PROMO'")
+    ),
+    """SELECT DISTINCT product_id FROM feedback
+       WHERE product_id NOT IN (SELECT product_id FROM products WHERE category <> 'PROMO')""",
+)
 simple(
     "recommend_response",
     lambda k: serve.recommend_response(_recommended(k), k.users()).select(
@@ -842,10 +860,10 @@ simple("cache_hit_rate", lambda k: service.cache_hit_rate(k.requests()), f"""
 SELECT {_5M}, count(*) FILTER (cache_hit) AS hits, count(*) AS n_requests,
        round(count(*) FILTER (cache_hit) / count(*), 6) AS hit_rate FROM requests GROUP BY 1""")
 simple("ctr_rate", lambda k: service.ctr_rate(k.requests(), k.feedback()), """
-SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, n_requests, coalesce(n_feedback, 0) AS n_feedback,
-       round(coalesce(n_feedback, 0) / n_requests, 6) AS ctr
+SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, coalesce(n_requests, 0) AS n_requests,
+       coalesce(n_feedback, 0) AS n_feedback, round(coalesce(n_feedback, 0) / n_requests, 6) AS ctr
 FROM (SELECT date_trunc('hour', ts) AS w, count(*) AS n_requests FROM requests GROUP BY 1)
-LEFT JOIN (SELECT date_trunc('hour', ts) AS w, count(*) AS n_feedback FROM feedback GROUP BY 1) USING (w)""")
+FULL JOIN (SELECT date_trunc('hour', ts) AS w, count(*) AS n_feedback FROM feedback GROUP BY 1) USING (w)""")
 simple("variant_mismatch", lambda k: abtest.variant_mismatch(k.feedback()), """
 SELECT count(*) AS n_feedback, count(*) FILTER (ab_variant <> variant) AS n_mismatch,
        round(count(*) FILTER (ab_variant <> variant) / count(*), 6) AS mismatch_rate FROM feedback""")
@@ -903,13 +921,11 @@ simple(
 )
 simple(
     "diversify",
-    lambda k: serve.diversify(
-        serve.batch_recommend(k.user_vectors(), k.product_vectors(), 50), k.products()
-    ),
-    """SELECT user_id, product_id, category, score, CAST(row_number() OVER (PARTITION BY user_id ORDER BY rank) AS INTEGER) AS rank FROM (
-         SELECT *, row_number() OVER (PARTITION BY user_id, category ORDER BY rank) AS c FROM (
-           SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, product_id) AS rank FROM scores QUALIFY rank <= 50))
-       WHERE c <= 2 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY rank) <= 10""",
+    lambda k: serve.diversify(k.user_vectors(), k.product_vectors()),
+    """SELECT user_id, product_id, category, score,
+              CAST(row_number() OVER (PARTITION BY user_id ORDER BY score DESC, product_id) AS INTEGER) AS rank FROM (
+         SELECT *, row_number() OVER (PARTITION BY user_id, category ORDER BY score DESC, product_id) AS c FROM scores)
+       WHERE c <= 2 QUALIFY rank <= 10""",
 )
 simple(
     "ndcg_by_segment",

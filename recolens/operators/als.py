@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.ml.recommendation import ALS, ALSModel
@@ -13,7 +12,7 @@ from recolens.operators.skew import dense_index, ensure_checkpoint_dir
 
 RANK, ITERATIONS, REGULARISATION, ALPHA = 16, 15, 0.1, 1.0
 CHECKPOINT_EVERY = 5
-BLOCK_PAIRS, MAX_BLOCKS = 5_000_000, 2_000
+BLOCKS = 10
 MAX_INT_ID = 2**31 - 1
 
 
@@ -47,19 +46,16 @@ def als_fit(
     reg: float = REGULARISATION,
     alpha: float = ALPHA,
     seed: int = 42,
-    blocks: int | None = None,
+    blocks: int = BLOCKS,
 ) -> ALSModel:
     """Fit on (user_id_int, product_id_int, count); every fit is seeded.
 
-    The iterative lineage is cut by the estimator's own checkpoints.
+    The initial factors are drawn per block, so ``blocks`` belongs to the seed: it depends neither on
+    the table nor on the cluster. Raise it with the size of the factors. The iterative lineage is cut
+    by the estimator's own checkpoints.
     """
     spark = indexed.sparkSession
     ensure_checkpoint_dir(spark)
-    if blocks is None:
-        # More blocks mean more copies of the factors in every shuffle, so no more than the
-        # pairs need.
-        needed = math.ceil(indexed.count() / BLOCK_PAIRS)
-        blocks = min(max(spark.sparkContext.defaultParallelism // 2, needed, 1), MAX_BLOCKS)
     return ALS(
         rank=rank,
         maxIter=iterations,

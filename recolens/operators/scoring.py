@@ -76,7 +76,18 @@ def _best(steps: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return row[keep], col[keep], place[keep]
 
 
-def _scorer(exclude_self: bool, with_range: bool):
+def _best_of_each(steps: np.ndarray, codes: np.ndarray, most: int) -> np.ndarray:
+    """``steps`` with -inf for all but the ``most`` best cells per row and category code."""
+    out = np.full_like(steps, -np.inf)
+    for code in np.unique(codes):
+        columns = np.flatnonzero(codes == code)
+        part = steps[:, columns]
+        row, col, _ = _best(part, np.full(len(steps), most))
+        out[row, columns[col]] = part[row, col]
+    return out
+
+
+def _scorer(exclude_self: bool, with_range: bool, per_category: int | None):
     def score(key, left: pa.Table, right: pa.Table) -> pa.Table:
         rows: list[pa.Table] = []
         schema = pa.schema(
@@ -136,6 +147,8 @@ def _scorer(exclude_self: bool, with_range: bool):
             lo, hi = np.searchsorted(mask_q, [start, stop])
             steps[mask_q[lo:hi] - start, mask_i[lo:hi]] = -np.inf
 
+            if per_category:
+                steps = _best_of_each(steps, codes, per_category)
             r, c, place = _best(steps, limit[start:stop])
             columns = [
                 query_ids.take(pa.array(r + start)),
@@ -173,11 +186,12 @@ def top_items(
     with_range: bool = False,
     query_block: int = QUERY_BLOCK,
     item_block: int = ITEM_BLOCK,
+    per_category: int | None = None,
 ) -> DataFrame:
     """Best items per query by inner product.
 
-    ``queries``: query_id (unique), vec; optional n (limit per query, at most ``k``, which
-    holds otherwise) and category (NULL: all). ``items``: product_id (unique), vec; optional
+    ``queries``: query_id (unique), vec; optional n (limit per query, ``k`` where null; more than ``k``
+    is an error) and category (NULL: all). ``items``: product_id (unique), vec; optional
     category and is_cold, which come along in the result.
     ``masked``: (query_id, product_id) pairs to leave out, in any number.
 
@@ -212,7 +226,7 @@ def top_items(
         "query_id",
         none.cast("string").alias("product_id"),
         (F.col("category") if "category" in wants else none).cast("string").alias("category"),
-        (F.least("n", F.lit(k)) if "n" in wants else F.lit(k)).cast("int").alias("n"),
+        (_limit(k) if "n" in wants else F.lit(k)).cast("int").alias("n"),
         F.col("vec").cast("array<float>").alias("vec"),
     )
     if masked is not None:
@@ -240,12 +254,17 @@ def top_items(
     scored = (
         left.groupBy("qb", "ib")
         .cogroup(right.groupBy("qb", "ib"))
-        .applyInArrow(_scorer(exclude_self, with_range), _OUT)
+        .applyInArrow(_scorer(exclude_self, with_range, per_category), _OUT)
     )
-    return (scored if ib == 1 else _merge(scored, with_range)).drop("n")
+    return (scored if ib == 1 else _merge(scored, with_range, per_category)).drop("n")
+
+
+def _limit(k: int):
+    asked = F.raise_error(F.lit(f"a query asks for more than k = {k} items")).cast("int")
+    return F.when(F.col("n") > k, asked).otherwise(F.coalesce("n", F.lit(k)))
 
 
-def _merge(scored: DataFrame, with_range: bool) -> DataFrame:
+def _merge(scored: DataFrame, with_range: bool, per_category: int | None) -> DataFrame:
     """Combine the winners of several item blocks: at most n rows per query and block."""
     query = Window.partitionBy("query_id")
     if with_range:
@@ -259,4 +278,7 @@ def _merge(scored: DataFrame, with_range: bool) -> DataFrame:
             }
         )
     best = query.orderBy(F.col("score").desc(), "product_id")
+    if per_category:
+        inside = Window.partitionBy("query_id", "category").orderBy(F.col("score").desc(), "product_id")
+        scored = scored.withColumn("rank", F.row_number().over(inside)).filter(F.col("rank") <= per_category)
     return scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= F.col("n"))

@@ -63,6 +63,18 @@ def valid_requests(requests: DataFrame, limits: tuple[int, int]) -> DataFrame:
     return requests.filter(F.col("n").between(*limits))
 
 
+def rejected_requests(requests: DataFrame, limits: tuple[int, int]) -> DataFrame:
+    """The other requests, with the reason why they get no answer."""
+    inside = F.coalesce(F.col("n").between(*limits), F.lit(False))
+    return requests.filter(~inside).withColumn("reason", F.lit(f"n outside {limits[0]}..{limits[1]}"))
+
+
+def unknown_products(wanted: DataFrame, products: DataFrame) -> DataFrame:
+    """Wanted ids the catalogue doesn't have; :func:`similar_items` has no rows for them."""
+    asked = wanted.filter(F.col("product_id").isNotNull()).select("product_id").distinct()
+    return asked.join(products.select("product_id"), "product_id", "left_anti")
+
+
 def recommend(
     requests: DataFrame,
     users: DataFrame,
@@ -214,22 +226,15 @@ def hybrid_score(
 
 
 def diversify(
-    recs: DataFrame, products: DataFrame, max_per_category: int = 2, n: int = 10
+    users: DataFrame, products: DataFrame, max_per_category: int = 2, n: int = 10, **blocks
 ) -> DataFrame:
-    """Best n of a ranked list with at most ``max_per_category`` items of one category."""
-    tagged = recs.select("user_id", "product_id", "score", "rank").join(
-        products.select("product_id", "category"), "product_id"
-    )
-    within = Window.partitionBy("user_id", "category").orderBy("rank")
-    overall = Window.partitionBy("user_id").orderBy("rank")
-    return (
-        tagged.withColumn("__c", F.row_number().over(within))
-        .filter(F.col("__c") <= max_per_category)
-        .drop("__c")
-        .withColumn("new_rank", F.row_number().over(overall))
-        .filter(F.col("new_rank") <= n)
-        .select("user_id", "product_id", "category", "score", F.col("new_rank").alias("rank"))
-    )
+    """Best n products of every user with at most ``max_per_category`` of one category.
+
+    Exact: the scorer keeps the best of each category, so no prefix of a list decides. Products
+    without a category count as one category.
+    """
+    recs = top_items(_queries(users), _items(products), n, per_category=max_per_category, **blocks)
+    return recs.select(F.col("query_id").alias("user_id"), "product_id", "category", "score", "rank")
 
 
 def precompute_top(

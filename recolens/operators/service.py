@@ -58,12 +58,8 @@ def cache_hit_rate(requests: DataFrame, window: str = FIVE_MINUTES) -> DataFrame
 
 
 def ctr_rate(requests: DataFrame, feedback: DataFrame, window: str = ONE_HOUR) -> DataFrame:
-    """Feedback posts per recommendation request."""
+    """Feedback posts per recommendation request; windows with posts alone have no rate."""
     asked = requests.groupBy(_bucket(window)).agg(F.count(F.lit(1)).alias("n_requests"))
     posted = feedback.groupBy(_bucket(window)).agg(F.count(F.lit(1)).alias("n_feedback"))
-    return asked.join(posted, "window_start", "left").select(
-        "window_start",
-        "n_requests",
-        F.coalesce("n_feedback", F.lit(0)).alias("n_feedback"),
-        (F.coalesce("n_feedback", F.lit(0)) / F.col("n_requests").cast("double")).alias("ctr"),
-    )
+    both = asked.join(posted, "window_start", "full").fillna(0, ["n_requests", "n_feedback"])
+    return both.withColumn("ctr", F.try_divide(F.col("n_feedback").cast("double"), "n_requests"))

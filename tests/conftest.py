@@ -51,46 +51,38 @@ def conf(spark):
 
 @pytest.fixture
 def shop(spark):
-    """Ten products (last two cold), five users, two of them with a history."""
-    rng = np.random.default_rng(42)
-    ids = [f"PROD_{i:03d}" for i in range(10)]
-    p = rng.standard_normal((10, 16)).astype(np.float32)
-    u = rng.standard_normal((5, 16)).astype(np.float32)
-    segments = ["power_user", "regular_user", "casual_user", "regular_user", "casual_user"]
-    products = spark.createDataFrame(
-        [
-            (pid, "All_Beauty" if i < 5 else "Appliances", i >= 8, p[i].tolist())
-            for i, pid in enumerate(ids)
-        ],
-        "product_id string, category string, is_cold boolean, p array<float>",
-    )
-    users = spark.createDataFrame(
-        [(f"USER_{i:03d}", segments[i], u[i].tolist()) for i in range(5)],
-        "user_id string, segment string, u array<float>",
-    )
-    seen = spark.createDataFrame(
-        [("USER_000", "PROD_000"), ("USER_000", "PROD_001"), ("USER_001", "PROD_002")],
-        "user_id string, product_id string",
-    )
-    popular = products.filter(F.col("product_id") < "PROD_005").select(
-        "product_id", "category", (F.substring("product_id", -1, 1).cast("int") + 1).alias("rank")
-    )
+    """A small stall with small whole-number vectors: twins that always tie, a product without any
+    direction, one without a category, a user who has seen nothing and a category nobody sells."""
+    kinds = dict.fromkeys(("c1", "c2", "c3", "c4"), "cups") | dict.fromkeys(("m1", "m2", "m3"), "mats") | {"x9": None}
+    ids = sorted(kinds)
+    p = np.array([[(3 * i + 5 * d + i * d) % 7 - 3 for d in range(16)] for i in range(len(ids))], np.float32)
+    p[ids.index("m2")] = p[ids.index("m1")]
+    p[ids.index("c4")] = 0
+    names = {"ann": "power_user", "bob": "casual_user", "cyd": "regular_user"}
+    u = np.array([[(2 * k + d) % 5 - 2 for d in range(16)] for k in range(len(names))], np.float32)
+    late = {"c4", "x9"}
 
     class Shop:
         pass
 
     s = Shop()
-    s.products, s.users, s.seen, s.popular, s.p, s.u, s.ids = (
-        products, users, seen, popular, p, u, ids,
+    s.ids, s.p, s.u, s.kinds, s.late, s.names = ids, p, u, kinds, late, list(names)
+    s.products = spark.createDataFrame(
+        [(i, kinds[i], i in late, v.tolist()) for i, v in zip(ids, p)],
+        "product_id string, category string, is_cold boolean, p array<float>",
+    )
+    s.users = spark.createDataFrame(
+        [(n, names[n], v.tolist()) for n, v in zip(names, u)], "user_id string, segment string, u array<float>"
+    )
+    s.seen = spark.createDataFrame([("ann", "m1"), ("ann", "c2"), ("cyd", "x9")], "user_id string, product_id string")
+    s.popular = spark.createDataFrame(
+        [("m2", "mats", 1), ("c1", "cups", 2), ("m1", "mats", 3), ("c3", "cups", 4)],
+        "product_id string, category string, rank int",
+    )
+    s.requests = lambda *rows: spark.createDataFrame(
+        [(f"R{i}", *r) for i, r in enumerate(rows)],
+        "request_id string, user_id string, n int, category string, exclude_seen boolean",
     )
-
-    def requests(*rows):
-        return spark.createDataFrame(
-            [(f"R{i}", *r) for i, r in enumerate(rows)],
-            "request_id string, user_id string, n int, category string, exclude_seen boolean",
-        )
-
-    s.requests = requests
     return s
 
 

@@ -1,11 +1,10 @@
-"""Recommendation, similarity and fallback behaviour on the ten-product shop."""
+"""Recommendation, similarity and fallback behaviour on the small stall of conftest."""
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from recolens.functions.vectors import zeros
-from recolens.operators import cold_start, quality, serve
+from recolens.operators import cold_start, quality, scoring, serve
 
 
 def run(shop, *requests):
@@ -14,79 +13,83 @@ def run(shop, *requests):
     )
 
 
-def test_known_user_gets_personal_items(shop):
-    recs = run(shop, ("USER_000", 5, None, False))
-    rows = recs.orderBy("rank").collect()
-    assert [r["rank"] for r in rows] == [1, 2, 3, 4, 5]
-    assert {r.source for r in rows} <= {"als", "bridge"} and not rows[0].is_cold_user
-    raw = shop.p.astype(float) @ shop.u[0].astype(float)
-    assert [r.product_id for r in rows] == [shop.ids[i] for i in np.argsort(-raw)[:5]]
-    scaled = (raw - raw.min()) / (raw.max() - raw.min() + 1e-8)
-    assert np.allclose([r.score for r in rows], np.sort(scaled)[::-1][:5], atol=1e-5)
-    assert all(r.source == ("bridge" if r.product_id >= "PROD_008" else "als") for r in rows)
+def raw_scores(shop, user):
+    """{product_id: inner product} of one user."""
+    return dict(zip(shop.ids, (shop.p.astype(float) @ shop.u[shop.names.index(user)]).tolist()))
 
 
-def test_response_carries_segment_and_ranked_items(shop):
-    recs = run(shop, ("USER_000", 3, None, False), ("NOBODY", 2, None, True))
-    rows = {r.user_id: r for r in serve.recommend_response(recs, shop.users).collect()}
-    assert rows["USER_000"].segment == "power_user"
-    assert rows["NOBODY"].segment == "casual_user"
-    assert [i["rank"] for i in rows["USER_000"].recommendations] == [1, 2, 3]
+def best(scores, n=None):
+    """Ids by falling score, ties to the smaller id."""
+    return sorted(scores, key=lambda i: (-round(scores[i], 6), i))[:n]
 
 
-def test_unknown_user_gets_popular_items(shop):
-    rows = run(shop, ("NOBODY", 3, None, False)).orderBy("rank").collect()
-    assert [r.product_id for r in rows] == shop.ids[:3]
-    assert [r.score for r in rows] == [1.0, 0.6667, 0.3333]
-    assert all(r.source == "popular" and r.is_cold_user for r in rows)
+@pytest.mark.parametrize("user", ["ann", "bob", "cyd"])
+def test_known_users_get_their_best_products_scaled(shop, user):
+    rows = run(shop, (user, 6, None, False)).orderBy("rank").collect()
+    scores = raw_scores(shop, user)
+    assert [r["rank"] for r in rows] == list(range(1, 7))
+    assert [r.product_id for r in rows] == best(scores, 6)
+    low, high = min(scores.values()), max(scores.values())
+    assert np.allclose([r.score for r in rows], [(scores[r.product_id] - low) / (high - low + 1e-8) for r in rows], atol=1e-6)
+    assert all(r.source == ("bridge" if r.product_id in shop.late else "als") and not r.is_cold_user for r in rows)
+    assert all(r.category == (shop.kinds[r.product_id] or "") for r in rows)
 
 
-def test_unknown_user_with_category_and_without_candidates(shop):
-    rows = run(shop, ("N1", 10, "All_Beauty", False), ("N2", 10, "Appliances", False)).collect()
-    assert {r.user_id for r in rows} == {"N1"} and len(rows) == 5
+def test_twins_tie_and_the_smaller_id_wins(shop):
+    rows = {r.product_id: r for r in run(shop, ("bob", 8, None, False)).collect()}
+    assert rows["m1"].score == rows["m2"].score and rows["m2"]["rank"] == rows["m1"]["rank"] + 1
 
 
-def test_seen_items_are_excluded_only_on_request(shop):
-    rows = run(shop, ("USER_000", 10, None, True), ("USER_000", 10, None, False)).collect()
-    kept = {r.product_id for r in rows if r.request_id == "R0"}
-    assert kept == set(shop.ids) - {"PROD_000", "PROD_001"}
-    assert {r.product_id for r in rows if r.request_id == "R1"} == set(shop.ids)
+def test_response_carries_segment_and_ranked_items(shop):
+    recs = run(shop, ("cyd", 2, None, False), ("stranger", 3, None, True))
+    rows = {r.user_id: r for r in serve.recommend_response(recs, shop.users).collect()}
+    assert (rows["cyd"].segment, rows["stranger"].segment) == ("regular_user", "casual_user")
+    assert [i["rank"] for i in rows["cyd"].recommendations] == [1, 2]
+    assert [i["product_id"] for i in rows["stranger"].recommendations] == ["m2", "c1", "m1"]
 
 
-def test_category_filter(shop):
-    rows = run(shop, ("USER_001", 10, "Appliances", True), ("USER_001", 5, "Nothing", True)).collect()
-    assert {r.category for r in rows} == {"Appliances"} and len(rows) == 5
+def test_strangers_get_the_popular_list_of_their_scope(shop):
+    rows = run(shop, ("s1", 2, None, False), ("s2", 9, "cups", False), ("s3", 9, "rugs", False)).collect()
+    got = {}
+    for r in sorted(rows, key=lambda r: r["rank"]):
+        got.setdefault(r.user_id, []).append((r.product_id, r.score))
+    assert got == {"s1": [("m2", 1.0), ("c1", 0.5)], "s2": [("c1", 1.0), ("c3", 0.5)]}
+    assert all(r.source == "popular" and r.is_cold_user for r in rows)
 
 
-@pytest.mark.parametrize("n", [0, 101])
-def test_requests_outside_the_bounds_are_refused(shop, n):
-    assert run(shop, ("USER_000", n, None, False)).count() == 0
+def test_seen_products_and_categories_filter_before_ranking(shop):
+    rows = run(shop, ("ann", 9, None, True), ("ann", 9, "mats", True), ("ann", 9, None, False), ("ann", 9, "rugs", False)).collect()
+    ids = {k: {r.product_id for r in rows if r.request_id == k} for k in ("R0", "R1", "R2", "R3")}
+    assert ids == {"R0": set(shop.ids) - {"m1", "c2"}, "R1": {"m2", "m3"}, "R2": set(shop.ids), "R3": set()}
 
 
-def test_similar_items_exclude_self_and_rank_by_cosine(shop):
-    rows = serve.similar_items(shop.products, 3).collect()
-    assert len(rows) == 30 and all(r.product_id != r.similar_id for r in rows)
-    unit = shop.p / np.linalg.norm(shop.p, axis=1, keepdims=True)
-    cos = unit.astype(float) @ unit.astype(float).T
-    np.fill_diagonal(cos, -1)
-    for i, pid in enumerate(shop.ids):
-        mine = sorted((r for r in rows if r.product_id == pid), key=lambda r: r["rank"])
-        assert [r.similar_id for r in mine] == [shop.ids[j] for j in np.argsort(-cos[i])[:3]]
-        assert all(0.0 <= r.score <= 1.0 for r in mine)
+@pytest.mark.parametrize("n", [-1, 0, 101, None])
+def test_refused_requests_come_back_with_a_reason(shop, n):
+    asked = shop.requests(("bob", n, None, False), ("bob", 1, None, False))
+    assert serve.recommend(asked, shop.users, shop.products, shop.popular, shop.seen).count() == 1
+    refused = serve.rejected_requests(asked, serve.RECOMMEND_LIMITS).collect()
+    assert [(r.request_id, r.reason) for r in refused] == [("R0", "n outside 1..100")]
 
 
-def test_similar_items_for_wanted_ids_unknown_gives_nothing(spark, shop):
-    wanted = spark.createDataFrame([("PROD_000",), ("UNKNOWN",)], "product_id string")
-    rows = serve.similar_items(shop.products, 4, wanted).collect()
-    assert {r.product_id for r in rows} == {"PROD_000"} and len(rows) == 4
+def test_similar_products_leave_out_the_product_itself(shop):
+    rows = serve.similar_items(shop.products, 4).collect()
+    assert len(rows) == 4 * len(shop.ids) and all(r.product_id != r.similar_id for r in rows)
+    length = np.linalg.norm(shop.p, axis=1, keepdims=True)
+    unit = np.divide(shop.p, length, out=np.zeros_like(shop.p), where=length > 0).astype(float)
+    for i, own in enumerate(shop.ids):
+        cos = {o: c for o, c in zip(shop.ids, (unit @ unit[i]).tolist()) if o != own}
+        mine = sorted((r for r in rows if r.product_id == own), key=lambda r: r["rank"])
+        assert [r.similar_id for r in mine] == best(cos, 4)
+        assert all(0.0 <= r.score <= 1.0 for r in mine)
+    assert next(r for r in rows if r.product_id == "m1" and r["rank"] == 1).similar_id == "m2"
+    assert all(r.score == 0.0 for r in rows if r.product_id == "c4")  # no direction, no likeness
 
 
-def test_zero_vector_scores_zero(shop):
-    blank = shop.products.withColumn(
-        "p", F.when(F.col("product_id") == "PROD_000", zeros()).otherwise(F.col("p"))
-    )
-    rows = serve.similar_items(blank, 9).filter("product_id = 'PROD_000'").collect()
-    assert len(rows) == 9 and all(r.score == 0.0 for r in rows)
+def test_unknown_ids_are_an_outcome(spark, shop):
+    wanted = spark.createDataFrame([("c3",), ("gone",), ("gone",), (None,)], "product_id string")
+    rows = serve.similar_items(shop.products, 2, wanted).collect()
+    assert {r.product_id for r in rows} == {"c3"} and len(rows) == 2
+    assert [r.product_id for r in serve.unknown_products(wanted, shop.products).collect()] == ["gone"]
 
 
 @pytest.mark.parametrize("n", [0, 51])
@@ -95,39 +98,52 @@ def test_similar_bounds(shop, n):
         serve.similar_items(shop.products, n)
 
 
-def test_batch_recommend_ranks_everything_for_everyone(shop):
-    recs = serve.batch_recommend(shop.users, shop.products, 10, "2026-01-01 00:00:00")
-    assert recs.count() == 50
-    summary = serve.recs_summary(recs).first()
+def test_batch_lists_cover_every_user_and_product(shop):
+    recs = serve.batch_recommend(shop.users, shop.products, 20, "2031-05-06 07:08:09")
     raw = shop.u.astype(float) @ shop.p.astype(float).T
-    assert summary.n_recommendations == 50 and abs(summary.avg_score - raw.mean()) < 1e-5
-    assert {str(r.generated_at) for r in recs.collect()} == {"2026-01-01 00:00:00"}
+    summary = serve.recs_summary(recs).first()
+    assert summary.n_recommendations == raw.size and abs(summary.avg_score - raw.mean()) < 1e-5
+    assert {str(r.generated_at) for r in recs.collect()} == {"2031-05-06 07:08:09"}
+
+
+def test_asking_for_more_than_the_list_length_fails_loudly(shop):
+    asked = shop.users.select(F.col("user_id").alias("query_id"), F.col("u").alias("vec"), F.lit(9).alias("n"))
+    items = shop.products.select("product_id", F.col("p").alias("vec"))
+    with pytest.raises(Exception, match="more than k"):
+        scoring.top_items(asked, items, 8).collect()
+    assert scoring.top_items(asked, items, 9).count() == len(shop.names) * len(shop.ids)
 
 
 def test_scores_pass_their_own_quality_check(shop):
-    recs = run(shop, ("USER_000", 10, None, True), ("NOBODY", 3, None, False))
+    recs = run(shop, ("ann", 9, None, True), ("stranger", 3, None, False))
     assert all(r.success for r in quality.dq_scores(recs).collect())
 
 
-def test_diversify_limits_a_category(shop):
-    recs = serve.batch_recommend(shop.users, shop.products, 10)
-    rows = serve.diversify(recs, shop.products, max_per_category=2, n=4).collect()
-    assert len(rows) == 20
-    for user in {r.user_id for r in rows}:
-        mine = [r for r in rows if r.user_id == user]
-        assert sorted(r["rank"] for r in mine) == [1, 2, 3, 4]
-        assert sum(r.category == "All_Beauty" for r in mine) == 2
+@pytest.mark.parametrize("blocks", [{}, {"item_block": 3}])
+@pytest.mark.parametrize("cap,n", [(1, 10), (2, 4), (3, 2)])
+def test_diversify_is_exact(shop, blocks, cap, n):
+    got = {}
+    for r in serve.diversify(shop.users, shop.products, cap, n, **blocks).orderBy("rank").collect():
+        got.setdefault(r.user_id, []).append(r.product_id)
+    for user in shop.names:
+        want, held = [], {}
+        for i in best(raw_scores(shop, user)):
+            held[shop.kinds[i]] = held.get(shop.kinds[i], 0) + 1
+            if held[shop.kinds[i]] <= cap and len(want) < n:
+                want.append(i)
+        assert got[user] == want
 
 
 def test_hybrid_uses_what_exists(spark, shop):
-    a = shop.products.filter("product_id < 'PROD_006'").select("product_id", "p")
-    b = shop.products.filter("product_id >= 'PROD_004'").select(
-        "product_id", F.transform("p", lambda x: x * 2).alias("p")
+    a = shop.products.filter("category = 'cups'").select("product_id", "p")
+    b = shop.products.filter("product_id in ('c3', 'm3')").select(
+        "product_id", F.transform("p", lambda x: x + 1).alias("p")
     )
-    mixed = {r.product_id: r.p for r in serve.hybrid_products(a, b, 0.25).collect()}
-    assert np.allclose(mixed["PROD_000"], shop.p[0])
-    assert np.allclose(mixed["PROD_009"], shop.p[9] * 2)
-    assert np.allclose(mixed["PROD_005"], shop.p[5] * 0.25 + shop.p[5] * 2 * 0.75, atol=1e-6)
+    mixed = {r.product_id: np.array(r.p) for r in serve.hybrid_products(a, b, 0.75).collect()}
+    at = dict(zip(shop.ids, shop.p))
+    assert set(mixed) == {"c1", "c2", "c3", "c4", "m3"}
+    assert np.allclose(mixed["c1"], at["c1"]) and np.allclose(mixed["m3"], at["m3"] + 1)
+    assert np.allclose(mixed["c3"], at["c3"] + 0.25, atol=1e-6)
 
 
 def test_cold_user_falls_back_to_global_list(spark):
