@@ -14,7 +14,7 @@ from recolens.operators import (
 )
 from recolens.sources import readers, writers
 from recolens.sources.bind import SUPPORT, Lake
-from recolens.streaming import logs
+from recolens.streaming import logs, partials
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -1004,11 +1004,17 @@ def _(lake: Lake) -> DataFrame:
     return users.join(_state(lake, logs.ab_clicks(accepted), "ab_variant"), "ab_variant")
 
 
+def _partials(lake: Lake, stream: DataFrame, partial) -> DataFrame:
+    path = lake.scratch("partials")
+    _finished(lake, partials.start_partials(stream, partial, path, lake.scratch("stream")))
+    return lake.spark.read.parquet(path)
+
+
 simple(
     "stream_service_metrics",
-    lambda k: _state(k, logs.service_latency(logs.with_event_time(k.requests(True))), "window_start")
-    .select("window_start", "n_requests", "hits"),
-    f"""SELECT {_5M}, count(*) AS n_requests, count(*) FILTER (cache_hit) AS hits FROM requests GROUP BY 1""",
+    lambda k: partials.merge_latency(_partials(k, k.requests(True), partials.latency)),
+    f"""SELECT {_5M}, count(*) AS n_requests, count(*) FILTER (cache_hit) AS hits,
+               round(quantile_cont(latency_ms, 0.95), 6) AS latency_p95 FROM requests GROUP BY 1""",
 )
 
 
@@ -1019,28 +1025,27 @@ SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start,
 FROM ev WHERE event_type <> 'signup' GROUP BY 1""")
 def _(lake: Lake) -> DataFrame:
     events = lake.events(True).filter("event_type <> 'signup'")
-    posts = events.select("ts", (F.col("event_type") == "view").alias("is_request"))
-    return _state(lake, logs.service_ctr(logs.with_event_time(posts)), "window_start")
+    posts = events.select(F.col("ts").cast("timestamp").alias("ts"), (F.col("event_type") == "view").alias("is_request"))
+    return partials.merge_clicks(_partials(lake, posts, partials.clicks))
 
 
 def _timed_interactions(lake: Lake) -> DataFrame:
     rows = bronze.bronze_interactions(lake.reviews(stream=True))
-    return logs.with_event_time(
-        silver.drop_null_keys(rows).withColumn("ts", S.event_time(F.col("timestamp")))
-    )
+    return silver.drop_null_keys(rows).withColumn("ts", S.event_time(F.col("timestamp")))
 
 
 simple(
     "stream_dedup",
-    lambda k: _files(k, logs.dedup_stream(_timed_interactions(k)), "dedup").select(
-        "user_id", "product_id", "timestamp"
-    ),
+    lambda k: partials.dedup(
+        _partials(k, _timed_interactions(k).drop("ts"), partials.dedup).drop("batch_id")
+    ).select("user_id", "product_id", "timestamp"),
     "SELECT user_id, product_id, timestamp FROM dedup",
 )
 simple(
     "stream_popularity",
-    lambda k: _state(k, logs.popularity_stream(_timed_interactions(k), "30 days"),
-                     "window_start", "category", "product_id"),
+    lambda k: partials.merge_popularity(
+        _partials(k, _timed_interactions(k), lambda rows: partials.popularity(rows, "30 days"))
+    ),
     """SELECT strftime(time_bucket(INTERVAL '30 days', make_timestamp(timestamp * 1000), TIMESTAMP '1970-01-01'), '%Y-%m-%d %H:%M:%S') AS window_start,
               category, product_id, count(*) AS nb_interactions FROM interactions
        WHERE user_id IS NOT NULL AND product_id IS NOT NULL GROUP BY ALL""",

@@ -14,17 +14,25 @@ def _bucket(size: str):
     return F.window("ts", size)["start"].alias("window_start")
 
 
+def latency_counts(requests: DataFrame, window: str = FIVE_MINUTES) -> DataFrame:
+    """Rows and cache hits per (window, latency)."""
+    return requests.groupBy(_bucket(window), F.col("latency_ms").alias("x")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("cache_hit").alias("hits")
+    )
+
+
 def latency_p95(requests: DataFrame, window: str = FIVE_MINUTES, q: float = QUANTILE) -> DataFrame:
-    """Exact, interpolated latency quantile per window.
-
-    Rows are counted per (window, latency); the quantile is read off the running counts,
-    and a window with very many distinct latencies is cut into range pieces.
-    """
-    counts = cut(
-        requests.filter(F.col("latency_ms").isNotNull())
-        .groupBy(_bucket(window), F.col("latency_ms").alias("x"))
-        .agg(F.count(F.lit(1)).alias("n"))
+    """Exact, interpolated latency quantile per window."""
+    counts = requests.filter(F.col("latency_ms").isNotNull()).groupBy(
+        _bucket(window), F.col("latency_ms").alias("x")
     )
+    return latency_of_counts(counts.agg(F.count(F.lit(1)).alias("n")), q)
+
+
+def latency_of_counts(counts: DataFrame, q: float = QUANTILE) -> DataFrame:
+    """The quantile read off the running counts of (window_start, x, n) rows; a window with very many
+    distinct latencies is cut into range pieces."""
+    counts = cut(counts)
     totals = counts.groupBy("window_start").agg(F.sum("n").alias("total"))
     walked = running_sums(counts, ["window_start"], "x", {"upto": "n"}).join(
         totals, "window_start"

@@ -15,7 +15,7 @@ Settings (session configuration):
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -37,16 +37,25 @@ def hot_key_rows(spark: SparkSession) -> int:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; fall back only for a local session."""
+    """Use the folder that ``spark.checkpoint.dir`` names; where it is unset, a folder in the
+    warehouse, which driver and executors share in any deployment."""
     context = spark.sparkContext
     if context.getCheckpointDir():
         return
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="recolens-checkpoint-")
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     context.setCheckpointDir(shared)
+    atexit.register(delete_folder, spark, context.getCheckpointDir())
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete what this session has checkpointed or put there; nothing if the session has ended."""
+    try:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    except Exception:
+        return
 
 
 def cut(df: DataFrame) -> DataFrame:

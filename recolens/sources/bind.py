@@ -32,17 +32,17 @@ class Lake:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def stream(self, name: str) -> DataFrame:
-        """The same table as a stream over its file."""
-        schema = self.table(name).schema
-        return self.spark.readStream.schema(schema).parquet(f"{self.folder}/{name}*.parquet")
+    def stream(self, name: str, files: int = 6) -> DataFrame:
+        """The same table as a stream: its rows shuffled over several files, one file per trigger."""
+        rows, path = self.table(name), self.scratch(f"{name}-log")
+        rows.repartition(files, F.xxhash64(*rows.columns)).write.parquet(path)
+        return self.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
     def scratch(self, name: str) -> str:
         """A new folder for a written table, in the folder all executors share."""
         ensure_checkpoint_dir(self.spark)
-        shared = self.spark.conf.get("spark.checkpoint.dir", None)
-        shared = shared or self.spark.sparkContext.getCheckpointDir()
-        return f"{shared}/recolens-{uuid.uuid4().hex}/{name}"
+        # The context's own folder inside the shared one; it goes when the session ends.
+        return f"{self.spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}/{name}"
 
     # --- reviews and catalogue -----------------------------------------------------------
 

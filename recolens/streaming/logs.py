@@ -10,8 +10,6 @@ from recolens.functions import scalars as S
 from recolens.operators.abtest import POSITIVE, judge_feedback
 from recolens.operators.service import FIVE_MINUTES, ONE_HOUR, QUANTILE
 
-WATERMARK = "10 minutes"
-
 
 def read_log(
     spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
@@ -24,8 +22,12 @@ def read_log(
     return reader.load(path)
 
 
-def with_event_time(stream: DataFrame, delay: str = WATERMARK, col: str = "ts") -> DataFrame:
-    """Watermarked event time; zone-less timestamps are read in the session zone."""
+def with_event_time(stream: DataFrame, delay: str, col: str = "ts") -> DataFrame:
+    """Watermarked event time; zone-less timestamps are read in the session zone.
+
+    Rows that arrive more than ``delay`` behind the newest one are dropped by what follows. Where no
+    row may be lost, use :mod:`recolens.streaming.partials`, which needs no watermark.
+    """
     return stream.withColumn(col, F.col(col).cast("timestamp")).withWatermark(col, delay)
 
 
