@@ -146,10 +146,13 @@ class Lattices:
         lengths.append(follow[bare])
         ids.append(np.full(len(bare), -1))
         weights.append(pieces_.byte_weight * follow[bare])
-        p, size, of, w = (np.concatenate(x) for x in (froms, lengths, ids, weights))
+        p = np.concatenate(froms)
         order = np.argsort(p, kind="stable")
-        self.node, self.size, self.id, w = p[order], size[order], of[order], w[order]
-        self.bytes_of = source[self.node]
+        self.node = p[order]
+        self.size = np.concatenate(lengths).astype(np.int32)[order]
+        self.id = np.concatenate(ids).astype(np.int32)[order]
+        w = np.concatenate(weights)[order]
+        del p, froms, lengths, ids, weights, order, source, values, active, sums, hashes
         self.first_edge = np.searchsorted(self.node, np.arange(nodes + 1))
         # Backward sums, all nodes with the same distance to their unit's end at once.
         mass = np.zeros(nodes)
