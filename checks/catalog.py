@@ -262,9 +262,27 @@ simple("validate_feedback", lambda k: abtest.validate_feedback(k.raw_feedback())
 simple("rejected_feedback", lambda k: abtest.validate_feedback(k.raw_feedback())[1], f"""
 SELECT {_FB}, 'invalid interaction_type' AS reason FROM raw_feedback
 WHERE interaction_type NOT IN ('click', 'purchase', 'skip')""")
-simple("validate_scores", lambda k: quality.dq_scores(_recommended(k)), """
-SELECT 'recommendations' AS table_name, unnest(['score_between', 'source_in_set', 'row_count']) AS check_name,
-       0::BIGINT AS failed, count(*) AS total, true AS success FROM recommended""")
+
+
+def _spoiled(recs: DataFrame) -> DataFrame:
+    """Recommendations of which some break the checks: ranks 2 lose their score, 3 are scaled, 4 relabelled."""
+    rank = F.col("rank")
+    return recs.withColumns(
+        {
+            "score": F.when(rank == 3, F.col("score") * 2 + 0.5).when(rank != 2, F.col("score")),
+            "source": F.when(rank == 4, "other").otherwise(F.col("source")),
+        }
+    )
+
+
+simple("validate_scores", lambda k: quality.dq_scores(_spoiled(_recommended(k))), """
+SELECT 'recommendations' AS table_name, c.check_name, c.failed, t.total, c.failed = 0 AS success FROM (
+  SELECT count(*) AS total, count(*) FILTER (score IS NULL OR score NOT BETWEEN 0 AND 1) AS f1,
+         count(*) FILTER (source NOT IN ('als', 'bridge', 'popular')) AS f2 FROM (
+    SELECT CASE WHEN rank = 3 THEN score * 2 + 0.5 WHEN rank <> 2 THEN score END AS score,
+           CASE WHEN rank = 4 THEN 'other' ELSE source END AS source FROM recommended)) t,
+  LATERAL (SELECT 'score_between' AS check_name, t.f1 AS failed UNION ALL SELECT 'source_in_set', t.f2
+           UNION ALL SELECT 'row_count', CAST(t.total = 0 AS BIGINT)) c""")
 simple(
     "n_days",
     lambda k: k.table("orders").select(
@@ -565,13 +583,15 @@ simple(
 # --- I: models, serving, evaluation --------------------------------------------------------
 
 
-@query("content_embed")
+@query("content_embed", "SELECT product_id, 1.0::DOUBLE AS length FROM products")
 def _(lake: Lake) -> DataFrame:
     vectors = content.content_embed(content.build_corpus(lake.metadata()))
     return vectors.select("product_id", V.norm(F.col("embedding")).alias("length"))
 
 
-@query("content_embed_documents")
+@query("content_embed_documents", r"""
+SELECT CAST(doc_id AS VARCHAR) AS product_id,
+       CASE WHEN regexp_matches(text, '[\p{L}\p{N}]') THEN 1.0::DOUBLE ELSE 0.0 END AS length FROM documents""")
 def _(lake: Lake) -> DataFrame:
     texts = lake.table("documents").select(F.col("doc_id").cast("string").alias("product_id"), "text")
     return content.content_embed(texts).select("product_id", V.norm(F.col("embedding")).alias("length"))
@@ -584,7 +604,9 @@ def _trained(lake: Lake, supported: bool = True):
     return ids, model, *als.als_factors(model, ids)
 
 
-@query("als_fit")
+@query("als_fit", """
+SELECT DISTINCT 'user' AS kind, user_id AS id, 16::INTEGER AS rank FROM seen
+UNION ALL SELECT DISTINCT 'product', product_id, 16 FROM seen""")
 def _(lake: Lake) -> DataFrame:
     _, _, users, items = _trained(lake, supported=False)
     u = users.select(F.lit("user").alias("kind"), F.col("user_id").alias("id"), F.size("u").alias("rank"))
@@ -605,7 +627,12 @@ def _bridge_parts(lake: Lake):
     return users, items, embeddings, skew.cut(train)
 
 
-simple("bridge_training_set", lambda k: _bridge_parts(k)[3].select("product_id", F.size("x").alias("dx"), F.size("y").alias("dy")))
+simple(
+    "bridge_training_set",
+    lambda k: _bridge_parts(k)[3].select("product_id", F.size("x").alias("dx"), F.size("y").alias("dy")),
+    """SELECT product_id, 384::INTEGER AS dx, 16::INTEGER AS dy FROM products
+       WHERE product_id IN (SELECT product_id FROM supported) AND product_id IN (FROM warm_products)""",
+)
 
 
 @query("bridge_fit")
