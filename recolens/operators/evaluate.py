@@ -9,7 +9,7 @@ from itertools import product as combinations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from recolens.functions.scalars import lift_pct
-from recolens.operators.als import als_factors, als_fit, index_ids
+from recolens.operators.als import IndexedPairs, als_factors, als_fit, index_ids
 from recolens.operators.cold_start import interaction_counts, pair_counts
 from recolens.operators.scoring import top_items
 from recolens.operators.skew import BROADCAST_ROWS, cut, hot_keys, numbered
@@ -162,13 +162,19 @@ def evaluate_popularity(
     return mean_ndcg(popularity_ndcg(split, k, exclude_seen_in_baseline))
 
 
+def indexed_pairs(train: DataFrame) -> tuple[DataFrame, IndexedPairs]:
+    """Written pair counts of the train rows and their dense ids; what several fits can share."""
+    pairs = cut(pair_counts(train))
+    ids = index_ids(pairs)
+    return pairs, IndexedPairs(cut(ids.pairs), ids.users, ids.products)
+
+
 def als_recommendations(
     train: DataFrame, k: int = K, rank: int = 16, iterations: int = 15, reg: float = 0.1,
-    seed: int = 42,
+    seed: int = 42, shared: tuple[DataFrame, IndexedPairs] | None = None,
 ) -> DataFrame:
     """Fit on the train rows and recommend each of its users k products not in them."""
-    pairs = cut(pair_counts(train))
-    ids = index_ids(pairs)
+    pairs, ids = shared or indexed_pairs(train)
     model = als_fit(ids.pairs, rank=rank, iterations=iterations, reg=reg, seed=seed)
     users, items = als_factors(model, ids)
     recs = top_items(
@@ -218,12 +224,13 @@ def grid_search(
     """
     spark = interactions.sparkSession
     split = sampled_split(interactions, sample_users, seed)
-    train, relevant = train_rows(split), relevant_sets(test_rows(split))
+    train, relevant = train_rows(split), cut(relevant_sets(test_rows(split)))
+    shared = indexed_pairs(train)
     baseline = mean_ndcg(popularity_ndcg(split, k)).first().ndcg
 
     def run(task):
         number, (rank, reg, iters) = task
-        recs = als_recommendations(train, k, rank, iters, reg, seed)
+        recs = als_recommendations(train, k, rank, iters, reg, seed, shared)
         score = mean_ndcg(ndcg_at_k(recs, relevant, k)).first().ndcg
         gain = (
             (score - baseline) / baseline * 100
