@@ -152,7 +152,8 @@ def piece_model() -> str:
 
 @query
 def op9_segmentations(spark: SparkSession, folder: str) -> DataFrame:
-    return segment.encode_samples(table(spark, folder, "documents"), piece_model(), with_ids=False).drop("ids")
+    docs = table(spark, folder, "documents")
+    return segment.encode_samples(docs, piece_model(), with_ids=False, piece_bytes=1 << 21).drop("ids")
 
 
 @query

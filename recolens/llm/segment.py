@@ -36,7 +36,9 @@ from recolens.llm.tokens import BASE, BASE_INVERSE, mix, pieces, powers
 
 SPACE_MARK = "▁"
 SAMPLES = 2
-PIECE_BYTES = 1 << 21
+#: Text that a task works on at once. A worker needs about 130 MB and 180 times this; smaller pieces share
+#: fewer equal units and take up to a quarter longer. It changes no result.
+PIECE_BYTES = 1 << 19
 NEVER = -np.inf
 
 
@@ -340,6 +342,7 @@ def encode_samples(
     model_file: str,
     samples: int = SAMPLES,
     with_ids: bool = True,
+    piece_bytes: int = PIECE_BYTES,
     doc: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
@@ -358,7 +361,7 @@ def encode_samples(
     def run(batches):
         known = Pieces(model_file)
         for batch in batches:
-            for part in pieces(batch, 1, PIECE_BYTES):
+            for part in pieces(batch, 1, piece_bytes):
                 doc_ids = part.column(0).to_pylist()
                 sampler = Sampler(known, part.column(1), row_keys(part.column(0)))
                 drawn, threshold = sampler.samples(samples)
