@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -126,7 +127,7 @@ class WordEncoder:
     the ids of a text are those of its words in order.
     """
 
-    CACHED = 400_000
+    CACHED = 600_000
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -137,36 +138,29 @@ class WordEncoder:
 
     def clear(self) -> None:
         self.slots: dict[int, int] = {}
-        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.ends, self.count = np.zeros(1 << 14, np.int64), 0
+        self.flat, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def _add(self, hashes: list[int], texts: list[str]) -> None:
-        for h, e in zip(hashes, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
-            ids = e.ids
-            if self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), len(ids)), np.uint32)])
-            if self.count + 2 > len(self.ends):
-                self.ends = np.concatenate([self.ends, np.zeros(len(self.ends), np.int64)])
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.count += 1
-            self.ends[self.count] = self.used
-            self.slots[h] = self.count - 1
+        lists = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ends = np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)))
+        flat = np.fromiter(chain.from_iterable(lists), np.uint32, int(ends[-1]))
+        self.slots.update(zip(hashes, range(len(self.slots), len(self.slots) + len(hashes))))
+        self.ends = np.concatenate([self.ends, ends + self.ends[-1]])
+        self.flat = np.concatenate([self.flat, flat])
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, starts): the ids of all texts, `end_id` after each, and where each text starts."""
         words = Words(texts, lower=False)
-        if self.count > self.CACHED:
+        if len(self.slots) > self.CACHED:
             self.clear()
         hashes, where, back = np.unique(words.hash, return_index=True, return_inverse=True)
         listed = hashes.tolist()
         new = [k for k, h in enumerate(listed) if h not in self.slots]
-        raw = words.raw.tobytes()
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            spans = [(words.start[where[k]], words.end[where[k]]) for k in part]
-            self._add([listed[k] for k in part], [raw[a:b].decode("utf-8") for a, b in spans])
-        slots = np.array([self.slots[h] for h in listed], np.int64)[back]
+        if new:
+            raw, at = words.raw.tobytes(), where[new]
+            spans = zip(words.start[at].tolist(), words.end[at].tolist())
+            self._add([listed[k] for k in new], [raw[a:b].decode("utf-8") for a, b in spans])
+        slots = np.fromiter(map(self.slots.__getitem__, listed), np.int64, len(listed))[back]
         begin, length = self.ends[slots], self.ends[slots + 1] - self.ends[slots]
         total = np.concatenate([[0], np.cumsum(length)])
         n_docs = len(words.first) - 1
@@ -180,6 +174,16 @@ class WordEncoder:
         return out, starts
 
 
+_encoders: dict[str, WordEncoder] = {}
+
+
+def encoder_of(path: str) -> WordEncoder:
+    """The worker's encoder for a file; its cache serves all tasks that the worker runs."""
+    if path not in _encoders:
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
+
+
 def write_tokens(
     docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = None, doc: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -193,7 +197,7 @@ def write_tokens(
     folder = folder or shared_folder(spark, "tokens")
 
     def run(batches):
-        encoder, part, number = WordEncoder(tokenizer), TaskContext.get().partitionId(), 0
+        encoder, part, number = encoder_of(tokenizer), TaskContext.get().partitionId(), 0
         doc_ids: list[int | None] = []
         ids: list[np.ndarray] = []
         lengths: list[np.ndarray] = []
@@ -209,7 +213,7 @@ def write_tokens(
             )
 
         for batch in batches:
-            for piece in pieces(batch, 1):
+            for piece in pieces(batch, 1, 1 << 21):
                 own, starts = encoder.encode(piece.column(1), end_id)
                 if held and held + len(own) > FILE_TOKENS:
                     yield flush()
