@@ -18,8 +18,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges, or a label with very many nodes, is only met by combining minima and by joins of two plain
     exchanges, whose skewed partitions adaptive execution splits.
     """
+    # Written before it is turned round: `edges` may come from tasks that choose other joining edges
+    # when they run again, and both directions must be of the same edges.
     pairs = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
-    both = written(pairs.unionAll(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "edges")
+    pairs = written(pairs.distinct(), "edges")
+    both = pairs.unionAll(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
     label = both.groupBy("u").agg(F.min("v").alias("v")).select(
         F.col("u").alias("node"), F.least("u", "v").alias("label")
     )
