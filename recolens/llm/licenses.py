@@ -1,11 +1,11 @@
 """Licence notices in documents, by the Dice coefficient over word bigrams.
 
 Text and templates are normalised alike: lower case, ASCII punctuation separates words. A stretch of
-consecutive lines matches a template when 2 * |A & B| / (|A| + |B|) of their bigram multisets reaches
-the threshold. That bounds the size of a matching stretch from both sides, which prunes most
-templates for any stretch; only lines that hold a bigram of some template start or end a stretch
-(other lines at its ends would only lower the coefficient), so most texts are left after one look-up
-per bigram.
+words, wherever it begins and ends, matches a template when 2 * |A & B| / (|A| + |B|) of their bigram
+multisets reaches the threshold. That bounds the size of a matching stretch from both sides and its
+number of template bigrams from below. Only bigrams of the template start or end a stretch (others at
+its ends would only lower the coefficient), so a template is tried only where enough of its bigrams
+stand within its largest size, and most texts are left after one look-up per bigram.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ TEMPLATES = {
     "AGPL-3.0 short": "This work is licensed under the GNU Affero General Public License, version 3.",
     "Apache-2.0": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.',
     "Apache-2.0 short": "Licensed under the Apache License, Version 2.0.",
+    "BSD-2-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
     "BSD-2-Clause short": "Released under the BSD 2-Clause License.",
     "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
     "BSD-3-Clause short": "Released under the BSD 3-Clause License.",
@@ -42,6 +43,10 @@ TEMPLATES = {
     "GPL-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     "GPL-3.0 short": "This work is licensed under the GNU General Public License, version 3.",
     "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "LGPL-2.0": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Library General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "LGPL-2.0 short": "This work is licensed under the GNU Library General Public License, version 2.",
+    "LGPL-2.1": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "LGPL-2.1 short": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
     "LGPL-3.0": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 3 of the License, or (at your option) any later version.",
     "LGPL-3.0 short": "This work is licensed under the GNU Lesser General Public License, version 3.",
     "MIT": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.',
@@ -49,6 +54,7 @@ TEMPLATES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
     "MPL-2.0 short": "Licensed under the Mozilla Public License, Version 2.0.",
     "Proprietary": "All rights reserved. No part of this publication may be reproduced, distributed, or transmitted in any form or by any means without the prior written permission of the publisher.",
+    "Proprietary short": "All rights reserved.",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 

@@ -105,3 +105,23 @@ def test_licenses(spark, odd, none):
     best = brute.best_dice(rows, TEMPLATES, 80)
     assert {d: round(max(x.dice for x in got if x.doc_id == d), 9) for d in best} == best
     assert scan_licenses(odd).count() == 0 and scan_licenses(none).count() == 0
+
+
+def test_every_licence_line_of_the_tables(spark):
+    import re
+
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    notice = re.compile(r"(?i)\blicen[cs]ed?\b|all rights reserved|public domain|permission is hereby|redistribution and use")
+    rows = docs.where("lower(text) rlike 'licen[cs]e|all rights reserved|public domain|permission is hereby|redistribution and use'")
+    want = {(x.doc_id, i) for x in rows.collect() for i, y in enumerate((x.text or "").split("\n")) if notice.search(y)}
+    got = {(x.doc_id, x.first_line + k) for x in scan_licenses(docs).collect() for k in range(x.n_lines)}
+    assert len(want) > 300 and want <= got
+
+
+def test_license_names(spark):
+    rows = [(i, TEMPLATES[n]) for i, n in enumerate(TEMPLATES)]
+    rows.append((900, TEMPLATES["LGPL-3.0"].replace("version 3", "version 2.1")))
+    rows.append((901, TEMPLATES["BSD-3-Clause"].split(" 3. Neither")[0]))
+    got = scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    named = {i: n for i, n in enumerate(TEMPLATES)} | {900: "LGPL-2.1", 901: "BSD-2-Clause"}
+    assert {(x.doc_id, x.license) for x in got} == set(named.items()) and all(x.dice == 1 for x in got)
