@@ -10,6 +10,7 @@ stand within its largest size, and most texts are left after one look-up per big
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections import Counter
 
 import numpy as np
@@ -75,44 +76,67 @@ class Templates:
         self.bounds = [
             (-(-percent * b // (200 - percent)), (200 - percent) * b // percent) for b in self.sizes
         ]
-        self.longest = max((hi for _, hi in self.bounds), default=0)
         self.members = Members(np.array([g for bag in self.bags for g in bag], np.uint64))
+        known = self.members.values
+        # How often each known bigram stands in each template.
+        self.often = np.zeros((len(self.names), len(known)), np.int64)
+        for k, bag in enumerate(self.bags):
+            self.often[k, np.searchsorted(known, np.array(list(bag), np.uint64))] = list(bag.values())
 
-    def best(self, bag: Counter, size: int) -> tuple[float, str] | None:
-        """The most similar template of a bigram bag, ties to the smaller name."""
-        found = None
-        for k, (lo, hi) in enumerate(self.bounds):
-            if lo <= size <= hi and size:
-                common = sum((bag & self.bags[k]).values())
-                dice = 2 * common / (size + self.sizes[k])
-                if 200 * common >= self.percent * (size + self.sizes[k]) and (found is None or dice > found[0]):
-                    found = (dice, self.names[k])
-        return found
-
-    def scan(self, shingles: np.ndarray, lines: np.ndarray, hits: np.ndarray) -> list[tuple[str, float, int, int, int]]:
-        """(license, dice, first line, lines, words) of the matching stretches of one text.
-
-        `lines` has the line of every word; bigram i spans the words i and i + 1. Of stretches that
-        overlap only the most similar stays, ties to the shorter and then the earlier one.
+    def matches(self, k: int, place: np.ndarray, gram: np.ndarray, text: np.ndarray):
+        """(surplus, dice, size, first bigram) of the stretches that match template k, all texts of a batch
+        at once. `place` has the bigrams of the template, `gram` their numbers and `text` their texts.
+
+        The surplus is the number of shared bigrams less those of either side that aren't shared.
         """
-        hit_lines = np.unique(np.concatenate([lines[hits], lines[hits + 1]]))
-        left = np.searchsorted(lines, hit_lines)
-        right = np.searchsorted(lines, hit_lines, "right")
-        found = []
-        for i in range(len(hit_lines)):
-            for j in range(i, len(hit_lines)):
-                a, b = int(left[i]), int(right[j])
-                size = b - a - 1
-                if size > self.longest:
+        lo, hi = self.bounds[k]
+        b = self.sizes[k]
+        # A match shares at least `lo` bigrams, within `hi`.
+        n = len(place) - lo + 1
+        if not b or n < 1:
+            return
+        last = lo - 1
+        starts = np.flatnonzero((place[last:] - place[:n] < hi) & (text[last:] == text[:n]))
+        often = self.often[k]
+        for s in starts.tolist():
+            e_end = s + int(np.searchsorted(place[s : s + hi], place[s] + hi))
+            seen: dict[int, int] = {}
+            common, first, own = 0, int(place[s]), text[s]
+            for at, g, of in zip(place[s:e_end].tolist(), gram[s:e_end].tolist(), text[s:e_end].tolist()):
+                if of != own:
                     break
-                match = self.best(Counter(shingles[a : b - 1].tolist()), size) if size else None
-                if match:
-                    found.append((-match[0], size, int(hit_lines[i]), int(hit_lines[j]), match[1]))
-        kept: list[tuple] = []
-        for f in sorted(found):
-            if all(f[3] < k[2] or f[2] > k[3] for k in kept):
-                kept.append(f)
-        return [(name, -d, lo, hi - lo + 1, size + 1) for d, size, lo, hi, name in kept]
+                seen[g] = seen.get(g, 0) + 1
+                if seen[g] > often[g]:
+                    continue  # ends on a bigram that isn't shared
+                common += 1
+                size = at - first + 1
+                if size >= lo and 200 * common >= self.percent * (size + b):
+                    yield 3 * common - size - b, 2 * common / (size + b), size, first
+
+    def scan(self, hits: np.ndarray, grams_: np.ndarray, text: np.ndarray) -> list[tuple[int, int, str, float]]:
+        """(first bigram, bigrams, license, dice) of the matching stretches, in order.
+
+        `hits` are the places of known bigrams, `text` their texts. Of stretches that overlap only the one
+        with the largest surplus stays, so that a whole notice is not named after a short one inside it;
+        ties to the more similar, the shorter, the earlier one and the smaller name.
+        """
+        gram = np.searchsorted(self.members.values, grams_[hits])
+        found = []
+        for k, name in enumerate(self.names):
+            own = np.flatnonzero(self.often[k][gram])
+            for surplus, dice, size, first in self.matches(k, hits[own], gram[own], text[own]):
+                found.append((-surplus, -dice, size, first, name))
+        found.sort()
+        begins: list[int] = []
+        kept: list[tuple[int, int, str, float]] = []
+        for _, dice, size, first, name in found:
+            # Stretches share a word if one begins before the word after the other's last bigram ends.
+            at = bisect_right(begins, first)
+            if (at and kept[at - 1][0] + kept[at - 1][1] >= first) or (at < len(begins) and first + size >= begins[at]):
+                continue
+            begins.insert(at, first)
+            kept.insert(at, (first, size, name, -dice))
+        return kept
 
 
 def scan_licenses(
@@ -124,8 +148,8 @@ def scan_licenses(
 ) -> DataFrame:
     """(doc_id, license, dice, first_line, n_lines, n_words), one row per notice found.
 
-    Lines are counted from 0 at line feeds. `license` is the most similar template (ties to the
-    smaller name). Null, empty and wordless texts have no notice, nor has an empty table. Every row is
+    Lines are counted from 0 at line feeds; a notice may begin and end within a line. `license` is the
+    template that shares most with the words found. Null, empty and wordless texts have no notice, nor has an empty table. Every row is
     scanned by itself: repeated rows give repeated results, a null doc_id stays null. Other columns
     are ignored. `templates` is a fixed list that travels with the tasks.
     """
@@ -140,16 +164,14 @@ def scan_licenses(
                 words = plain_words(part.column(1))
                 all_grams = grams(words.hash, 2)
                 hits = known.members.where(all_grams)
-                lo = np.searchsorted(hits, words.first[:-1])
-                hi = np.searchsorted(hits, np.maximum(words.first[1:] - 1, 0))
-                some = np.flatnonzero(hi > lo).tolist()
-                breaks = np.flatnonzero(words.raw == 10) if some else None
-                for i in some:
-                    a, b = int(words.first[i]), int(words.first[i + 1])
-                    first = np.searchsorted(breaks, words.offsets[i])
-                    lines = np.searchsorted(breaks, words.start[a:b]) - first
-                    for name, dice, line, n_lines, n in known.scan(all_grams[a : b - 1], lines, hits[lo[i] : hi[i]] - a):
-                        out.append((ids[i], name, dice, line, n_lines, n))
+                text_of = np.searchsorted(words.first, hits, "right") - 1
+                whole = hits + 1 < words.first[text_of + 1]
+                kept = known.scan(hits[whole], all_grams, text_of[whole])
+                breaks = np.flatnonzero(words.raw == 10) if kept else None
+                for first, size, name, dice in kept:
+                    i = int(np.searchsorted(words.first, first, "right")) - 1
+                    before, line, to = np.searchsorted(breaks, [words.offsets[i], words.start[first], words.start[first + size]]).tolist()
+                    out.append((ids[i], name, dice, line - before, to - line + 1, size + 1))
             kinds = [pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
             names = ["doc_id", "license", "dice", "first_line", "n_lines", "n_words"]
             yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], kinds[c]) for c in range(6)], names)

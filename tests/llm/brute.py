@@ -169,3 +169,20 @@ def best_dice(rows, templates, percent):
         if 100 * best >= percent:
             out[d] = round(best, 9)
     return out
+
+
+def best_dice_of_words(rows, templates, percent):
+    """{doc_id: highest Dice of any stretch of words with any template}, where it reaches the threshold."""
+    out = {}
+    for d, t in rows:
+        w = plain(t)
+        best = 0.0
+        for i in range(len(w)):
+            for j in range(i + 2, len(w) + 1):
+                a = bag(w[i:j], 2)
+                for q in templates.values():
+                    b = bag(plain(q), 2)
+                    best = max(best, 2 * sum((a & b).values()) / (sum(a.values()) + sum(b.values())))
+        if 100 * best >= percent:
+            out[d] = round(best, 9)
+    return out

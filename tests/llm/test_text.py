@@ -125,3 +125,24 @@ def test_license_names(spark):
     got = scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     named = {i: n for i, n in enumerate(TEMPLATES)} | {900: "LGPL-2.1", 901: "BSD-2-Clause"}
     assert {(x.doc_id, x.license) for x in got} == set(named.items()) and all(x.dice == 1 for x in got)
+
+
+def test_licenses_inside_lines(spark):
+    r = random.Random(6)
+    prose = [r.choice("the of in a license software any is under this work by for with and".split()) for _ in range(900)]
+    before, after = " ".join(prose[:450]), " ".join(prose[450:])
+    rows = [
+        (1, "Copyright 2020 Jane Doe. Released under the MIT License."),
+        (2, "This code is released under the MIT License by Jane Doe."),
+        (3, f"{before} {TEMPLATES['MIT']} {after}"),
+        (4, f"{before} zz {TEMPLATES['Apache-2.0'].replace('CONDITIONS', 'TERMS')} zz {after} zz All rights reserved. zz"),
+        (5, "All rights reserved. " * 3 + "\n" + "all\nrights reserved"),
+    ]
+    got = scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((x.doc_id, x.license) for x in got) == [
+        (1, "MIT short"), (2, "MIT short"), (3, "MIT"), (4, "Apache-2.0"), (4, "Proprietary short"), *[(5, "Proprietary short")] * 4,
+    ]
+    assert [(x.dice, x.n_words) for x in got if x.doc_id < 3] == [(1.0, 5)] * 2
+    assert sorted((x.first_line, x.n_lines) for x in got if x.doc_id == 5) == [(0, 1)] * 3 + [(1, 2)]
+    best = brute.best_dice_of_words(rows[:2] + rows[4:], TEMPLATES, 80)
+    assert {d: round(max(x.dice for x in got if x.doc_id == d), 9) for d in best} == best
