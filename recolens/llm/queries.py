@@ -153,7 +153,7 @@ def piece_model() -> str:
 @query
 def op9_segmentations(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    return segment.encode_samples(docs, piece_model(), with_ids=False, piece_bytes=1 << 21).drop("ids")
+    return segment.encode_samples(docs, piece_model(), piece_bytes=1 << 21)
 
 
 @query

@@ -32,7 +32,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from recolens.llm.tokens import BASE, BASE_INVERSE, mix, pieces, powers
+from recolens.llm.tokens import BASE, BASE_INVERSE, buffers, mix, pieces, powers
 
 SPACE_MARK = "▁"
 SAMPLES = 2
@@ -329,7 +329,7 @@ class Sampler:
 
 SAMPLED = (
     "doc_id long, sample int, ids array<int>, ids_crc32 long, n_pieces long, log_prob double, perturbed double, log_inclusion double, "
-    "decoded boolean"
+    "decoded boolean, restored boolean"
 )
 
 
@@ -346,17 +346,18 @@ def encode_samples(
     doc: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """(doc_id, sample, ids, ids_crc32, n_pieces, log_prob, perturbed, inclusion, decoded), up
+    """(doc_id, sample, ids, ids_crc32, n_pieces, log_prob, perturbed, inclusion, decoded, restored), up
     to `samples` rows per row; log_inclusion is the natural logarithm of the inclusion score; ids is null without `with_ids`, ids_crc32 is that of its little-endian uint32.
 
     Samples are numbered from 1 by falling perturbed value and are distinct; a text with fewer
     segmentations gives fewer, each then with the log_inclusion 0. Null and empty texts have the one
-    empty segmentation. `decoded` tells whether the ids spell the text again. Rows are seeded by
+    empty segmentation. `decoded` tells whether the ids spell the normalised text again, `restored` whether what
+    `decode_ids` gives back is the text itself (not so where it holds U+2581). Rows are seeded by
     doc_id (null counts as -1): repeated rows give equal samples. An empty table gives an empty
     result; other columns are ignored.
     """
 
-    names = ["doc_id", "sample", "ids", "ids_crc32", "n_pieces", "log_prob", "perturbed", "log_inclusion", "decoded"]
+    names = ["doc_id", "sample", "ids", "ids_crc32", "n_pieces", "log_prob", "perturbed", "log_inclusion", "decoded", "restored"]
 
     def run(batches):
         known = Pieces(model_file)
@@ -365,6 +366,12 @@ def encode_samples(
                 doc_ids = part.column(0).to_pylist()
                 sampler = Sampler(known, part.column(1), row_keys(part.column(0)))
                 drawn, threshold = sampler.samples(samples)
+                given, given_at = buffers(part.column(1))
+
+                def is_text(d, spelled):
+                    return np.array_equal(spelled[1:], given[given_at[d] : given_at[d + 1]])
+
+                same = np.array([is_text(d, sampler.raw[a:b]) for d, (a, b) in enumerate(zip(sampler.starts, sampler.starts[1:]))], bool)
                 for j, (docs_, path, log_p, value) in enumerate(drawn):
                     ids, ends = sampler.ids(path, docs_)
                     text_of = known.decode(ids.astype(np.int64))
@@ -372,7 +379,7 @@ def encode_samples(
                     spelled = np.concatenate(
                         [sampler.raw[sampler.starts[d] : sampler.starts[d + 1]] for d in docs_]
                     ) if len(docs_) else text_of
-                    right = np.ones(len(docs_), bool)
+                    right, restored = np.ones(len(docs_), bool), same[docs_]
                     if len(text_of) != len(spelled) or not (text_of == spelled).all():
                         right = np.array(
                             [
@@ -384,6 +391,7 @@ def encode_samples(
                             ],
                             bool,
                         )
+                        restored = np.array([is_text(d, known.decode(ids[ends[d] : ends[d + 1]].astype(np.int64))) for d in docs_], bool)
                     over = np.minimum(log_p[docs_] - threshold[docs_], 700.0)
                     inclusion = np.where(over < -30, over, np.log(-np.expm1(-np.exp(over))))
                     n = (ends[1:] - ends[:-1])[docs_]
@@ -396,7 +404,7 @@ def encode_samples(
                             pa.array(np.full(len(docs_), j + 1, np.int32)),
                             lists if with_ids else pa.nulls(len(docs_), lists.type),
                             pa.array(crc, pa.int64()), pa.array(n.astype(np.int64)), pa.array(log_p[docs_]),
-                            pa.array(value[docs_]), pa.array(inclusion), pa.array(right),
+                            pa.array(value[docs_]), pa.array(inclusion), pa.array(right), pa.array(restored),
                         ],
                         names,
                     )
@@ -408,7 +416,7 @@ def encode_samples(
                             pa.array([doc_ids[d] for d in bare], pa.int64()), pa.array(np.ones(k, np.int32)),
                             pa.array([[] if with_ids else None] * k, pa.list_(pa.int32())),
                             pa.array(np.zeros(k, np.int64)), pa.array(np.zeros(k, np.int64)),
-                            pa.array(np.zeros(k)), pa.array(np.zeros(k)), pa.array(np.zeros(k)), pa.array([True] * k),
+                            pa.array(np.zeros(k)), pa.array(np.zeros(k)), pa.array(np.zeros(k)), pa.array([True] * k), pa.array(same[bare]),
                         ],
                         names,
                     )

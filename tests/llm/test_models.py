@@ -169,3 +169,17 @@ def test_segmentations(spark, odd, none):
     again = segment.encode_samples(odd.repartition(7), model, with_ids=False).collect()
     assert sorted((x.doc_id or -1, x.sample, x.ids_crc32) for x in again) == sorted((x.doc_id or -1, x.sample, x.ids_crc32) for x in rows)
     assert segment.encode_samples(none, model).count() == 0
+
+
+def test_registered_segmentations_hold_their_ids(spark, tmp_path):
+    from recolens.llm.queries import op9_segmentations
+
+    rows = [(1, "plain words"), (2, "a ▁mark"), (3, ""), (4, None), (5, "Ünïcode 漢字")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    out = op9_segmentations(spark, str(tmp_path))
+    got = segment.decode_ids(out, public.path("piece_bpe_32k.model")).collect()
+    assert {x.doc_id for x in got} == {1, 2, 3, 4, 5}
+    for x in got:
+        text = dict(rows)[x.doc_id] or ""
+        assert zlib.crc32(np.array(x.ids, "<u4").tobytes()) == x.ids_crc32 and len(x.ids) == x.n_pieces
+        assert x.text == text.replace("▁", " ") and x.restored == (x.text == text) and x.decoded
