@@ -1,14 +1,16 @@
 """Repeated runs of lines across documents, found by winnowing and deleted where they come later.
 
 Lines without a word are not counted. From each line on, the shortest stretch of following lines with
-at least `words` words is a window; the smallest line hash in it is the window's fingerprint. Two
-places that share a run of `words` words or more share a whole window, so they share its fingerprint:
-fingerprints that occur at one place only can be left out, and the windows of the others are joined
-by content to the first place, in (doc_id, line) order, that has them. From there the match is
-extended line by line both ways, and the lines of the later place are deleted.
-
-Everything is SQL over arrays of at most `words` lines next to each window. Hot passages meet
-combining minima and joins that adaptive execution may split; no group is gathered.
+at least `words` words is a window, and so is the shortest stretch of lines up to each line; two
+neighbours that are long enough alone make a window together. A run of `words` words or more is the
+union of the windows inside it: those that start at its lines, and at its tail those that end at them.
+So a window whose content stands at any earlier place, in (doc_id, line) order, is deleted, and what is
+deleted is every run that stands earlier, at whatever place. The smallest line hash in a window is its
+fingerprint: two places that share a window share it, so windows whose fingerprint occurs at one place
+only are left out before the rest meet by content.
+
+Everything is SQL over arrays of at most `words` lines for each window. Hot passages meet
+combining minima and joins that adaptive execution may split; no group of documents is gathered.
 """
 
 from __future__ import annotations
@@ -31,23 +33,30 @@ def counted_lines(text: str = "_text") -> str:
 
 
 def windows_of(words: int) -> str:
-    """For each line of `ls` (index k from 1): lines, words, content hash and fingerprint of its window."""
-    start = "named_struct('n', 0, 'c', 0, 'hash', 0L, 'least', cast(null as bigint), 'at', 0)"
+    """The windows of `ls`: first and last line (indices from 1), content hash, fingerprint and its line."""
+    start = "named_struct('n', 0, 'c', 0, 'hash', {seed}L, 'least', cast(null as bigint), 'at', 0)"
     step = (
         f"if(a.n >= {words}, a, named_struct('n', a.n + e.n, 'c', a.c + 1, 'hash', xxhash64(a.hash, e.h), "
         "'least', least(a.least, e.h), 'at', if(a.least is null or e.h < a.least, a.c, a.at)))"
     )
-    return (
-        "transform(sequence(1, size(ls)), k -> named_struct('k', k, 'w', "
-        f"aggregate(slice(ls, k, {words}), {start}, (a, e) -> {step})))"
+    ahead = f"aggregate(slice(ls, k, {words}), {start.format(seed=0)}, (a, e) -> {step})"
+    back = f"aggregate(reverse(slice(ls, greatest(k - {words - 1}, 1), least(k, {words}))), {start.format(seed=1)}, (a, e) -> {step})"
+    window = "named_struct('k', {k}, 'to', {to}, 'content', {w}.hash, 'fingerprint', {w}.least, 'line', {line})"
+    forward = window.format(k="x.k", to="x.k + x.w.c - 1", w="x.w", line="x.k + x.w.at")
+    backward = window.format(k="x.k - x.w.c + 1", to="x.k", w="x.w", line="x.k - x.w.at")
+    both = (
+        "named_struct('k', k, 'to', k + 1, 'content', xxhash64(2L, ls[k - 1].h, ls[k].h), "
+        "'fingerprint', least(ls[k - 1].h, ls[k].h), 'line', if(ls[k].h < ls[k - 1].h, k + 1, k))"
     )
-
-
-def equal_ahead(mine: str, theirs: str) -> str:
-    """How many leading elements two arrays of hashes have in common."""
+    # A stretch that is shortest both ways is listed once, as a forward window.
     return (
-        f"coalesce(nullif(array_position(zip_with({mine}, {theirs}, (a, b) -> not (a <=> b) or a is null), true), 0) - 1, "
-        f"cast(size({mine}) as bigint))"
+        "concat("
+        f"transform(filter(transform(sequence(1, size(ls)), k -> named_struct('k', k, 'w', {ahead})), x -> x.w.n >= {words}), "
+        f"x -> {forward}), "
+        f"transform(filter(transform(sequence(1, size(ls)), k -> named_struct('k', k, 'w', {back})), "
+        f"x -> x.w.n - ls[x.k - 1].n >= {words}), x -> {backward}), "
+        f"transform(filter(sequence(1, size(ls)), k -> k < size(ls) and ls[k - 1].n >= {words} and ls[k].n >= {words}), "
+        f"k -> {both}))"
     )
 
 
@@ -57,12 +66,13 @@ def repeated_runs(docs: DataFrame, words: int = WORDS) -> DataFrame:
     `docs` has _doc, _key and _text.
     """
     lines = docs.select("_doc", "_key", F.expr(counted_lines()).alias("ls")).where("size(ls) > 0")
-    windows = (
-        lines.select("_doc", "_key", F.explode(F.expr(let("ls", "ls", windows_of(words)))).alias("e"))
-        .where(f"e.w.n >= {words}")
-        .select("_doc", "_key", "e.k", F.col("e.w.c").alias("c"), F.col("e.w.hash").alias("content"),
-                F.col("e.w.least").alias("fingerprint"), F.expr("e.k + e.w.at").alias("line"))
-    )
+    found = (
+        f"transform({windows_of(words)}, x -> named_struct('k', x.k, 'to', x.to, 'content', x.content, "
+        "'fingerprint', x.fingerprint, 'line', x.line, 'a', ls[x.k - 1].pos, 'b', ls[x.to - 1].pos))"
+    )
+    windows = lines.select("_doc", "_key", F.explode(F.expr(let("ls", "ls", found))).alias("e")).select(
+        "_doc", "_key", "e.k", "e.a", "e.b", "e.content", "e.fingerprint", "e.line"
+    )
     place, chosen = F.struct("_doc", "_key", "k"), F.struct("_doc", "_key", "line")
     shared = (
         windows.groupBy("fingerprint").agg(F.min(chosen).alias("lo"), F.max(chosen).alias("hi"))
@@ -70,31 +80,12 @@ def repeated_runs(docs: DataFrame, words: int = WORDS) -> DataFrame:
     )
     posted = windows.join(shared, "fingerprint").drop("fingerprint", "line")
     first = (
-        posted.groupBy("content").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.min("c").alias("c"))
+        posted.groupBy("content").agg(F.min(place).alias("first"), F.max(place).alias("last"))
         .where("first < last").drop("last")
     )
-    around = (
-        first.select("content", "c", F.col("first._doc").alias("_doc"), F.col("first._key").alias("_key"), "first.k")
-        .join(lines, ["_doc", "_key"])
-        .select(
-            "content",
-            F.struct("_doc", "_key", "k").alias("first"),
-            F.expr(f"transform(reverse(slice(ls, greatest(k - {words}, 1), least(k - 1, {words}))), e -> e.h)").alias("before"),
-            F.expr(f"transform(slice(ls, k + c, {words}), e -> e.h)").alias("after"),
-        )
-    )
     later = (
-        posted.join(around, "content").where(place > F.col("first"))
-        .groupBy("_doc", "_key")
-        .agg(F.collect_list(F.struct("k", "c", "before", "after")).alias("ms"))
-    )
-    reach = (
-        "transform(ms, m -> struct("
-        "ls[cast(m.k - 1 - "
-        + equal_ahead(f"transform(reverse(slice(ls, greatest(m.k - {words}, 1), least(m.k - 1, {words}))), e -> e.h)", "m.before")
-        + " as int)].pos as a, ls[cast(m.k + m.c - 2 + "
-        + equal_ahead(f"transform(slice(ls, m.k + m.c, {words}), e -> e.h)", "m.after")
-        + " as int)].pos as b))"
+        posted.join(first, "content").where(place > F.col("first"))
+        .groupBy("_doc", "_key").agg(F.collect_set(F.struct("a", "b")).alias("rs"))
     )
     merged = (
         "aggregate(array_sort(rs), cast(array() as array<struct<a:int,b:int>>), (d, r) -> "
@@ -102,11 +93,7 @@ def repeated_runs(docs: DataFrame, words: int = WORDS) -> DataFrame:
         "concat(slice(d, 1, size(d) - 1), array(named_struct('a', element_at(d, -1).a, "
         "'b', greatest(element_at(d, -1).b, r.b)))), concat(d, array(r))))"
     )
-    return (
-        later.join(lines, ["_doc", "_key"])
-        .select("_doc", "_key", F.expr(let("ls", "ls", reach)).alias("rs"))
-        .select("_doc", "_key", F.expr(merged).alias("runs"))
-    )
+    return later.select("_doc", "_key", F.expr(merged).alias("runs"))
 
 
 def line_dedup(docs: DataFrame, words: int = WORDS, doc: str = "doc_id", text: str = "text") -> DataFrame:

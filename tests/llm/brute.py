@@ -186,3 +186,23 @@ def best_dice_of_words(rows, templates, percent):
         if 100 * best >= percent:
             out[d] = round(best, 9)
     return out
+
+
+def line_dedup_of_all(rows, least):
+    """{doc_id: (n_removed, text)}: every run of at least `least` words that stands at any earlier place goes."""
+    lines = {d: [(i, x, len(words(x))) for i, x in enumerate((t or "").split("\n")) if words(x)] for d, t in rows}
+    gone = {d: set() for d in lines}
+    seen = set()
+    for d in sorted(lines):
+        own = lines[d]
+        for k in range(len(own)):
+            for j in range(k, len(own)):
+                if sum(x[2] for x in own[k : j + 1]) >= least:
+                    key = tuple(x[1] for x in own[k : j + 1])
+                    if key in seen:
+                        gone[d].update(range(own[k][0], own[j][0] + 1))
+                    seen.add(key)
+    return {
+        d: (len(gone[d]), "\n".join(x for i, x in enumerate((t or "").split("\n")) if i not in gone[d]))
+        for d, t in rows
+    }

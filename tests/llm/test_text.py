@@ -146,3 +146,20 @@ def test_licenses_inside_lines(spark):
     assert sorted((x.first_line, x.n_lines) for x in got if x.doc_id == 5) == [(0, 1)] * 3 + [(1, 2)]
     best = brute.best_dice_of_words(rows[:2] + rows[4:], TEMPLATES, 80)
     assert {d: round(max(x.dice for x in got if x.doc_id == d), 9) for d in best} == best
+
+
+@pytest.mark.parametrize("least", [5, 9, 12])
+def test_line_dedup_meets_all_earlier_places(spark, least):
+    r = random.Random(least)
+    lines = [" ".join(r.choice("abcdefgh") for _ in range(r.choice([0, 1, 2, 4, 15]))) for _ in range(7)]
+    rows = [(i, "\n".join(r.choice(lines) for _ in range(r.randrange(1, 9)))) for i in range(70)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: (x.n_removed, x.text or "") for x in line_dedup(df, least).collect()}
+    assert got == brute.line_dedup_of_all(rows, least)
+
+
+def test_line_dedup_cuts_copies_of_edited_copies(spark):
+    x, y, z = (" ".join(f"{c}{i}" for i in range(n)) for c, n in (("x", 60), ("y", 30), ("z", 20)))
+    rows = [(1, x), (2, f"{x}\n{y}\n\n{z}"), (3, f"{x}\n{y}\n\n{z}"), (4, f"{z}\n{x}"), (5, f"{z}\n{x}"), (6, f"{x}\n\n{x}"), (7, f"{x}\n\n{x}")]
+    got = {d.doc_id: (d.n_removed, d.text) for d in line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[2] == (1, f"{y}\n\n{z}") and got[3] == (4, "") and got[4] == (1, z) and got[5] == (2, "") and got[7] == (3, "")
