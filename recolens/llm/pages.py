@@ -1,19 +1,22 @@
-"""Main text of web pages: what the markup settles, and a suffix array per host for what it doesn't.
+"""Main text of web pages: what the markup marks, less what the pages of a host repeat.
 
 A page is read once, tag by tag, into blocks. A block inside an article or main element is main text,
-a block inside a menu, header, footer, sidebar, form, advert, notice or comment section is not; tag
-names, roles and the words of class and id tell. Repetition can't decide those: articles are
-republished within a host, and an advert may be shown once. For pages that mark no main text it does:
+a block inside a menu, footer, sidebar, advert, notice or comment section is not; tag names, roles and
+the words of class and id tell. A form, or a container whose class only mentions such a word
+("with-sidebar"), is weaker: an article or main element inside it is main text again. Blocks that no
+element marks are open.
 
-* the token streams of the pages of a host (all blocks but marked main text) are concatenated, and
-  their suffixes are sorted to a depth of `RUN` tokens by prefix doubling. Suffixes that agree to that
-  depth are neighbours; where they come from distinct pages, their tokens are a repeated run. Every
+* The token streams of the pages of a host (all blocks) are concatenated, and their suffixes are sorted
+  to a depth of `RUN` tokens by prefix doubling. Suffixes that agree to that depth are neighbours. Every
   longer repeat is a chain of such runs, so the depth loses nothing.
-* tasks sort the slice of a host they hold and return one row per distinct prefix with its smallest
-  and largest page, and the rows of all slices meet in a combining aggregation, so a host of any size
-  is never in one task.
-* in pages without marked main text, covered blocks and covered stretches of RUN tokens are removed and
-  the unique runs stay, but for blocks that are mostly links.
+* Tasks sort the slice of a host they hold and return one row per distinct prefix and page; the rows of
+  all slices meet in combining aggregations, so a host of any size is never in one task.
+* A run is boilerplate if it stands on at least `LEAST` distinct pages and on `SHARE` of the distinct
+  pages of its host. Rarer repeats stay: articles are republished, and quoted. A run on fewer than `SURE`
+  pages also stays where such runs cover most of the page's longest block.
+* Covered blocks and covered stretches of RUN tokens go, in main text and in open blocks. The result is
+  the main text, or main text and open blocks without those that are mostly links where a page marks
+  none or little (under a third of the open words) or marks mostly links.
 
 Pages with equal streams count as one page, or a mirrored page would remove itself.
 """
@@ -28,10 +31,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from recolens.llm.store import written
 from recolens.llm.tokens import Words, grams, mix, signed
 
 #: Tokens of a repeated run.
 RUN = 8
+#: A boilerplate run stands on so many distinct pages, and on this share of the host's.
+LEAST, SHARE = 3, 0.25
+#: A run on so many pages is boilerplate even where it is most of a page.
+SURE = 10
 
 BLOCK_TAGS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer "
@@ -42,8 +50,8 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template svg math iframe object canvas textarea xmp noembed noframes".split())
 MAIN_TAGS = frozenset("article main".split())
-OTHER_TAGS = frozenset("nav aside footer form head button select dialog menu fieldset header".split())
-OTHER_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar toolbar alert alertdialog dialog".split())
+OTHER_TAGS = frozenset("nav aside footer head button select dialog menu fieldset header".split())
+OTHER_ROLES = frozenset("navigation banner contentinfo complementary search menu menubar toolbar alert alertdialog dialog".split())
 #: Words in class or id that mark what isn't main text.
 OTHER_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner nav navbar "
@@ -53,6 +61,16 @@ OTHER_WORDS = frozenset(
     "disclaimer".split()
 )
 
+#: Of these, words of sections whose own articles are not the page's, wherever they stand in a class ...
+CLOSED_WORDS = frozenset("comment comments commentlist respond reply disqus related recommended recommendations".split())
+#: ... and those that name such a section if a class consists of them.
+SECTION_WORDS = frozenset(
+    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored nav navbar navigation menu breadcrumb "
+    "breadcrumbs footer sidebar".split()
+)
+#: A class with one of these tells of the page, not of the element.
+STATE_WORDS = frozenset("has with no without open closed enabled disabled".split())
+
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)",
     re.S,
@@ -61,14 +79,33 @@ _ATTRIBUTE = re.compile(r"\b(class|id|role|style|hidden|aria-hidden|itemprop)\b(
 _WORD = re.compile(r"[a-z]+")
 
 MAIN, OTHER, OPEN = 1, 2, 0
+#: Not main text, but for what is marked as such inside; WRAP may hold the whole page.
+LOOSE, WRAP = 3, 4
+
+
+def kind_of_class(value: str) -> tuple[int | None, set[str]]:
+    """What a class or id says: OTHER, LOOSE, WRAP or None, and the words that say so."""
+    kind, words = None, set()
+    for name in value.split():
+        own = set(_WORD.findall(name))
+        bad = own & OTHER_WORDS
+        if not bad:
+            continue
+        words |= bad
+        if not own & STATE_WORDS and (bad & CLOSED_WORDS or (own <= OTHER_WORDS and bad & SECTION_WORDS)):
+            return OTHER, bad
+        if kind != LOOSE:
+            kind = WRAP if own & STATE_WORDS else LOOSE
+    return kind, words
 
 
 def kind_of(tag: str, attributes: str, inside: int) -> int | None:
     """What an element says about its content; None if nothing."""
     if tag in OTHER_TAGS and not (tag == "header" and inside == MAIN):
         return OTHER
-    kind = MAIN if tag in MAIN_TAGS else None
+    kind = MAIN if tag in MAIN_TAGS else WRAP if tag == "form" else None
     if attributes.strip():
+        explicit, loose = kind == MAIN, None
         for m in _ATTRIBUTE.finditer(attributes):
             name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
             if name == "hidden" or (name == "aria-hidden" and value == "true"):
@@ -78,15 +115,22 @@ def kind_of(tag: str, attributes: str, inside: int) -> int | None:
             if name == "role":
                 if value in OTHER_ROLES:
                     return OTHER
-                if value in ("main", "article"):
-                    kind = kind or MAIN
+                if value == "form":
+                    kind = kind or WRAP
+                elif value in ("main", "article"):
+                    explicit = True
             elif name == "itemprop":
                 if value == "articlebody":
-                    kind = MAIN
-            elif name in ("class", "id") and not OTHER_WORDS.isdisjoint(_WORD.findall(value)):
+                    explicit = True
+            elif name in ("class", "id") and tag not in ("html", "body"):
+                said, words = kind_of_class(value)
                 # A headed part of an article, such as class="entry-header", still holds its title.
-                if not (inside == MAIN and tag not in MAIN_TAGS and set(_WORD.findall(value)) & OTHER_WORDS <= {"header"}):
+                if said is None or (inside == MAIN and tag not in MAIN_TAGS and words <= {"header"}):
+                    continue
+                if said == OTHER:
                     return OTHER
+                loose = said if loose is None or said == LOOSE else loose
+        kind = MAIN if explicit else loose or kind
     return kind
 
 
@@ -103,7 +147,7 @@ def blocks_of(page: str) -> list[tuple[int, str, int]]:
         if held:
             text = " ".join(html.unescape("".join(held)).split())
             if text:
-                out.append((kind, text, linked))
+                out.append((kind, text, min(linked, len(text))))
             held.clear()
         linked = 0
 
@@ -161,11 +205,16 @@ def blocks_of(page: str) -> list[tuple[int, str, int]]:
                 flush()
             stack.append((tag, kind))
             depth[tag] = depth.get(tag, 0) + 1
-            # Nothing inside what isn't main text becomes main text again.
+            # Inside what is only loosely marked, main text may be marked again; elsewhere not.
             if said is not None and kind != OTHER:
+                if said in (LOOSE, WRAP) and kind in (LOOSE, WRAP, MAIN):
+                    said = LOOSE if kind == MAIN or said == LOOSE else kind
                 kind = said
     flush()
-    return out
+    # A wrapper around a page that has nothing else says nothing.
+    bare = not any(k in (MAIN, OPEN) for k, _, _ in out)
+    own = {LOOSE: OTHER, WRAP: OPEN if bare else OTHER}
+    return [(own.get(k, k), t, n) for k, t, n in out]
 
 
 def host_of(url: str | None) -> str:
@@ -190,10 +239,10 @@ def sorted_prefixes(tokens: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndar
 
 
 class Streams:
-    """Token streams of some pages: word hashes of the blocks that aren't marked main text."""
+    """Token streams of some pages: word hashes of all blocks."""
 
     def __init__(self, pages: list[list[tuple[int, str, int]]]):
-        self.words = Words(pa.array(["\n".join(t for k, t, _ in p if k != MAIN) for p in pages], pa.large_string()))
+        self.words = Words(pa.array(["\n".join(t for _, t, _ in p) for p in pages], pa.large_string()))
         first = self.words.first
         self.slices = [self.words.hash[a:b] for a, b in zip(first, first[1:])]
 
@@ -205,93 +254,109 @@ def stream_key(tokens: np.ndarray) -> int:
     )
 
 
-def certain(blocks: list[tuple[int, str, int]]) -> bool:
-    return any(k == MAIN for k, _, _ in blocks) or not any(k == OPEN for k, _, _ in blocks)
-
+def covered_runs(parsed: DataFrame) -> DataFrame:
+    """(key, covered, weak): the start positions, in the page's stream, of boilerplate runs of RUN tokens;
+    weak are those on fewer than SURE pages."""
 
-def covered_runs(rows: DataFrame) -> DataFrame:
-    """(key, covered): the start positions, in the page's stream, of repeated runs of RUN tokens."""
+    def streams_of(batch):
+        return Streams([list(zip(*b)) for b in zip(*(batch.column(c).to_pylist() for c in ("kinds", "texts", "linked")))]).slices
 
     def prefixes(batches):
         for batch in batches:
-            hosts: dict[str, list[np.ndarray]] = {}
-            for url, s in zip(batch.column(1).to_pylist(), Streams([blocks_of(h or "") for h in batch.column(2).to_pylist()]).slices):
-                if len(s) >= RUN:
-                    hosts.setdefault(host_of(url), []).append(s)
+            hosts: dict[int, list[np.ndarray]] = {}
+            for host, s in zip(batch.column("host").to_pylist(), streams_of(batch)):
+                hosts.setdefault(host, []).append(s)
             out: list[tuple] = []
             for host, streams in hosts.items():
                 tokens = np.concatenate(streams)
-                keys = np.repeat([stream_key(s) for s in streams], [len(s) for s in streams])
+                keys = np.repeat([stream_key(s) for s in streams], [len(s) for s in streams]).astype(np.int64)
                 # A run may not reach into the next page.
                 whole = np.concatenate([np.arange(len(s)) <= len(s) - RUN for s in streams])
-                order, rank = sorted_prefixes(tokens, RUN)
+                if not whole.any():
+                    continue
+                order, _ = sorted_prefixes(tokens, RUN)
                 order = order[whole[order]]
-                first = np.flatnonzero(np.concatenate([[True], np.diff(rank[order]) != 0]))
-                prefix = signed(grams(tokens, RUN))[order[first]]
-                out.append((host, prefix, np.minimum.reduceat(keys[order], first), np.maximum.reduceat(keys[order], first)))
-            n = [len(x[1]) for x in out]
+                prefix, key = signed(grams(tokens, RUN))[order], keys[order]
+                by = np.lexsort((key, prefix))
+                prefix, key = prefix[by], key[by]
+                first = np.concatenate([[True], (prefix[1:] != prefix[:-1]) | (key[1:] != key[:-1])])
+                out.append((np.full(int(first.sum()), host, np.int64), prefix[first], key[first]))
             empty = np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x, k in zip(out, n) for _ in range(k)], pa.string())]
-                + [pa.array(np.concatenate([x[c] for x in out] or [empty])) for c in (1, 2, 3)],
-                ["host", "prefix", "lo", "hi"],
+                [pa.array(np.concatenate([x[c] for x in out] or [empty])) for c in range(3)], ["host", "prefix", "stream"]
             )
 
     def own(batches):
         for batch in batches:
-            pages = [blocks_of(h or "") for h in batch.column(2).to_pylist()]
             keys, hosts, prefix, place = [], [], [], []
-            for key, url, blocks, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), pages, Streams(pages).slices):
-                if not certain(blocks) and len(s) >= RUN:
-                    g = signed(grams(s, RUN))
-                    keys += [key] * len(g)
-                    hosts += [host_of(url)] * len(g)
-                    prefix.append(g)
-                    place.append(np.arange(len(g), dtype=np.int32))
+            for key, host, s in zip(batch.column("key").to_pylist(), batch.column("host").to_pylist(), streams_of(batch)):
+                g = signed(grams(s, RUN))
+                keys.append(np.full(len(g), key, np.int64))
+                hosts.append(np.full(len(g), host, np.int64))
+                prefix.append(g)
+                place.append(np.arange(len(g), dtype=np.int64))
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(keys, pa.int64()), pa.array(hosts, pa.string()),
-                    pa.array(np.concatenate([np.zeros(0, np.int64), *prefix])), pa.array(np.concatenate([np.zeros(0, np.int32), *place])),
-                ],
+                [pa.array(np.concatenate([np.zeros(0, np.int64), *x])) for x in (keys, hosts, prefix, place)],
                 ["key", "host", "prefix", "place"],
-            )
+            )
 
+    pages = parsed.select("host", "stream").distinct().groupBy("host").agg(F.count("*").alias("pages"))
     repeated = (
-        rows.mapInArrow(prefixes, "host string, prefix long, lo long, hi long")
-        .groupBy("host", "prefix").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-        .where("lo <> hi").select("host", "prefix")
+        parsed.mapInArrow(prefixes, "host long, prefix long, stream long").distinct()
+        .groupBy("host", "prefix").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST)
+        .join(pages, "host").where(F.col("n") >= SHARE * F.col("pages")).select("host", "prefix", "n")
     )
     return (
-        rows.mapInArrow(own, "key long, host string, prefix long, place int")
+        parsed.mapInArrow(own, "key long, host long, prefix long, place long")
         .join(repeated, ["host", "prefix"])
-        .groupBy("key").agg(F.collect_set("place").alias("covered"))
+        .groupBy("key").agg(
+            F.collect_set("place").alias("covered"), F.collect_set(F.when(F.col("n") < SURE, F.col("place"))).alias("weak")
+        )
     )
 
 
-def main_text(blocks: list[tuple[int, str, int]], covered: list[int] | None) -> str:
-    if any(k == MAIN for k, _, _ in blocks):
-        return "\n".join(t for k, t, _ in blocks if k == MAIN)
-    gone: set[int] = set()
-    for p in covered or ():
-        gone.update(range(p, p + RUN))
-    out, at = [], 0
-    for kind, text, linked in blocks:
-        if kind == MAIN:
-            continue
-        words = text.split()
-        kept, i = [], 0
-        while i < len(words):
+def main_text(blocks: list[tuple[int, str, int]], covered: list[int] | None, weak: list[int] | None = None) -> str:
+    return main_text_and_path(blocks, covered, weak)[0]
+
+
+def main_text_and_path(blocks, covered, weak=None) -> tuple[str, str]:
+    """The text, and whether "main" or "open" blocks gave it."""
+    words = [text.split() for _, text, _ in blocks]
+    starts = np.cumsum([0, *map(len, words)])
+
+    def tokens_of(places):
+        return {q for p in places or () for q in range(p, p + RUN)}
+
+    gone, unsure = tokens_of(covered), tokens_of(weak)
+    candidates = [b for b, (k, t, n) in enumerate(blocks) if k != OTHER and 2 * n <= len(t)]
+    if unsure and candidates:
+        b = max(candidates, key=lambda b: len(words[b]))
+        own = range(int(starts[b]), int(starts[b + 1]))
+        sure = tokens_of(set(covered or ()) - set(weak or ()))
+        if 2 * sum(q in unsure for q in own) > len(own):
+            gone -= set(own) - sure
+    kept: list[list[str]] = []
+    for b, w in enumerate(words):
+        at, i, left = int(starts[b]), 0, []
+        while i < len(w):
             j = i
-            while j < len(words) and (at + j in gone) == (at + i in gone):
+            while j < len(w) and (at + j in gone) == (at + i in gone):
                 j += 1
             # A run's edge may touch a block by chance: only whole blocks and whole runs are cut.
-            if at + i not in gone or (j - i < RUN and j - i < len(words)):
-                kept += words[i:j]
+            if at + i not in gone or (j - i < RUN and j - i < len(w)):
+                left += w[i:j]
             i = j
-        at += len(words)
-        if kind == OPEN and kept and 2 * linked <= len(text):
-            out.append(" ".join(kept))
-    return "\n".join(out)
+        kept.append(left)
+    linked = [2 * n > len(t) for _, t, n in blocks]
+    marked = [b for b, (k, _, _) in enumerate(blocks) if k == MAIN]
+    free = [b for b, (k, _, _) in enumerate(blocks) if k == OPEN and not linked[b]]
+    n_main = sum(len(kept[b]) for b in marked)
+    n_plain = sum(len(kept[b]) for b in marked if not linked[b])
+    n_open = sum(len(kept[b]) for b in free)
+    use, path = marked, "main"
+    if not n_main or (n_open and (3 * n_plain < n_open or 2 * n_plain < n_main)):
+        use, path = sorted(free + [b for b in marked if not linked[b]]), "open"
+    return "\n".join(" ".join(kept[b]) for b in use if kept[b]), path
 
 
 def extract_pages(pages: DataFrame, page: str = "page_id", url: str = "url", html_text: str = "html") -> DataFrame:
@@ -305,34 +370,41 @@ def extract_pages(pages: DataFrame, page: str = "page_id", url: str = "url", htm
     rows = pages.select(
         F.col(page).alias("page_id"), F.col(url).cast("string").alias("url"), F.col(html_text).cast("string").alias("html")
     )
-    keyed = rows.select(F.xxhash64("url", "html").alias("key"), "url", "html")
     kind = dict(rows.dtypes)["page_id"]
-    schema = f"page_id {kind}, url string, text string, n_chars long"
-
-    def answer(batch, keep, texts):
-        some = batch.filter(pa.array(keep, pa.bool_()))
-        return pa.RecordBatch.from_arrays(
-            [some.column(0), some.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
-            ["page_id", "url", "text", "n_chars"],
-        )
 
-    def settled(batches):
+    def parse(batches):
         for batch in batches:
-            parsed = [blocks_of(h or "") for h in batch.column(2).to_pylist()]
-            keep = [certain(b) for b in parsed]
-            yield answer(batch, keep, [main_text(b, None) for b, k in zip(parsed, keep) if k])
-
-    def unsettled(batches):
-        for batch in batches:
-            yield batch.filter(pa.array([not certain(blocks_of(h or "")) for h in batch.column(2).to_pylist()], pa.bool_()))
+            pages_ = [blocks_of(h or "") for h in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0), batch.column(1), batch.column(3),
+                    pa.array([host_of(u) for u in batch.column(1).to_pylist()], pa.string()),
+                    pa.array([stream_key(s) for s in Streams(pages_).slices], pa.int64()),
+                    *(pa.array([[x[c] for x in p] for p in pages_], pa.list_(t)) for c, t in ((0, pa.int32()), (1, pa.string()), (2, pa.int32()))),
+                ],
+                ["page_id", "url", "key", "name", "stream", "kinds", "texts", "linked"],
+            )
 
-    def rest(batches):
+    def answer(batches):
         for batch in batches:
-            texts = [main_text(blocks_of(h or ""), c) for h, c in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
-            yield answer(batch, [True] * len(texts), texts)
+            blocks = (list(zip(*b)) for b in zip(*(batch.column(c).to_pylist() for c in ("kinds", "texts", "linked"))))
+            texts = [
+                main_text(b, c, w) for b, c, w in zip(blocks, batch.column("covered").to_pylist(), batch.column("weak").to_pylist())
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
+                ["page_id", "url", "text", "n_chars"],
+            )
 
-    open_ = rows.mapInArrow(unsettled, f"page_id {kind}, url string, html string").withColumn("key", F.xxhash64("url", "html"))
-    covered = covered_runs(keyed)
-    return rows.mapInArrow(settled, schema).unionAll(
-        open_.join(covered, "key", "left").select("page_id", "url", "html", "covered").mapInArrow(rest, schema)
+    parsed = written(
+        rows.withColumn("key", F.xxhash64("url", "html"))
+        .mapInArrow(
+            parse,
+            f"page_id {kind}, url string, key long, name string, stream long, kinds array<int>, texts array<string>, linked array<int>",
+        ).withColumn("host", F.xxhash64("name")).drop("name"),
+        "pages",
+    )
+    return (
+        parsed.join(covered_runs(parsed), "key", "left").select("page_id", "url", "kinds", "texts", "linked", "covered", "weak")
+        .mapInArrow(answer, f"page_id {kind}, url string, text string, n_chars long")
     )

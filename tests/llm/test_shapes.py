@@ -145,3 +145,44 @@ def brute_quality(df):
             or 5 * sum(not any(c.isalpha() for c in y) for y in w) > len(w)
         ):
             yield x
+
+
+def page_texts(spark, rows):
+    df = spark.createDataFrame([(i, f"http://h.example/{i}", h) for i, h in rows], "page_id long, url string, html string")
+    return {x.page_id: x.text for x in extract_pages(df).collect()}
+
+
+def test_republished_articles_stay(spark):
+    menu = "<div><p>home news sport weather travel food culture science more</p></div>"
+    story = " ".join(f"w{k}" for k in range(60))
+    rows = [(i, f"<body>{menu}<p>page {i} has words {i * 7} and then {i * 3} more of them</p></body>") for i in range(20)]
+    rows += [(50 + i, f"<body>{menu}<p>{story}</p><p>other chrome number {i} of {i * 5}</p></body>") for i in range(2)]
+    got = page_texts(spark, rows)
+    assert all(story in got[i] and "weather" not in got[i] for i in (50, 51))
+    small = page_texts(spark, [(i, f"<body><p>{story}</p><p>chrome {i}</p></body>") for i in range(3)])
+    assert all(story in t for t in small.values())
+
+
+def test_boilerplate_inside_articles_and_cards(spark):
+    notice = "subscribe now to our daily letter and never miss one of our stories"
+    rows = [(i, f"<body><article><p>story {i} of {i * 3}</p><p>{notice}</p></article></body>") for i in range(20)]
+    story = " ".join(f"s{k}" for k in range(40))
+    cards = "".join(f"<article><a href='/{k}'>card {k} to read</a></article>" for k in range(3))
+    rows.append((50, f"<body><div><p>{story}</p></div>{cards}</body>"))
+    got = page_texts(spark, rows)
+    assert all(got[i] == f"story {i} of {i * 3}" for i in range(20)) and got[50] == story
+
+
+def test_articles_inside_loosely_marked_containers(spark):
+    article = "<article><h1>Head</h1><p>the story itself</p></article>"
+    want = "Head\nthe story itself"
+    rows = [
+        (1, f'<body class="has-sidebar">{article}</body>'),
+        (2, f'<body><div id="content" class="with-sidebar">{article}<div class="sidebar"><article>no</article></div></div></body>'),
+        (3, f'<body><form action="x"><div class="ad">no</div>{article}</form></body>'),
+        (4, f'<body><div class="page-header-wrap"><div itemprop="articleBody"><h1>Head</h1><p>the story itself</p></div></div></body>'),
+        (5, f'<body><form><h1>Head</h1><p>the story itself</p><div class="share">no</div></form></body>'),
+        (6, f"<body><nav>{article}</nav><aside>{article}</aside><footer>{article}</footer><div class='comments-area'>{article}</div></body>"),
+    ]
+    got = page_texts(spark, rows)
+    assert [got[i] for i in range(1, 6)] == [want] * 5 and got[6] == ""
