@@ -1,5 +1,5 @@
-"""Interpolated modified Kneser-Ney model over word bigrams, counted in Spark and scored from
-memory-mapped sorted arrays.
+"""Interpolated modified Kneser-Ney model over word bigrams or trigrams, counted in Spark and scored
+from memory-mapped sorted arrays.
 
 Tokens are lower-cased words and one end token per text; a text begins in a start context.
 
@@ -9,12 +9,18 @@ Tokens are lower-cased words and one end token per text; a text begins in a star
 with the modified discounts of Chen and Goodman (1998) for counts 1, 2 and 3+, and g, g0 the mass they
 free. A word that follows no known context is scored by P(w).
 
+With order 3, P(w | u v) = max(c(u v w) - F(c), 0) / c(u v .) + g(u v) P(w | v), and the counts of pairs
+become adjusted counts: c(v w) is the number of distinct u before v w, the plain count where v is the
+start context. The first token of a text is scored by P(w | start).
+
 1. Tasks count word hashes and send packed sorted arrays to one group per hash range; a group writes
    its part of the vocabulary: sorted hashes and counts. A word's id is its place in it.
 2. Tasks count (context id, word id) keys likewise, for ranges of keys that hold about `RANGE_TOKENS`
    tokens each (cut points from a bounded sample of keys; a frequent context spans several ranges). A
    group writes sorted keys and counts, and returns what its contexts and words add up to.
 3. Those sums meet by id range and become dense arrays: totals, free mass, numbers of contexts.
+   With order 3, tasks first count (pair id, word id) keys in ranges of the same kind; a pair's id is
+   its place in the sorted keys. Their sums meet by range of pair ids and become dense arrays too.
 4. Scoring tasks map all files and look their distinct keys up.
 
 Every count is summed inside the task before it travels, so frequent words and word pairs are single
@@ -23,7 +29,7 @@ entries. What a group holds is bounded by the ranges. The numbers of ranges chan
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -112,6 +118,13 @@ class Model:
     lower: tuple[float, float, float] = (0.0, 0.0, 0.0)
     contexts: int = 0  # n(.)
     free: float = 1.0  # g0
+    order: int = 2
+    n_pairs: int = 0  # distinct pairs; a pair's id is its place in the sorted keys of all parts
+    triple_bounds: np.ndarray = field(default_factory=lambda: NONE)
+    triples: list[tuple[int, str]] = field(default_factory=list)
+    per_pair_range: int = 1  # pair ids of one file of `pair_sums`
+    pair_sums: list[tuple[int, str]] = field(default_factory=list)
+    upper: tuple[float, float, float] = (0.0, 0.0, 0.0)  # D of the triples
 
 
 class Vocabulary:
@@ -163,9 +176,11 @@ def taken(counts: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
     return np.maximum(counts - np.array((0.0, *d))[np.minimum(counts, 3).astype(np.int64)], 0.0)
 
 
-def train(texts: DataFrame, text: str = "text") -> Model:
+def train(texts: DataFrame, text: str = "text", order: int = 2) -> Model:
     """Count and write the model of all rows of `texts`; see the module for nulls and empty texts: a
     null text is empty, an empty text has the end token alone, repeated rows count again."""
+    if order not in (2, 3):
+        raise ValueError("order is 2 or 3")
     spark = texts.sparkSession
     folder = shared_folder(spark, "lm")
     texts = texts.select(F.col(text).cast("string").alias("text"))
@@ -234,31 +249,42 @@ def train(texts: DataFrame, text: str = "text") -> Model:
         yield buffer.rows(bounds)
 
     names = ["kind", "part", "path", "n", "of", "keys", "counts", "ones", "twos", "more"]
+    kinds = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.list_(pa.int64())] + [pa.binary()] * 5
 
-    def ranges(kind: int, ids: np.ndarray, *values: np.ndarray) -> list[tuple]:
-        cuts = np.searchsorted(ids, np.arange(0, words + 1 + per_range, per_range))
+    def ranges(kind: int, ids: np.ndarray, *values: np.ndarray, per: int = per_range) -> list[tuple]:
+        part = (ids.astype(np.int64)) // per
+        first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else []
+        ends = [*first[1:], len(part)] if len(part) else []
         return [
-            (kind, k, None, int(b - a), None, pack(ids[a:b]), *(pack_small(v[a:b]) for v in values), *[b""] * (4 - len(values)))
-            for k, (a, b) in enumerate(zip(cuts, cuts[1:]))
-            if a < b
+            (kind, int(part[a]), None, int(b - a), None, pack(ids[a:b]), *(pack_small(v[a:b]) for v in values), *[b""] * (4 - len(values)))
+            for a, b in zip(first, ends)
         ]
 
-    def write_pairs(key, table):
-        keys, counts = gathered(table)
+    def left_sums(keys: np.ndarray, counts: np.ndarray) -> tuple:
+        """(contexts, totals, and their numbers of keys counted once, twice, more often)"""
+        left = keys >> np.uint64(32)
+        first = np.flatnonzero(np.concatenate([[True], left[1:] != left[:-1]]))
+        return left[first], *(np.add.reduceat(x.astype(np.int64), first) for x in (counts, counts == 1, counts == 2, counts > 2))
+
+    def rows_table(rows: list[tuple]) -> pa.Table:
+        return pa.table({n: pa.array([r[i] for r in rows], k) for i, (n, k) in enumerate(zip(names, kinds))})
+
+    def write_keys(name: str, keys: np.ndarray, counts: np.ndarray) -> str:
         big = np.flatnonzero(counts > 254)
-        path = write_file(
-            folder, "pairs",
+        return write_file(
+            folder, name,
             [u64(len(keys), len(big)), keys, big.astype(np.uint64), counts[big], np.minimum(counts, 255).astype(np.uint8)],
         )
+
+    def write_pairs(key, table):
+        keys, counts = gathered(table)
+        path = write_keys("pairs", keys, counts)
         often = [int((counts == i).sum()) for i in (1, 2, 3, 4)]
         rows = [(0, key[0].as_py(), path, len(keys), often, b"", b"", b"", b"", b"")]
-        left = keys >> np.uint64(32)
-        first = np.flatnonzero(np.concatenate([[True], left[1:] != left[:-1]]))
-        sums = [np.add.reduceat(x.astype(np.int64), first) for x in (counts, counts == 1, counts == 2, counts > 2)]
-        rows += ranges(1, left[first], *sums)
+        if order == 2:
+            rows += ranges(1, *left_sums(keys, counts))
         rows += ranges(2, *np.unique(keys & np.uint64(0xFFFFFFFF), return_counts=True))
-        kinds = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.list_(pa.int64())] + [pa.binary()] * 5
-        return pa.table({n: pa.array([r[i] for r in rows], k) for i, (n, k) in enumerate(zip(names, kinds))})
+        return rows_table(rows)
 
     pairs = (
         texts.mapInArrow(count_pairs, PACKED).groupBy("part").applyInArrow(
@@ -268,9 +294,13 @@ def train(texts: DataFrame, text: str = "text") -> Model:
         )
     )
     pairs = written(pairs, "lm-pairs")
-    parts = sorted(pairs.where("kind = 0").select("part", "path", "of").collect())
-    model.pairs = [(r.part, r.path) for r in parts]
-    model.discounts = discount([sum(r.of[i] for r in parts) for i in range(4)])
+    parts = sorted(pairs.where("kind = 0").select("part", "path", "n", "of").collect())
+    model.pairs, model.n_pairs = [(r.part, r.path) for r in parts], sum(r.n for r in parts)
+    if order == 3:
+        lefts = count_triples(spark, texts, model, folder, ranges, left_sums, rows_table, write_keys)
+        pairs = pairs.where("kind = 2").unionAll(lefts)
+    else:
+        model.discounts = discount([sum(r.of[i] for r in parts) for i in range(4)])
     d = model.discounts
 
     def write_sums(key, table):
@@ -299,31 +329,155 @@ def train(texts: DataFrame, text: str = "text") -> Model:
     return model
 
 
+ROWS = (
+    "kind int, part int, path string, n long, of array<long>, keys binary, counts binary, ones binary, twos binary, more binary"
+)
+
+
+def count_triples(spark, texts, model, folder, ranges, left_sums, rows_table, write_keys) -> DataFrame:
+    """Count the triples of `model`, write their files, the dense sums by pair id and the pairs' adjusted
+    counts; returns what those add up to by context word (rows of kind 1).
+
+    A triple's key is the id of its first two tokens' pair << 32 | the third token's id. The first token
+    of a text has the start context alone, so it is no triple. The adjusted count of a pair is the
+    number of distinct tokens before it; of a pair of the start context, its plain count.
+    """
+    if model.n_pairs >= 1 << 32:
+        raise ValueError("2 ** 32 distinct pairs or more")
+    model.order = 3
+    words, pair_parts, n_parts = model.words, -(-model.n_pairs // RANGE_TOKENS), -(-model.tokens // RANGE_TOKENS)
+    model.per_pair_range = per = -(-model.n_pairs // max(1, pair_parts))
+
+    def triple_keys(batches):
+        scorer = Scorer(model)
+        for batch in batches:
+            for piece in pieces(batch, 0, PIECE):
+                hashes, starts = token_hashes(piece.column(0))
+                distinct, back = np.unique(hashes, return_inverse=True)
+                keys = keys_of(scorer.vocabulary.find(distinct)[0][back], starts, words)
+                distinct, back = np.unique(keys, return_inverse=True)
+                yield triples_of(scorer.pair_ids(distinct)[back], keys, starts)
+
+    def some_keys(batches):
+        for keys in triple_keys(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64))], ["key"])
+
+    bounds = NONE
+    if n_parts > 1:
+        share = min(1.0, SAMPLE_KEYS / model.tokens)
+        some = texts.sample(share, 5).mapInArrow(some_keys, "key long").limit(2 * SAMPLE_KEYS).toArrow()
+        some = np.sort(some.column(0).to_numpy().view(np.uint64))
+        if len(some):
+            bounds = np.unique(some[np.arange(1, n_parts) * len(some) // n_parts])
+    model.triple_bounds = bounds
+
+    def count(batches):
+        buffer = Buffer()
+        for keys in triple_keys(batches):
+            if buffer.add(keys):
+                yield buffer.rows(bounds)
+        yield buffer.rows(bounds)
+
+    def write_triples(key, table):
+        keys, counts = gathered(table)
+        path = write_keys("triples", keys, counts)
+        often = [int((counts == i).sum()) for i in (1, 2, 3, 4)]
+        rows = [(0, key[0].as_py(), path, len(keys), often, b"", b"", b"", b"", b"")]
+        if len(keys):
+            rows += ranges(3, *left_sums(keys, counts), per=per)
+            # Each distinct triple is one token before the pair of its last two.
+            scorer = Scorer(model)
+            middle = scorer.pair_keys((keys >> np.uint64(32)).astype(np.int64)) & np.uint64(0xFFFFFFFF)
+            pair, n = np.unique((middle << np.uint64(32)) | (keys & np.uint64(0xFFFFFFFF)), return_counts=True)
+            rows += ranges(4, scorer.pair_ids(pair).astype(np.uint64), n, per=per)
+        return rows_table(rows)
+
+    triples = written(texts.mapInArrow(count, PACKED).groupBy("part").applyInArrow(write_triples, ROWS), "lm-triples")
+    parts = sorted(triples.where("kind = 0").select("part", "path", "of").collect())
+    model.triples = [(r.part, r.path) for r in parts]
+    model.upper = u = discount([sum(r.of[i] for r in parts) for i in range(4)])
+
+    def write_pair_sums(key, table):
+        part = key[0].as_py()
+        size = min(per, model.n_pairs - part * per)
+        dense = np.zeros((5, size), np.int64)
+        for row in table.to_pylist():
+            if row["kind"] in (3, 4):
+                at = unpack(row["keys"], row["n"]).astype(np.int64) - part * per
+                for j, c in enumerate(("counts", "ones", "twos", "more") if row["kind"] == 3 else ("counts",)):
+                    dense[j if row["kind"] == 3 else 4][at] += unpack_small(row[c], row["n"]).astype(np.int64)
+        scorer = Scorer(model)
+        keys = scorer.pair_keys(np.arange(part * per, part * per + size))
+        begins = (keys >> np.uint64(32)) == np.uint64(words)
+        adjusted = dense[4]
+        adjusted[begins] = scorer.pair_counts(keys[begins])
+        total = dense[0]
+        free = (u[0] * dense[1] + u[1] * dense[2] + u[2] * dense[3]) / np.maximum(total, 1)
+        path = write_file(folder, "pair-sums", [total.astype(np.uint64), free, adjusted.astype(np.uint64)])
+        often = [int((adjusted == i).sum()) for i in (1, 2, 3, 4)]
+        return rows_table([(0, part, path, size, often, b"", b"", b"", b"", b""), *ranges(1, *left_sums(keys, adjusted))])
+
+    every = spark.range(pair_parts).selectExpr(
+        "5 as kind", "cast(id as int) as part", "cast(null as string) as path", "0L as n", "cast(null as array<long>) as of",
+        *(f"cast('' as binary) as {c}" for c in ("keys", "counts", "ones", "twos", "more")),
+    )
+    sums = triples.where("kind > 2").unionAll(every).groupBy("part").applyInArrow(write_pair_sums, ROWS)
+    sums = written(sums, "lm-pair-sums")
+    parts = sorted(sums.where("kind = 0").select("part", "path", "of").collect())
+    model.pair_sums = [(r.part, r.path) for r in parts]
+    model.discounts = discount([sum(r.of[i] for r in parts) for i in range(4)])
+    return sums.where("kind = 1")
+
+
+def triples_of(pairs: np.ndarray, keys: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Triple keys of all tokens but each text's first, from the pair ids and keys of all tokens."""
+    later = np.ones(len(pairs), bool)
+    later[starts[:-1]] = False
+    later = np.flatnonzero(later)
+    return (pairs[later - 1].astype(np.uint64) << np.uint64(32)) | (keys[later] & np.uint64(0xFFFFFFFF))
+
+
 class Scorer:
     """The model's files, mapped into memory."""
 
     def __init__(self, model: Model):
         self.model, self.vocabulary = model, Vocabulary(model)
-        self.pairs = {}
-        for part, path in model.pairs:
+        self.pairs, self.triples = self.key_files(model.pairs), self.key_files(model.triples)
+        # The id of the first pair of every part.
+        self.first_pair = np.cumsum([0, *(len(self.pairs[k][0]) for k in sorted(self.pairs))])
+        self.pair_sums = {}
+        for part, path in model.pair_sums:
             raw = read_file(path)
-            n, big = (int(x) for x in raw[:16].view(np.uint64))
-            at = 16 + 8 * n
-            self.pairs[part] = (
-                raw[16:at].view(np.uint64), raw[at + 16 * big :],
-                raw[at : at + 8 * big].view(np.uint64), raw[at + 8 * big : at + 16 * big].view(np.uint64),
-            )
+            n = len(raw) // 24
+            self.pair_sums[part] = (raw[: 8 * n].view(np.uint64), raw[8 * n : 16 * n].view(np.float64), raw[16 * n :].view(np.uint64))
         self.sums = {}
         size = 8 * model.per_range
         for part, path in model.sums:
             raw = read_file(path)
             self.sums[part] = (raw[:size].view(np.uint64), raw[size : 2 * size].view(np.float64), raw[2 * size :].view(np.uint64))
 
+    @staticmethod
+    def key_files(files: list[tuple[int, str]]) -> dict:
+        out = {}
+        for part, path in files:
+            raw = read_file(path)
+            n, big = (int(x) for x in raw[:16].view(np.uint64))
+            at = 16 + 8 * n
+            out[part] = (
+                raw[16:at].view(np.uint64), raw[at + 16 * big :],
+                raw[at : at + 8 * big].view(np.uint64), raw[at + 8 * big : at + 16 * big].view(np.uint64),
+            )
+        return out
+
     def pair_counts(self, keys: np.ndarray) -> np.ndarray:
         """Counts of sorted distinct keys."""
+        return self.counts_in(self.pairs, self.model.bounds, keys)
+
+    @staticmethod
+    def counts_in(files: dict, bounds: np.ndarray, keys: np.ndarray) -> np.ndarray:
         out = np.zeros(len(keys), np.int64)
-        cuts = np.concatenate([[0], np.searchsorted(keys, self.model.bounds), [len(keys)]])
-        for part, (known, counts, big, values) in self.pairs.items():
+        cuts = np.concatenate([[0], np.searchsorted(keys, bounds), [len(keys)]])
+        for part, (known, counts, big, values) in files.items():
             a, b = cuts[part], cuts[part + 1]
             if a < b and len(known):
                 at = np.minimum(np.searchsorted(known, keys[a:b]), len(known) - 1)
@@ -333,6 +487,34 @@ class Scorer:
                 out[a:b] = c
         return out
 
+    def pair_ids(self, keys: np.ndarray) -> np.ndarray:
+        """Ids of sorted distinct pair keys, -1 for unknown ones."""
+        out = np.full(len(keys), -1, np.int64)
+        cuts = np.concatenate([[0], np.searchsorted(keys, self.model.bounds), [len(keys)]])
+        for base, part in zip(self.first_pair, sorted(self.pairs)):
+            known, a, b = self.pairs[part][0], cuts[part], cuts[part + 1]
+            if a < b and len(known):
+                at = np.minimum(np.searchsorted(known, keys[a:b]), len(known) - 1)
+                out[a:b] = np.where(known[at] == keys[a:b], at + base, -1)
+        return out
+
+    def pair_keys(self, ids: np.ndarray) -> np.ndarray:
+        """Pair keys of sorted ids."""
+        cuts = np.searchsorted(ids, self.first_pair)
+        return np.concatenate(
+            [NONE, *(self.pairs[p][0][ids[a:b] - base] for p, base, a, b in zip(sorted(self.pairs), self.first_pair, cuts, cuts[1:]))]
+        )
+
+    def of_pairs(self, ids: np.ndarray, column: int, kind) -> np.ndarray:
+        """Entries of a dense array by pair id, for sorted ids; 0 for -1."""
+        out = np.zeros(len(ids), kind)
+        per = self.model.per_pair_range
+        for part, arrays in self.pair_sums.items():
+            a, b = np.searchsorted(ids, [part * per, (part + 1) * per])
+            if a < b:
+                out[a:b] = arrays[column][ids[a:b] - part * per]
+        return out
+
     def of_ids(self, ids: np.ndarray, column: int, kind) -> np.ndarray:
         """Entries of a dense array for sorted ids."""
         out = np.zeros(len(ids), kind)
@@ -365,12 +547,29 @@ class Scorer:
             lost[starts[:-1]] = False
             keys, where = np.unique(keys, return_inverse=True)
             # Keys of unknown words are looked up as word 0 and overruled below.
-            c = np.where(unknown, 0, self.pair_counts(keys)[where])
+            if m.order == 3:
+                known = self.pair_ids(keys)
+                pair = np.where(unknown | lost, -1, known[where])
+                distinct_pairs, back_pairs = np.unique(pair, return_inverse=True)
+                c = self.of_pairs(distinct_pairs, 2, np.int64)[back_pairs]
+            else:
+                c = np.where(unknown, 0, self.pair_counts(keys)[where])
             left, at = np.unique((keys >> np.uint64(32)).astype(np.int64), return_inverse=True)
             total = self.of_ids(left, 0, np.int64)[at][where]
             free = self.of_ids(left, 1, np.float64)[at][where]
             usable = ~lost & (total > 0)
             p = np.where(usable, taken(c, m.discounts) / np.maximum(total, 1) + free * p, p)
+            if m.order == 3:
+                # The context of a token is the pair before it; a text's first token has none.
+                context = np.full(len(own), -1, np.int64)
+                context[1:] = pair[:-1]
+                context[starts[:-1]] = -1
+                left, at = np.unique(context, return_inverse=True)
+                total, free = self.of_pairs(left, 0, np.int64)[at], self.of_pairs(left, 1, np.float64)[at]
+                triple = (np.maximum(context, 0).astype(np.uint64) << np.uint64(32)) | np.maximum(own, 0).astype(np.uint64)
+                distinct_triples, at = np.unique(triple, return_inverse=True)
+                c = np.where(unknown | (context < 0), 0, self.counts_in(self.triples, m.triple_bounds, distinct_triples)[at])
+                p = np.where(total > 0, taken(c, m.upper) / np.maximum(total, 1) + free * p, p)
         first = starts[:-1]
         return {
             "n_tokens": np.diff(starts),

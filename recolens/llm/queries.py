@@ -137,7 +137,7 @@ def op2_token_codes(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    model = train(docs.where(~held_out()))
+    model = train(docs.where(~held_out()), order=3)
     return score(docs, model).select(
         "doc_id", held_out().alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
         "base_score", "score", "perplexity",

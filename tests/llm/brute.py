@@ -206,3 +206,51 @@ def line_dedup_of_all(rows, least):
         d: (len(gone[d]), "\n".join(x for i, x in enumerate((t or "").split("\n")) if i not in gone[d]))
         for d, t in rows
     }
+
+
+def kneser_ney_trigrams(rows, trained):
+    """{doc_id: score} of (doc_id, text) rows: order 3, pairs by the number of distinct words before them."""
+    import math
+    from collections import Counter, defaultdict
+
+    seqs = {d: ["<s>!"] + words(t) + ["</s>!"] for d, t in rows}
+    tri, bi, uni = Counter(), Counter(), Counter()
+    for d in trained:
+        s = seqs[d]
+        tri.update(zip(s, s[1:], s[2:]))
+        bi.update(zip(s, s[1:]))
+        uni.update(s[1:])
+    before = Counter((b, c) for _, b, c in tri)
+    pairs = {p: n if p[0] == "<s>!" else before[p] for p, n in bi.items()}
+    singles = Counter(b for _, b in bi)
+
+    def discounts(counts):
+        k = [sum(c == i for c in counts) for i in (1, 2, 3, 4)]
+        if not (k[0] and k[1]):
+            return [0, 0.5, 1, 1.5]
+        y = k[0] / (k[0] + 2 * k[1])
+        return [0] + [min(max(i - (i + 1) * y * k[i] / k[i - 1], 0), i) if k[i - 1] else i / 2 for i in (1, 2, 3)]
+
+    def level(table):
+        d, total, free = discounts(table.values()), defaultdict(int), defaultdict(float)
+        for g, c in table.items():
+            total[g[:-1]] += c
+            free[g[:-1]] += d[min(c, 3)]
+
+        def p(g, lower):
+            h = g[:-1]
+            if not total[h]:
+                return lower
+            c = table.get(g, 0)
+            return max(c - d[min(c, 3)], 0) / total[h] + free[h] / total[h] * lower
+
+        return p
+
+    p3, p2, p1 = level(tri), level(pairs), level({(w,): n for w, n in singles.items()})
+    out = {}
+    for d, s in seqs.items():
+        out[d] = 0.0
+        for i in range(1, len(s)):
+            p = p2((s[i - 1], s[i]), p1((s[i],), 1 / (len(uni) + 1)))
+            out[d] += math.log10(p3((s[i - 2], s[i - 1], s[i]), p) if i > 1 else p)
+    return out

@@ -183,3 +183,21 @@ def test_registered_segmentations_hold_their_ids(spark, tmp_path):
         text = dict(rows)[x.doc_id] or ""
         assert zlib.crc32(np.array(x.ids, "<u4").tobytes()) == x.ids_crc32 and len(x.ids) == x.n_pieces
         assert x.text == text.replace("▁", " ") and x.restored == (x.text == text) and x.decoded
+
+
+def test_trigram_model(spark, none, monkeypatch, tmp_path):
+    from recolens.llm.queries import op8_lm_score
+
+    r = random.Random(9)
+    rows = [(i, " ".join(r.choice("abcdefghij") * r.choice([1, 1, 2]) for _ in range(r.randrange(40)))) for i in range(90)]
+    rows += [(200, "unseen words here a b c"), (201, None), (202, "a " * 700)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    trained = [d for d, _ in rows if zlib.crc32(str(d).encode()) % 10]
+    want = brute.kneser_ney_trigrams(rows, trained)
+    pairs = brute.kneser_ney(rows, trained)[0]
+    for many in (100, 10**6):
+        monkeypatch.setattr(kneser_ney, "RANGE_TOKENS", many)
+        got = {x.doc_id: x.score for x in op8_lm_score(spark, str(tmp_path)).collect()}
+        assert got.keys() == want.keys() and all(abs(got[d] - want[d]) < 1e-5 for d in want)
+    assert any(abs(want[d] - pairs[d][3]) > 0.1 for d in want)
+    assert kneser_ney.train(none, order=3).tokens == 0
