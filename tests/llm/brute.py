@@ -42,41 +42,6 @@ def near_duplicates(rows, size, percent):
     return {d: (len(s), find(d)) for d, s in sets.items()}
 
 
-def line_dedup(rows, least):
-    """{doc_id: (n_removed, text)} for (doc_id, text) rows with distinct ids."""
-    lines = {}
-    for d, t in rows:
-        lines[d] = [(i, x, len(words(x))) for i, x in enumerate((t or "").split("\n")) if words(x)]
-    first, found = {}, []
-    for d in sorted(lines):
-        own = lines[d]
-        for k in range(len(own)):
-            total, c = 0, 0
-            while k + c < len(own) and total < least:
-                total += own[k + c][2]
-                c += 1
-            if total >= least:
-                key = tuple(x[1] for x in own[k : k + c])
-                if key in first:
-                    found.append((d, k, c, *first[key]))
-                else:
-                    first[key] = (d, k)
-    gone = {d: set() for d in lines}
-    for d, k, c, e, m in found:
-        a, b = lines[d], lines[e]
-        lo = 0
-        while lo < least and k - lo - 1 >= 0 and m - lo - 1 >= 0 and a[k - lo - 1][1] == b[m - lo - 1][1]:
-            lo += 1
-        hi = 0
-        while hi < least and k + c + hi < len(a) and m + c + hi < len(b) and a[k + c + hi][1] == b[m + c + hi][1]:
-            hi += 1
-        gone[d].update(range(a[k - lo][0], a[k + c + hi - 1][0] + 1))
-    return {
-        d: (len(gone[d]), "\n".join(x for i, x in enumerate((t or "").split("\n")) if i not in gone[d]))
-        for d, t in rows
-    }
-
-
 def kneser_ney(rows, trained):
     """{doc_id: (n_tokens, n_known, base_score, score)} of (doc_id, text) rows, and N."""
     import math

@@ -39,17 +39,6 @@ def test_order_changes_no_verdict(spark):
     assert kept == {x.doc_id for x in keep_good(df, tuple(reversed(BASE_RULES + RULES))).collect()}
 
 
-@pytest.mark.parametrize("least", [5, 12])
-def test_line_dedup_equals_brute_force(spark, least):
-    r = random.Random(least)
-    lines = [" ".join(r.choice("abcdefgh") for _ in range(r.choice([0, 1, 2, 4, 15]))) for _ in range(14)]
-    rows = [(i, "\n".join(r.choice(lines) for _ in range(r.randrange(1, 9)))) for i in range(60)]
-    rows += [(60, "a b c d\n" * 9), (61, None), (62, "")]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {x.doc_id: (x.n_removed, x.text or "") for x in line_dedup(df, least).collect()}
-    assert got == brute.line_dedup(rows, least)
-
-
 def test_line_dedup_odd_rows(spark, odd, none):
     out = line_dedup(odd)
     assert out.count() == odd.count() and out.columns == [*odd.columns, "n_lines", "n_removed"]
