@@ -4,7 +4,7 @@ import pytest
 
 from checks.catalog import ORACLES, QUERIES
 from checks.compare import difference, oracle
-from conftest import SF, plan_of
+from helpers import SF, plan_of
 
 SELECTED = (
     "bronze_products", "user_profile", "silver_interactions", "gold_products_sparse",

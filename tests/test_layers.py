@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of, rows_of
+from helpers import plan_of, rows_of
 from recolens.functions import scalars as S
 from recolens.operators import bronze, eda, features, gold, silver
 from recolens.schema import INTERACTIONS, conform

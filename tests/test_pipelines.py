@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows_of
+from helpers import rows_of
 from recolens.operators import bridge as br
 from recolens.plans import pipelines as pl
 from recolens.sources import writers

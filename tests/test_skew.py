@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import Window, functions as F
 
-from conftest import plan_of, rows_of
+from helpers import plan_of, rows_of
 from recolens.operators import drift, evaluate, scoring, service, silver, skew
 
 

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows_of
+from helpers import rows_of
 from recolens.operators import abtest, service
 from recolens.schema import FEEDBACK, IMPRESSIONS
 from recolens.sources import writers
