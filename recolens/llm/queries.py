@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recolens.llm import segment
+from recolens.llm import merkle, segment
 from recolens.llm.chat import digests, format_chats
 from recolens.llm.dac import read_documents, write_tokens
 from recolens.llm.decontaminate import find_leaks
@@ -16,6 +16,7 @@ from recolens.llm.linededup import line_dedup
 from recolens.llm.minhash import near_duplicates
 from recolens.llm.pages import extract_pages
 from recolens.llm.quality import quality_report
+from recolens.llm.trie import prefix_trie, respliced, turn_rows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -159,3 +160,108 @@ def op9_segmentations(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op3_pages(spark: SparkSession, folder: str) -> DataFrame:
     return extract_pages(table(spark, folder, "pages"))
+
+
+#: CRC-32 of a short ASCII text, bit by bit, in DuckDB.
+CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split({0}, ''), lambda z: ord(z)::BIGINT)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+    lambda y, z: CASE WHEN y & 1 = 1 THEN xor(3988292384, y >> 1) ELSE y >> 1 END)))"""
+
+
+@query
+def op13_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    lowered = F.expr("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    leaf = merkle.leaf_of("doc_id", "source", "lang", "n_chars", "text")
+    changed = merkle.leaf_of("doc_id", "source", "lang", "n_chars", lowered)
+    rows = docs.select("doc_id", "lang", leaf.alias("leaf"), F.when(tampered, changed).otherwise(leaf).alias("held"))
+    m = merkle.manifest(rows, "lang", ["doc_id"])
+    return merkle.prove(m).select(
+        F.col("doc_id").cast("long").alias("doc_id"), "leaf", "subroot", "root",
+        merkle.proof_digest().alias("proof_sha256"), merkle.fold("held").alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.lit(m.root))
+
+
+def _manifest_sql(levels: int = 11) -> str:
+    """Both trees level by level, unrolled far beyond any table that DuckDB could hold."""
+    leaf = "sha256(concat({}))"
+    part = "coalesce(strlen({0}::VARCHAR) || ':' || {0}, '-')"
+
+    def of(text: str) -> str:
+        return leaf.format(", ".join(part.format(c) for c in ("doc_id", "source", "lang", "n_chars", text)))
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    ctes = [
+        f"d AS (SELECT doc_id, lang, {of('text')} AS h, {of(lower)} AS low, {CRC32.format('doc_id::VARCHAR')} % 3 = 0 AS hit FROM documents)",
+        "p AS (SELECT *, CASE WHEN hit THEN low ELSE h END AS held, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, h) - 1 AS pos FROM d)",
+    ]
+
+    def tree(name: str, key: str, first: str) -> str:
+        ctes.append(f"{name}0 AS ({first})")
+        for k in range(levels):
+            # A level of one node is handed on as it is; `n` is the width of the level.
+            ctes.append(
+                f"{name}{k + 1} AS (SELECT {key} AS g, CASE WHEN n > 1 THEN pos // 8 ELSE pos END AS pos, "
+                "CASE WHEN any_value(n) > 1 THEN sha256(string_agg(h, '' ORDER BY pos)) ELSE any_value(h) END AS h, "
+                f"any_value(CASE WHEN n > 1 THEN (n + 7) // 8 ELSE 1 END) AS n FROM {name}{k} GROUP BY 1, 2)"
+            )
+        return f"{name}{levels}"
+
+    def climb(name: str, start: str) -> str:
+        """Doubles the columns proof and fold of `start` (x, g, pos, proof, fold) through the tree's levels."""
+        last = start
+        for k in range(levels):
+            ctes.append(
+                f"{name}c{k} AS (SELECT x, any_value(s.g) AS g, any_value(CASE WHEN t.n > 1 THEN s.pos // 8 ELSE s.pos END) AS pos, "
+                "any_value(s.proof) || coalesce(string_agg(t.h, '' ORDER BY t.pos) FILTER (t.pos <> s.pos AND t.n > 1), '') AS proof, "
+                "CASE WHEN any_value(t.n) > 1 THEN sha256(coalesce(string_agg(t.h, '' ORDER BY t.pos) FILTER (t.pos < s.pos), '') "
+                "|| any_value(s.fold) || coalesce(string_agg(t.h, '' ORDER BY t.pos) FILTER (t.pos > s.pos), '')) ELSE any_value(s.fold) END AS fold "
+                f"FROM {last} s JOIN {name}{k} t ON t.g IS NOT DISTINCT FROM s.g AND t.pos // 8 = s.pos // 8 GROUP BY x)"
+            )
+            last = f"{name}c{k}"
+        return last
+
+    top = tree("t", "g", "SELECT lang AS g, pos, h, count(*) OVER (PARTITION BY lang) AS n FROM p")
+    ctes.append(f"r AS (SELECT g AS lang, h, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS pos FROM {top})")
+    root = tree("u", "g", "SELECT 0 AS g, pos, h, count(*) OVER () AS n FROM r")
+    ctes.append("q AS (SELECT *, row_number() OVER () AS x FROM p)")
+    ctes.append("s0 AS (SELECT x, lang AS g, pos, '' AS proof, held AS fold FROM q)")
+    up = climb("t", "s0")
+    ctes.append(f"s1 AS (SELECT c.x, 0 AS g, r.pos, c.proof, c.fold FROM {up} c JOIN r ON r.lang IS NOT DISTINCT FROM c.g)")
+    end = climb("u", "s1")
+    return (
+        "WITH " + ",\n".join(ctes) + f"\nSELECT doc_id, q.h AS leaf, r.h AS subroot, w.h AS root, sha256(e.proof) AS proof_sha256, "
+        f"e.fold AS folded_root, e.fold = w.h AS verified FROM q JOIN {end} e USING (x) "
+        f"JOIN r ON r.lang IS NOT DISTINCT FROM q.lang, {root} w"
+    )
+
+
+ORACLES["op13_manifest"] = _manifest_sql()
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    rows = turn_rows(table(spark, folder, "conversations"))
+    conv = F.col("conv_id")
+    heads = (F.crc32(conv.cast("string").cast("binary")) % 6).cast("int")
+    rebuilt = respliced(rows, base=conv - conv % 100, heads=heads, most=5)
+    return prefix_trie(rebuilt, rows.where("pos = 1").select("conv_id"))
+
+
+ORACLES["op11_prefix_trie"] = f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, role, sha256(text)) AS ts FROM c GROUP BY 1),
+h AS (SELECT *, ({CRC32.format('conv_id::VARCHAR')} % 6)::INT AS h FROM o),
+r AS (SELECT h.conv_id, list_concat(coalesce(b.ts[1:h.h], []), h.ts[h.h + 1:]) AS ts
+      FROM h LEFT JOIN o b ON b.conv_id = h.conv_id - h.conv_id % 100),
+p AS (SELECT conv_id, d, ts[1:d] AS k, d = len(ts) AS here FROM (SELECT *, unnest(range(len(ts) + 1)) AS d FROM r)),
+n AS (SELECT d, k, min(conv_id) AS conv_id, count(*) AS n_convs,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (here), '')) AS ends_sha256,
+        (count(*) - 1) * coalesce(length(k[d].text), 0) AS own FROM p GROUP BY d, k),
+f AS (SELECT d - 1 AS d, k[1:d - 1] AS k, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN f USING (d, k)),
+s AS (SELECT a AS d, k[1:a] AS k, count(*) FILTER (n_children = 0) AS n_leaves, sum(own)::BIGINT AS saved_tokens
+      FROM (SELECT *, unnest(range(d + 1)) AS a FROM m) GROUP BY ALL)
+SELECT m.conv_id, m.d AS depth, u.conv_id AS parent_conv_id, m.n_convs, m.n_children, n_leaves, saved_tokens, m.ends_sha256
+FROM m JOIN s USING (d, k) LEFT JOIN n u ON u.d = m.d - 1 AND u.k = m.k[1:m.d - 1]"""
