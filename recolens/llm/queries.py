@@ -16,6 +16,7 @@ from recolens.llm.linededup import line_dedup
 from recolens.llm.minhash import near_duplicates
 from recolens.llm.pages import extract_pages
 from recolens.llm.quality import quality_report
+from recolens.llm.setjoin import jaccard_components
 from recolens.llm.trie import prefix_trie, respliced, turn_rows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -162,6 +163,26 @@ def op3_pages(spark: SparkSession, folder: str) -> DataFrame:
     return extract_pages(table(spark, folder, "pages"))
 
 
+@query
+def op12_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_components(table(spark, folder, "documents"), size=3, percent=90)
+
+
+ORACLES["op12_jaccard_join"] = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {WORDS} AS ws FROM documents),
+s AS (SELECT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(ws) - 1),
+             lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) END) AS sh FROM w),
+z AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id
+      GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN z x ON x.doc_id = a JOIN z y ON y.doc_id = b
+      WHERE 100 * common >= 90 * (x.n + y.n - common)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT doc_id, coalesce(z.n, 0) AS n_shingles, component_id FROM c LEFT JOIN z USING (doc_id)"""
+
+
 #: CRC-32 of a short ASCII text, bit by bit, in DuckDB.
 CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split({0}, ''), lambda z: ord(z)::BIGINT)),
   lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
