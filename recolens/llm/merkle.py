@@ -93,9 +93,7 @@ def grow(leaves: DataFrame, name: str) -> DataFrame:
 
     def climb(key, table):
         tree, block, level, n = key[0].as_py(), key[1].as_py(), key[2].as_py(), key[3].as_py()
-        at = table.column("at").to_numpy()
-        order = np.argsort(at)
-        hashes = [table.column("hash").to_pylist()[i] for i in order]
+        hashes = table.column("hash").take(pa.array(np.argsort(table.column("at").to_numpy()))).to_pylist()
         width = n
         for _ in range(level):
             width = -(-width // ARITY)
