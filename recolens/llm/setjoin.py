@@ -20,6 +20,8 @@ Everything is exact: no cap drops a pair, and the order of the shingles changes
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -28,6 +30,7 @@ from recolens.llm.graph import components
 from recolens.llm.minhash import in_blocks, joining_edges, overlaps
 from recolens.llm.store import written
 from recolens.llm.tokens import Words, mix, pieces, shingle_set, signed
+from recolens.operators.skew import broadcast_if_small
 
 #: Prefix shingles that linked sets have in common at least (fewer only where the sets are smaller).
 ROOM = 32
@@ -87,11 +90,33 @@ def posted(groups: DataFrame) -> DataFrame:
     return groups.select("gid", "prefix").mapInArrow(run, "gid long, token long")
 
 
-def close(n_a, n_b, common, percent: int):
-    """Whether sets of these sizes may be linked with so many prefix shingles in common."""
+def halves(groups: DataFrame) -> DataFrame:
+    """(gid, n, half): the distinct lower halves of the prefix hashes, sorted, for comparing prefixes."""
+
+    def run(batches):
+        for batch in batches:
+            low = [np.unique(np.frombuffer(b, np.uint64).astype(np.uint32)) for b in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([x.tobytes() for x in low], pa.binary())], ["gid", "n", "half"]
+            )
+
+    return groups.select("gid", "n", "prefix").mapInArrow(run, "gid long, n long, half binary")
+
+
+def close(n_a, n_b, common, lost, percent: int):
+    """Whether sets of these sizes may be linked with so many half hashes of their prefixes in common.
+
+    `lost` shingles of a prefix have the half hash of another one; they may all be common ones.
+    """
     low, high = np.minimum(n_a, n_b), np.maximum(n_a, n_b)
     need = np.minimum(ROOM, least_overlap(high, percent))
-    return (100 * low >= percent * high) & (common >= need)
+    return (100 * low >= percent * high) & (common + lost >= need)
+
+
+def lost_halves(n, sizes, percent: int):
+    """How many prefix shingles of sets of n shingles have no half hash of their own."""
+    least = least_overlap(n, percent)
+    return n - least + np.minimum(ROOM, least) - sizes
 
 
 def candidate_clusters(groups: DataFrame, percent: int) -> DataFrame:
@@ -108,53 +133,60 @@ def candidate_clusters(groups: DataFrame, percent: int) -> DataFrame:
         .select("gid", "n", F.explode(F.expr("slice(t, 1, size(t) - need + 1)")).alias("t"))
         .select("gid", "n", F.col("t.token").alias("token"))
     )
-    index = written(index, "prefix")
-    ends = index.groupBy("token").agg(
-        F.min("gid").alias("lo"), F.max("gid").alias("hi"), F.count("*").alias("members")
+    # Two linked sets are in the same or in neighbouring size classes; list (token, c) has classes c - 1 and c.
+    width = math.log(100 / percent) * (1 + 1e-9)
+    size_class = f"cast(floor(ln(n) / {width!r}) as long)" if width else "n"
+    index = written(index.withColumn("c", F.expr(f"explode(array({size_class}, {size_class} + 1))")), "prefix")
+    lists = index.groupBy("token", "c").agg(
+        F.min("gid").alias("lo"), F.max("gid").alias("hi"), F.count("*").alias("members"), F.bit_xor(F.xxhash64("gid")).alias("mark")
     ).where("lo <> hi")
-    ends = written(ends, "lists")
+    # Lists with the same members are one.
+    ends = lists.groupBy("lo", "hi", "members", "mark").agg(F.min(F.struct("token", "c")).alias("e"))
+    ends = written(ends.select("lo", "hi", "members", "e.token", "e.c"), "lists")
     met = (
-        index.join(ends, "token")
+        index.join(ends, ["token", "c"])
         .select("gid", F.explode(F.array("lo", "hi")).alias("end"))
         .where("gid <> end").distinct()
     )
-    held = groups.select("gid", "n", "prefix")
+    held = written(halves(groups.join(index.select("gid").distinct(), "gid", "left_semi")), "halves")
 
     def filtered(batches):
         for batch in batches:
-            a, b = (batch.column(c).to_pylist() for c in ("prefix", "other"))
+            a, b = (batch.column(c).to_pylist() for c in ("half", "other"))
             common = np.array(
-                [len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), True)) for x, y in zip(a, b)],
+                [len(np.intersect1d(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32), True)) for x, y in zip(a, b)],
                 np.int64,
             )
-            keep = close(batch.column("n").to_numpy(), batch.column("m").to_numpy(), common, percent)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            n, m = (batch.column(c).to_numpy() for c in ("n", "m"))
+            lost = lost_halves(n, np.array([len(x) // 4 for x in a], np.int64), percent)
+            yield batch.select(["a", "b"]).filter(pa.array(close(n, m, common, lost, percent), pa.bool_()))
 
     near = (
         met.join(held, "gid")
-        .join(held.select(F.col("gid").alias("end"), F.col("n").alias("m"), F.col("prefix").alias("other")), "end")
+        .join(held.select(F.col("gid").alias("end"), F.col("n").alias("m"), F.col("half").alias("other")), "end")
         .where(F.expr(f"100 * least(n, m) >= {percent} * greatest(n, m)"))
-        .select(F.col("gid").alias("a"), F.col("end").alias("b"), "n", "m", "prefix", "other")
+        .select(F.col("gid").alias("a"), F.col("end").alias("b"), "n", "m", "half", "other")
         .mapInArrow(filtered, "a long, b long")
     )
     near = written(near, "near")
     part = components(near)
-    member = index.join(ends.select("token", "members"), "token").join(
+    member = index.join(ends.select("token", "c", "members"), ["token", "c"]).join(
         part.withColumnRenamed("node", "gid"), "gid", "left"
     ).withColumn("component", F.coalesce("component", "gid"))
     several = (
-        member.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        .where("lo <> hi").select("token")
+        member.groupBy("token", "c").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+        .where("lo <> hi").select("token", "c")
     )
     rest = in_blocks(
-        member.join(several, "token").join(groups.select("gid", "prefix"), "gid"), F.ceil(F.col("members") / LIST_BLOCK), "gid"
+        member.join(several, ["token", "c"]).drop("n").join(held, "gid"), F.ceil(F.col("members") / LIST_BLOCK), "gid"
     )
 
     def compare(key, table):
         gid, n, own = (table.column(c).to_numpy() for c in ("gid", "n", "component"))
         gid, first = np.unique(gid, return_index=True)
-        n, own, raw = n[first], own[first], table.column("prefix").to_pylist()
-        prefixes = [np.frombuffer(raw[i], np.uint64) for i in first]
+        n, own, raw = n[first], own[first], table.column("half").to_pylist()
+        prefixes = [np.frombuffer(raw[i], np.uint32) for i in first]
+        lost = lost_halves(n, np.array([len(x) for x in prefixes]), percent)
         rows, cols = [], []
         for lo in range(0, len(gid), 128):
             some = slice(lo, lo + 128)
@@ -162,14 +194,14 @@ def candidate_clusters(groups: DataFrame, percent: int) -> DataFrame:
             which = np.flatnonzero(fits.any(axis=0))
             if len(which):
                 common = overlaps(prefixes[some], [prefixes[i] for i in which])
-                hit = fits[:, which] & close(n[some][:, None], n[which][None, :], common, percent)
-                r, c = np.nonzero(hit)
+                near_enough = close(n[some][:, None], n[which][None, :], common, lost[some][:, None], percent)
+                r, c = np.nonzero(fits[:, which] & near_enough)
                 rows.append(r + lo)
                 cols.append(which[c])
         found = joining_edges(len(gid), np.concatenate(rows), np.concatenate(cols)) if rows else []
         return pa.table({k: pa.array([int(gid[e[i]]) for e in found], pa.int64()) for i, k in enumerate("ab")})
 
-    more = rest.select("token", "x", "y", "gid", "n", "component", "prefix").groupBy("token", "x", "y").applyInArrow(
+    more = rest.select("token", "c", "x", "y", "gid", "n", "component", "half").groupBy("token", "c", "x", "y").applyInArrow(
         compare, "a long, b long"
     )
     return components(near.unionAll(more)).select(F.col("node").alias("gid"), F.col("component").alias("cluster"))
@@ -278,22 +310,20 @@ def jaccard_components(
     ).withColumn("text_key", F.xxhash64("text"))
     rows = written(set_rows(docs, size, percent), "sets")
     named = rows.where("doc_id is not null and n_shingles > 0")
-    key = ["set_a", "set_b", "n_shingles"]
-    sets = named.groupBy(*key).agg(F.min(F.struct("doc_id", "text_key", "prefix_a", "prefix_b", "prefix")).alias("first")).select(
-        *key, "first.*"
-    )
-    # An id that stands for several sets (rows that share a doc_id) gets a node for each of them.
-    several = sets.groupBy("doc_id").agg(F.count("*").alias("k")).where("k > 1")
+    key, same = ["set_a", "set_b", "n_shingles"], ["n_shingles", "prefix_a", "prefix_b"]
+    # A document is the node of its set; an id that stands for several sets gets a node for each of them.
+    several = named.select("doc_id", *key).distinct().groupBy("doc_id").agg(F.count("*").alias("k")).where("k > 1")
     node = F.when(F.col("k").isNull(), F.col("doc_id")).otherwise(
         F.lit(-(2**62)) - F.pmod(F.xxhash64("doc_id", "set_a", "set_b"), F.lit(2**61))
     )
-    sets = written(sets.join(several, "doc_id", "left").withColumn("rep", node).drop("k"), "distinct")
-    same = ["n_shingles", "prefix_a", "prefix_b"]
-    groups = sets.groupBy(*same).agg(F.min(F.struct("rep", "prefix")).alias("e")).select(
+    named = named.join(broadcast_if_small(several), "doc_id", "left").withColumn("rep", node).drop("k")
+    sets = named.groupBy(*key).agg(F.min(F.struct("rep", "doc_id", "text_key", "prefix_a", "prefix_b")).alias("first"))
+    sets = written(sets.select(*key, "first.*"), "distinct")
+    groups = named.groupBy(*same).agg(F.min(F.struct("rep", "prefix")).alias("e")).select(
         *same, F.col("e.rep").alias("gid"), F.col("n_shingles").alias("n"), F.col("e.prefix").alias("prefix")
     )
     groups = written(groups, "groups")
-    of_set = written(sets.drop("prefix").join(groups.select(*same, "gid"), same), "expanded")
+    of_set = written(sets.join(groups.select(*same, "gid"), same), "expanded")
 
     clusters = candidate_clusters(groups, percent)
     crowded = of_set.groupBy("gid").agg(F.count("*").alias("k")).where("k > 1").select("gid")
