@@ -16,12 +16,14 @@ The corpus is range-partitioned by doc_id and sorted; a task writes its document
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -120,47 +122,85 @@ class DacFile:
         return out
 
 
-class WordEncoder:
-    """Ids of whole texts under a tokenizer whose pre-tokenizer never joins across ASCII spaces.
+def words_stand_alone(tokenizer: str) -> bool:
+    """Whether a tokenizer file's first cut drops white space, so that no token joins two words."""
+    with open(tokenizer, encoding="utf-8") as source:
+        first = json.load(source).get("pre_tokenizer") or {}
+    while first.get("type") == "Sequence" and first["pretokenizers"]:
+        first = first["pretokenizers"][0]
+    if first.get("type") in ("Whitespace", "WhitespaceSplit", "BertPreTokenizer"):
+        return True
+    pattern = first.get("pattern", {}).get("Regex", "")
+    # What the pattern matches stays, the rest goes: it must not match a space anywhere.
+    drops = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert")
+    return bool(drops and pattern) and not any(regex.search(pattern, s) for s in (" ", "\n", "\t"))
 
-    Each distinct word is given to the tokenizers library once as long as it stays in a bounded cache;
-    the ids of a text are those of its words in order.
-    """
 
-    CACHED = 600_000
+class TextEncoder:
+    """Ids of whole texts under any tokenizer, each text given to the library as it is."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+
+    def ids_of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after another, and how many each text has."""
+        lists = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        return np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum())), sizes
+
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, starts): the ids of all texts, `end_id` after each, and where each text starts."""
+        flat, sizes = self.ids_of(["" if t is None else t for t in texts.to_pylist()])
+        starts = np.concatenate([[0], np.cumsum(sizes + 1)])
+        return np.insert(flat, np.cumsum(sizes), np.uint32(end_id)), starts
+
+
+class WordEncoder(TextEncoder):
+    """Ids of whole texts under a tokenizer that never joins across ASCII spaces (`words_stand_alone`).
+
+    Each distinct word is given to the library once as long as it stays in a bounded cache; the ids of
+    a text are those of its words in order. The cache is sorted arrays, about 30 bytes a word, so that
+    a worker holds the words of a large part of a corpus; it is emptied when it has `CACHED` words.
+    """
+
+    CACHED = 4_000_000
+
+    def __init__(self, path: str):
+        super().__init__(path)
         self.clear()
 
     def clear(self) -> None:
-        self.slots: dict[int, int] = {}
+        self.keys = np.zeros(0, np.uint64)  # sorted
+        self.slots = np.zeros(0, np.int32)  # of each key, its number in `ends`
         self.flat, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
-    def _add(self, hashes: list[int], texts: list[str]) -> None:
-        lists = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        ends = np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)))
-        flat = np.fromiter(chain.from_iterable(lists), np.uint32, int(ends[-1]))
-        self.slots.update(zip(hashes, range(len(self.slots), len(self.slots) + len(hashes))))
-        self.ends = np.concatenate([self.ends, ends + self.ends[-1]])
-        self.flat = np.concatenate([self.flat, flat])
+    def _slots(self, hashes: np.ndarray, words: Words, where: np.ndarray) -> np.ndarray:
+        """The slot of each of the sorted hashes; `where` names a word of each."""
+        at = np.searchsorted(self.keys, hashes)
+        known = at < len(self.keys)
+        known[known] = self.keys[at[known]] == hashes[known]
+        new = np.flatnonzero(~known)
+        if len(new):
+            raw, spots = words.raw.tobytes(), where[new]
+            spans = zip(words.start[spots].tolist(), words.end[spots].tolist())
+            flat, sizes = self.ids_of([raw[a:b].decode("utf-8") for a, b in spans])
+            slots = np.arange(len(self.keys), len(self.keys) + len(new), dtype=np.int32)
+            self.ends = np.concatenate([self.ends, np.cumsum(sizes) + self.ends[-1]])
+            self.flat = np.concatenate([self.flat, flat])
+            self.slots = np.insert(self.slots, at[new], slots)
+            self.keys = np.insert(self.keys, at[new], hashes[new])
+            at = np.searchsorted(self.keys, hashes)
+        return self.slots[at]
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, starts): the ids of all texts, `end_id` after each, and where each text starts."""
         words = Words(texts, lower=False)
-        if len(self.slots) > self.CACHED:
+        if len(self.keys) > self.CACHED:
             self.clear()
         hashes, where, back = np.unique(words.hash, return_index=True, return_inverse=True)
-        listed = hashes.tolist()
-        new = [k for k, h in enumerate(listed) if h not in self.slots]
-        if new:
-            raw, at = words.raw.tobytes(), where[new]
-            spans = zip(words.start[at].tolist(), words.end[at].tolist())
-            self._add([listed[k] for k in new], [raw[a:b].decode("utf-8") for a, b in spans])
-        slots = np.fromiter(map(self.slots.__getitem__, listed), np.int64, len(listed))[back]
+        slots = self._slots(hashes, words, where)[back]
         begin, length = self.ends[slots], self.ends[slots + 1] - self.ends[slots]
         total = np.concatenate([[0], np.cumsum(length)])
         n_docs = len(words.first) - 1
@@ -174,13 +214,13 @@ class WordEncoder:
         return out, starts
 
 
-_encoders: dict[str, WordEncoder] = {}
+_encoders: dict[str, TextEncoder] = {}
 
 
-def encoder_of(path: str) -> WordEncoder:
+def encoder_of(path: str) -> TextEncoder:
     """The worker's encoder for a file; its cache serves all tasks that the worker runs."""
     if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
+        _encoders[path] = WordEncoder(path) if words_stand_alone(path) else TextEncoder(path)
     return _encoders[path]
 
 
@@ -259,7 +299,8 @@ def read_documents(files: DataFrame) -> DataFrame:
                         ["doc_id", "start", "n_tokens", "ids_crc32"],
                     )
 
-    spread = files.select("path", "start").repartition("path")
+    # A row is a whole file: the number of partitions follows the number of files, not the rows' bytes.
+    spread = files.select("path", "start").repartition(max(1, files.count()), "path")
     return spread.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

@@ -201,3 +201,36 @@ def test_trigram_model(spark, none, monkeypatch, tmp_path):
         assert got.keys() == want.keys() and all(abs(got[d] - want[d]) < 1e-5 for d in want)
     assert any(abs(want[d] - pairs[d][3]) > 0.1 for d in want)
     assert kneser_ney.train(none, order=3).tokens == 0
+
+
+@pytest.mark.parametrize("name, alone", [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
+def test_token_files_equal_the_library_for_any_pre_tokenizer(spark, odd, name, alone):
+    import zlib
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(name)
+    assert dac.words_stand_alone(path) == alone
+    library = Tokenizer.from_file(path)
+    rows = [(i, t) for i, (t,) in enumerate(odd.select("text").collect())]
+    got = dac.read_documents(dac.write_tokens(spark.createDataFrame(rows, "doc_id long, text string"), path, 1))
+    at = 0
+    for (i, text), x in zip(rows, got.orderBy("doc_id").collect()):
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 1]
+        crc = zlib.crc32(b"".join(v.to_bytes(4, "little") for v in ids))
+        assert (x.doc_id, x.start, x.n_tokens, x.ids_crc32) == (i, at, len(ids), crc)
+        at += len(ids)
+
+
+def test_word_cache_is_bounded(monkeypatch):
+    import public_tokenizers
+    import pyarrow as pa
+
+    encoder = dac.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    monkeypatch.setattr(dac.WordEncoder, "CACHED", 3)
+    for text in ("one two three four", "five two", "one two three four"):
+        ids, starts = encoder.encode(pa.array([text, None, text]), 1)
+        own = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert ids.tolist() == [*own, 1, 1, *own, 1] and starts.tolist() == [0, len(own) + 1, len(own) + 2, 2 * len(own) + 3]
+        assert len(encoder.keys) <= 8
