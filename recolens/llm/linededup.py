@@ -18,34 +18,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from recolens.llm.quality import SPACES, let
+from recolens.llm.store import unused, written
 
 #: Shortest run, in words, that is deleted where it repeats.
 WORDS = 50
 
 
 def counted_lines(text: str = "_text") -> str:
-    """Lines with a word: (position among all lines, hash, number of words)."""
+    """Lines with a word: (position among all lines, two hashes, number of words)."""
     of_line = f"size(array_remove(split(l, {SPACES}), ''))"
     return (
-        rf"filter(transform(split({text}, '\n'), (l, i) -> struct(i as pos, xxhash64(l) as h, {of_line} as n)), "
+        rf"filter(transform(split({text}, '\n'), (l, i) -> struct(i as pos, xxhash64(l) as h, xxhash64(l, 1L) as g, {of_line} as n)), "
         "e -> e.n > 0)"
     )
 
 
 def windows_of(words: int) -> str:
-    """The windows of `ls`: first and last line (indices from 1), content hash, fingerprint and its line."""
-    start = "named_struct('n', 0, 'c', 0, 'hash', {seed}L, 'least', cast(null as bigint), 'at', 0)"
+    """The windows of `ls`: first and last line (indices from 1), 128-bit content, fingerprint and its line."""
+    start = "named_struct('n', 0, 'c', 0, 'hash', {seed}L, 'more', {seed}L, 'least', cast(null as bigint), 'at', 0)"
     step = (
-        f"if(a.n >= {words}, a, named_struct('n', a.n + e.n, 'c', a.c + 1, 'hash', xxhash64(a.hash, e.h), "
+        f"if(a.n >= {words}, a, named_struct('n', a.n + e.n, 'c', a.c + 1, 'hash', xxhash64(a.hash, e.h), 'more', xxhash64(a.more, e.g), "
         "'least', least(a.least, e.h), 'at', if(a.least is null or e.h < a.least, a.c, a.at)))"
     )
     ahead = f"aggregate(slice(ls, k, {words}), {start.format(seed=0)}, (a, e) -> {step})"
     back = f"aggregate(reverse(slice(ls, greatest(k - {words - 1}, 1), least(k, {words}))), {start.format(seed=1)}, (a, e) -> {step})"
-    window = "named_struct('k', {k}, 'to', {to}, 'content', {w}.hash, 'fingerprint', {w}.least, 'line', {line})"
+    window = "named_struct('k', {k}, 'to', {to}, 'content', {w}.hash, 'more', {w}.more, 'fingerprint', {w}.least, 'line', {line})"
     forward = window.format(k="x.k", to="x.k + x.w.c - 1", w="x.w", line="x.k + x.w.at")
     backward = window.format(k="x.k - x.w.c + 1", to="x.k", w="x.w", line="x.k - x.w.at")
     both = (
-        "named_struct('k', k, 'to', k + 1, 'content', xxhash64(2L, ls[k - 1].h, ls[k].h), "
+        "named_struct('k', k, 'to', k + 1, 'content', xxhash64(2L, ls[k - 1].h, ls[k].h), 'more', xxhash64(2L, ls[k - 1].g, ls[k].g), "
         "'fingerprint', least(ls[k - 1].h, ls[k].h), 'line', if(ls[k].h < ls[k - 1].h, k + 1, k))"
     )
     # A stretch that is shortest both ways is listed once, as a forward window.
@@ -67,12 +68,14 @@ def repeated_runs(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """
     lines = docs.select("_doc", "_key", F.expr(counted_lines()).alias("ls")).where("size(ls) > 0")
     found = (
-        f"transform({windows_of(words)}, x -> named_struct('k', x.k, 'to', x.to, 'content', x.content, "
+        f"transform({windows_of(words)}, x -> named_struct('k', x.k, 'to', x.to, 'content', x.content, 'more', x.more, "
         "'fingerprint', x.fingerprint, 'line', x.line, 'a', ls[x.k - 1].pos, 'b', ls[x.to - 1].pos))"
     )
+    # A few numbers for each window: written once, as three steps read them and making them is the work.
     windows = lines.select("_doc", "_key", F.explode(F.expr(let("ls", "ls", found))).alias("e")).select(
-        "_doc", "_key", "e.k", "e.a", "e.b", "e.content", "e.fingerprint", "e.line"
+        "_doc", "_key", "e.k", "e.a", "e.b", "e.content", "e.more", "e.fingerprint", "e.line"
     )
+    windows = written(windows, "windows")
     place, chosen = F.struct("_doc", "_key", "k"), F.struct("_doc", "_key", "line")
     shared = (
         windows.groupBy("fingerprint").agg(F.min(chosen).alias("lo"), F.max(chosen).alias("hi"))
@@ -80,11 +83,11 @@ def repeated_runs(docs: DataFrame, words: int = WORDS) -> DataFrame:
     )
     posted = windows.join(shared, "fingerprint").drop("fingerprint", "line")
     first = (
-        posted.groupBy("content").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+        posted.groupBy("content", "more").agg(F.min(place).alias("first"), F.max(place).alias("last"))
         .where("first < last").drop("last")
     )
     later = (
-        posted.join(first, "content").where(place > F.col("first"))
+        posted.join(first, ["content", "more"]).where(place > F.col("first"))
         .groupBy("_doc", "_key").agg(F.collect_set(F.struct("a", "b")).alias("rs"))
     )
     merged = (
@@ -102,26 +105,28 @@ def line_dedup(docs: DataFrame, words: int = WORDS, doc: str = "doc_id", text: s
     A run of at least `words` words that stands earlier, in the same document or one with a smaller
     doc_id, is deleted; lines without words inside it go too. Rows that agree in doc_id and text are
     one document and are treated alike. Null doc_ids come first; a null text stays null and an empty
-    one empty. Lines are compared exactly. All columns of `docs` come back, except that own columns
-    named n_lines and n_removed are replaced.
+    one empty. Lines are compared by 128 bits of hash. All columns of `docs` come back unchanged but
+    `text`, whatever their names, except that own columns named n_lines and n_removed are replaced.
     """
-    held = docs.drop("n_lines", "n_removed").withColumns(
+    docs = docs.drop("n_lines", "n_removed")
+    own, key, held, runs = unused(docs, "_doc", "_key", "_text", "_runs")
+    rows = docs.withColumns(
         {
-            "_doc": F.coalesce(F.col(doc).cast("long"), F.lit(-(2**63))),
-            "_text": F.coalesce(F.col(text).cast("string"), F.lit("")),
+            own: F.coalesce(F.col(doc).cast("long"), F.lit(-(2**63))),
+            held: F.coalesce(F.col(text).cast("string"), F.lit("")),
         }
-    ).withColumn("_key", F.xxhash64("_text"))
-    runs = repeated_runs(held.select("_doc", "_key", "_text"), words).dropDuplicates(["_doc", "_key"])
-    cut = held.join(runs, ["_doc", "_key"], "left")
+    ).withColumn(key, F.xxhash64(held))
+    found = repeated_runs(
+        rows.select(F.col(own).alias("_doc"), F.col(key).alias("_key"), F.col(held).alias("_text")), words
+    ).dropDuplicates(["_doc", "_key"])
+    cut = rows.join(found.toDF(own, key, runs), [own, key], "left")
     rest = F.expr(
-        r"array_join(filter(split(_text, '\n'), (l, i) -> not exists(runs, r -> i between r.a and r.b)), '\n')"
+        rf"array_join(filter(split(`{held}`, '\n'), (l, i) -> not exists(`{runs}`, r -> i between r.a and r.b)), '\n')"
     )
     return cut.withColumns(
         {
-            text: F.when(F.col("runs").isNull(), F.col(text)).otherwise(rest),
-            "n_lines": F.when(F.col("_text") == "", 0).otherwise(F.expr(r"size(split(_text, '\n'))")).cast("long"),
-            "n_removed": F.expr(
-                "coalesce(aggregate(runs, 0L, (s, r) -> s + r.b - r.a + 1), 0L)"
-            ),
+            text: F.when(F.col(runs).isNull(), F.col(text)).otherwise(rest),
+            "n_lines": F.when(F.col(held) == "", 0).otherwise(F.expr(rf"size(split(`{held}`, '\n'))")).cast("long"),
+            "n_removed": F.expr(f"coalesce(aggregate(`{runs}`, 0L, (s, r) -> s + r.b - r.a + 1), 0L)"),
         }
-    ).select(*docs.drop("n_lines", "n_removed").columns, "n_lines", "n_removed")
+    ).select(*[f"`{c}`" for c in docs.columns], "n_lines", "n_removed")
