@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from recolens.llm.store import unused
 from recolens.llm.tokens import Members, grams, pieces, plain_words
 
 SHINGLE = 5
@@ -202,5 +203,6 @@ def find_leaks(
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = 80) -> DataFrame:
     """The rows of `docs` in which no benchmark item is found, all columns kept."""
-    leaks = find_leaks(docs, benchmark, percent).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(leaks, docs["doc_id"] == F.col("_leak"), "left_anti")
+    (name,) = unused(docs, "_leak")
+    leaks = find_leaks(docs, benchmark, percent).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(leaks, docs["doc_id"] == leaks[name], "left_anti")

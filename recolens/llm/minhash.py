@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from recolens.llm.graph import components
-from recolens.llm.store import written
+from recolens.llm.store import unused, written
 from recolens.llm.tokens import Words, mix, pieces, shingle_set, signed
 
 COORDINATES = 64
@@ -326,5 +326,6 @@ def near_duplicates(
 def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """The rows of `docs` whose document is the first of its group, all columns kept. Of rows that
     repeat a kept doc_id every one stays."""
-    gone = near_duplicates(docs, size, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    (name,) = unused(docs, "_gone")
+    gone = near_duplicates(docs, size, percent).where("not kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, docs["doc_id"] == gone[name], "left_anti")

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from recolens.llm.store import written
+from recolens.llm.store import unused, written
 
 #: Rows of the sample on which cost and selectivity are estimated.
 SAMPLE_ROWS = 2000
@@ -149,8 +149,15 @@ def quality_report(docs: DataFrame, rules: tuple[Rule, ...] = RULES, doc: str =
 
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + RULES) -> DataFrame:
-    """The rows of `docs` that no rule rejects, all columns kept."""
+    """The rows of `docs` that no rule rejects, all columns kept, whatever their names."""
     rules = learn_order(docs, rules)
-    held = docs.withColumn("_text", F.coalesce(F.col("text").cast("string"), F.lit("")))
-    test = verdict(rules).replace("text", "_text")
-    return held.where(F.expr(test).isNull()).drop("_text")
+    (rejected,) = unused(docs, "_rejected")
+    held = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    # The rules read `text`; the column itself comes back as it was.
+    judged = docs.withColumn(rejected, F.struct(F.col("text").alias("was")))
+    judged = judged.withColumn("text", held).withColumn(
+        rejected, F.struct(F.col(f"`{rejected}`.was").alias("was"), F.expr(verdict(rules)).alias("rule"))
+    )
+    return judged.where(F.col(f"`{rejected}`.rule").isNull()).select(
+        *[F.col(f"`{rejected}`.was").alias(c) if c.lower() == "text" else F.col(f"`{c}`") for c in docs.columns]
+    )

@@ -34,6 +34,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Column names like `names` that `df` doesn't have, whatever its columns are called."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def drop_folders() -> None:
     """Delete every folder that `shared_folder` has named in this process."""
     while _made:

@@ -132,7 +132,7 @@ def ends_digests(ends: DataFrame) -> DataFrame:
     return one.unionAll(streamed)
 
 
-NO_ENDS = F.sha2(F.lit(""), 256)
+NO_ENDS = sha256(b"").hexdigest()
 
 
 def prefix_trie(rows: DataFrame, conversations: DataFrame) -> DataFrame:
@@ -171,7 +171,7 @@ def prefix_trie(rows: DataFrame, conversations: DataFrame) -> DataFrame:
         "conv_id", F.col("d").alias("depth"), F.col("conv_id").alias("parent_conv_id"), F.col("n").alias("n_convs"),
         (F.col("d") < F.col("len")).cast("long").alias("n_children"), F.lit(1).cast("long").alias("n_leaves"),
         F.expr("(n - 1) * (total - upto + chars)").alias("saved_tokens"),
-        F.when(F.col("d") == F.col("len"), F.col("ends_sha256")).otherwise(NO_ENDS).alias("ends_sha256"),
+        F.when(F.col("d") == F.col("len"), F.col("ends_sha256")).otherwise(F.lit(NO_ENDS)).alias("ends_sha256"),
     )
     path = below.where("d <= t").groupBy("conv_id").agg(
         F.sort_array(F.collect_list(F.struct("d", "k1", "k2", "chars"))).alias("path"), F.max("upto").alias("upto")
@@ -190,7 +190,7 @@ def prefix_trie(rows: DataFrame, conversations: DataFrame) -> DataFrame:
     )
     merged = nodes.join(parents, ["depth", "p1", "p2"], "left").select(
         "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", F.col("saved").alias("saved_tokens"),
-        F.coalesce("ends", NO_ENDS).alias("ends_sha256"),
+        F.coalesce("ends", F.lit(NO_ENDS)).alias("ends_sha256"),
     )
     return merged.unionByName(tails).withColumn("depth", F.col("depth").cast("long"))
 

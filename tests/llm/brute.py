@@ -1,5 +1,6 @@
 """Plain-Python versions of the operators, for small tables."""
 
+import hashlib
 import re
 
 SPACE = re.compile("[\x20\x09-\x0d]+")
@@ -219,3 +220,55 @@ def kneser_ney_trigrams(rows, trained):
             p = p2((s[i - 1], s[i]), p1((s[i],), 1 / (len(uni) + 1)))
             out[d] += math.log10(p3((s[i - 2], s[i - 1], s[i]), p) if i > 1 else p)
     return out
+
+
+def digest(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def trie(conversations):
+    """Nodes of {conv_id: [(role, text), ...]} as in `prefix_trie`, by plain dictionaries."""
+    members = {}
+    for c, turns in conversations.items():
+        for d in range(len(turns) + 1):
+            members.setdefault(tuple(turns[:d]), []).append(c)
+    children = {}
+    for k in members:
+        if k:
+            children.setdefault(k[:-1], []).append(k)
+
+    def below(k):
+        yield k
+        for c in children.get(k, []):
+            yield from below(c)
+
+    out = set()
+    for k, cs in members.items():
+        ends = ",".join(str(c) for c in sorted(c for c in cs if len(conversations[c]) == len(k)))
+        sub = list(below(k))
+        saved = sum((len(members[x]) - 1) * len(x[-1][1]) for x in sub if x)
+        leaves = sum(x not in children for x in sub)
+        parent = min(members[k[:-1]]) if k else None
+        out.add((min(cs), len(k), parent, len(cs), len(children.get(k, [])), leaves, saved, digest(ends)))
+    return out
+
+
+def merkle(groups):
+    """(root, {group: root}, proofs) of {group: [leaf, ...]} (groups in order): levels as lists; a proof
+    is a list of (left, right)."""
+
+    def tree(leaves):
+        levels, steps = [leaves], [[] for _ in leaves]
+        while len(levels[-1]) > 1:
+            below, k = levels[-1], len(levels)
+            levels.append([digest("".join(below[i : i + 8])) for i in range(0, len(below), 8)])
+            for i, s in enumerate(steps):
+                at = i // 8 ** (k - 1)
+                run = below[at // 8 * 8 : at // 8 * 8 + 8]
+                s.append(("".join(run[: at % 8]), "".join(run[at % 8 + 1 :])))
+        return levels[-1][0], steps
+
+    trees = {g: tree(leaves) for g, leaves in groups.items()}
+    root, tops = tree([r for r, _ in trees.values()])
+    proofs = {(g, i): s + t for (g, (_, steps)), t in zip(trees.items(), tops) for i, s in enumerate(steps)}
+    return root, {g: r for g, (r, _) in trees.items()}, proofs

@@ -152,3 +152,25 @@ def test_line_dedup_cuts_copies_of_edited_copies(spark):
     rows = [(1, x), (2, f"{x}\n{y}\n\n{z}"), (3, f"{x}\n{y}\n\n{z}"), (4, f"{z}\n{x}"), (5, f"{z}\n{x}"), (6, f"{x}\n\n{x}"), (7, f"{x}\n\n{x}")]
     got = {d.doc_id: (d.n_removed, d.text) for d in line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[2] == (1, f"{y}\n\n{z}") and got[3] == (4, "") and got[4] == (1, z) and got[5] == (2, "") and got[7] == (3, "")
+
+
+def test_stages_keep_columns_whatever_their_names(spark):
+    """Extra columns that the operators might use themselves come back with their values."""
+    from recolens.llm.minhash import drop_near_duplicates
+
+    r = random.Random(9)
+    names = ["_text", "_doc", "_key", "runs", "_runs", "_gone", "_leak", "_rejected", "ls", "w", "rep", "component", "content"]
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = [" ".join(f"w{r.randrange(10**6)}" for _ in range(80)) for _ in range(8)]
+    texts += [texts[0], f"{texts[1]}\n{passage}", f"{texts[2]} more\n{passage}", "too short", None]
+    rows = [(i, t, *[f"{c}{i}" for c in names]) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, ", ".join(["doc_id long", "text string", *[f"`{c}` string" for c in names]]))
+    bench = spark.createDataFrame([(1, " ".join(texts[3].split()[10:40]))], "item_id long, text string")
+    extra = {x.doc_id: tuple(x)[2:] for x in df.collect()}
+    good, cut, once, clean = keep_good(df), line_dedup(df), drop_near_duplicates(df), drop_leaks(df, bench)
+    for out, want in ((good, set(range(11))), (cut, set(range(13))), (once, set(range(13)) - {8}), (clean, set(range(13)) - {3})):
+        got = out.collect()
+        assert {x.doc_id for x in got} == want
+        assert all(tuple(x[c] for c in names) == extra[x.doc_id] for x in got)
+    assert {x.doc_id: x.text for x in good.collect()} == {i: texts[i] for i in range(11)}
+    assert {x.doc_id for x in cut.where("n_removed > 0").collect()} == {8, 9, 10}
