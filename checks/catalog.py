@@ -14,7 +14,7 @@ from recolens.operators import (
 )
 from recolens.sources import readers, writers
 from recolens.sources.bind import SUPPORT, Lake
-from recolens.streaming import logs, partials
+from recolens.streaming import logs, partials, stateful
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -1079,6 +1079,89 @@ simple(
 )
 
 
+# Streams under a watermark. Events come in six batches, five days each; every tenth comes one to three
+# batches late. A batch is judged by the newest time of the batches before it; the engine's own late
+# filter takes the watermark of one batch earlier, so that chained operators agree.
+_ARRIVAL = """CAST(least(5, (day(ts) - 1) {0} 5 + CASE WHEN event_id % 10 = 3 THEN 1 + event_id % 3 ELSE 0 END) AS INT)"""
+_ARRIVED = f"""
+WITH a AS (SELECT *, {_ARRIVAL.format('//')} AS arrival FROM events WHERE {{0}}),
+m AS (SELECT arrival, max(epoch_ms(ts)) AS top FROM a GROUP BY 1),
+w AS (SELECT x.arrival, (SELECT max(top) FROM m y WHERE y.arrival < x.arrival - {{1}}) - 86400000 AS mark FROM m x),
+t AS (SELECT a.*, mark FROM a JOIN w USING (arrival))"""
+
+
+def _arriving(lake: Lake, rows: DataFrame) -> DataFrame:
+    rows = rows.withColumn("arrival", F.expr(_ARRIVAL.format("div")))
+    return lake.arrivals(rows, F.col("arrival"))
+
+
+@query("stream_late_rows", _ARRIVED.format("true", 0) + """
+SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, arrival, late, count(*) FILTER (late) OVER () AS n_late,
+       count(*) FILTER (NOT late) OVER () AS n_on_time
+FROM (SELECT *, coalesce(epoch_us(ts) < mark * 1000, false) AS late FROM t)""")
+def _(lake: Lake) -> DataFrame:
+    path = lake.scratch("split")
+    stream = _arriving(lake, lake.table("events").select("event_id", "ts"))
+    _finished(lake, stateful.start_split(stateful.split_late(stream, "1 day"), path, lake.scratch("stream")))
+    split = stateful.read_split(lake.spark, path)
+    counts = stateful.late_counts(split)
+    # One row of counts, from the state.
+    return split.select("event_id", "ts", "arrival", "late").crossJoin(F.broadcast(counts))
+
+
+@query("stream_latency_sketch", _ARRIVED.format("event_type = 'view'", 1) + f"""
+, r AS (SELECT date_trunc('day', ts) AS d, value, CAST(json_extract(props, '$.k') AS BIGINT) % 2 = 0 AS hit FROM t
+        WHERE coalesce(epoch_ms(date_trunc('day', ts)) + 86400000 > mark, true))
+SELECT strftime(d, '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n_requests, count(*) FILTER (hit) AS hits,
+       round(CASE WHEN count(value) <= {stateful.SKETCH} THEN quantile_disc(value, 0.95) END, 6) AS exact_p95, true AS within_bound
+FROM r GROUP BY d""")
+def _(lake: Lake) -> DataFrame:
+    path, log = lake.scratch("sketches"), lake.scratch("log")
+    views = lake.events().filter("event_type = 'view'").select(
+        "event_id", F.col("ts").cast("timestamp").alias("ts"), F.col("value").alias("latency_ms"), (F.col("k") % 2 == 0).alias("cache_hit")
+    )
+    stream = _arriving(lake, views)
+    _finished(lake, stateful.start_sketches(stateful.latency_sketches(stream, "1 day", "1 day"), path, lake.scratch("stream")))
+    found = logs.latest(lake.spark.read.parquet(path), "window_start").withColumn("p95", stateful.sketch_quantile())
+    # Ranks of the sketch's value among the rows that the windows have taken in.
+    kept = _arriving_rows(views).where(F.coalesce(F.expr("window_start + interval 1 day > timestamp_millis(mark)"), F.lit(True)))
+    ranks = kept.join(found.select("window_start", "p95"), "window_start").groupBy("window_start").agg(
+        F.avg((F.col("latency_ms") < F.col("p95")).cast("double")).alias("low"),
+        F.avg((F.col("latency_ms") <= F.col("p95")).cast("double")).alias("high"),
+    )
+    error = 2 * stateful.rank_error()
+    within = (F.col("low") - error <= 0.95) & (F.col("high") + error >= 0.95)
+    return found.join(ranks, "window_start").select(
+        "window_start", "n_requests", "hits",
+        F.when(F.col("n_timed") <= stateful.SKETCH, F.col("p95")).alias("exact_p95"), within.alias("within_bound"),
+    )
+
+
+def _arriving_rows(rows: DataFrame) -> DataFrame:
+    """The same arrivals as a table, with the watermark (``mark``) that met each row and its day."""
+    rows = rows.withColumn("arrival", F.expr(_ARRIVAL.format("div")))
+    tops = rows.groupBy("arrival").agg(F.max(F.unix_millis("ts")).alias("top"))  # a row per batch
+    earlier = tops.alias("x").join(tops.alias("y"), F.expr("y.arrival < x.arrival - 1"), "left").groupBy("x.arrival").agg(
+        (F.max("y.top") - 86400000).alias("mark")
+    )
+    return rows.join(F.broadcast(earlier), "arrival").withColumn("window_start", F.window("ts", "1 day")["start"])
+
+
+@query("stream_dedup_state", """
+SELECT DISTINCT user_id, product_id, timestamp FROM interactions WHERE user_id IS NOT NULL AND product_id IS NOT NULL""")
+def _(lake: Lake) -> DataFrame:
+    path = lake.scratch("unique")
+    rows = silver.drop_null_keys(lake.interactions()).select("user_id", "product_id", "timestamp", "rating").withColumn(
+        "ts", S.event_time(F.col("timestamp"))
+    )
+    # By ship date, a year a batch; an eighth comes one batch later. So nothing is 1000 days late.
+    late = F.when(F.pmod(F.xxhash64("user_id", "product_id", "timestamp", "rating"), F.lit(8)) == 0, 1).otherwise(0)
+    batch = F.least(F.lit(6), F.floor(F.datediff("ts", F.lit("1995-01-01")) / 365) + late)
+    stream = lake.arrivals(rows, batch, 7)
+    _finished(lake, stateful.start_dedup(stateful.dedup_state(stream, "1000 days"), path, lake.scratch("stream")))
+    return lake.spark.read.parquet(path).select("user_id", "product_id", "timestamp")
+
+
 @query("experiment_log", """
 SELECT 'ndcg-' || CAST(n_users AS VARCHAR) AS run_id, 'metric' AS kind, 'ndcg_at_10' AS key,
        round(ndcg, 6) AS value FROM (SELECT avg(ndcg) AS ndcg, count(*) AS n_users FROM ndcg)""")

@@ -38,6 +38,16 @@ class Lake:
         rows.repartition(files, F.xxhash64(*rows.columns)).write.parquet(path)
         return self.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
+    def arrivals(self, rows: DataFrame, batch: Column, batches: int = 6) -> DataFrame:
+        """``rows`` as a stream that brings batch 0, 1, ... one after another, a file each.
+
+        The file source takes files by their time, so the batches are written in this order.
+        """
+        path = self.scratch("arrivals")
+        for i in range(batches):
+            rows.where(batch == i).coalesce(1).write.mode("append").parquet(path)
+        return self.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
     def scratch(self, name: str) -> str:
         """A new folder for a written table, in the folder all executors share."""
         ensure_checkpoint_dir(self.spark)
