@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from checks.sql import full
 from recolens.functions import scalars as S, vectors as V
+from recolens.functions.stats import EXACT_ROWS
 from recolens.operators import (
     abtest, als, bridge as br, bronze, cold_start, content, drift, eda, evaluate, features,
     fuse, gold, quality, serve, service, silver, skew,
@@ -838,7 +839,28 @@ simple(
     f"""SELECT table_name, count(*) FILTER (success) AS passed, count(*) AS total
         FROM (({_DQ_INTER}) UNION ALL ({_DQ_GOLD})) GROUP BY 1""",
 )
-simple("drift_ks_exact", lambda k: drift.drift_ks(k.interactions()))
+# Smirnov's exact law: of all lattice paths from (0, 0) to (n_a, n_b), those that leave the band. Column i of
+# the band holds the number of paths inside it, divided by e ** grow a column to stay in range.
+simple("drift_ks_exact", lambda k: drift.drift_ks(k.interactions(), method="auto"), f"""
+SELECT month_a, month_b, n_a, n_b, round(conv_rate_a, 6) AS conv_rate_a, round(conv_rate_b, 6) AS conv_rate_b,
+       round(ks_statistic, 6) AS ks_statistic, round(p, 6) AS p_value, p < 0.05 AS drift_detected FROM (
+  WITH RECURSIVE pairs AS (
+    SELECT *, ks_statistic - 1e-12 AS d, ln((n_a + n_b) / n_a) + n_b / n_a * ln((n_a + n_b) / n_b) AS grow FROM drift),
+  walk AS (
+    SELECT month_a, 0 AS i, j, 1.0::DOUBLE AS v FROM (SELECT *, unnest(range(n_b + 1)) AS j FROM pairs WHERE greatest(n_a, n_b) <= {EXACT_ROWS})
+    WHERE j / n_b < d
+    UNION ALL
+    SELECT month_a, i, j, sum(v) OVER (PARTITION BY month_a ORDER BY j ROWS UNBOUNDED PRECEDING) / exp(grow) AS v FROM (
+      SELECT w.month_a, w.i + 1 AS i, e.j, CASE WHEN e.j = w.j THEN w.v ELSE 0.0 END AS v, grow, d, n_a, n_b
+      FROM (SELECT *, max(j) OVER (PARTITION BY month_a) AS top FROM walk) w JOIN pairs USING (month_a),
+           LATERAL (SELECT unnest(CASE WHEN w.j = top THEN range(w.j, least(n_b + 1, ceil(n_b * ((w.i + 1) / n_a + d))::BIGINT + 2))
+                                  ELSE [w.j] END) AS j) e WHERE w.i < n_a)
+    WHERE abs(i / n_a - j / n_b) < d),
+  inside AS (
+    SELECT month_a, exp(ln(v) + n_a * grow - lgamma(n_a + n_b + 1) + lgamma(n_a + 1) + lgamma(n_b + 1)) AS share
+    FROM walk JOIN pairs USING (month_a) WHERE i = n_a AND j = n_b)
+  SELECT pairs.*, CASE WHEN greatest(n_a, n_b) > {EXACT_ROWS} THEN p_value ELSE greatest(0, least(1, 1 - coalesce(share, 0))) END AS p
+  FROM pairs LEFT JOIN inside USING (month_a))""")
 simple("drift_ks", lambda k: drift.drift_ks(k.interactions(), method="asymptotic"), """
 SELECT month_a, month_b, n_a, n_b, round(conv_rate_a, 6) AS conv_rate_a, round(conv_rate_b, 6) AS conv_rate_b,
        round(ks_statistic, 6) AS ks_statistic, round(p_value, 6) AS p_value, p_value < 0.05 AS drift_detected FROM drift""")
