@@ -10,8 +10,8 @@ from checks.sql import full
 from recolens.functions import scalars as S, vectors as V
 from recolens.functions.stats import EXACT_ROWS
 from recolens.operators import (
-    abtest, als, bridge as br, bronze, cold_start, content, drift, eda, evaluate, features,
-    fuse, gold, quality, serve, service, silver, skew,
+    abtest, als, bounded, bridge as br, bronze, cold_start, content, drift, eda, evaluate, features,
+    fuse, gold, ivf, quality, serve, service, silver, skew,
 )
 from recolens.sources import readers, writers
 from recolens.sources.bind import SUPPORT, Lake
@@ -546,6 +546,49 @@ simple(
     lambda k: serve.batch_recommend(k.user_vectors(), k.product_vectors(), 5, item_block=400).drop("generated_at"),
     f"SELECT {_TOP} FROM scores QUALIFY rank <= 5",
 )
+# The same rows from norm classes of 50 products. In the second query the products' vectors are weighted by
+# demand, so that norms differ as those of factors do; the third says what that saves.
+simple(
+    "batch_recommend_bounded",
+    lambda k: serve.batch_recommend_bounded(k.user_vectors(), k.product_vectors(), 10, class_items=50).rows,
+    f"SELECT {_TOP} FROM scores QUALIFY rank <= 10",
+)
+
+
+def _in_demand(lake: Lake) -> serve.Bounded:
+    demand = lake.interactions().where("product_id is not null").groupBy("product_id").agg(F.count(F.lit(1)).alias("m"))
+    weighted = lake.product_vectors().join(demand, "product_id").withColumn("p", F.transform("p", lambda x: (x * F.col("m")).cast("float")))
+    return serve.batch_recommend_bounded(lake.user_vectors(), weighted, 10, class_items=50)
+
+
+_DEMAND = """
+WITH m AS (SELECT product_id, count(*) AS m FROM interactions WHERE product_id IS NOT NULL GROUP BY 1),
+d AS (SELECT product_id, list_transform(p, lambda x: CAST(CAST(x * m AS FLOAT) AS DOUBLE)) AS p FROM pv JOIN m USING (product_id))"""
+simple("recommend_by_demand", lambda k: _in_demand(k).rows, f"""
+SELECT * FROM ({_DEMAND}, scores AS (SELECT user_id, product_id, round(list_dot_product(u, p), 6) + 0.0 AS score FROM uv, d)
+SELECT {_TOP} FROM scores QUALIFY rank <= 10)""")
+simple(
+    "bounded_work",
+    lambda k: bounded.left_out(_in_demand(k).work).select("n_pairs", (F.col("left_out") > 0.05).alias("saves")),
+    f"SELECT * FROM ({_DEMAND} SELECT (SELECT count(*) FROM uv) * (SELECT count(*) FROM d) AS n_pairs, true AS saves)",
+)
+
+
+def _indexed(lake: Lake) -> tuple[DataFrame, DataFrame]:
+    """Nearest vectors of every fiftieth one, by the index and exactly."""
+    vectors = lake.content_vectors()
+    wanted = vectors.where(F.col("product_id").cast("long") % 50 == 0)
+    index = ivf.write_index(ivf.build_index(vectors), lake.scratch("index"))
+    return ivf.similar_in_index(index, wanted, 10, ivf.probes_for(index, 10)), serve.similar_items(vectors, 10, wanted.select("product_id"))
+
+
+simple("similar_items_index", lambda k: _indexed(k)[0])
+simple(
+    "index_recall",
+    lambda k: ivf.recall(*_indexed(k)).select("n_queries", "n_neighbours", (F.col("recall") >= 0.9).alias("enough")),
+    """SELECT count(*) AS n_queries, sum(least(10, n - 1))::BIGINT AS n_neighbours, true AS enough
+       FROM embeddings, (SELECT count(*) AS n FROM embeddings) WHERE vec_id % 50 = 0""",
+)
 simple("consecutive_months", lambda k: drift.consecutive_months(eda.distinct_months(k.interactions())), """
 SELECT month_a, month_b FROM month_pairs WHERE month_b IS NOT NULL""")
 simple(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from recolens.functions import scalars as S
 from recolens.functions.vectors import blend, l2_normalize
+from recolens.operators.bounded import Bounded, top_items_bounded
 from recolens.operators.scoring import top_items
 from recolens.operators.skew import cut
 
@@ -35,6 +36,13 @@ def batch_recommend(
     return recs.withColumn("generated_at", stamp)
 
 
+def batch_recommend_bounded(users: DataFrame, products: DataFrame, k: int = 10, **blocks) -> Bounded:
+    """:func:`batch_recommend` without the product blocks whose norms can't reach a user's list."""
+    found = top_items_bounded(_queries(users), _items(products), k, **blocks)
+    rows = found.rows.select(F.col("query_id").alias("user_id"), "product_id", "score", "rank")
+    return Bounded(rows, found.work)
+
+
 def recs_summary(recs: DataFrame) -> DataFrame:
     return recs.agg(
         F.count(F.lit(1)).alias("n_recommendations"), F.avg("score").alias("avg_score")
