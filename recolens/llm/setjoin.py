@@ -143,12 +143,8 @@ def candidate_clusters(groups: DataFrame, percent: int) -> DataFrame:
     # Lists with the same members are one.
     ends = lists.groupBy("lo", "hi", "members", "mark").agg(F.min(F.struct("token", "c")).alias("e"))
     ends = written(ends.select("lo", "hi", "members", "e.token", "e.c"), "lists")
-    met = (
-        index.join(ends, ["token", "c"])
-        .select("gid", F.explode(F.array("lo", "hi")).alias("end"))
-        .where("gid <> end").distinct()
-    )
-    held = written(halves(groups.join(index.select("gid").distinct(), "gid", "left_semi")), "halves")
+    kept = written(index.join(ends, ["token", "c"]).select("token", "c", "gid", "n", "lo", "hi", "members"), "kept")
+    held = written(halves(groups.join(kept.select("gid").distinct(), "gid", "left_semi")), "halves")
 
     def filtered(batches):
         for batch in batches:
@@ -161,18 +157,31 @@ def candidate_clusters(groups: DataFrame, percent: int) -> DataFrame:
             lost = lost_halves(n, np.array([len(x) // 4 for x in a], np.int64), percent)
             yield batch.select(["a", "b"]).filter(pa.array(close(n, m, common, lost, percent), pa.bool_()))
 
-    near = (
-        met.join(held, "gid")
-        .join(held.select(F.col("gid").alias("end"), F.col("n").alias("m"), F.col("half").alias("other")), "end")
-        .where(F.expr(f"100 * least(n, m) >= {percent} * greatest(n, m)"))
-        .select(F.col("gid").alias("a"), F.col("end").alias("b"), "n", "m", "half", "other")
-        .mapInArrow(filtered, "a long, b long")
+    def filter_pairs(pairs: DataFrame) -> DataFrame:
+        """Those of the pairs (gid, end) that may be linked, as (a, b)."""
+        return (
+            pairs.join(held, "gid")
+            .join(held.select(F.col("gid").alias("end"), F.col("n").alias("m"), F.col("half").alias("other")), "end")
+            .where(F.expr(f"100 * least(n, m) >= {percent} * greatest(n, m)"))
+            .select(F.col("gid").alias("a"), F.col("end").alias("b"), "n", "m", "half", "other")
+            .mapInArrow(filtered, "a long, b long")
+        )
+
+    # First the two outermost ends over all lists of a group, then the ends that this leaves in another part.
+    outer = kept.groupBy("gid").agg(F.array(F.min("lo"), F.max("hi")).alias("end")).select("gid", F.explode("end").alias("end"))
+    near = written(filter_pairs(outer.where("gid <> end").distinct()), "near")
+    part = components(near)
+    pairs = kept.select("gid", F.explode(F.array("lo", "hi")).alias("end")).where("gid <> end").distinct()
+    apart = (
+        pairs.join(part.select(F.col("node").alias("gid"), "component"), "gid", "left")
+        .join(part.select(F.col("node").alias("end"), F.col("component").alias("other")), "end", "left")
+        .where("coalesce(component, gid) <> coalesce(other, end)").select("gid", "end")
     )
-    near = written(near, "near")
+    near = written(near.unionAll(filter_pairs(apart)), "near-all")
     part = components(near)
-    member = index.join(ends.select("token", "c", "members"), ["token", "c"]).join(
-        part.withColumnRenamed("node", "gid"), "gid", "left"
-    ).withColumn("component", F.coalesce("component", "gid"))
+    member = kept.join(part.withColumnRenamed("node", "gid"), "gid", "left").withColumn(
+        "component", F.coalesce("component", "gid")
+    )
     several = (
         member.groupBy("token", "c").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
         .where("lo <> hi").select("token", "c")
