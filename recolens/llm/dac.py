@@ -168,10 +168,42 @@ class WordEncoder(TextEncoder):
 
     CACHED = 4_000_000
 
+    JOINED = 512  # words that the library gets at a time
+
     def __init__(self, path: str):
         super().__init__(path)
+        self.between = self._separator(path)
         self.clear()
 
+    def _separator(self, path: str) -> tuple[bytes, int] | None:
+        """A special token that may stand between words, cuts the text and has an id of its own."""
+        with open(path, encoding="utf-8") as source:
+            added = json.load(source).get("added_tokens", [])
+        plain = [a for a in added if a.get("special") and not (a.get("lstrip") or a.get("rstrip") or a.get("single_word"))]
+        return (plain[0]["content"].encode(), plain[0]["id"]) if plain else None
+
+    def ids_of_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """`ids_of` for words. Many words go to the library as one text with a special token between them,
+        as most of the time for a word alone goes into making its result. Where the words don't come back
+        one for one, a word holds that token's text: those words are encoded one by one."""
+        if self.between is None:
+            return self.ids_of([w.decode("utf-8") for w in words])
+        mark, number = self.between
+        groups = [words[i : i + self.JOINED] for i in range(0, len(words), self.JOINED)]
+        lists = self.tokenizer.encode_batch_fast([mark.join(g).decode("utf-8") for g in groups], add_special_tokens=False)
+        flat, sizes = [], []
+        for group, found in zip(groups, lists):
+            ids = np.array(found.ids, np.uint32)
+            cuts = np.flatnonzero(ids == number)
+            if len(cuts) == len(group) - 1:
+                flat.append(np.delete(ids, cuts))
+                sizes.append(np.diff(cuts, prepend=-1, append=len(ids)) - 1)
+            else:
+                one, size = self.ids_of([w.decode("utf-8") for w in group])
+                flat.append(one)
+                sizes.append(size)
+        return np.concatenate(flat), np.concatenate(sizes)
+
     def clear(self) -> None:
         self.keys = np.zeros(0, np.uint64)  # sorted
         self.slots = np.zeros(0, np.int32)  # of each key, its number in `ends`
@@ -186,7 +218,7 @@ class WordEncoder(TextEncoder):
         if len(new):
             raw, spots = words.raw.tobytes(), where[new]
             spans = zip(words.start[spots].tolist(), words.end[spots].tolist())
-            flat, sizes = self.ids_of([raw[a:b].decode("utf-8") for a, b in spans])
+            flat, sizes = self.ids_of_words([raw[a:b] for a, b in spans])
             slots = np.arange(len(self.keys), len(self.keys) + len(new), dtype=np.int32)
             self.ends = np.concatenate([self.ends, np.cumsum(sizes) + self.ends[-1]])
             self.flat = np.concatenate([self.flat, flat])

@@ -234,3 +234,15 @@ def test_word_cache_is_bounded(monkeypatch):
         own = encoder.tokenizer.encode(text, add_special_tokens=False).ids
         assert ids.tolist() == [*own, 1, 1, *own, 1] and starts.tolist() == [0, len(own) + 1, len(own) + 2, 2 * len(own) + 3]
         assert len(encoder.keys) <= 8
+
+
+def test_words_that_hold_the_separator_are_encoded_alone():
+    import public_tokenizers
+    import pyarrow as pa
+
+    encoder = dac.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    mark = encoder.between[0].decode()
+    text = f"one a{mark}b two {mark} Éa {mark}{mark} x{mark}"
+    ids, _ = encoder.encode(pa.array([text, "only plain words here"]), 1)
+    own = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in (text, "only plain words here")]
+    assert ids.tolist() == [*own[0], 1, *own[1], 1]
