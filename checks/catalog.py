@@ -11,9 +11,9 @@ from recolens.functions import scalars as S, vectors as V
 from recolens.functions.stats import EXACT_ROWS
 from recolens.operators import (
     abtest, als, bounded, bridge as br, bronze, cold_start, content, drift, eda, evaluate, features,
-    fuse, gold, ivf, quality, serve, service, silver, skew,
+    fuse, gold, incremental, ivf, quality, serve, service, silver, skew,
 )
-from recolens.sources import readers, writers
+from recolens.sources import ingest, readers, writers
 from recolens.sources.bind import SUPPORT, Lake
 from recolens.streaming import logs, partials, stateful
 
@@ -1144,6 +1144,65 @@ simple(
 )
 
 
+@query("ingest_files", f"SELECT {_INTER} FROM interactions")
+def _(lake: Lake) -> DataFrame:
+    """Two deliveries; the first run dies before its commit, the second finds both, the third nothing new."""
+    source, table = lake.scratch("deliveries"), lake.scratch("table")
+    rows = lake.interactions().withColumn("part", F.pmod(F.xxhash64("user_id", "product_id", "timestamp"), F.lit(2)))
+    rows.where("part = 0").drop("part").write.parquet(f"{source}/one")
+
+    def die() -> None:
+        raise RuntimeError("killed")
+
+    try:
+        ingest.ingest(lake.spark, source, table, before_commit=die)
+    except RuntimeError:
+        pass
+    rows.where("part = 1").drop("part").write.parquet(f"{source}/two")
+    for _ in range(2):
+        ingest.ingest(lake.spark, source, table)
+    return ingest.read_committed(lake.spark, table)
+
+
+@query("user_profile_incremental", """
+SELECT user_id, total_interactions, total_purchases, round(avg_rating, 6) AS avg_rating,
+       round(avg_rating_weighted, 6) AS avg_rating_weighted FROM merged""")
+def _(lake: Lake) -> DataFrame:
+    """Three batches of interactions, one of them delivered again, old ones compacted."""
+    path, rows = lake.scratch("profiles"), lake.interactions()
+    part = F.pmod(F.xxhash64("user_id", "product_id", "timestamp"), F.lit(10))
+    for batch, share in ((1, part < 6), (2, part.between(6, 8)), (2, part.between(6, 8)), (3, part == 9)):
+        incremental.add_batch(rows.where(share), path, batch)
+        if batch == 1:
+            incremental.compact(lake.spark, path)
+    return incremental.profiles(lake.spark, path)
+
+
+# Estimates at three levels, all from the sketches per month and category, against exact counts.
+
+
+@query("distinct_users_rollup", """
+SELECT 'month and category' AS level, year_month, category, count(DISTINCT user_id) AS n_exact, true AS within_bound
+FROM interactions WHERE user_id IS NOT NULL GROUP BY ALL
+UNION ALL SELECT 'category', NULL, category, count(DISTINCT user_id), true FROM interactions WHERE user_id IS NOT NULL GROUP BY ALL
+UNION ALL SELECT 'all', NULL, NULL, count(DISTINCT user_id), true FROM interactions""")
+def _(lake: Lake) -> DataFrame:
+    rows = lake.interactions().select("user_id", "year_month", "category")
+    sketches = skew.cut(incremental.user_sketches(rows))
+    out = None
+    for level, keys in (("month and category", ["year_month", "category"]), ("category", ["category"]), ("all", [])):
+        exact = rows.distinct().where("user_id is not null").groupBy(*keys).agg(F.countDistinct("user_id").alias("n_exact"))
+        about = incremental.distinct_users_at(sketches, *keys)
+        both = exact.join(about, keys) if keys else exact.crossJoin(F.broadcast(about))  # one row each
+        error = F.greatest(F.lit(1.0), 4 * incremental.estimate_error() * F.col("n_exact"))
+        part = both.select(
+            F.lit(level).alias("level"), *[(F.col(c) if c in keys else F.lit(None).cast("string")).alias(c) for c in ("year_month", "category")],
+            "n_exact", (F.abs(F.col("n_users") - F.col("n_exact")) <= error).alias("within_bound"),
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 # Streams under a watermark. Events come in six batches, five days each; every tenth comes one to three
 # batches late. A batch is judged by the newest time of the batches before it; the engine's own late
 # filter takes the watermark of one batch earlier, so that chained operators agree.

@@ -262,6 +262,13 @@ SELECT product_id, strftime(make_timestamp(lo * 1000), '%Y-%m-%d') AS first_date
   GROUP BY ALL)""")
 
 
+# Computed once, and joined as what they are: their own joins must not be mixed with those of a query.
+HELD = {
+    "pv", "uv", "supported", "warm_products", "warm_users", "factor_items", "factor_users", "bridged_items",
+    "fused_products", "seen_means",
+}
+
+
 def full(query: str) -> str:
     """Prefix ``query`` with the expressions it needs, directly or through others."""
     needed: set[str] = set()
@@ -274,7 +281,7 @@ def full(query: str) -> str:
     ordered = _sorted(needed)
     if not ordered:
         return query
-    return "WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in ordered) + "\n" + query
+    return "WITH " + ",\n".join(f"{n} AS {'MATERIALIZED ' if n in HELD else ''}({CTES[n]})" for n in ordered) + "\n" + query
 
 
 def _sorted(needed: set[str]) -> list[str]:
