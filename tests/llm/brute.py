@@ -157,17 +157,19 @@ def best_dice_of_words(rows, templates, percent):
 def line_dedup_of_all(rows, least):
     """{doc_id: (n_removed, text)}: every run of at least `least` words that stands at any earlier place goes."""
     lines = {d: [(i, x, len(words(x))) for i, x in enumerate((t or "").split("\n")) if words(x)] for d, t in rows}
-    gone = {d: set() for d in lines}
-    seen = set()
+    gone, places = {d: set() for d in lines}, {}
     for d in sorted(lines):
         own = lines[d]
-        for k in range(len(own)):
-            for j in range(k, len(own)):
-                if sum(x[2] for x in own[k : j + 1]) >= least:
-                    key = tuple(x[1] for x in own[k : j + 1])
-                    if key in seen:
-                        gone[d].update(range(own[k][0], own[j][0] + 1))
-                    seen.add(key)
+        for k, (_, text, _) in enumerate(own):
+            for e, q in places.get(text, []):
+                if k and q and own[k - 1][1] == lines[e][q - 1][1]:
+                    continue  # inside a run that began before
+                n = total = 0
+                while k + n < len(own) and q + n < len(lines[e]) and own[k + n][1] == lines[e][q + n][1]:
+                    total, n = total + own[k + n][2], n + 1
+                if total >= least:
+                    gone[d].update(range(own[k][0], own[k + n - 1][0] + 1))
+            places.setdefault(text, []).append((d, k))
     return {
         d: (len(gone[d]), "\n".join(x for i, x in enumerate((t or "").split("\n")) if i not in gone[d]))
         for d, t in rows

@@ -105,7 +105,7 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
     held = spark.read.parquet(str(tmp_path / "documents.parquet"))
     kept = {x.doc_id for x in brute_quality(held)}
     rows = [(x.doc_id, x.text) for x in held.collect() if x.doc_id in kept]
-    cut = brute.line_dedup(rows, 50)
+    cut = brute.line_dedup_of_all(rows, 50)
     rows = [(d, t) for d, (n, t) in cut.items() if not n or brute.words(t)]
     part = brute.near_duplicates(rows, 5, 80)
     rows = [(d, t) for d, t in rows if part[d][1] == d]
