@@ -6,11 +6,15 @@ the words of class and id tell. A form, or a container whose class only mentions
 ("with-sidebar"), is weaker: an article or main element inside it is main text again. Blocks that no
 element marks are open.
 
-* The token streams of the pages of a host (all blocks) are concatenated, and their suffixes are sorted
-  to a depth of `RUN` tokens by prefix doubling. Suffixes that agree to that depth are neighbours. Every
-  longer repeat is a chain of such runs, so the depth loses nothing.
-* Tasks sort the slice of a host they hold and return one row per distinct prefix and page; the rows of
-  all slices meet in combining aggregations, so a host of any size is never in one task.
+* Pages are written once, in buckets by (host, slice): a host above `SLICE_BYTES` of html is dealt into
+  slices, smaller ones are one. Everything after reads these buckets in place; only run tables are shuffled.
+* In each slice the token streams are concatenated and their suffixes sorted to a depth of `RUN` tokens by
+  prefix doubling. Neighbours in that order that share RUN tokens form an interval, and the changes of page
+  along it count the distinct pages of its run. Every longer repeat is a chain of such runs, so the depth
+  loses nothing.
+* What stands on a share of a host's pages stands on that share of the pages of one slice at least, so runs
+  that are frequent in some slice are all candidates there are; a second look at the slices of large hosts
+  counts each candidate on all pages. The result is exact, and no host is ever in one task.
 * A run is boilerplate if it stands on at least `LEAST` distinct pages and on `SHARE` of the distinct
   pages of its host. Rarer repeats stay: articles are republished, and quoted. A run on fewer than `SURE`
   pages also stays where such runs cover most of the page's longest block.
@@ -29,10 +33,11 @@ from urllib.parse import urlsplit
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from recolens.llm.store import written
-from recolens.llm.tokens import Words, grams, mix, signed
+from recolens.llm.store import bucketed, written
+from recolens.llm.tokens import Words, grams, mix, pieces, signed
 
 #: Tokens of a repeated run.
 RUN = 8
@@ -40,6 +45,8 @@ RUN = 8
 LEAST, SHARE = 3, 0.25
 #: A run on so many pages is boilerplate even where it is most of a page.
 SURE = 10
+#: Bytes of html in a slice of a host, and so in a task's group.
+SLICE_BYTES = 1 << 24
 
 BLOCK_TAGS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer "
@@ -238,13 +245,49 @@ def sorted_prefixes(tokens: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndar
     return np.argsort(rank, kind="stable"), rank
 
 
-class Streams:
-    """Token streams of some pages: word hashes of all blocks."""
-
-    def __init__(self, pages: list[list[tuple[int, str, int]]]):
-        self.words = Words(pa.array(["\n".join(t for _, t, _ in p) for p in pages], pa.large_string()))
-        first = self.words.first
-        self.slices = [self.words.hash[a:b] for a, b in zip(first, first[1:])]
+def repeated_runs(streams: list[np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of RUN tokens that stand in at least `least` of the streams: their hashes, and in how many.
+
+    Equal runs are neighbours in suffix order. Suffixes of one run keep the order of the streams, so each
+    change of stream along an interval is one more stream."""
+    none = np.zeros(0, np.int64)
+    if not streams:
+        return none, none
+    tokens = np.concatenate(streams)
+    stream = np.repeat(np.arange(len(streams)), [len(s) for s in streams])
+    # A run may not reach into the next stream.
+    whole = np.concatenate([np.arange(len(s)) <= len(s) - RUN for s in streams])
+    order, _ = sorted_prefixes(tokens, RUN)
+    order = order[whole[order]]
+    if not len(order):
+        return none, none
+    shared = np.ones(len(order) - 1, bool)
+    for k in range(RUN):
+        here = tokens[order + k]
+        shared &= here[1:] == here[:-1]
+    head = np.concatenate([[True], ~shared])
+    turn = head.copy()
+    turn[1:] |= stream[order[1:]] != stream[order[:-1]]
+    starts = np.flatnonzero(head)
+    n = np.add.reduceat(turn.astype(np.int64), starts)
+    keep = n >= least
+    return run_hashes(tokens, order[starts[keep]]), n[keep]
+
+
+def run_hashes(tokens: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Hashes of the runs that start at `places`, as `grams` gives them."""
+    return signed(grams(tokens, RUN))[places]
+
+
+def streams_of(texts: pa.Array | pa.ChunkedArray) -> list[np.ndarray]:
+    """Token streams of pages, given the lists of their block texts."""
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    out: list[np.ndarray] = []
+    for part in pieces(pa.record_batch([pc.binary_join(texts, "\n")], ["text"]), 0):
+        words = Words(part.column(0))
+        out += [words.hash[a:b] for a, b in zip(words.first, words.first[1:])]
+    return out
 
 
 def stream_key(tokens: np.ndarray) -> int:
@@ -254,65 +297,62 @@ def stream_key(tokens: np.ndarray) -> int:
     )
 
 
-def covered_runs(parsed: DataFrame) -> DataFrame:
-    """(key, covered, weak): the start positions, in the page's stream, of boilerplate runs of RUN tokens;
-    weak are those on fewer than SURE pages."""
+def longs(table: pa.Table, name: str) -> np.ndarray:
+    """The values of a column that are not null."""
+    return table.column(name).drop_null().to_numpy().astype(np.int64)
 
-    def streams_of(batch):
-        return Streams([list(zip(*b)) for b in zip(*(batch.column(c).to_pylist() for c in ("kinds", "texts", "linked")))]).slices
 
-    def prefixes(batches):
-        for batch in batches:
-            hosts: dict[int, list[np.ndarray]] = {}
-            for host, s in zip(batch.column("host").to_pylist(), streams_of(batch)):
-                hosts.setdefault(host, []).append(s)
-            out: list[tuple] = []
-            for host, streams in hosts.items():
-                tokens = np.concatenate(streams)
-                keys = np.repeat([stream_key(s) for s in streams], [len(s) for s in streams]).astype(np.int64)
-                # A run may not reach into the next page.
-                whole = np.concatenate([np.arange(len(s)) <= len(s) - RUN for s in streams])
-                if not whole.any():
-                    continue
-                order, _ = sorted_prefixes(tokens, RUN)
-                order = order[whole[order]]
-                prefix, key = signed(grams(tokens, RUN))[order], keys[order]
-                by = np.lexsort((key, prefix))
-                prefix, key = prefix[by], key[by]
-                first = np.concatenate([[True], (prefix[1:] != prefix[:-1]) | (key[1:] != key[:-1])])
-                out.append((np.full(int(first.sum()), host, np.int64), prefix[first], key[first]))
-            empty = np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([x[c] for x in out] or [empty])) for c in range(3)], ["host", "prefix", "stream"]
-            )
-
-    def own(batches):
-        for batch in batches:
-            keys, hosts, prefix, place = [], [], [], []
-            for key, host, s in zip(batch.column("key").to_pylist(), batch.column("host").to_pylist(), streams_of(batch)):
-                g = signed(grams(s, RUN))
-                keys.append(np.full(len(g), key, np.int64))
-                hosts.append(np.full(len(g), host, np.int64))
-                prefix.append(g)
-                place.append(np.arange(len(g), dtype=np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([np.zeros(0, np.int64), *x])) for x in (keys, hosts, prefix, place)],
-                ["key", "host", "prefix", "place"],
-            )
-
-    pages = parsed.select("host", "stream").distinct().groupBy("host").agg(F.count("*").alias("pages"))
-    repeated = (
-        parsed.mapInArrow(prefixes, "host long, prefix long, stream long").distinct()
-        .groupBy("host", "prefix").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST)
-        .join(pages, "host").where(F.col("n") >= SHARE * F.col("pages")).select("host", "prefix", "n")
-    )
+def with_side(parsed: DataFrame, columns: list[str], side: DataFrame, function, schema: str) -> DataFrame:
+    """`function(pages, side rows)` for each (host, slice); the buckets of `parsed` are read in place."""
     return (
-        parsed.mapInArrow(own, "key long, host long, prefix long, place long")
-        .join(repeated, ["host", "prefix"])
-        .groupBy("key").agg(
-            F.collect_set("place").alias("covered"), F.collect_set(F.when(F.col("n") < SURE, F.col("place"))).alias("weak")
-        )
+        parsed.select("host", "slice", *columns).groupBy("host", "slice")
+        .cogroup(side.groupBy("host", "slice"))
+        .applyInArrow(lambda pages, rows: function(pages, rows), schema)
+    )
+
+
+def boilerplate(parsed: DataFrame) -> DataFrame:
+    """(host, slice, prefix, n): the boilerplate runs of each host and the pages they stand on, for each
+    slice of the host."""
+
+    def first_of(pages: pa.Table, rows: pa.Table) -> list[np.ndarray]:
+        return streams_of(pages.filter(pc.is_in(pages.column("id"), rows.column("id").combine_chunks())).column("texts"))
+
+    def frequent(pages, rows):
+        streams = first_of(pages, rows)
+        whole = pages.column("slices")[0].as_py() == 1
+        prefix, n = repeated_runs(streams, max(SHARE * len(streams), LEAST if whole else 0))
+        return pa.table({"host": np.full(len(n), pages.column("host")[0].as_py(), np.int64), "prefix": prefix, "n": n, "whole": np.full(len(n), whole)})
+
+    def count(pages, rows):
+        asked = np.sort(longs(rows, "prefix"))
+        n = np.zeros(len(asked), np.int64)
+        for s in first_of(pages, rows):
+            own = np.unique(signed(grams(s, RUN)))
+            at = np.minimum(np.searchsorted(asked, own), max(len(asked) - 1, 0))
+            if len(asked):
+                n[at[asked[at] == own]] += 1
+        return pa.table({"host": np.full(len(n), pages.column("host")[0].as_py(), np.int64), "prefix": asked, "n": n})
+
+    # Equal streams are one page, wherever its copies lie.
+    first = written(
+        parsed.groupBy("host", "stream").agg(F.min("id").alias("id"), F.min_by("slice", "id").alias("slice")).drop("stream"), "pages-first"
+    )
+    n_pages = first.groupBy("host").agg(F.count("*").alias("pages"))
+    slices = parsed.select("host", "slice").distinct()
+    local = written(
+        with_side(parsed, ["slices", "id", "texts"], first, frequent, "host long, prefix long, n long, whole boolean"), "pages-runs"
+    )
+    cut = parsed.where("slices > 1")
+    asked = local.where(~F.col("whole")).select("host", "prefix").distinct().join(slices, "host")
+    side = first.withColumn("prefix", F.lit(None).cast("long")).join(cut.select("host").distinct(), "host", "left_semi")
+    counted = with_side(cut, ["id", "texts"], side.unionByName(asked.withColumn("id", F.lit(None).cast("long"))), count, "host long, prefix long, n long")
+    runs = (
+        local.where("whole").select("host", "prefix", "n")
+        .unionByName(counted.groupBy("host", "prefix").agg(F.sum("n").alias("n")))
+        .join(n_pages, "host").where((F.col("n") >= LEAST) & (F.col("n") >= SHARE * F.col("pages")))
     )
+    return runs.select("host", "prefix", "n").join(slices, "host")
 
 
 def main_text(blocks: list[tuple[int, str, int]], covered: list[int] | None, weak: list[int] | None = None) -> str:
@@ -359,52 +399,85 @@ def main_text_and_path(blocks, covered, weak=None) -> tuple[str, str]:
     return "\n".join(" ".join(kept[b]) for b in use if kept[b]), path
 
 
-def extract_pages(pages: DataFrame, page: str = "page_id", url: str = "url", html_text: str = "html") -> DataFrame:
+def extract_pages(
+    pages: DataFrame, page: str = "page_id", url: str = "url", html_text: str = "html", slice_bytes: int = SLICE_BYTES
+) -> DataFrame:
     """(page_id, url, text, n_chars) of every row: the main text, blocks joined by line feeds.
 
     Character references are decoded, white space inside a block (line breaks too) becomes one space.
-    Null and empty pages, and pages without main text, give the empty string. Rows with equal url and
-    html are one page. A null url has the empty host. An empty table gives an empty result, other
-    columns are ignored. The whole page is read.
+    Null and empty pages, and pages without main text, give the empty string. Rows with the same words
+    count as one page of their host. A null url has the empty host. An empty table gives an empty result,
+    other columns are ignored. The whole page is read. `slice_bytes` bounds the html of a task's group
+    (a longer page is a group of its own size) and doesn't change the result.
     """
+    spark = pages.sparkSession
     rows = pages.select(
         F.col(page).alias("page_id"), F.col(url).cast("string").alias("url"), F.col(html_text).cast("string").alias("html")
-    )
+    ).withColumn("id", F.monotonically_increasing_id())
     kind = dict(rows.dtypes)["page_id"]
 
-    def parse(batches):
+    def names(batches):
         for batch in batches:
-            pages_ = [blocks_of(h or "") for h in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0), batch.column(1), batch.column(3),
-                    pa.array([host_of(u) for u in batch.column(1).to_pylist()], pa.string()),
-                    pa.array([stream_key(s) for s in Streams(pages_).slices], pa.int64()),
-                    *(pa.array([[x[c] for x in p] for p in pages_], pa.list_(t)) for c, t in ((0, pa.int32()), (1, pa.string()), (2, pa.int32()))),
-                ],
-                ["page_id", "url", "key", "name", "stream", "kinds", "texts", "linked"],
-            )
-
-    def answer(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([host_of(u) for u in batch.column(0).to_pylist()], pa.string()), batch.column(1)], ["name", "bytes"])
+
+    def parse(batches):
         for batch in batches:
-            blocks = (list(zip(*b)) for b in zip(*(batch.column(c).to_pylist() for c in ("kinds", "texts", "linked"))))
-            texts = [
-                main_text(b, c, w) for b, c, w in zip(blocks, batch.column("covered").to_pylist(), batch.column("weak").to_pylist())
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
-                ["page_id", "url", "text", "n_chars"],
-            )
-
-    parsed = written(
-        rows.withColumn("key", F.xxhash64("url", "html"))
-        .mapInArrow(
+            for part in pieces(batch, "html", 1 << 22):
+                found = [blocks_of(h or "") for h in part.column("html").to_pylist()]
+                kinds, texts, linked = (
+                    pa.array([[x[c] for x in p] for p in found], pa.list_(t)) for c, t in ((0, pa.int32()), (1, pa.string()), (2, pa.int32()))
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("page_id"), part.column("url"), part.column("id"),
+                        pa.array([host_of(u) for u in part.column("url").to_pylist()], pa.string()),
+                        pa.array([stream_key(s) for s in streams_of(texts)], pa.int64()),
+                        kinds, texts, linked,
+                    ],
+                    ["page_id", "url", "id", "name", "stream", "kinds", "texts", "linked"],
+                )
+
+    def answer(pages, rows):
+        prefix, n = longs(rows, "prefix"), longs(rows, "n")
+        by = np.argsort(prefix)
+        prefix, n = prefix[by], n[by]
+        texts: list[str] = []
+        blocks = zip(*(pages.column(c) for c in ("kinds", "texts", "linked")))
+        for b, s in zip(blocks, streams_of(pages.column("texts"))):
+            own = signed(grams(s, RUN))
+            at = np.minimum(np.searchsorted(prefix, own), max(len(prefix) - 1, 0))
+            hit = np.flatnonzero(prefix[at] == own) if len(prefix) else np.zeros(0, np.int64)
+            texts.append(main_text(list(zip(*(x.as_py() for x in b))), hit.tolist(), hit[n[at[hit]] < SURE].tolist() if len(hit) else []))
+        return pa.table(
+            [pages.column("page_id"), pages.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
+            names=["page_id", "url", "text", "n_chars"],
+        )
+
+    hosts = written(
+        rows.select("url", F.coalesce(F.octet_length("html"), F.lit(0)).cast("long").alias("bytes"))
+        .mapInArrow(names, "name string, bytes long")
+        .groupBy(F.xxhash64("name").alias("host")).agg(F.sum("bytes").alias("bytes")),
+        "pages-hosts",
+    )
+    total = hosts.agg(F.sum("bytes")).first()[0] or 0
+    # Hosts in more than one slice: at most total / slice_bytes rows, read from a table whose size the planner knows.
+    cut = written(
+        hosts.where(F.col("bytes") > slice_bytes).select("host", F.ceil(F.col("bytes") / slice_bytes).cast("int").alias("slices")),
+        "pages-slices",
+    )
+    parsed = bucketed(
+        rows.mapInArrow(
             parse,
-            f"page_id {kind}, url string, key long, name string, stream long, kinds array<int>, texts array<string>, linked array<int>",
-        ).withColumn("host", F.xxhash64("name")).drop("name"),
+            f"page_id {kind}, url string, id long, name string, stream long, kinds array<int>, texts array<string>, linked array<int>",
+        )
+        .withColumn("host", F.xxhash64("name")).drop("name").join(cut, "host", "left")
+        .withColumn("slices", F.coalesce("slices", F.lit(1)))
+        .withColumn("slice", F.pmod(F.xxhash64("id"), F.col("slices")).cast("int")),
         "pages",
+        ["host", "slice"],
+        max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // SLICE_BYTES)),
     )
-    return (
-        parsed.join(covered_runs(parsed), "key", "left").select("page_id", "url", "kinds", "texts", "linked", "covered", "weak")
-        .mapInArrow(answer, f"page_id {kind}, url string, text string, n_chars long")
+    runs = written(boilerplate(parsed), "pages-boilerplate")
+    return with_side(
+        parsed, ["page_id", "url", "kinds", "texts", "linked"], runs, answer, f"page_id {kind}, url string, text string, n_chars long"
     )

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _made: list[tuple[SparkSession, str]] = []
+_tables: list[tuple[SparkSession, str]] = []
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -34,6 +35,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, columns: list[str], buckets: int) -> DataFrame:
+    """Write once to the shared folder, in buckets by `columns`: later groupings by them read a bucket in
+    place and need no shuffle of this side. More buckets than Spark's limit become as many as it allows."""
+    spark = df.sparkSession
+    path = shared_folder(spark, name)
+    buckets = max(1, min(buckets, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))))
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    _tables.append((spark, table))
+    (
+        df.repartition(buckets, *columns).write.bucketBy(buckets, *columns).sortBy(*columns)
+        .format("parquet").option("compression", "zstd").option("path", path).saveAsTable(table)
+    )
+    return spark.table(table)
+
+
 def unused(df: DataFrame, *names: str) -> list[str]:
     """Column names like `names` that `df` doesn't have, whatever its columns are called."""
     taken, out = {c.lower() for c in df.columns}, []
@@ -46,7 +62,13 @@ def unused(df: DataFrame, *names: str) -> list[str]:
 
 
 def drop_folders() -> None:
-    """Delete every folder that `shared_folder` has named in this process."""
+    """Delete every folder that `shared_folder` has named in this process, and drop the tables over them."""
+    while _tables:
+        spark, table = _tables.pop()
+        try:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        except Exception:  # the session has ended, and an in-memory catalog with it
+            break
     while _made:
         spark, path = _made.pop()
         try:
