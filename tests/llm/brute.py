@@ -274,3 +274,22 @@ def merkle(groups):
     root, tops = tree([r for r, _ in trees.values()])
     proofs = {(g, i): s + t for (g, (_, steps)), t in zip(trees.items(), tops) for i, s in enumerate(steps)}
     return root, {g: r for g, (r, _) in trees.items()}, proofs
+
+
+def boilerplate_places(pages, run, least, share):
+    """[{place: pages}] per page: starts of runs of `run` words found as plain substrings in enough distinct texts.
+
+    `pages` are (host, text) with words parted by single spaces, lower-cased."""
+    hosts = {}
+    for host, text in pages:
+        hosts.setdefault(host, set()).add(text)
+    out = []
+    for host, text in pages:
+        w, places = text.split(" "), {}
+        for i in range(len(w) - run + 1):
+            part = f" {' '.join(w[i : i + run])} "
+            n = sum(part in f" {other} " for other in hosts[host])
+            if n >= least and n >= share * len(hosts[host]):
+                places[i] = n
+        out.append(places)
+    return out
