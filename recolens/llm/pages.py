@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import html
 import re
+import zlib
 from urllib.parse import urlsplit
 
 import numpy as np
@@ -279,12 +280,19 @@ def run_hashes(tokens: np.ndarray, places: np.ndarray) -> np.ndarray:
     return signed(grams(tokens, RUN))[places]
 
 
-def streams_of(texts: pa.Array | pa.ChunkedArray) -> list[np.ndarray]:
-    """Token streams of pages, given the lists of their block texts."""
-    if isinstance(texts, pa.ChunkedArray):
-        texts = texts.combine_chunks()
+def packed(texts: list[str]) -> bytes:
+    """Block texts, which hold no line feeds, as they are stored and shuffled."""
+    return zlib.compress("\n".join(texts).encode("utf-8", "surrogatepass"))
+
+
+def unpacked(body: pa.ChunkedArray) -> list[str]:
+    return [zlib.decompress(b).decode("utf-8", "surrogatepass") for b in body.to_pylist()]
+
+
+def streams_of(texts: list[str]) -> list[np.ndarray]:
+    """Token streams of pages, given their block texts joined by line feeds."""
     out: list[np.ndarray] = []
-    for part in pieces(pa.record_batch([pc.binary_join(texts, "\n")], ["text"]), 0):
+    for part in pieces(pa.record_batch([pa.array(texts, pa.large_string())], ["text"]), 0):
         words = Words(part.column(0))
         out += [words.hash[a:b] for a, b in zip(words.first, words.first[1:])]
     return out
@@ -316,7 +324,7 @@ def boilerplate(parsed: DataFrame) -> DataFrame:
     slice of the host."""
 
     def first_of(pages: pa.Table, rows: pa.Table) -> list[np.ndarray]:
-        return streams_of(pages.filter(pc.is_in(pages.column("id"), rows.column("id").combine_chunks())).column("texts"))
+        return streams_of(unpacked(pages.filter(pc.is_in(pages.column("id"), rows.column("id").combine_chunks())).column("body")))
 
     def frequent(pages, rows):
         streams = first_of(pages, rows)
@@ -341,12 +349,12 @@ def boilerplate(parsed: DataFrame) -> DataFrame:
     n_pages = first.groupBy("host").agg(F.count("*").alias("pages"))
     slices = parsed.select("host", "slice").distinct()
     local = written(
-        with_side(parsed, ["slices", "id", "texts"], first, frequent, "host long, prefix long, n long, whole boolean"), "pages-runs"
+        with_side(parsed, ["slices", "id", "body"], first, frequent, "host long, prefix long, n long, whole boolean"), "pages-runs"
     )
     cut = parsed.where("slices > 1")
     asked = local.where(~F.col("whole")).select("host", "prefix").distinct().join(slices, "host")
     side = first.withColumn("prefix", F.lit(None).cast("long")).join(cut.select("host").distinct(), "host", "left_semi")
-    counted = with_side(cut, ["id", "texts"], side.unionByName(asked.withColumn("id", F.lit(None).cast("long"))), count, "host long, prefix long, n long")
+    counted = with_side(cut, ["id", "body"], side.unionByName(asked.withColumn("id", F.lit(None).cast("long"))), count, "host long, prefix long, n long")
     runs = (
         local.where("whole").select("host", "prefix", "n")
         .unionByName(counted.groupBy("host", "prefix").agg(F.sum("n").alias("n")))
@@ -424,17 +432,17 @@ def extract_pages(
         for batch in batches:
             for part in pieces(batch, "html", 1 << 22):
                 found = [blocks_of(h or "") for h in part.column("html").to_pylist()]
-                kinds, texts, linked = (
-                    pa.array([[x[c] for x in p] for p in found], pa.list_(t)) for c, t in ((0, pa.int32()), (1, pa.string()), (2, pa.int32()))
-                )
+                texts = [[t for _, t, _ in p] for p in found]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("page_id"), part.column("url"), part.column("id"),
                         pa.array([host_of(u) for u in part.column("url").to_pylist()], pa.string()),
-                        pa.array([stream_key(s) for s in streams_of(texts)], pa.int64()),
-                        kinds, texts, linked,
+                        pa.array([stream_key(s) for s in streams_of(["\n".join(t) for t in texts])], pa.int64()),
+                        pa.array([[k for k, _, _ in p] for p in found], pa.list_(pa.int8())),
+                        pa.array([[n for _, _, n in p] for p in found], pa.list_(pa.int32())),
+                        pa.array([packed(t) for t in texts], pa.binary()),
                     ],
-                    ["page_id", "url", "id", "name", "stream", "kinds", "texts", "linked"],
+                    ["page_id", "url", "id", "name", "stream", "kinds", "linked", "body"],
                 )
 
     def answer(pages, rows):
@@ -442,12 +450,13 @@ def extract_pages(
         by = np.argsort(prefix)
         prefix, n = prefix[by], n[by]
         texts: list[str] = []
-        blocks = zip(*(pages.column(c) for c in ("kinds", "texts", "linked")))
-        for b, s in zip(blocks, streams_of(pages.column("texts"))):
+        whole = unpacked(pages.column("body"))
+        for kinds, linked, t, s in zip(pages.column("kinds"), pages.column("linked"), whole, streams_of(whole)):
+            blocks = list(zip(kinds.as_py(), t.split("\n"), linked.as_py()))
             own = signed(grams(s, RUN))
             at = np.minimum(np.searchsorted(prefix, own), max(len(prefix) - 1, 0))
             hit = np.flatnonzero(prefix[at] == own) if len(prefix) else np.zeros(0, np.int64)
-            texts.append(main_text(list(zip(*(x.as_py() for x in b))), hit.tolist(), hit[n[at[hit]] < SURE].tolist() if len(hit) else []))
+            texts.append(main_text(blocks, hit.tolist(), hit[n[at[hit]] < SURE].tolist() if len(hit) else []))
         return pa.table(
             [pages.column("page_id"), pages.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
             names=["page_id", "url", "text", "n_chars"],
@@ -468,7 +477,7 @@ def extract_pages(
     parsed = bucketed(
         rows.mapInArrow(
             parse,
-            f"page_id {kind}, url string, id long, name string, stream long, kinds array<int>, texts array<string>, linked array<int>",
+            f"page_id {kind}, url string, id long, name string, stream long, kinds array<tinyint>, linked array<int>, body binary",
         )
         .withColumn("host", F.xxhash64("name")).drop("name").join(cut, "host", "left")
         .withColumn("slices", F.coalesce("slices", F.lit(1)))
@@ -479,5 +488,5 @@ def extract_pages(
     )
     runs = written(boilerplate(parsed), "pages-boilerplate")
     return with_side(
-        parsed, ["page_id", "url", "kinds", "texts", "linked"], runs, answer, f"page_id {kind}, url string, text string, n_chars long"
+        parsed, ["page_id", "url", "kinds", "linked", "body"], runs, answer, f"page_id {kind}, url string, text string, n_chars long"
     )
