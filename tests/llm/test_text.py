@@ -7,7 +7,7 @@ import pytest
 from recolens.llm.decontaminate import drop_leaks, find_leaks
 from recolens.llm.licenses import TEMPLATES, scan_licenses
 from recolens.llm.linededup import line_dedup
-from recolens.llm.quality import BASE_RULES, RULES, keep_good, learn_order, quality_report
+from recolens.llm.quality import BASE_RULES, RULES, Rule, cascade_order, keep_good, learn_order, quality_report
 
 
 def test_quality_counts(spark, odd, none):
@@ -39,6 +39,19 @@ def test_order_changes_no_verdict(spark):
     assert kept == {x.doc_id for x in keep_good(df, tuple(reversed(BASE_RULES + RULES))).collect()}
 
 
+def test_cascade_order_counts_what_is_left():
+    # a rejects 30 rows, b 20 of those and no other, c 5 others: b has nothing left to reject after a.
+    assert cascade_order({0: 50, 0b001: 10, 0b011: 20, 0b100: 5}, [1.0, 1.0, 1.0], ["a", "b", "c"]) == [0, 2, 1]
+    assert cascade_order({0b11: 7}, [5.0, 1.0], ["a", "b"]) == [1, 0]  # the same rows, at a lower cost
+
+
+def test_cheap_rejecting_rule_is_first(spark):
+    df = spark.createDataFrame([(i, "some words " * 200 + str(i)) for i in range(300)], "doc_id long, text string")
+    slow = "size(filter(transform(w, x -> sha2(repeat(x, 20), 512)), x -> x like '0%')) >= 0"
+    rules = (Rule("a_slow", slow), Rule("b_never", "size(w) < 0"), Rule("c_cheap", "size(w) > 100"))
+    assert learn_order(df, rules)[0].name == "c_cheap"
+
+
 def test_line_dedup_odd_rows(spark, odd, none):
     out = line_dedup(odd)
     assert out.count() == odd.count() and out.columns == [*odd.columns, "n_lines", "n_removed"]
