@@ -1,7 +1,7 @@
 """Quality rules on whole documents as a short-circuit cascade, in SQL expressions only.
 
-Each rule rejects a document. On a bounded sample the cost of a rule is the time that many repetitions of
-its expression take in one job, less the time of splitting the words; its selectivity is the share it
+Each rule rejects a document. On a bounded sample the cost of a rule is the time of a job
+that evaluates it, less the time of splitting the words; its selectivity is the share it
 rejects of what the rules before it left. The next rule of the cascade is always the one with the most such
 rejections per cost. The order changes the work, never the verdict: a document is kept if no rule rejects it.
 """
@@ -17,8 +17,6 @@ from recolens.llm.store import unused, written
 
 #: Rows of the sample on which cost and selectivity are estimated.
 SAMPLE_ROWS = 2000
-#: Times that each row of the sample is judged when a rule's cost is measured, so that the work outweighs a job's start.
-REPEATS = 10
 
 SPACES = r"'[\\x20\\x09-\\x0D]+'"
 WORDS = f"array_remove(split(text, {SPACES}), '')"
@@ -96,13 +94,12 @@ def learn_order(
     judged = " + ".join(f"if({rule.rejects}, {1 << i}L, 0L)" for i, rule in enumerate(rules))
     # At most one row for each row of the sample.
     found = sample.groupBy(F.expr(let(WORDS, "w", judged)).alias("by")).count().collect()
-    again = sample.withColumn("turn", F.explode(F.sequence(F.lit(1), F.lit(REPEATS))))
 
     def seconds(condition: str) -> float:
         best = float("inf")
         for _ in range(2):
             begun = time.perf_counter()
-            again.agg(F.count_if(F.expr(let(WORDS, "w", condition)))).first()
+            sample.agg(F.count_if(F.expr(let(WORDS, "w", condition)))).first()
             best = min(best, time.perf_counter() - begun)
         return best
 
