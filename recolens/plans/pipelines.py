@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from recolens.operators import (
     als, bridge as br, bronze, cold_start, content, drift, eda, evaluate, features, fuse, gold,
-    quality, serve, silver,
+    quality, serve, silver, skew,
 )
 from recolens.sources import readers, writers
 
@@ -151,7 +151,7 @@ def run_bridge(
         model = fit(br.bridge_training_set(als_items, embeddings, warm))
         br.save_bridge(spark, model, model_path)
     products = readers.scan_table(spark, _at(base, "products"))
-    uncovered = embeddings.join(als_items.select("product_id"), "product_id", "left_anti")
+    uncovered = embeddings.join(skew.by_shuffle(als_items.select("product_id")), "product_id", "left_anti")
     fused_path = _at(base, "fused", "products")
     writers.write_table(
         fuse.fuse_products(products, als_items, br.bridge_predict(uncovered, model), interactions),
