@@ -1,11 +1,13 @@
 """Plans and sizes of steps that must not grow with the tables."""
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import plan_of
-from recolens.operators import bridge as br, fuse, skew
+from recolens.operators import bridge as br, fuse, scoring, skew
 
 
 def wide(spark, name, n=40, dim=16):
@@ -23,3 +25,35 @@ def test_vectors_are_never_broadcast(spark):
     assert plan_of(fused).count("SortMergeJoin") >= 2 and fused.count() == 50
     means = fuse.mean_vectors(rows, items)
     assert "BroadcastHashJoin" not in plan_of(means) and means.count() == 1
+
+
+def test_small_item_blocks_do_not_multiply_the_queries(spark):
+    items = spark.range(400).select(F.format_string("p%03d", "id").alias("product_id"), F.array(F.col("id").cast("float")).alias("vec"))
+    queries = spark.createDataFrame([("a", [1.0]), ("b", [-1.0])], "query_id string, vec array<float>")
+    best = scoring.top_items(queries, items, 3, item_block=2)
+    dealt = {int(n) for n in re.findall(r"hashpartitioning\(qb#\d+, ib#\d+, (\d+)\)", plan_of(best))}
+    assert dealt == {2 * scoring.MOST_BLOCKS}  # once 200 blocks, and a copy of the queries in each
+    assert [r.product_id for r in best.orderBy("query_id", "rank").collect()] == ["p399", "p398", "p397", "p000", "p001", "p002"]
+
+
+@pytest.mark.parametrize("integers", [True, False])
+def test_scan_over_many_tiles_equals_brute_force(integers):
+    r = np.random.default_rng(8)
+    u, p = r.normal(size=(30, 5)), r.normal(size=(3 * scoring.TILE + scoring.FIRST_TILE + 5, 5))
+    if integers:
+        u, p = np.rint(u), np.rint(p)  # ties, and queries without a direction
+    u, p = u.astype(np.float32), p.astype(np.float32)
+    u[3] = 0
+    limit = r.integers(1, 40, size=30)
+    row, col = np.divmod(np.unique(r.integers(0, u.shape[0] * p.shape[0], size=9000)), p.shape[0])
+    order = np.argsort(col, kind="stable")
+    steps = np.rint(np.einsum("ik,jk->ij", u.astype(float), p.astype(float)) * 1e6)
+    steps[row, col] = -np.inf
+    want = [(i, c, steps[i, c]) for i in range(30) for c in np.argsort(-steps[i], kind="stable")[: limit[i]]]
+    for ends in (None, scoring._Ends(30)):
+        got = scoring._scan(u, p, limit, (row[order], col[order]), ends)
+        assert list(zip(*(g.tolist() for g in got))) == want
+    free = np.isfinite(steps)
+    assert ends.count.tolist() == free.sum(axis=1).tolist()
+    assert np.array_equal(ends.low, np.where(free, steps, np.inf).min(axis=1)) and np.array_equal(ends.high, steps.max(axis=1))
+    assert np.array_equal(ends.total, np.where(free, steps, 0).sum(axis=1))
