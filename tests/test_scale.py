@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import plan_of
+from helpers import SF, plan_of
 from recolens.operators import bridge as br, fuse, scoring, skew
 
 
@@ -57,3 +57,43 @@ def test_scan_over_many_tiles_equals_brute_force(integers):
     assert ends.count.tolist() == free.sum(axis=1).tolist()
     assert np.array_equal(ends.low, np.where(free, steps, np.inf).min(axis=1)) and np.array_equal(ends.high, steps.max(axis=1))
     assert np.array_equal(ends.total, np.where(free, steps, 0).sum(axis=1))
+
+
+def test_a_batch_of_a_stream_may_take_several_files(spark, monkeypatch):
+    from recolens.sources import bind
+
+    monkeypatch.setattr(bind, "STREAM_ROWS", 10)
+    lake = bind.Lake(spark, SF)
+    rows = spark.range(70).select("id", F.when(F.col("id") < 55, 0).when(F.col("id") < 57, 2).otherwise(3).alias("b"))
+    seen, path = [], lake.scratch("log")
+
+    def take(batch, number):
+        seen.append({r.id for r in batch.collect()})
+
+    stream = lake.arrivals(rows, F.col("b"), 4)
+    running = stream.writeStream.foreachBatch(take).option("checkpointLocation", path).trigger(availableNow=True).start()
+    running.awaitTermination()
+    assert running.exception() is None
+    assert [s for s in seen if s] == [set(range(55)), {55, 56}, set(range(57, 70))]
+    largest = max(r["count"] for r in _rows_per_file(spark, stream))
+    assert largest < 55  # the first batch came in one file, written by one task
+
+
+def test_streamed_tables_are_not_written_by_six_tasks(spark, monkeypatch):
+    from recolens.sources import bind
+
+    monkeypatch.setattr(bind, "STREAM_ROWS", 300)
+    lake = bind.Lake(spark, SF)
+    stream, rows = lake.stream("lineitem"), lake.table("lineitem")
+    sizes = [r["count"] for r in _rows_per_file(spark, stream)]
+    assert sum(sizes) == rows.count() and max(sizes) < rows.count() / 6 / 2
+    batches = []
+    lake_path = lake.scratch("log")
+    running = stream.writeStream.foreachBatch(lambda b, i: batches.append(b.count())).option("checkpointLocation", lake_path).trigger(availableNow=True).start()
+    running.awaitTermination()
+    assert len(batches) == 6 and sum(batches) == rows.count()
+
+
+def _rows_per_file(spark, stream):
+    folder = re.search(r"(file:[^\s,\]]+)", stream._jdf.queryExecution().logical().toString() + plan_of(stream))[1]
+    return spark.read.parquet(folder).groupBy(F.input_file_name()).count().collect()
