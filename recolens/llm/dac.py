@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from itertools import chain
 
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from recolens.llm.files import read_file, write_file
 from recolens.llm.store import shared_folder, written
-from recolens.llm.tokens import Words, pieces
+from recolens.llm.tokens import LOWER, Words, pieces
 
 FILE_TOKENS = 1 << 22
 RANK_BITS = 512
@@ -136,6 +137,86 @@ def words_stand_alone(tokenizer: str) -> bool:
     return bool(drops and pattern) and not any(regex.search(pattern, s) for s in (" ", "\n", "\t"))
 
 
+#: A first cut that takes runs of letters, single digits and runs of other characters.
+RUNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PLAIN_NORMALISERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+
+
+def runs_stand_alone(tokenizer: str) -> bool:
+    """Whether a tokenizer file lower-cases and cuts words into `RUNS`: `Runs` may then be encoded one by one."""
+    with open(tokenizer, encoding="utf-8") as source:
+        parts = json.load(source)
+    normaliser, cut = parts.get("normalizer") or {}, parts.get("pre_tokenizer") or {}
+    steps = normaliser.get("normalizers", []) if normaliser.get("type") == "Sequence" else [normaliser]
+    cuts = cut.get("pretokenizers", []) if cut.get("type") == "Sequence" else [cut]
+    first = {"type": "Split", "pattern": {"Regex": RUNS}, "behavior": "Removed", "invert": True}
+    whole = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}
+    taken = [a for a in parts.get("added_tokens", []) if a.get("normalized") or a.get("single_word") or not _MARKED.fullmatch(a["content"])]
+    return not taken and (
+        all(s in PLAIN_NORMALISERS for s in steps) and PLAIN_NORMALISERS[-1] in steps
+        and cuts[:1] == [first] and all({k: c.get(k) for k in whole} == whole for c in cuts[1:])
+    )
+
+
+_PRINTED = np.array([32 < i < 127 for i in range(256)])
+_PLAIN = np.array([i < 128 and chr(i).isalnum() for i in range(256)])
+_MARK = _PRINTED & ~_PLAIN
+_LATIN = np.array([128 <= i < 192 and i not in (0x97, 0xB7) for i in range(256)])  # letters after 0xC3
+_LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+
+
+_MARKED = re.compile(r"[!-/:-@\[-`{-~][!-~]*")  # a mark first, no white space
+
+
+class Runs(Words):
+    """Words without the ASCII marks at their ends, and those marks as words of their own.
+
+    A word is cut only after an ASCII letter or digit or a letter of U+00C0-U+00FF, where `RUNS` cuts it too;
+    marks of more than `LONGEST` bytes stay with their word. The hash takes A-Z as a-z, but not before a
+    character that may be a combining one, as those compose with capitals otherwise. Words that hold one of
+    the byte strings `whole`, in capitals or not, stay as they are.
+    """
+
+    LONGEST = 16
+
+    def __init__(self, texts: pa.Array, whole: list[bytes] = ()):
+        self.whole = re.compile(b"|".join(re.escape(w) for w in whole), re.IGNORECASE) if whole else None
+        super().__init__(texts, lower=False)
+
+    def _cut(self) -> None:
+        raw, marks = self.raw, np.zeros(len(self.start), np.int64)
+        found = [m.start() for m in self.whole.finditer(raw)] if self.whole and len(raw) else []
+        kept = np.unique(np.searchsorted(self.start, found, "right") - 1) if found else np.zeros(0, np.int64)
+        self.kept = self.start[kept], self.end[kept]
+        on = np.flatnonzero(_MARK[raw[self.end - 1]])
+        for n in range(1, self.LONGEST + 1):
+            marks[on] = n
+            on = on[self.end[on] - n > self.start[on]]
+            on = on[_MARK[raw[self.end[on] - n - 1]]]
+        marks[on] = 0
+        marks[kept] = 0
+        some = np.flatnonzero(marks)
+        at = self.end[some] - marks[some]
+        inside = at > self.start[some]
+        some, at = some[inside], at[inside]
+        latin = _LATIN[raw[at - 1]] & (raw[np.maximum(at - 2, 0)] == 0xC3) & (at - 2 >= self.start[some])
+        right = _PLAIN[raw[at - 1]] | latin
+        some, at = some[right], at[right]
+        self.start = np.insert(self.start, some + 1, at)
+        self.end = np.insert(self.end, some, at)
+        self.first = self.first + np.searchsorted(some, self.first)
+
+    def _folded(self, lower: bool) -> np.ndarray:
+        after = np.append(self.raw[1:], 0)
+        fold = (after < 128) | (after == 0xC3)
+        if len(self.kept[0]):
+            inside = np.zeros(len(self.raw) + 1, np.int8)
+            inside[self.kept[0]] += 1
+            inside[self.kept[1]] -= 1
+            fold &= np.cumsum(inside[:-1], dtype=np.int8) == 0
+        return np.where(fold, LOWER[self.raw], self.raw)
+
+
 class TextEncoder:
     """Ids of whole texts under any tokenizer, each text given to the library as it is."""
 
@@ -161,8 +242,8 @@ class TextEncoder:
 class WordEncoder(TextEncoder):
     """Ids of whole texts under a tokenizer that never joins across ASCII spaces (`words_stand_alone`).
 
-    Each distinct word is given to the library once as long as it stays in a bounded cache; the ids of
-    a text are those of its words in order. The cache is sorted arrays, about 30 bytes a word, so that
+    Each distinct word, or run of `Runs` where the tokenizer cuts those apart itself, is given to the library
+    once as long as it stays in a bounded cache; the ids of a text are those of its words in order. The cache is sorted arrays, about 30 bytes a word, so that
     a worker holds the words of a large part of a corpus; it is emptied when it has `CACHED` words.
     """
 
@@ -173,8 +254,22 @@ class WordEncoder(TextEncoder):
     def __init__(self, path: str):
         super().__init__(path)
         self.between = self._separator(path)
+        self.runs = runs_stand_alone(path)
+        self.last = self._last_ids() if self.runs else None
+        self.whole = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.clear()
 
+    def _last_ids(self) -> np.ndarray | None:
+        """Which ids end a run, if every run ends with such an id and has none elsewhere."""
+        model = json.loads(self.tokenizer.to_str())["model"]
+        suffix, known = model.get("end_of_word_suffix"), self.tokenizer.get_vocab(with_added_tokens=False)
+        letters = [t for t in known if len(t) == 1]
+        if model.get("type") != "BPE" or not suffix or model.get("dropout") or len(letters) < 256 or not all(c + suffix in known for c in letters):
+            return None
+        out = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        out[[i for t, i in known.items() if t.endswith(suffix)]] = True
+        return out
+
     def _separator(self, path: str) -> tuple[bytes, int] | None:
         """A special token that may stand between words, cuts the text and has an id of its own."""
         with open(path, encoding="utf-8") as source:
@@ -182,6 +277,36 @@ class WordEncoder(TextEncoder):
         plain = [a for a in added if a.get("special") and not (a.get("lstrip") or a.get("rstrip") or a.get("single_word"))]
         return (plain[0]["content"].encode(), plain[0]["id"]) if plain else None
 
+    def ids_of_runs(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """`ids_of_words`; words of letters alone are one run each and go to the library as one text, cut
+        again where an id ends a run."""
+        if self.last is None:
+            return self.ids_of_words(words)
+        pure = np.fromiter((_LETTERS.fullmatch(w) is not None for w in words), bool, len(words))
+        letters = [words[i] for i in np.flatnonzero(pure).tolist()]
+        groups = [letters[i : i + self.JOINED] for i in range(0, len(letters), self.JOINED)]
+        lists = self.tokenizer.encode_batch_fast([b" ".join(g).decode("utf-8") for g in groups], add_special_tokens=False)
+        sizes, begins, flat, at = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), [], 0
+        where = np.flatnonzero(pure)
+        for k, (group, found) in enumerate(zip(groups, lists)):
+            ids = np.array(found.ids, np.uint32)
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) == len(group) and ends[-1] == len(ids):
+                size = np.diff(ends, prepend=0)
+            else:
+                ids, size = self.ids_of_words(group)
+            some = where[k * self.JOINED : k * self.JOINED + len(group)]
+            sizes[some], begins[some] = size, at + np.cumsum(size) - size
+            flat.append(ids)
+            at += len(ids)
+        where = np.flatnonzero(~pure)
+        if len(where):
+            ids, size = self.ids_of_words([words[i] for i in where.tolist()])
+            sizes[where], begins[where] = size, at + np.cumsum(size) - size
+            flat.append(ids)
+        total = np.cumsum(sizes) - sizes
+        return np.concatenate(flat)[np.repeat(begins - total, sizes) + np.arange(int(sizes.sum()))], sizes
+
     def ids_of_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """`ids_of` for words. Many words go to the library as one text with a special token between them,
         as most of the time for a word alone goes into making its result. Where the words don't come back
@@ -218,7 +343,7 @@ class WordEncoder(TextEncoder):
         if len(new):
             raw, spots = words.raw.tobytes(), where[new]
             spans = zip(words.start[spots].tolist(), words.end[spots].tolist())
-            flat, sizes = self.ids_of_words([raw[a:b] for a, b in spans])
+            flat, sizes = (self.ids_of_runs if self.runs else self.ids_of_words)([raw[a:b] for a, b in spans])
             slots = np.arange(len(self.keys), len(self.keys) + len(new), dtype=np.int32)
             self.ends = np.concatenate([self.ends, np.cumsum(sizes) + self.ends[-1]])
             self.flat = np.concatenate([self.flat, flat])
@@ -228,7 +353,7 @@ class WordEncoder(TextEncoder):
         return self.slots[at]
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        words = Words(texts, lower=False)
+        words = Runs(texts, self.whole) if self.runs else Words(texts, lower=False)
         if len(self.keys) > self.CACHED:
             self.clear()
         hashes, where, back = np.unique(words.hash, return_index=True, return_inverse=True)

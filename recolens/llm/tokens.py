@@ -74,13 +74,20 @@ class Words:
         self.start = np.flatnonzero(begins)
         self.end = np.flatnonzero(ends) + 1
         self.first = np.searchsorted(self.start, offsets)
-        values = (LOWER[raw] if lower else raw).astype(np.uint64)
+        self._cut()
+        values = self._folded(lower).astype(np.uint64)
         values += np.uint64(1)
         values *= powers(BASE, len(raw))
         sums = np.zeros(len(raw) + 1, np.uint64)
         np.cumsum(values, dtype=np.uint64, out=sums[1:])
         self.hash = mix((sums[self.end] - sums[self.start]) * powers(BASE_INVERSE, len(raw) + 1)[self.start])
 
+    def _cut(self) -> None:
+        """Words stay whole."""
+
+    def _folded(self, lower: bool) -> np.ndarray:
+        return LOWER[self.raw] if lower else self.raw
+
     def __len__(self) -> int:
         return len(self.hash)
 
