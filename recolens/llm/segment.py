@@ -40,6 +40,8 @@ SAMPLES = 2
 #: fewer equal units and take up to a quarter longer. It changes no result.
 PIECE_BYTES = 1 << 19
 NEVER = -np.inf
+KIND_BITS = 18
+KIND_SHIFT = np.uint64(64 - KIND_BITS)
 
 
 class Pieces:
@@ -64,10 +66,16 @@ class Pieces:
         self.flat = np.frombuffer(b"".join(texts), np.uint8)
         self.ends = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
         self.tables = {}
+        longest = max(by_length, default=0)
+        #: Per length, what a hash's first bits may be: 1 the start of a longer piece, 2 a piece.
+        self.kinds = {length: np.zeros(1 << KIND_BITS, np.uint8) for length in range(1, longest + 1)}
         for length, own in sorted(by_length.items()):
             raw = np.frombuffer(b"".join(texts[i] for i, _ in own), np.uint8).reshape(-1, length)
             with np.errstate(over="ignore"):
-                hashes = ((raw.astype(np.uint64) + np.uint64(1)) * powers(BASE, length)).sum(axis=1, dtype=np.uint64)
+                starts = np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers(BASE, length), axis=1, dtype=np.uint64)
+            hashes = starts[:, -1]
+            for k in range(1, length + 1):
+                self.kinds[k][(starts[:, k - 1] >> KIND_SHIFT).astype(np.int64)] |= 2 if k == length else 1
             order = np.argsort(hashes)
             self.tables[length] = (
                 hashes[order], np.array([i for i, _ in own])[order], np.array([w for _, w in own])[order]
@@ -129,15 +137,23 @@ class Lattices:
         follow = np.full(nodes, 1, np.int64)
         lead = raw[source[active]]
         follow[active] = np.where(lead >= 0xF0, 4, np.where(lead >= 0xE0, 3, np.where(lead >= 0xC0, 2, 1)))
-        for size, (known, of, weight) in pieces_.tables.items():
-            active = active[rest[active] >= size]
+        # The hash of the first `size` bytes from every node that may still be the start of a piece.
+        at, own = source[active], np.zeros(len(active), np.uint64)
+        for size, kinds in pieces_.kinds.items():
+            if size > 1:
+                on = np.flatnonzero((kind & 1 > 0) & (rest[active] >= size))
+                active, at, own = active[on], at[on], own[on]
             if not len(active):
                 break
-            at = source[active]
-            own = (sums[at + size] - sums[at]) * inverse[at]
-            k = np.minimum(np.searchsorted(known, own), len(known) - 1)
-            hit = known[k] == own
-            p, k = active[hit], k[hit]
+            own = own + (raw[at + (size - 1)].astype(np.uint64) + np.uint64(1)) * powers(BASE, size)[size - 1]
+            kind = kinds[(own >> KIND_SHIFT).astype(np.int64)]
+            if size not in pieces_.tables:
+                continue
+            known, of, weight = pieces_.tables[size]
+            maybe = np.flatnonzero(kind & 2)
+            k = np.minimum(np.searchsorted(known, own[maybe]), len(known) - 1)
+            hit = known[k] == own[maybe]
+            p, k = active[maybe[hit]], k[hit]
             froms.append(p)
             lengths.append(np.full(len(p), size))
             ids.append(of[k])
@@ -155,7 +171,7 @@ class Lattices:
         self.id = np.concatenate(ids).astype(np.int32)[order]
         w = np.concatenate(weights)[order]
         del p, froms, lengths, ids, weights, order, source, values, active, sums, hashes
-        self.first_edge = np.searchsorted(self.node, np.arange(nodes + 1))
+        self.first_edge = np.concatenate([[0], np.cumsum(np.bincount(self.node, minlength=nodes))])
         # Backward sums, all nodes with the same distance to their unit's end at once.
         mass = np.zeros(nodes)
         steps = rest[self.node]
@@ -170,6 +186,7 @@ class Lattices:
             mass[own[starts_]] = np.logaddexp.reduceat(w[e] + mass[own + self.size[e]], starts_)
         self.log_q = w + mass[self.node + self.size] - mass[self.node]
         self.q = np.exp(self.log_q)
+        self.several = np.diff(self.first_edge)[self.node] > 1
         self.upto = np.cumsum(self.q)
         self.before = self.upto - self.q
 
@@ -202,7 +219,11 @@ class Sampler:
         if len(self.raw):
             self.lattices = Lattices(pieces_, self.raw, self.starts)
             # The document and the lattice node of every byte that starts a unit.
-            self.doc_of_unit = np.searchsorted(self.starts, self.lattices.unit_start, "right") - 1
+            self.doc_of_unit = self._docs(np.searchsorted(self.lattices.unit_start, self.starts))
+
+    def _docs(self, cuts: np.ndarray) -> np.ndarray:
+        """The document of each of some places in order, of which document d has cuts[d] .. cuts[d + 1] - 1."""
+        return np.repeat(np.arange(self.n_docs), np.diff(cuts))
 
     def _walk(self, path: np.ndarray, place: np.ndarray, node: np.ndarray, doc: np.ndarray, sample: int) -> None:
         """Draw edges from the given nodes to the ends of their units into path[byte]."""
@@ -222,17 +243,18 @@ class Sampler:
         """
         t = self.lattices
         place = np.flatnonzero(path >= 0)
-        doc = np.searchsorted(self.starts, place, "right") - 1
+        cut = np.searchsorted(place, self.starts)
+        doc = self._docs(cut)
         e = path[place]
         total = np.concatenate([[0.0], np.cumsum(t.log_q[e])])
-        cut = np.searchsorted(place, self.starts)
-        prefix = total[:-1] - total[cut[doc]]
-        left = 1.0 - t.q[e] - np.where(place == from_place[doc], barred[doc], 0.0)
-        several = t.first_edge[t.node[e] + 1] - t.first_edge[t.node[e]]
-        left = np.where((several > 1) & (left > 1e-12) & (place >= from_place[doc]), left, 0.0)
-        open_ = left > 0
-        place, doc = place[open_], doc[open_]
-        mass = prefix[open_] + np.log(left[open_])
+        on = np.flatnonzero(t.several[e])
+        doc, before = doc[on], total[:-1][on]
+        begins = from_place[doc]
+        own = place[on]
+        left = 1.0 - t.q[e[on]] - np.where(own == begins, barred[doc], 0.0)
+        open_ = (left > 1e-12) & (own >= begins)
+        place, doc = own[open_], doc[open_]
+        mass = before[open_] - total[cut[doc]] + np.log(left[open_])
         wait = -np.log(uniform(self.keys[doc], sample, 1, place - self.starts[doc]))
         # A Gumbel variate at this mass, truncated at the path's value.
         perturbed = -np.logaddexp(-value[doc], np.log(wait) - mass)
