@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from recolens.llm.files import pack, pack_small, read_file, summed, unpack, unpack_small, write_file
-from recolens.llm.store import shared_folder, written
+from recolens.llm.store import drop_written, shared_folder, written
 from recolens.llm.tokens import Words, pieces
 
 RANGE_TOKENS = 3_000_000
@@ -98,6 +98,46 @@ def gathered(table: pa.Table, counts: str = "counts") -> tuple[np.ndarray, np.nd
     return summed(np.concatenate(keys or [NONE]), np.concatenate(values or [NONE]))
 
 
+def write_dense(folder: str, name: str, columns: np.ndarray) -> str:
+    """A file of columns of counts: one byte each, and 255 for those listed with their places."""
+    big = [np.flatnonzero(c > 254) for c in columns]
+    return write_file(
+        folder, name,
+        [u64(columns.shape[1], *(len(b) for b in big)), *(x for c, b in zip(columns, big) for x in (b.astype(np.uint64), c[b].astype(np.uint64))),
+         *(np.minimum(c, 255).astype(np.uint8) for c in columns)],
+    )
+
+
+class Dense:
+    """Reads a file of `write_dense`."""
+
+    def __init__(self, path: str, columns: int):
+        raw, at = read_file(path), 8 * (columns + 1)
+        n, *sizes = (int(x) for x in raw[:at].view(np.uint64))
+        self.big = []
+        for size in sizes:
+            self.big.append((raw[at : at + 8 * size].view(np.uint64), raw[at + 8 * size : at + 16 * size].view(np.uint64)))
+            at += 16 * size
+        self.small = [raw[at + k * n : at + (k + 1) * n] for k in range(columns)]
+
+    def take(self, column: int, at: np.ndarray) -> np.ndarray:
+        out = self.small[column][at].astype(np.int64)
+        over = np.flatnonzero(out == 255)
+        places, values = self.big[column]
+        out[over] = values[np.searchsorted(places, at[over].astype(np.uint64))]
+        return out
+
+
+#: Columns of the dense files; `FREE` is worked out from the first four and the discounts.
+TOTAL, ONES, TWOS, MORE, BEFORE, COLUMNS = range(6)
+FREE = "free"
+
+
+def free_mass(total, ones, twos, more, d: tuple[float, float, float]) -> np.ndarray:
+    """What the discounts take of a context's total."""
+    return (d[0] * ones + d[1] * twos + d[2] * more) / np.maximum(total, 1)
+
+
 def u64(*values) -> np.ndarray:
     return np.array(values, np.uint64)
 
@@ -301,7 +341,6 @@ def train(texts: DataFrame, text: str = "text", order: int = 2) -> Model:
         pairs = pairs.where("kind = 2").unionAll(lefts)
     else:
         model.discounts = discount([sum(r.of[i] for r in parts) for i in range(4)])
-    d = model.discounts
 
     def write_sums(key, table):
         part = key[0].as_py()
@@ -313,14 +352,14 @@ def train(texts: DataFrame, text: str = "text", order: int = 2) -> Model:
                 at = unpack(row["keys"], row["n"]).astype(np.int64) - part * per_range
                 for j, c in enumerate(columns):
                     dense[j if k == 1 else 4][at] += unpack_small(row[c], row["n"]).astype(np.int64)
-        total, before = dense[0], dense[4]
-        free = (d[0] * dense[1] + d[1] * dense[2] + d[2] * dense[3]) / np.maximum(total, 1)
-        path = write_file(folder, "sums", [total.astype(np.uint64), free, before.astype(np.uint64)])
+        before = dense[BEFORE]
+        path = write_dense(folder, "sums", dense)
         often = [int((before == i).sum()) for i in (1, 2, 3, 4)] + [int((before > 2).sum()), int(before.sum())]
         return pa.table({"part": pa.array([part], pa.int32()), "path": [path], "of": pa.array([often], pa.list_(pa.int64()))})
 
     sums = pairs.where("kind > 0").groupBy("part").applyInArrow(write_sums, "part int, path string, of array<long>")
     parts = sorted(written(sums, "lm-sums").collect())
+    drop_written(pairs)
     model.sums = [(r.part, r.path) for r in parts]
     often = [sum(r.of[i] for r in parts) for i in range(6)]
     model.lower, model.contexts = discount(often[:4]), often[5]
@@ -395,7 +434,7 @@ def count_triples(spark, texts, model, folder, ranges, left_sums, rows_table, wr
     triples = written(texts.mapInArrow(count, PACKED).groupBy("part").applyInArrow(write_triples, ROWS), "lm-triples")
     parts = sorted(triples.where("kind = 0").select("part", "path", "of").collect())
     model.triples = [(r.part, r.path) for r in parts]
-    model.upper = u = discount([sum(r.of[i] for r in parts) for i in range(4)])
+    model.upper = discount([sum(r.of[i] for r in parts) for i in range(4)])
 
     def write_pair_sums(key, table):
         part = key[0].as_py()
@@ -411,9 +450,7 @@ def count_triples(spark, texts, model, folder, ranges, left_sums, rows_table, wr
         begins = (keys >> np.uint64(32)) == np.uint64(words)
         adjusted = dense[4]
         adjusted[begins] = scorer.pair_counts(keys[begins])
-        total = dense[0]
-        free = (u[0] * dense[1] + u[1] * dense[2] + u[2] * dense[3]) / np.maximum(total, 1)
-        path = write_file(folder, "pair-sums", [total.astype(np.uint64), free, adjusted.astype(np.uint64)])
+        path = write_dense(folder, "pair-sums", dense)
         often = [int((adjusted == i).sum()) for i in (1, 2, 3, 4)]
         return rows_table([(0, part, path, size, often, b"", b"", b"", b"", b""), *ranges(1, *left_sums(keys, adjusted))])
 
@@ -423,6 +460,7 @@ def count_triples(spark, texts, model, folder, ranges, left_sums, rows_table, wr
     )
     sums = triples.where("kind > 2").unionAll(every).groupBy("part").applyInArrow(write_pair_sums, ROWS)
     sums = written(sums, "lm-pair-sums")
+    drop_written(triples)
     parts = sorted(sums.where("kind = 0").select("part", "path", "of").collect())
     model.pair_sums = [(r.part, r.path) for r in parts]
     model.discounts = discount([sum(r.of[i] for r in parts) for i in range(4)])
@@ -445,16 +483,8 @@ class Scorer:
         self.pairs, self.triples = self.key_files(model.pairs), self.key_files(model.triples)
         # The id of the first pair of every part.
         self.first_pair = np.cumsum([0, *(len(self.pairs[k][0]) for k in sorted(self.pairs))])
-        self.pair_sums = {}
-        for part, path in model.pair_sums:
-            raw = read_file(path)
-            n = len(raw) // 24
-            self.pair_sums[part] = (raw[: 8 * n].view(np.uint64), raw[8 * n : 16 * n].view(np.float64), raw[16 * n :].view(np.uint64))
-        self.sums = {}
-        size = 8 * model.per_range
-        for part, path in model.sums:
-            raw = read_file(path)
-            self.sums[part] = (raw[:size].view(np.uint64), raw[size : 2 * size].view(np.float64), raw[2 * size :].view(np.uint64))
+        self.pair_sums = {part: Dense(path, COLUMNS) for part, path in model.pair_sums}
+        self.sums = {part: Dense(path, COLUMNS) for part, path in model.sums}
 
     @staticmethod
     def key_files(files: list[tuple[int, str]]) -> dict:
@@ -505,24 +535,28 @@ class Scorer:
             [NONE, *(self.pairs[p][0][ids[a:b] - base] for p, base, a, b in zip(sorted(self.pairs), self.first_pair, cuts, cuts[1:]))]
         )
 
-    def of_pairs(self, ids: np.ndarray, column: int, kind) -> np.ndarray:
-        """Entries of a dense array by pair id, for sorted ids; 0 for -1."""
-        out = np.zeros(len(ids), kind)
+    def of_pairs(self, ids: np.ndarray, column: int | str) -> np.ndarray:
+        """Entries of a dense column by pair id, for sorted ids; 0 for -1."""
+        if column == FREE:
+            return free_mass(*(self.of_pairs(ids, c) for c in (TOTAL, ONES, TWOS, MORE)), self.model.upper)
+        out = np.zeros(len(ids), np.int64)
         per = self.model.per_pair_range
-        for part, arrays in self.pair_sums.items():
+        for part, dense in self.pair_sums.items():
             a, b = np.searchsorted(ids, [part * per, (part + 1) * per])
             if a < b:
-                out[a:b] = arrays[column][ids[a:b] - part * per]
+                out[a:b] = dense.take(column, ids[a:b] - part * per)
         return out
 
-    def of_ids(self, ids: np.ndarray, column: int, kind) -> np.ndarray:
-        """Entries of a dense array for sorted ids."""
-        out = np.zeros(len(ids), kind)
+    def of_ids(self, ids: np.ndarray, column: int | str) -> np.ndarray:
+        """Entries of a dense column for sorted ids."""
+        if column == FREE:
+            return free_mass(*(self.of_ids(ids, c) for c in (TOTAL, ONES, TWOS, MORE)), self.model.discounts)
+        out = np.zeros(len(ids), np.int64)
         cuts = np.searchsorted(ids, np.arange(0, self.model.words + 1 + self.model.per_range, self.model.per_range))
-        for part, arrays in self.sums.items():
+        for part, dense in self.sums.items():
             a, b = cuts[part], cuts[part + 1]
             if a < b:
-                out[a:b] = arrays[column][ids[a:b] - part * self.model.per_range]
+                out[a:b] = dense.take(column, ids[a:b] - part * self.model.per_range)
         return out
 
     def score(self, texts: pa.Array) -> dict[str, np.ndarray]:
@@ -534,7 +568,7 @@ class Scorer:
         lower = np.full(len(distinct), 1.0 / (m.words + 1))
         order = np.argsort(ids, kind="stable")
         if m.contexts:
-            before = self.of_ids(np.maximum(ids[order], 0), 2, np.int64)
+            before = self.of_ids(np.maximum(ids[order], 0), BEFORE)
             before[ids[order] < 0] = 0
             lower[order] = taken(before, m.lower) / m.contexts + m.free / (m.words + 1)
         p = lower[back]
@@ -551,12 +585,12 @@ class Scorer:
                 known = self.pair_ids(keys)
                 pair = np.where(unknown | lost, -1, known[where])
                 distinct_pairs, back_pairs = np.unique(pair, return_inverse=True)
-                c = self.of_pairs(distinct_pairs, 2, np.int64)[back_pairs]
+                c = self.of_pairs(distinct_pairs, BEFORE)[back_pairs]
             else:
                 c = np.where(unknown, 0, self.pair_counts(keys)[where])
             left, at = np.unique((keys >> np.uint64(32)).astype(np.int64), return_inverse=True)
-            total = self.of_ids(left, 0, np.int64)[at][where]
-            free = self.of_ids(left, 1, np.float64)[at][where]
+            total = self.of_ids(left, TOTAL)[at][where]
+            free = self.of_ids(left, FREE)[at][where]
             usable = ~lost & (total > 0)
             p = np.where(usable, taken(c, m.discounts) / np.maximum(total, 1) + free * p, p)
             if m.order == 3:
@@ -565,7 +599,7 @@ class Scorer:
                 context[1:] = pair[:-1]
                 context[starts[:-1]] = -1
                 left, at = np.unique(context, return_inverse=True)
-                total, free = self.of_pairs(left, 0, np.int64)[at], self.of_pairs(left, 1, np.float64)[at]
+                total, free = self.of_pairs(left, TOTAL)[at], self.of_pairs(left, FREE)[at]
                 triple = (np.maximum(context, 0).astype(np.uint64) << np.uint64(32)) | np.maximum(own, 0).astype(np.uint64)
                 distinct_triples, at = np.unique(triple, return_inverse=True)
                 c = np.where(unknown | (context < 0), 0, self.counts_in(self.triples, m.triple_bounds, distinct_triples)[at])
