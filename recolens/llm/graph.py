@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from recolens.llm.store import written
 
 ROUNDS = 100
+#: Labels of so many nodes go to all tasks; those of more meet their edges by shuffle.
+SMALL = 200_000
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -28,14 +30,15 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     )
     label, state = written(label, "labels"), None
     for _ in range(ROUNDS):
-        total = label.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]
+        total, n = label.agg(F.sum(F.col("label").cast("decimal(38,0)")), F.count("*")).first()
+        sent = F.broadcast if n <= SMALL else lambda df: df
         if total == state:
             return label.select("node", F.col("label").alias("component"))
         state = total
         up = label.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        skip = label.join(up, "label").select("node", "next")
-        near = both.join(skip.select(F.col("node").alias("v"), "next"), "v").groupBy("u").agg(F.min("next").alias("next"))
-        hooked = near.join(label, near["u"] == label["node"]).select(F.col("label").alias("node"), "next")
+        skip = label.join(sent(up), "label").select("node", "next")
+        near = both.join(sent(skip.select(F.col("node").alias("v"), "next")), "v").groupBy("u").agg(F.min("next").alias("next"))
+        hooked = near.join(sent(label), near["u"] == label["node"]).select(F.col("label").alias("node"), "next")
         found = skip.unionAll(near.select(F.col("u").alias("node"), "next")).unionAll(hooked)
         label = written(found.groupBy("node").agg(F.min("next").alias("label")), "labels")
     raise RuntimeError("components did not settle")
