@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,3 +102,36 @@ def test_streamed_tables_are_not_written_by_six_tasks(spark, monkeypatch):
 def _rows_per_file(spark, stream):
     folder = re.search(r"(file:[^\s,\]]+)", stream._jdf.queryExecution().logical().toString() + plan_of(stream))[1]
     return spark.read.parquet(folder).groupBy(F.input_file_name()).count().collect()
+
+
+def test_scorer_gets_packed_rows(spark, monkeypatch):
+    """A block's items and masks reach it as a few values, however many blocks take a copy."""
+    def counted(*_):
+        schema = pa.schema([(f.name, {"string": pa.string(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_()}.get(
+            f.dataType.simpleString(), pa.int64())) for f in scoring._OUT])
+
+        def score(key, left, right):
+            rows = {"query_id": str(left.num_rows), "product_id": str(right.num_rows), "n": 1}
+            return pa.Table.from_pylist([rows], schema=schema)
+
+        return score
+
+    rng = np.random.default_rng(3)
+    u, p = rng.normal(size=(40, 8)).astype("f4"), rng.normal(size=(300, 8)).astype("f4")
+    queries = spark.createDataFrame([(f"u{i:02}", v.tolist()) for i, v in enumerate(u)], "query_id string, vec array<float>").coalesce(1)
+    items = spark.createDataFrame([(f"p{i:03}", v.tolist()) for i, v in enumerate(p)], "product_id string, vec array<float>").coalesce(1)
+    hidden = [(f"u{i:02}", f"p{j:03}") for i in range(40) for j in range(i, 300, 7)]
+    masked = spark.createDataFrame(hidden + hidden, "query_id string, product_id string")
+    blocks = {"query_block": 10, "item_block": 100}
+    scores = np.round(u.astype(float) @ p.astype(float).T, 6)
+    for a, b in hidden:
+        scores[int(a[1:]), int(b[1:])] = -np.inf
+    best = np.argsort(-scores, axis=1, kind="stable")[:, :5]
+    found = {(r.query_id, r["rank"]): r.product_id for r in scoring.top_items(queries, items, 5, masked, **blocks).collect()}
+    assert found == {(f"u{i:02}", k + 1): f"p{j:03}" for i, row in enumerate(best) for k, j in enumerate(row)}
+
+    monkeypatch.setattr(scoring, "_packed_scorer", counted)
+    monkeypatch.setattr(scoring, "_merge", lambda rows, *_: rows)
+    met = scoring.top_items(queries, items, 5, masked, **blocks).collect()
+    assert len(met) == 12
+    assert max(int(r.product_id) for r in met) <= 2 and max(int(r.query_id) for r in met) <= 8
