@@ -26,6 +26,7 @@ its merge rank, that of a byte is -log(2 + vocabulary size); characters without
 from __future__ import annotations
 
 import zlib
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -37,15 +38,15 @@ from recolens.llm.tokens import BASE, BASE_INVERSE, buffers, mix, pieces, powers
 SPACE_MARK = "▁"
 SAMPLES = 2
 #: Text that a task works on at once. A worker needs about 130 MB and 180 times this; smaller pieces share
-#: fewer equal units and take up to a quarter longer. It changes no result.
-PIECE_BYTES = 1 << 19
+#: fewer equal units, larger ones don't fit the caches that the tasks of a machine share. It changes no result.
+PIECE_BYTES = 1 << 17
 NEVER = -np.inf
 KIND_BITS = 18
 KIND_SHIFT = np.uint64(64 - KIND_BITS)
 
 
 class Pieces:
-    """The vocabulary as byte strings (a space for the space mark), their hashes and weights."""
+    """The vocabulary as byte strings (a space for the space mark), their trie and weights."""
 
     def __init__(self, model_file: str):
         from sentencepiece import SentencePieceProcessor
@@ -64,26 +65,68 @@ class Pieces:
         self.byte_weight = -float(np.log(2.0 + n))
         self.texts = texts
         self.flat = np.frombuffer(b"".join(texts), np.uint8)
-        self.ends = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-        self.tables = {}
-        longest = max(by_length, default=0)
-        #: Per length, what a hash's first bits may be: 1 the start of a longer piece, 2 a piece.
-        self.kinds = {length: np.zeros(1 << KIND_BITS, np.uint8) for length in range(1, longest + 1)}
-        for length, own in sorted(by_length.items()):
-            raw = np.frombuffer(b"".join(texts[i] for i, _ in own), np.uint8).reshape(-1, length)
-            with np.errstate(over="ignore"):
-                starts = np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers(BASE, length), axis=1, dtype=np.uint64)
-            hashes = starts[:, -1]
-            for k in range(1, length + 1):
-                self.kinds[k][(starts[:, k - 1] >> KIND_SHIFT).astype(np.int64)] |= 2 if k == length else 1
+        self.size = np.array([len(t) for t in texts], np.int64)
+        self.ends = np.concatenate([[0], np.cumsum(self.size)])
+        self._grow(by_length)
+
+    @cached_property
+    def tables(self) -> dict:
+        """Per length the hashes of the pieces, sorted, and their ids: the vocabulary without the trie."""
+        out = {}
+        for length in np.unique(self.size[self.lattice_ids]).tolist():
+            ids = self.lattice_ids[self.size[self.lattice_ids] == length]
+            hashes = self._starts(ids, length)[:, -1]
             order = np.argsort(hashes)
-            self.tables[length] = (
-                hashes[order], np.array([i for i, _ in own])[order], np.array([w for _, w in own])[order]
-            )
+            out[length] = hashes[order], ids[order]
+        return out
+
+    @cached_property
+    def kinds(self) -> dict:
+        """Per length, what a hash's first bits may be: 1 the start of a longer piece, 2 a piece."""
+        out = {length: np.zeros(1 << KIND_BITS, np.uint8) for length in range(1, self.longest + 1)}
+        for length, (_, ids) in self.tables.items():
+            at = (self._starts(ids, length) >> KIND_SHIFT).astype(np.int64)
+            for k in range(1, length + 1):
+                out[k][at[:, k - 1]] |= 2 if k == length else 1
+        return out
+
+    def _starts(self, ids: np.ndarray, length: int) -> np.ndarray:
+        raw = self.flat[self.ends[ids][:, None] + np.arange(length)].astype(np.uint64)
+        return np.cumsum((raw + np.uint64(1)) * powers(BASE, length), axis=1, dtype=np.uint64)
+
+    def _grow(self, by_length: dict) -> None:
+        """The trie of the pieces: `step[row + code of a byte]` is the next state, 0 for none."""
+        own = [i for _, of_length in sorted(by_length.items()) for i in of_length]
+        size = np.array([len(self.texts[i]) for i, _ in own], np.int64)
+        at = np.array([self.ends[i] for i, _ in own], np.int64)
+        self.lattice_ids = np.array([i for i, _ in own], np.int64)
+        used = np.unique(self.flat)
+        self.code = np.zeros(256, np.int64)  # 0 for a byte that no piece has
+        self.code[used] = np.arange(1, len(used) + 1)
+        width = len(used) + 1
+        self.longest = int(size.max(initial=0))
+        state, states, edges, ids = np.ones(len(own), np.int64), 2, [], [np.full(2, -1)]
+        for k in range(self.longest):
+            on = np.flatnonzero(size > k)
+            keys, of = np.unique(state[on] * 256 + self.flat[at[on] + k], return_inverse=True)
+            state[on] = states + of
+            edges.append((keys, states + np.arange(len(keys))))
+            ids.append(np.full(len(keys), -1))
+            last = np.flatnonzero(size[on] == k + 1)
+            ids[-1][of[last]] = [own[i][0] for i in on[last]]
+            states += len(keys)
+        self.id_of, self.weight = np.concatenate(ids), np.zeros(len(self.texts))
+        self.weight[self.lattice_ids] = [w for _, w in own]
+        keys, to = (np.concatenate(x) for x in zip(*edges)) if edges else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        inner, of = np.unique(keys >> 8, return_inverse=True)
+        self.row = np.full(states, -1)
+        self.row[inner] = np.arange(len(inner)) * width
+        self.step = np.zeros(max(len(inner), 1) * width, np.int32)
+        self.step[of * width + self.code[keys & 255]] = to
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """The bytes that a sequence of ids stands for."""
-        length = self.ends[ids + 1] - self.ends[ids]
+        length = self.size[ids]
         total = np.concatenate([[0], np.cumsum(length)])
         return self.flat[np.repeat(self.ends[ids] - total[:-1], length) + np.arange(total[-1])]
 
@@ -132,45 +175,41 @@ class Lattices:
         self.rest = rest
         first = (rest > 0) & ((raw[source] & 0xC0) != 0x80)
         active = np.flatnonzero(first)
-        froms, lengths, ids, weights = [], [], [], []
+        # An edge as one number: its node, its place among the node's edges, its piece + 1.
+        id_bits, place_bits = len(pieces_.texts).bit_length(), (pieces_.longest + 1).bit_length()
+        edges = []
         alone = np.zeros(nodes, bool)
         follow = np.full(nodes, 1, np.int64)
         lead = raw[source[active]]
         follow[active] = np.where(lead >= 0xF0, 4, np.where(lead >= 0xE0, 3, np.where(lead >= 0xC0, 2, 1)))
-        # The hash of the first `size` bytes from every node that may still be the start of a piece.
-        at, own = source[active], np.zeros(len(active), np.uint64)
-        for size, kinds in pieces_.kinds.items():
-            if size > 1:
-                on = np.flatnonzero((kind & 1 > 0) & (rest[active] >= size))
-                active, at, own = active[on], at[on], own[on]
-            if not len(active):
+        # Every node walks down the trie of the pieces while it may still be the start of one.
+        at, left = source[active], rest[active]
+        row, codes = np.full(len(active), max(pieces_.row[1], 0)), pieces_.code[raw]
+        for size in range(1, pieces_.longest + 1):
+            state = pieces_.step[row + codes[at]].astype(np.int64)
+            found = pieces_.id_of[state]
+            hit = np.flatnonzero(found >= 0)
+            p = active[hit]
+            edges.append((p << place_bits | size) << id_bits | found[hit] + 1)
+            if size <= 4:
+                alone[p[follow[p] == size]] = True
+            row = pieces_.row[state]
+            on = np.flatnonzero((row >= 0) & (left > size))
+            if not len(on):
                 break
-            own = own + (raw[at + (size - 1)].astype(np.uint64) + np.uint64(1)) * powers(BASE, size)[size - 1]
-            kind = kinds[(own >> KIND_SHIFT).astype(np.int64)]
-            if size not in pieces_.tables:
-                continue
-            known, of, weight = pieces_.tables[size]
-            maybe = np.flatnonzero(kind & 2)
-            k = np.minimum(np.searchsorted(known, own[maybe]), len(known) - 1)
-            hit = known[k] == own[maybe]
-            p, k = active[maybe[hit]], k[hit]
-            froms.append(p)
-            lengths.append(np.full(len(p), size))
-            ids.append(of[k])
-            weights.append(weight[k])
-            alone[p[follow[p] == size]] = True
+            active, row, left, at = active[on], row[on], left[on], at[on] + 1
         bare = np.flatnonzero(first & ~alone)
-        froms.append(bare)
-        lengths.append(follow[bare])
-        ids.append(np.full(len(bare), -1))
-        weights.append(pieces_.byte_weight * follow[bare])
-        p = np.concatenate(froms)
-        order = np.argsort(p, kind="stable")
-        self.node = p[order]
-        self.size = np.concatenate(lengths).astype(np.int32)[order]
-        self.id = np.concatenate(ids).astype(np.int32)[order]
-        w = np.concatenate(weights)[order]
-        del p, froms, lengths, ids, weights, order, source, values, active, sums, hashes
+        edges.append((bare << place_bits | pieces_.longest + 1) << id_bits)
+        edges = np.sort(np.concatenate(edges))
+        self.id = ((edges & (1 << id_bits) - 1) - 1).astype(np.int32)
+        edges >>= id_bits
+        self.node = edges >> place_bits
+        self.size = (edges & (1 << place_bits) - 1).astype(np.int32)
+        spelled = np.flatnonzero(self.id < 0)
+        self.size[spelled] = follow[self.node[spelled]]
+        w = pieces_.weight[self.id]
+        w[spelled] = pieces_.byte_weight * self.size[spelled]
+        del edges, spelled, follow, alone, source, values, active, sums, hashes
         self.first_edge = np.concatenate([[0], np.cumsum(np.bincount(self.node, minlength=nodes))])
         # Backward sums, all nodes with the same distance to their unit's end at once.
         mass = np.zeros(nodes)
@@ -193,17 +232,20 @@ class Lattices:
     def choose(self, nodes: np.ndarray, u: np.ndarray) -> np.ndarray:
         """An edge from each node by its probability; u is uniform."""
         e = self.first_edge[nodes]
-        aim, last = self.before[e] + u, self.first_edge[nodes + 1] - 1
-        on = np.flatnonzero((self.upto[e] <= aim) & (e < last))
-        while len(on):
-            e[on] += 1
-            on = on[(self.upto[e[on]] <= aim[on]) & (e[on] < last[on])]
+        aim = self.before[e] + u
+        on = np.flatnonzero(self.upto[e] <= aim)
+        own, aim, last = e[on], aim[on], self.first_edge[nodes[on] + 1] - 1
+        more = np.flatnonzero(own < last)
+        while len(more):
+            on, own, aim, last = on[more], own[more] + 1, aim[more], last[more]
+            e[on] = own
+            more = np.flatnonzero((self.upto[own] <= aim) & (own < last))
         return e
 
 
-def uniform(keys: np.ndarray, sample: int, kind: int, place: np.ndarray) -> np.ndarray:
+def uniform(keys: np.ndarray, sample: int, kind: int, place: np.ndarray, doc: np.ndarray | slice = slice(None)) -> np.ndarray:
     """Numbers in (0, 1) from the row's key, the sample, the use and the byte position in the text."""
-    x = mix(keys + np.uint64((2 * sample + kind + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1)))
+    x = mix(keys + np.uint64((2 * sample + kind + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1)))[doc]
     x = mix(x ^ (place.astype(np.uint64) * np.uint64(BASE)))
     return ((x >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
 
@@ -229,10 +271,11 @@ class Sampler:
         """Draw edges from the given nodes to the ends of their units into path[byte]."""
         t = self.lattices
         while len(place):
-            e = t.choose(node, uniform(self.keys[doc], sample, 0, place - self.starts[doc]))
+            e = t.choose(node, uniform(self.keys, sample, 0, place - self.starts[doc], doc))
             path[place] = e
-            place, node = place + t.size[e], node + t.size[e]
-            on = t.rest[node] > 0
+            size = t.size[e]
+            place, node = place + size, node + size
+            on = np.flatnonzero(t.rest[node])
             place, node, doc = place[on], node[on], doc[on]
 
     def _regions(self, path, value, sample, from_place, barred):
@@ -255,7 +298,7 @@ class Sampler:
         open_ = (left > 1e-12) & (own >= begins)
         place, doc = own[open_], doc[open_]
         mass = before[open_] - total[cut[doc]] + np.log(left[open_])
-        wait = -np.log(uniform(self.keys[doc], sample, 1, place - self.starts[doc]))
+        wait = -np.log(uniform(self.keys, sample, 1, place - self.starts[doc], doc))
         # A Gumbel variate at this mass, truncated at the path's value.
         perturbed = -np.logaddexp(-value[doc], np.log(wait) - mass)
         return place, doc, perturbed, total[cut[1:]] - total[cut[:-1]]
@@ -343,9 +386,9 @@ class Sampler:
         count = np.where(single, 1, t.size[e])
         total = np.concatenate([[0], np.cumsum(count)])
         out = np.repeat(t.id[e], count)
-        spelled = np.repeat(~single, count)
-        byte = np.repeat(place - total[:-1], count) + np.arange(total[-1])
-        out[spelled] = self.pieces.byte_ids[self.raw[byte[spelled]]]
+        spelled = np.flatnonzero(~single)
+        byte, to = (flattened(x[spelled], count[spelled])[0] for x in (place, total))
+        out[to] = self.pieces.byte_ids[self.raw[byte]]
         return out.astype(np.int32), total[np.searchsorted(place, self.starts)]
 
 

@@ -17,3 +17,15 @@ def test_only_starts_of_pieces_are_followed():
             hashes = np.cumsum((raw + np.uint64(1)) * segment.powers(segment.BASE, length), dtype=np.uint64)
             at = (hashes >> segment.KIND_SHIFT).astype(np.int64)
             assert known.kinds[length][at[-1]] & 2 and all(known.kinds[k + 1][at[k]] & 1 for k in range(length - 1))
+
+
+def test_the_trie_spells_the_pieces():
+    known = segment.Pieces(public.path("piece_bpe_32k.model"))
+    state = np.ones(len(known.lattice_ids), np.int64)
+    for k in range(known.longest):
+        on = np.flatnonzero(known.size[known.lattice_ids] > k)
+        assert (known.row[state[on]] >= 0).all()
+        state[on] = known.step[known.row[state[on]] + known.code[known.flat[known.ends[known.lattice_ids[on]] + k]]]
+    assert (known.id_of[state] == known.lattice_ids).all() and (known.id_of >= 0).sum() == len(known.lattice_ids)
+    strange = np.setdiff1d(np.arange(256), known.flat)
+    assert (known.step[known.row[1] + known.code[strange]] == 0).all()
