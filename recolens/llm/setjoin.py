@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from recolens.llm.graph import components
 from recolens.llm.minhash import in_blocks, joining_edges, overlaps
-from recolens.llm.store import written
+from recolens.llm.store import drop_written, written
 from recolens.llm.tokens import Words, mix, pieces, shingle_set, signed
 from recolens.operators.skew import broadcast_if_small
 
@@ -122,10 +122,11 @@ def lost_halves(n, sizes, percent: int):
 def candidate_clusters(groups: DataFrame, percent: int) -> DataFrame:
     """(gid, cluster) for all groups that are, directly or over others, candidates for a link."""
     posts = posted(groups)
-    lists = posts.groupBy("token").agg(F.count("*").alias("f")).where("f > 1")
+    # A statement of its own: the shuffle of the counts is gone when the posts are shuffled.
+    counts = written(posts.groupBy("token").agg(F.count("*").alias("f")).where("f > 1"), "counts")
     needs = F.expr(f"least({ROOM}, ({percent} * n + 99) div 100)")
     sizes = groups.select("gid", "n", needs.alias("need"))
-    shared = posts.join(lists, "token").groupBy("gid").agg(F.sort_array(F.collect_list(F.struct("f", "token"))).alias("t"))
+    shared = posts.join(counts, "token").groupBy("gid").agg(F.sort_array(F.collect_list(F.struct("f", "token"))).alias("t"))
     # Shingles of one group alone come first in the order, so they use up the index prefix first.
     index = (
         shared.join(sizes, "gid")
@@ -137,6 +138,7 @@ def candidate_clusters(groups: DataFrame, percent: int) -> DataFrame:
     width = math.log(100 / percent) * (1 + 1e-9)
     size_class = f"cast(floor(ln(n) / {width!r}) as long)" if width else "n"
     index = written(index.withColumn("c", F.expr(f"explode(array({size_class}, {size_class} + 1))")), "prefix")
+    drop_written(counts)
     lists = index.groupBy("token", "c").agg(
         F.min("gid").alias("lo"), F.max("gid").alias("hi"), F.count("*").alias("members"), F.bit_xor(F.xxhash64("gid")).alias("mark")
     ).where("lo <> hi")
@@ -144,6 +146,8 @@ def candidate_clusters(groups: DataFrame, percent: int) -> DataFrame:
     ends = lists.groupBy("lo", "hi", "members", "mark").agg(F.min(F.struct("token", "c")).alias("e"))
     ends = written(ends.select("lo", "hi", "members", "e.token", "e.c"), "lists")
     kept = written(index.join(ends, ["token", "c"]).select("token", "c", "gid", "n", "lo", "hi", "members"), "kept")
+    for done in (index, ends):
+        drop_written(done)
     held = written(halves(groups.join(kept.select("gid").distinct(), "gid", "left_semi")), "halves")
 
     def filtered(batches):
@@ -213,7 +217,10 @@ def candidate_clusters(groups: DataFrame, percent: int) -> DataFrame:
     more = rest.select("token", "c", "x", "y", "gid", "n", "component", "half").groupBy("token", "c", "x", "y").applyInArrow(
         compare, "a long, b long"
     )
-    return components(near.unionAll(more)).select(F.col("node").alias("gid"), F.col("component").alias("cluster"))
+    clusters = components(near.unionAll(more)).select(F.col("node").alias("gid"), F.col("component").alias("cluster"))
+    for done in (kept, held):
+        drop_written(done)
+    return clusters
 
 
 def verified_edges(blocks: DataFrame, size: int, percent: int) -> DataFrame:
@@ -333,13 +340,18 @@ def jaccard_components(
     )
     groups = written(groups, "groups")
     of_set = written(sets.join(groups.select(*same, "gid"), same), "expanded")
+    # Prefixes are in the groups now; what follows needs the rows without them.
+    wide, rows = rows, written(rows.select("doc_id", *key), "rows")
+    drop_written(wide)
 
     clusters = candidate_clusters(groups, percent)
     crowded = of_set.groupBy("gid").agg(F.count("*").alias("k")).where("k > 1").select("gid")
     clusters = clusters.unionByName(crowded.join(clusters, "gid", "left_anti").select("gid", F.col("gid").alias("cluster")))
     clusters = written(clusters, "clusters")
+    drop_written(groups)
     members = of_set.join(clusters, "gid").select("rep", "cluster", F.col("n_shingles").alias("n"), "doc_id", "text_key")
     links = confirmed_links(members, docs, size, percent)
+    named = rows.where("doc_id is not null and n_shingles > 0")
     of_row = named.select("doc_id", *key).distinct().join(sets.select(*key, "rep"), key).select("doc_id", "rep")
     by_id = of_row.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     part = components(links.unionAll(by_id))

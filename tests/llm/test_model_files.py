@@ -6,7 +6,7 @@ import re
 
 import numpy as np
 from pyspark.sql.readwriter import DataFrameWriter
-from recolens.llm import kneser_ney, store
+from recolens.llm import kneser_ney, setjoin, store
 
 
 
@@ -42,3 +42,13 @@ def test_shuffles_end_with_the_write(spark, monkeypatch):
     monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: (seen.append(spark.conf.get(store.SHUFFLES_END, None)), inner(self, *a, **k))[1])
     df = store.written(spark.range(100).groupBy("id").count(), "ends")
     assert seen == ["true"] and df.count() == 100 and spark.conf.get(store.SHUFFLES_END, None) == before
+
+
+def test_a_set_join_drops_tables_with_their_use(spark):
+    words = [random.Random(i % 7).choices("abcdef", k=30) for i in range(30)]
+    rows = [(i, " ".join([*w, str(i % 3)])) for i, w in enumerate(words)]
+    before = folders(spark)
+    found = setjoin.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    left = {re.sub("-[0-9a-f]{32}$", "", f) for f in folders(spark) - before}
+    assert "rows" in left and not left & {"sets", "groups", "counts", "prefix", "lists", "kept", "halves"}
+    assert found.count() == 30
