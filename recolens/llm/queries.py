@@ -155,7 +155,7 @@ def piece_model() -> str:
 @query
 def op9_segmentations(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    return segment.encode_samples(docs, piece_model(), piece_bytes=1 << 21)
+    return segment.encode_samples(docs, piece_model())
 
 
 @query

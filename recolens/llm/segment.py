@@ -25,8 +25,9 @@ its merge rank, that of a byte is -log(2 + vocabulary size); characters without
 
 from __future__ import annotations
 
+import os
 import zlib
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,10 +38,14 @@ from recolens.llm.tokens import BASE, BASE_INVERSE, buffers, mix, pieces, powers
 
 SPACE_MARK = "▁"
 SAMPLES = 2
-#: Text that a task works on at once. A worker needs about 130 MB and 180 times this; smaller pieces share
+#: Text that a task works on at once. A worker needs about 130 MB and 120 times this; smaller pieces share
 #: fewer equal units, larger ones don't fit the caches that the tasks of a machine share. It changes no result.
-PIECE_BYTES = 1 << 17
+PIECE_BYTES = 1 << 18
 NEVER = -np.inf
+#: Sums of probabilities are plain numbers while their logarithm is surely within this, of 708 in a double.
+LOG_RANGE = 600.0
+#: Bytes of the character that a byte starts, 0 within one.
+FOLLOW = np.repeat(np.array([1, 0, 2, 3, 4], np.uint8), [0x80, 0x40, 0x20, 0x10, 0x10])
 KIND_BITS = 18
 KIND_SHIFT = np.uint64(64 - KIND_BITS)
 
@@ -117,6 +122,7 @@ class Pieces:
             states += len(keys)
         self.id_of, self.weight = np.concatenate(ids), np.zeros(len(self.texts))
         self.weight[self.lattice_ids] = [w for _, w in own]
+        self.factor = np.exp(self.weight)
         keys, to = (np.concatenate(x) for x in zip(*edges)) if edges else (np.zeros(0, np.int64), np.zeros(0, np.int64))
         inner, of = np.unique(keys >> 8, return_inverse=True)
         self.row = np.full(states, -1)
@@ -124,6 +130,12 @@ class Pieces:
         self.step = np.zeros(max(len(inner), 1) * width, np.int32)
         self.step[of * width + self.code[keys & 255]] = to
 
+    @classmethod
+    def of(cls, model_file: str) -> Pieces:
+        """The vocabulary of a file, read once by a process that serves several tasks."""
+        held = os.stat(model_file)
+        return _read(model_file, held.st_mtime_ns, held.st_size)
+
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """The bytes that a sequence of ids stands for."""
         length = self.size[ids]
@@ -131,6 +143,11 @@ class Pieces:
         return self.flat[np.repeat(self.ends[ids] - total[:-1], length) + np.arange(total[-1])]
 
 
+@lru_cache(maxsize=1)
+def _read(model_file: str, changed: int, size: int) -> Pieces:
+    return Pieces(model_file)
+
+
 def normalised(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, starts): a space before every text that isn't empty, space marks as spaces."""
     texts = pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), SPACE_MARK, " ")
@@ -150,7 +167,11 @@ def flattened(starts: np.ndarray, lengths: np.ndarray, gap: int = 0) -> tuple[np
 
 
 class Lattices:
-    """The lattices of the distinct units of a batch: edges in order of their node, with probabilities."""
+    """The lattices of the distinct units of a batch: edges in order of their node, with probabilities.
+
+    Nodes are ordered by the bytes left in their unit, then by unit, the longest first: the node of unit k
+    with r bytes left is level[r] + k, so the backward sums read and write whole ranges.
+    """
 
     def __init__(self, pieces_: Pieces, raw: np.ndarray, starts: np.ndarray):
         n = len(raw)
@@ -165,89 +186,124 @@ class Lattices:
         np.cumsum(values, dtype=np.uint64, out=sums[1:])
         inverse = powers(BASE_INVERSE, n + 1)
         hashes = mix((sums[self.unit_start + unit_length] - sums[self.unit_start]) * inverse[self.unit_start])
-        _, where, self.unit = np.unique(hashes, return_index=True, return_inverse=True)
+        _, where, unit = np.unique(hashes, return_index=True, return_inverse=True)
         length = unit_length[where]
-        # Nodes of all distinct units one after another, with one more node at each unit's end.
-        source, node_begin = flattened(self.unit_start[where], length, 1)
-        self.node_begin, nodes = node_begin[:-1], int(node_begin[-1])
-        rest = np.repeat(node_begin[1:], length + 1) - 1 - np.arange(nodes)
-        source = np.minimum(source, n - 1)
-        self.rest = rest
-        first = (rest > 0) & ((raw[source] & 0xC0) != 0x80)
-        active = np.flatnonzero(first)
+        order = np.argsort(-length, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        unit, length = rank[unit], length[order]
+        end = self.unit_start[where[order]] + length
+        many = np.cumsum(np.bincount(length)[::-1])[::-1]  # units of at least so many bytes
+        level = np.concatenate([[0], np.cumsum(many)])
+        nodes = int(level[-1])
+        rest = np.repeat(np.arange(len(many)), many)
+        inner = slice(len(length), None)  # all nodes but the units' ends
+        source = end[np.arange(len(length), nodes) - level[rest[inner]]] - rest[inner]
+        follow = np.zeros(nodes, np.uint8)
+        follow[inner] = FOLLOW[raw[source]]
+        active = heads = np.flatnonzero(follow)
         # An edge as one number: its node, its place among the node's edges, its piece + 1.
         id_bits, place_bits = len(pieces_.texts).bit_length(), (pieces_.longest + 1).bit_length()
         edges = []
         alone = np.zeros(nodes, bool)
-        follow = np.full(nodes, 1, np.int64)
-        lead = raw[source[active]]
-        follow[active] = np.where(lead >= 0xF0, 4, np.where(lead >= 0xE0, 3, np.where(lead >= 0xC0, 2, 1)))
         # Every node walks down the trie of the pieces while it may still be the start of one.
-        at, left = source[active], rest[active]
+        at = source[active - len(length)]
         row, codes = np.full(len(active), max(pieces_.row[1], 0)), pieces_.code[raw]
         for size in range(1, pieces_.longest + 1):
-            state = pieces_.step[row + codes[at]].astype(np.int64)
+            state = pieces_.step[row + codes[at]]
             found = pieces_.id_of[state]
             hit = np.flatnonzero(found >= 0)
             p = active[hit]
             edges.append((p << place_bits | size) << id_bits | found[hit] + 1)
             if size <= 4:
                 alone[p[follow[p] == size]] = True
-            row = pieces_.row[state]
-            on = np.flatnonzero((row >= 0) & (left > size))
+            if size + 1 >= len(many):
+                break
+            more = int(np.searchsorted(active, level[size + 1]))  # nodes from here on have more bytes left
+            row = pieces_.row[state[more:]]
+            on = np.flatnonzero(row >= 0)
             if not len(on):
                 break
-            active, row, left, at = active[on], row[on], left[on], at[on] + 1
-        bare = np.flatnonzero(first & ~alone)
+            row = row[on]
+            on += more
+            active, at = active[on], at[on] + 1
+        bare = heads[~alone[heads]]
         edges.append((bare << place_bits | pieces_.longest + 1) << id_bits)
         edges = np.sort(np.concatenate(edges))
         self.id = ((edges & (1 << id_bits) - 1) - 1).astype(np.int32)
         edges >>= id_bits
         self.node = edges >> place_bits
-        self.size = (edges & (1 << place_bits) - 1).astype(np.int32)
+        self.size = (edges & (1 << place_bits) - 1).astype(np.min_scalar_type(max(pieces_.longest + 1, 4)))
         spelled = np.flatnonzero(self.id < 0)
         self.size[spelled] = follow[self.node[spelled]]
-        w = pieces_.weight[self.id]
-        w[spelled] = pieces_.byte_weight * self.size[spelled]
-        del edges, spelled, follow, alone, source, values, active, sums, hashes
-        self.first_edge = np.concatenate([[0], np.cumsum(np.bincount(self.node, minlength=nodes))])
-        # Backward sums, all nodes with the same distance to their unit's end at once.
-        mass = np.zeros(nodes)
-        steps = rest[self.node]
-        steps = steps.astype(np.uint16) if len(steps) and steps.max() < 1 << 16 else steps
-        by_rest = np.argsort(steps, kind="stable")
-        steps = steps[by_rest]
-        cuts = np.flatnonzero(np.concatenate([[True], steps[1:] != steps[:-1]])) if len(steps) else []
-        for a, b in zip(cuts, [*cuts[1:], len(steps)]):
-            e = by_rest[a:b]
-            own = self.node[e]
-            starts_ = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-            mass[own[starts_]] = np.logaddexp.reduceat(w[e] + mass[own + self.size[e]], starts_)
-        self.log_q = w + mass[self.node + self.size] - mass[self.node]
-        self.q = np.exp(self.log_q)
-        self.several = np.diff(self.first_edge)[self.node] > 1
+        degree = np.bincount(self.node, minlength=nodes)
+        self.first_edge = np.concatenate([[0], np.cumsum(degree)])
+        del edges, follow, alone, source, values, active, at, row, sums, hashes
+        # The node that an edge leads to has as many bytes left less, in the same unit.
+        left = rest[self.node]
+        onto = self.node - level[left]
+        left -= self.size
+        onto += level[left]
+        #: The first edge of the node that an edge leads to, -1 at the end of the unit.
+        self.after = np.where(left > 0, self.first_edge[onto], -1)
+        self.begin = self.first_edge[level[length] + np.arange(len(length))][unit]
+        # Backward sums, all nodes with the same number of bytes left at once: as plain numbers while the
+        # least of them is surely one, then as logarithms.
+        plain = int(LOG_RANGE / max(np.abs(pieces_.weight).max(), -pieces_.byte_weight))
+        factor = pieces_.factor[self.id]
+        factor[spelled] = np.exp(pieces_.byte_weight * self.size[spelled])
+        mass, self.q = np.ones(nodes), np.empty(len(self.id))
+        first = self.first_edge[heads]
+        edge_cuts, head_cuts = self.first_edge[level].tolist(), np.searchsorted(heads, level).tolist()
+        for r in range(1, len(many)):
+            e, h = slice(*edge_cuts[r : r + 2]), slice(*head_cuts[r : r + 2])
+            if h.start == h.stop:
+                continue
+            if r <= plain:
+                self.q[e] = factor[e] * mass[onto[e]]
+                mass[heads[h]] = np.add.reduceat(self.q[e], first[h] - e.start)
+                continue
+            if plain >= 0:  # the first level beyond
+                below = edge_cuts[r]
+                self.q[:below] /= mass[self.node[:below]]
+                mass, plain = np.log(mass), -1
+                w = pieces_.weight[self.id]
+                w[spelled] = pieces_.byte_weight * self.size[spelled]
+            x = w[e] + mass[onto[e]]
+            mass[heads[h]] = np.logaddexp.reduceat(x, first[h] - e.start)
+            self.q[e] = np.exp(x - mass[self.node[e]])
+        if plain >= 0:
+            self.q /= mass[self.node]
+        #: Per edge the probability of its node's edges up to it, beyond 1 for the last.
         self.upto = np.cumsum(self.q)
-        self.before = self.upto - self.q
-
-    def choose(self, nodes: np.ndarray, u: np.ndarray) -> np.ndarray:
-        """An edge from each node by its probability; u is uniform."""
-        e = self.first_edge[nodes]
-        aim = self.before[e] + u
-        on = np.flatnonzero(self.upto[e] <= aim)
-        own, aim, last = e[on], aim[on], self.first_edge[nodes[on] + 1] - 1
-        more = np.flatnonzero(own < last)
-        while len(more):
-            on, own, aim, last = on[more], own[more] + 1, aim[more], last[more]
+        self.upto -= np.repeat(self.upto[first] - self.q[first], degree[heads])
+        self.upto[self.first_edge[heads + 1] - 1] = 2.0
+
+    def choose(self, first: np.ndarray, u: np.ndarray) -> np.ndarray:
+        """An edge from each node, given by its first edge, by its probability; u is uniform."""
+        e = first.copy()
+        on = np.flatnonzero(self.upto[e] <= u)
+        own, u = e[on] + 1, u[on]
+        while len(on):
             e[on] = own
-            more = np.flatnonzero((self.upto[own] <= aim) & (own < last))
+            more = np.flatnonzero(self.upto[own] <= u)
+            on, own, u = on[more], own[more] + 1, u[more]
         return e
 
 
-def uniform(keys: np.ndarray, sample: int, kind: int, place: np.ndarray, doc: np.ndarray | slice = slice(None)) -> np.ndarray:
-    """Numbers in (0, 1) from the row's key, the sample, the use and the byte position in the text."""
-    x = mix(keys + np.uint64((2 * sample + kind + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1)))[doc]
-    x = mix(x ^ (place.astype(np.uint64) * np.uint64(BASE)))
-    return ((x >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
+def seeds(keys: np.ndarray, sample: int, kind: int) -> np.ndarray:
+    """What the numbers of a row come from, by its key, the sample and the use."""
+    return mix(keys + np.uint64((2 * sample + kind + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1)))
+
+
+def uniform(seed: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Numbers in (0, 1) from the row's seed and the byte position in the text."""
+    x = mix(seed ^ (place.astype(np.uint64) * np.uint64(BASE)))
+    x >>= np.uint64(11)
+    out = x.astype(np.float64)
+    out += 0.5
+    out *= 2.0**-53
+    return out
 
 
 class Sampler:
@@ -267,41 +323,44 @@ class Sampler:
         """The document of each of some places in order, of which document d has cuts[d] .. cuts[d + 1] - 1."""
         return np.repeat(np.arange(self.n_docs), np.diff(cuts))
 
-    def _walk(self, path: np.ndarray, place: np.ndarray, node: np.ndarray, doc: np.ndarray, sample: int) -> None:
-        """Draw edges from the given nodes to the ends of their units into path[byte]."""
+    def _walk(self, path: np.ndarray, place: np.ndarray, first: np.ndarray, doc: np.ndarray, sample: int) -> None:
+        """Draw edges from the nodes with the given first edges to the ends of their units into path[byte]."""
         t = self.lattices
+        seed, origin = seeds(self.keys, sample, 0)[doc], self.starts[doc]
         while len(place):
-            e = t.choose(node, uniform(self.keys, sample, 0, place - self.starts[doc], doc))
+            e = t.choose(first, uniform(seed, place - origin))
             path[place] = e
-            size = t.size[e]
-            place, node = place + size, node + size
-            on = np.flatnonzero(t.rest[node])
-            place, node, doc = place[on], node[on], doc[on]
+            first = t.after[e]
+            on = np.flatnonzero(first >= 0)
+            place, first, seed, origin = place[on] + t.size[e[on]], first[on], seed[on], origin[on]
 
-    def _regions(self, path, value, sample, from_place, barred):
-        """(place, perturbed value) of the sets that leave the path at a place, and its log-probability.
+    def _regions(self, path, sample, from_place, barred):
+        """(place, document, lateness) of the sets that leave the path at a place, and its log-probability.
 
         from_place: the byte of each document from which on sets are new; barred: probability at that
-        byte which earlier samples have taken.
+        byte which earlier samples have taken. The perturbed value of a set falls with its lateness: it is
+        a Gumbel variate at the set's mass, truncated at the path's value, -logaddexp(-value, lateness).
         """
         t = self.lattices
         place = np.flatnonzero(path >= 0)
         cut = np.searchsorted(place, self.starts)
-        doc = self._docs(cut)
-        e = path[place]
-        total = np.concatenate([[0.0], np.cumsum(t.log_q[e])])
-        on = np.flatnonzero(t.several[e])
-        doc, before = doc[on], total[:-1][on]
-        begins = from_place[doc]
+        q = t.q[path[place]]
+        total = np.concatenate([[0.0], np.cumsum(np.log(q))])
+        left = np.subtract(1.0, q, out=q)
+        some = np.flatnonzero(barred)
+        left[np.searchsorted(place, from_place[some])] -= barred[some]
+        on = np.flatnonzero(left > 1e-12)
+        doc = self._docs(np.searchsorted(on, cut))
         own = place[on]
-        left = 1.0 - t.q[e[on]] - np.where(own == begins, barred[doc], 0.0)
-        open_ = (left > 1e-12) & (own >= begins)
-        place, doc = own[open_], doc[open_]
-        mass = before[open_] - total[cut[doc]] + np.log(left[open_])
-        wait = -np.log(uniform(self.keys, sample, 1, place - self.starts[doc], doc))
-        # A Gumbel variate at this mass, truncated at the path's value.
-        perturbed = -np.logaddexp(-value[doc], np.log(wait) - mass)
-        return place, doc, perturbed, total[cut[1:]] - total[cut[:-1]]
+        if (from_place > self.starts[:-1]).any():
+            new = np.flatnonzero(own >= from_place[doc])
+            on, doc, own = on[new], doc[new], own[new]
+        late = -np.log(uniform(seeds(self.keys, sample, 1)[doc], own - self.starts[doc]))
+        late /= left[on]
+        np.log(late, out=late)
+        late -= total[on]
+        late += total[cut[:-1]][doc]
+        return own, doc, late, total[cut[1:]] - total[cut[:-1]]
 
     def samples(self, k: int):
         """Per sample: (documents, path, log-probability, perturbed value); then the thresholds."""
@@ -309,27 +368,28 @@ class Sampler:
         if not len(self.raw):
             return [], np.full(n, NEVER)
         t = self.lattices
-        value = -np.log(-np.log(uniform(self.keys, 0, 1, np.full(n, 2**40))))
+        value = -np.log(-np.log(uniform(seeds(self.keys, 0, 1), np.full(n, 2**40))))
         path = np.full(len(self.raw), -1, np.int64)
-        self._walk(path, t.unit_start, t.node_begin[t.unit], self.doc_of_unit, 0)
+        self._walk(path, t.unit_start, t.begin, self.doc_of_unit, 0)
         from_place, barred = self.starts[:-1].copy(), np.zeros(n)
-        out, queue = [], []  # queue: (places, docs, values, sample) of the sets not yet taken
+        out, queue = [], []  # queue: (places, docs, lateness, value of the path) of the sets not yet taken
         paths, bars, begun = [path], [[[] for _ in range(n)]], [from_place]
         alive = self.some.copy()
         for j in range(k):
             path = paths[j]
-            place, doc, perturbed, log_p = self._regions(path, value, j, from_place, barred)
-            on = alive[doc]
-            queue.append([place[on], doc[on], perturbed[on]])
-            out.append((np.flatnonzero(alive), path, log_p, value.copy()))
+            place, doc, late, log_p = self._regions(path, j, from_place, barred)
+            queue.append((place, doc, late, value))
+            out.append((np.flatnonzero(alive), path, log_p, value))
             best, which, index = np.full(n, NEVER), np.full(n, -1), np.full(n, -1)
-            for s, (_, d, v) in enumerate(queue):
+            for s, (_, d, late, own) in enumerate(queue):
                 if len(d):
                     cuts = np.flatnonzero(np.concatenate([[True], d[1:] != d[:-1]]))
-                    most = np.maximum.reduceat(v, cuts)
-                    lead = np.flatnonzero(v == np.repeat(most, np.diff(np.append(cuts, len(d)))))[::-1]
-                    lead = lead[v[lead] > best[d[lead]]]
-                    best[d[lead]], which[d[lead]], index[d[lead]] = v[lead], s, lead
+                    least = np.minimum.reduceat(late, cuts)
+                    lead = np.flatnonzero(late == np.repeat(least, np.diff(np.append(cuts, len(d)))))[::-1]
+                    v = -np.logaddexp(-own[d[lead]], late[lead])
+                    over = v > best[d[lead]]
+                    lead, v = lead[over], v[over]
+                    best[d[lead]], which[d[lead]], index[d[lead]] = v, s, lead
             if j == k - 1:
                 return out, best
             # Take the best set of each document and draw its best path.
@@ -338,15 +398,15 @@ class Sampler:
             bar = [[] for _ in range(n)]
             value, from_place, barred = best.copy(), self.starts[:-1].copy(), np.zeros(n)
             resume = np.full(n, len(self.raw) + 1, np.int64)
-            at_place, at_node, at_doc = [], [], []
+            at_place, at_first, at_doc = [], [], []
             places = np.zeros(n, np.int64)
-            for s, (own, _, _) in enumerate(queue):
+            for s, (own, *_) in enumerate(queue):
                 of = np.flatnonzero(which == s)
                 places[of] = own[index[of]]
-            chance = uniform(self.keys, j + 1, 0, places - self.starts[:-1]).tolist()
+            chance = uniform(seeds(self.keys, j + 1, 0), places - self.starts[:-1]).tolist()
             for d in np.flatnonzero(alive).tolist():
                 s, i, place = int(which[d]), int(index[d]), int(places[d])
-                queue[s][2][i] = NEVER
+                queue[s][2][i] = -NEVER
                 old = paths[s]
                 lo = int(self.starts[d])
                 path[lo:place] = old[lo:place]
@@ -358,17 +418,17 @@ class Sampler:
                 new = free[min(int(np.searchsorted(odds, chance[d] * odds[-1], "right")), len(free) - 1)]
                 path[place] = new
                 bar[d], from_place[d], barred[d] = taken, place, float(t.q[taken].sum())
-                after, node = place + int(t.size[new]), int(t.node[new] + t.size[new])
+                after, then = place + int(t.size[new]), int(t.after[new])
                 resume[d] = after
-                if t.rest[node] > 0:
+                if then >= 0:
                     at_place.append(after)
-                    at_node.append(node)
+                    at_first.append(then)
                     at_doc.append(d)
             rest = np.flatnonzero(t.unit_start >= resume[self.doc_of_unit])
             self._walk(
                 path,
                 np.concatenate([np.array(at_place, np.int64), t.unit_start[rest]]),
-                np.concatenate([np.array(at_node, np.int64), t.node_begin[t.unit[rest]]]),
+                np.concatenate([np.array(at_first, np.int64), t.begin[rest]]),
                 np.concatenate([np.array(at_doc, np.int64), self.doc_of_unit[rest]]),
                 j + 1,
             )
@@ -382,11 +442,11 @@ class Sampler:
         t = self.lattices
         place = np.flatnonzero(path >= 0)
         e = path[place]
-        single = t.id[e] >= 0
-        count = np.where(single, 1, t.size[e])
+        own, count = t.id[e], np.ones(len(e), np.int64)
+        spelled = np.flatnonzero(own < 0)
+        count[spelled] = t.size[e[spelled]]
         total = np.concatenate([[0], np.cumsum(count)])
-        out = np.repeat(t.id[e], count)
-        spelled = np.flatnonzero(~single)
+        out = np.repeat(own, count)
         byte, to = (flattened(x[spelled], count[spelled])[0] for x in (place, total))
         out[to] = self.pieces.byte_ids[self.raw[byte]]
         return out.astype(np.int32), total[np.searchsorted(place, self.starts)]
@@ -425,7 +485,7 @@ def encode_samples(
     names = ["doc_id", "sample", "ids", "ids_crc32", "n_pieces", "log_prob", "perturbed", "log_inclusion", "decoded", "restored"]
 
     def run(batches):
-        known = Pieces(model_file)
+        known = Pieces.of(model_file)
         for batch in batches:
             for part in pieces(batch, 1, piece_bytes):
                 doc_ids = part.column(0).to_pylist()
@@ -496,7 +556,7 @@ def decode_ids(encoded: DataFrame, model_file: str, ids: str = "ids") -> DataFra
     at = names.index(ids)
 
     def run(batches):
-        known = Pieces(model_file)
+        known = Pieces.of(model_file)
         for batch in batches:
             texts = []
             for row in batch.column(at):
