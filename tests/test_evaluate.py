@@ -107,6 +107,23 @@ def test_same_seed_same_factors(trained):
     assert max(abs(x - y) for k in a for x, y in zip(a[k], b[k])) < 1e-4
 
 
+def test_a_fit_evaluates_its_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    kind = "user_id_int long, product_id_int long, count long"
+    rows = spark.createDataFrame([(u, p, 1 + u * p % 3) for u in range(20) for p in range(0, 30, 1 + u % 4)], kind)
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
+    model = als.als_fit(rows.mapInArrow(counted, kind).repartition(3, "user_id_int"), iterations=2)
+    assert seen.value == rows.count()
+    assert model.userFactors.count() == 20 and model.itemFactors.count() == 30
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= held + 2  # the factors alone
+
+
 def test_als_recommendations_leave_out_train_items(lake):
     split = evaluate.sampled_split(lake.interactions(), 50)
     train = evaluate.train_rows(split)
