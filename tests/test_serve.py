@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from recolens.functions import vectors
 from recolens.operators import cold_start, quality, scoring, serve
 
 
@@ -160,3 +161,11 @@ def test_cold_user_falls_back_to_global_list(spark):
     for r in got.orderBy("rank").collect():
         lists.setdefault(r.user_id, []).append(r.product_id)
     assert lists == {"x": ["p3"], "y": ["p1", "p2"], "z": ["p1", "p2"]}
+
+
+def test_a_vector_is_measured_once_to_be_normalised(spark):
+    rows = spark.createDataFrame([("a", [3.0, 4.0]), ("b", [0.0, 0.0]), ("c", None)], "id string, p array<float>")
+    unit = rows.select("id", vectors.l2_normalize(F.col("p")).alias("p"))
+    assert {r.id: r.p for r in unit.collect()} == {"a": [0.6, 0.8], "b": [0.0, 0.0], "c": None}
+    plan = unit._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(") == 1 and "array_repeat(aggregate(" in plan  # not once or more for every element
