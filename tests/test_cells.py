@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 
+from helpers import SF, rows_of
 from recolens.operators import cells, scoring
 
 COLUMNS = ["query_id", "product_id", "score", "rank", "category", "is_cold"]
@@ -113,3 +114,12 @@ def test_no_row_of_a_query_waits_for_a_merge(spark, by_cells, monkeypatch):
     monkeypatch.setattr(scoring, "_merge", never)
     found = scoring.top_items(queries.drop("n", "category"), items, 4, masked, item_block=100)
     assert found.count() == 39 * 4  # one query has seen all
+
+
+@pytest.mark.parametrize("name", ["declining_penalty", "diversify", "hybrid_score", "recs_summary", "topn_per_user"])
+def test_queries_give_the_same_rows_by_cells(spark, lake, by_cells, name):
+    from checks.catalog import QUERIES
+
+    want = rows_of(QUERIES[name](spark, SF))
+    by_cells()
+    assert rows_of(QUERIES[name](spark, SF)) == want and want
