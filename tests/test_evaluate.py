@@ -1,5 +1,6 @@
 """Split, NDCG, lift, sampling, factors, bridge and fusion."""
 
+import glob
 import math
 
 import numpy as np
@@ -221,3 +222,32 @@ def test_fused_vectors_by_source(spark):
         "u2": (round(4 / 3, 5), "mean", True),  # p1 twice, p2 once
         "u3": (0.0, "zero", True),
     }
+
+
+def test_a_fit_has_blocks_enough_for_its_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(int(a), int(b), 1 + int(c)) for a, b, c in rng.integers(0, [60, 40, 3], size=(900, 3))]
+    pairs = spark.createDataFrame(rows, "user_id_int long, product_id_int long, count long").dropDuplicates(["user_id_int", "product_id_int"])
+
+    def blocks(**given):
+        model = als.als_fit(pairs, rank=2, iterations=2, **given)
+        assert model.userFactors.count() == 60 and model.itemFactors.count() == 40
+        return model.userFactors.rdd.getNumPartitions()
+
+    assert blocks() == als.BLOCKS and blocks(blocks=3) == 3
+    monkeypatch.setattr(als, "BLOCK_PAIRS", 50)
+    assert blocks() == math.ceil(pairs.count() / 50) > als.BLOCKS
+
+
+def test_a_fit_drops_the_factors_it_has_sent(spark):
+    rows = [(u, p, 1) for u in range(60) for p in range(40) if (u + p) % 3]
+    pairs = skew.cut(spark.createDataFrame(rows, "user_id_int long, product_id_int long, count long"))
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
+    def files():
+        return {f for d in folders for f in glob.glob(f"{d}/*/shuffle_*.data")}
+
+    before = files()
+    als.als_fit(pairs, rank=2, iterations=8)
+    # Ten files for each of the 16 times that factors are sent; those sent to items go with the checkpoints.
+    assert len(files() - before) < 8 * 2 * als.BLOCKS
