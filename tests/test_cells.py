@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from helpers import SF, rows_of
-from recolens.operators import cells, scoring
+from recolens.operators import bounded, cells, scoring
 
 COLUMNS = ["query_id", "product_id", "score", "rank", "category", "is_cold"]
 
@@ -123,3 +123,23 @@ def test_queries_give_the_same_rows_by_cells(spark, lake, by_cells, name):
     want = rows_of(QUERIES[name](spark, SF))
     by_cells()
     assert rows_of(QUERIES[name](spark, SF)) == want and want
+
+
+@pytest.mark.parametrize("known", [False, True])
+def test_norm_classes_are_met_by_cells(spark, by_cells, known):
+    vec = (lambda rnd: [rnd.gauss(0, 1) * rnd.choice([1, 2, 5]) for _ in range(4)]) if known else ties
+    queries, items, masked = tables(spark, vec, 500, 30)
+    out = bounded.top_items_bounded(queries, items, 9, masked, class_items=60)
+    want, work = rows_of(out.rows.select(COLUMNS)), rows_of(out.work)
+    by_cells()
+    out = bounded.top_items_bounded(queries, items, 9, masked, class_items=60)
+    assert rows_of(out.rows.select(COLUMNS)) == want and rows_of(out.work) == work and len(work) > 2
+
+
+def test_lists_are_as_long_as_asked_for(spark, by_cells, monkeypatch):
+    """Items are copied for as many tasks as the lists need that are asked for, not the longest possible ones."""
+    queries, items, _ = tables(spark, noise)
+    by_cells()
+    monkeypatch.setattr(cells, "LIST_ROWS", 180)
+    found = scoring.top_items(queries.where("n is not null"), items, scoring.MAX_K)
+    assert found.rdd.getNumPartitions() <= 2  # 40 lists of up to 9, 20 a task
