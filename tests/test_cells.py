@@ -17,7 +17,7 @@ def by_cells(monkeypatch):
 
     def start(pairs=1):
         monkeypatch.setattr(scoring, "CELL_PAIRS", pairs)
-        for name, value in {"CELL_ITEMS": 8, "PIECE": 16, "FIRST": 2, "TOGETHER": 3, "WAITING": 50, "AT_ONCE": 64, "PACK_BYTES": 2000, "OUT_BATCH": 40}.items():
+        for name, value in {"CELL_ITEMS": 8, "PIECE": 16, "FIRST": 2, "TOGETHER": 3, "WAITING": 50, "AT_ONCE": 64, "MASKS_AT_ONCE": 700, "PACK_BYTES": 2000, "OUT_BATCH": 40}.items():
             monkeypatch.setattr(cells, name, value)
 
     return start
